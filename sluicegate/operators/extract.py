@@ -79,7 +79,8 @@ def extract_all(
 ) -> list[ExtractResult]:
     """Extract every table, a few at a time on one session; results in the order of the list.
 
-    The threads only submit Spark jobs. A table that fails raises after the others have finished.
+    The threads only submit Spark jobs. A table that fails does not stop the others; it raises once
+    they have finished.
     """
     specs = list(specs)
 
@@ -88,4 +89,7 @@ def extract_all(
 
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         pending = [pool.submit(inheritable_thread_target(spark)(run), spec) for spec in specs]
+    failed = {spec.table: p.exception() for spec, p in zip(specs, pending) if p.exception()}
+    if failed:
+        raise RuntimeError(f"not extracted: {', '.join(failed)}") from next(iter(failed.values()))
     return [p.result() for p in pending]

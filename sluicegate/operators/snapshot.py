@@ -59,11 +59,19 @@ def completed_dates(spark: SparkSession, folder: str, job: str) -> list[str]:
 
 
 def read_snapshots(
-    spark: SparkSession, folder: str, job: str, dates: Iterable[str] | None = None
+    spark: SparkSession,
+    folder: str,
+    job: str,
+    dates: Iterable[str] | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
-    """The completed snapshots of a table as one frame, the date tag as an integer column."""
+    """The completed snapshots of a table as one frame, the date tag as an integer column.
+
+    ``merge_schema`` reads every footer and is only needed when columns came or went between dates.
+    """
     chosen = completed_dates(spark, folder, job) if dates is None else list(dates)
     if not chosen:
         raise FileNotFoundError(f"no completed snapshot below {folder}")
-    df = spark.read.option("basePath", folder).parquet(*(f"{folder}/{job}={d}" for d in chosen))
+    reader = spark.read.option("basePath", folder).option("mergeSchema", merge_schema)
+    df = reader.parquet(*(f"{folder}/{job}={d}" for d in chosen))
     return df.withColumn(job, F.col(job).cast("int"))

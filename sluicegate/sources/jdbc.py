@@ -7,7 +7,19 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicegate.plans.spec import Connection, TableSpec
-from sluicegate.plans.strategy import Bounds, bucket_predicates, interval_sql, read_strategy
+from sluicegate.plans.strategy import (
+    TEXT_BUCKET_SQL,
+    Bounds,
+    bucket_predicates,
+    interval_sql,
+    read_strategy,
+)
+
+
+def url_dialect(url: str) -> str:
+    """The database a URL names when its text hash is known, else the form for integer keys."""
+    name = url.split(":")[1] if url.startswith("jdbc:") else ""
+    return name if name in TEXT_BUCKET_SQL else "integer"
 
 
 class JdbcSource:
@@ -21,13 +33,13 @@ class JdbcSource:
         spark: SparkSession,
         connection: Connection,
         database: str,
-        dialect: str = "integer",
+        dialect: str | None = None,
         fetch_size: int = 100_000,
     ) -> None:
         self.spark = spark
         self.connection = connection
         self.database = database
-        self.dialect = dialect
+        self.dialect = dialect or url_dialect(connection.url)
         self.fetch_size = fetch_size
 
     def base_options(self) -> dict[str, str]:

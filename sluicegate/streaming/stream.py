@@ -14,7 +14,7 @@ from sluicegate.sources.storage import completed_children
 
 def append_stream(
     stream: DataFrame,
-    path: str,
+    path: str | None,
     checkpoint: str,
     trigger: Mapping[str, Any] | None = None,
     partition_by: Sequence[str] = (),
@@ -25,11 +25,11 @@ def append_stream(
 
     Without a trigger micro-batches follow one another until the query is stopped;
     ``{"availableNow": True}`` takes what is there and ends. ``sink`` may be any streaming sink on
-    the class path, with its ``options``.
+    the class path, with its ``options``; one that is not made of files takes no ``path``.
     """
     writer = stream.writeStream.format(sink).outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.options(**(options or {}))
-    if sink == "parquet":
+    if path is not None:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

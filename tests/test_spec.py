@@ -1,0 +1,88 @@
+import pytest
+
+from sluicegate.plans.spec import Connection, TableSpec, load_connections, load_specs, parse_specs, table_spec
+
+CONFIG = """
+config:
+- user: pg
+  databases:
+    - db_name: shop
+      job: get_data
+      source_name: a1
+      source_type: database
+      tbl_list:
+        - lastUpdate_col: updated_time
+          table_name: dated
+          numPartitions: 40
+          lowerBound: 0
+          upperBound: max
+          partitionColumn: id
+          primaryKey_col: [id, id2]
+        - table_name: keyless
+          numPartitions:
+          lowerBound:
+          upperBound:
+          partitionColumn:
+          primaryKey_col: id
+          lastUpdate_col:
+    - db_name: nothing
+      job: get_data
+      tbl_list:
+- user: my
+  databases:
+"""
+
+
+def test_entries_are_bound_by_name_in_any_order(tmp_path):
+    path = tmp_path / "tables.yml"
+    path.write_text(CONFIG)
+    dated, keyless = load_specs(str(path))
+    assert (dated.source, dated.database, dated.job, dated.table) == ("pg", "shop", "get_data", "dated")
+    assert dated.primary_key == ("id", "id2")
+    assert (dated.num_partitions, dated.lower_bound, dated.upper_bound) == (40, 0, "max")
+    assert dated.last_update_column == "updated_time"
+    assert keyless.primary_key == ("id",) and keyless.bucket_key == "id"
+    assert keyless.partition_column is None and keyless.last_update_column is None
+    assert (keyless.buckets, keyless.rows_per_file) == (2, 1_000_000)
+
+
+def test_no_tables():
+    assert parse_specs({}) == []
+    assert parse_specs({"config": [{"user": "a", "databases": [{"db_name": "d", "tbl_list": None}]}]}) == []
+
+
+@pytest.mark.parametrize(
+    "entry",
+    [
+        {"table_name": "t", "upperBounds": 3},
+        {"numPartitions": 3},
+        {"table_name": "t; drop table t"},
+        {"table_name": "t", "lastUpdate_col": "a' or 'x"},
+        {"table_name": "t", "bounds": "guess"},
+        {"table_name": "t", "initial": "some"},
+        {"table_name": "t", "buckets": 0},
+    ],
+)
+def test_bad_entries_are_refused(entry):
+    with pytest.raises(ValueError):
+        table_spec(entry)
+
+
+def test_schema_qualified_names_are_allowed():
+    assert TableSpec("public.uuiddata").table == "public.uuiddata"
+
+
+def test_passwords_come_from_the_environment_only(tmp_path, monkeypatch):
+    path = tmp_path / "env.yml"
+    path.write_text('hdfs: "hdfs://h/x/"\ndb:\n- {user: pg, url: "jdbc:postgresql://h/", password: "${PG_PASS}"}\n')
+    connections, root = load_connections(str(path))
+    assert root == "hdfs://h/x/"
+    with pytest.raises(KeyError):
+        connections["pg"].password()
+    monkeypatch.setenv("PG_PASS", "s3cret")
+    assert connections["pg"].password() == "s3cret"
+    assert "s3cret" not in repr(connections["pg"])
+    path.write_text("db:\n- {user: pg, url: u, password: plain}\n")
+    with pytest.raises(ValueError, match="NAME"):
+        load_connections(str(path))
+    assert Connection("a", "u").password() is None
