@@ -10,7 +10,6 @@ from sluicegate.functions.columns import hash_bucket
 BUCKET_COLUMN = "mod_hash_id"
 # Keys looked up from a broadcast. Any other key holds less than a thousandth of the rows.
 HOT_KEYS = 1000
-SALTS = 4096
 
 
 def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64") -> DataFrame:
@@ -23,18 +22,18 @@ def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
 
     The counts are pre-aggregated on the map side. The ``HOT_KEYS`` largest groups are joined from a
     broadcast of that many rows at most; the other rows by a shuffle on their key. Rows settled by the
-    broadcast, and rows without a key, go through that shuffle under a salt instead of their key.
+    broadcast, and rows without a key, go through that shuffle spread by a hash of the whole row.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
     hot = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(F.col("_key").alias("_hot"), F.col("_n").alias("_hot_n"))
     tagged = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     settled = F.col("_hot").isNotNull() | F.col(key).isNull()
     tagged = tagged.withColumn("_cold", F.when(~settled, F.col(key))).withColumn(
-        "_salt", F.when(settled, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)) + 1).otherwise(F.lit(0))
+        "_place", F.when(settled, F.xxhash64(*df.columns)).otherwise(F.xxhash64(key))
     )
     joined = tagged.join(
-        counts.withColumn("_zero", F.lit(0)),
-        (F.col("_cold") == F.col("_key")) & (F.col("_salt") == F.col("_zero")),
+        counts.withColumn("_key_place", F.xxhash64("_key")),
+        (F.col("_place") == F.col("_key_place")) & (F.col("_cold") == F.col("_key")),
         "left",
     )
     return joined.select(*df.columns, F.coalesce("_hot_n", "_n").alias(name))

@@ -1,0 +1,193 @@
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluicegate.operators.extract import extract_all, extract_table
+from sluicegate.operators.latest import latest_state
+from sluicegate.operators.snapshot import (
+    completed_dates,
+    read_snapshots,
+    sized,
+    write_snapshot,
+    write_tasks_enough,
+)
+from sluicegate.plans.spec import TableSpec
+from sluicegate.plans.strategy import table_root
+from sluicegate.sources.storage import completed_children, folder_has_files
+
+DATED = TableSpec("t", last_update_column="ts", primary_key="id")
+KEYED = TableSpec("t", partition_column="id")
+KEYLESS = TableSpec("t", primary_key="id", buckets=3)
+D1, D2, D3 = (datetime(2024, 1, d) for d in (1, 2, 3))
+
+
+@pytest.fixture
+def source(spark, write_table):
+    """Six hours apart from the last day of 2023 on, so history lies before the first run."""
+    df = spark.range(20).select("id", F.expr("timestamp_ntz'2023-12-31 00:00:00' + id * interval 6 hours").alias("ts"))
+    return write_table("t", df)
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "lake_out")
+
+
+def per_date(spark, root, spec):
+    df = read_snapshots(spark, table_root(root, spec), spec.job)
+    return {r["get_data"]: r["count"] for r in df.groupBy("get_data").count().collect()}
+
+
+def test_dated_table_over_three_days(spark, source, root):
+    results = [extract_table(spark, source, DATED, day, root) for day in (D1, D2, D3)]
+    assert [(r.first_run, r.rows, r.files) for r in results] == [(True, 20, 1), (False, 12, 1), (False, 8, 1)]
+    assert per_date(spark, root, DATED) == {20240101: 20, 20240102: 12, 20240103: 8}
+    assert dict(read_snapshots(spark, table_root(root, DATED), "get_data").dtypes)["get_data"] == "int"
+    assert per_date(spark, root, DATED) == {20240101: 20, 20240102: 12, 20240103: 8}
+
+
+def test_first_run_since_start(spark, source, root):
+    spec = TableSpec("t", last_update_column="ts", initial="since_start")
+    assert extract_table(spark, source, spec, D1, root).rows == 16
+
+
+def test_rerun_replaces_its_date_only(spark, source, root):
+    for day in (D1, D2, D3):
+        extract_table(spark, source, DATED, day, root)
+    again = extract_table(spark, source, DATED, D2, root, end=D3)
+    assert again.rows == 4
+    assert per_date(spark, root, DATED) == {20240101: 20, 20240102: 4, 20240103: 8}
+
+
+def test_rerun_of_the_first_date_keeps_history(spark, source, root):
+    for day in (D1, D2, D1):
+        extract_table(spark, source, DATED, day, root)
+    assert per_date(spark, root, DATED) == {20240101: 20, 20240102: 12}
+
+
+def test_broken_off_first_run_is_not_history(spark, source, root):
+    result = extract_table(spark, source, DATED, D1, root)
+    (Path(result.path) / "_SUCCESS").unlink()
+    assert folder_has_files(spark, result.path)
+    assert completed_dates(spark, table_root(root, DATED), "get_data") == []
+    with pytest.raises(FileNotFoundError):
+        read_snapshots(spark, table_root(root, DATED), "get_data")
+    later = extract_table(spark, source, DATED, D2, root)
+    assert later.first_run and later.rows == 20
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_empty_extract_writes_nothing(spark, source, root, first):
+    spec = DATED if not first else TableSpec("t", last_update_column="ts", initial="since_start")
+    if not first:
+        extract_table(spark, source, spec, D1, root)
+    result = extract_table(spark, source, spec, datetime(2999, 1, 1), root)
+    assert (result.written, result.rows, result.path) == (False, 0, None)
+    assert len(completed_dates(spark, table_root(root, spec), "get_data")) == (0 if first else 1)
+
+
+def test_empty_table(spark, write_table, root):
+    source = write_table("t", spark.createDataFrame([], "id bigint, ts timestamp_ntz"))
+    for spec in (DATED, KEYED, KEYLESS):
+        assert not extract_table(spark, source, spec, D1, root).written
+
+
+def test_keyed_table_is_whole_every_time(spark, source, root):
+    results = [extract_table(spark, source, KEYED, day, root) for day in (D1, D2)]
+    assert [(r.strategy, r.layout, r.rows) for r in results] == [("stride", "sized", 20)] * 2
+    assert per_date(spark, root, KEYED) == {20240101: 20, 20240102: 20}
+
+
+@pytest.mark.parametrize("buckets", [3, 20])
+def test_keyless_table_is_bucketed_from_the_first_run_on(spark, source, root, buckets):
+    spec = TableSpec("t", primary_key="id", buckets=buckets)
+    for day in (D1, D2):
+        assert extract_table(spark, source, spec, day, root).layout == "bucketed"
+    df = read_snapshots(spark, table_root(root, spec), "get_data")
+    assert df.groupBy("get_data").count().where("count = 20").count() == 2
+    expected = source.table("t").select("id", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("b"))
+    assert df.where("get_data = 20240102").select("id", "mod_hash_id").exceptAll(expected).isEmpty()
+
+
+def test_bucket_pruning(spark, source, root, plan):
+    extract_table(spark, source, KEYLESS, D1, root)
+    text = plan(read_snapshots(spark, table_root(root, KEYLESS), "get_data").where("mod_hash_id = 1"))
+    assert "PartitionFilters: [isnotnull(mod_hash_id" in text
+
+
+def test_tables_of_equal_name_stay_apart(spark, source, root):
+    one, two = (TableSpec("t", partition_column="id", database=d) for d in ("a", "b"))
+    for spec in (one, two):
+        extract_table(spark, source, spec, D1, root)
+        assert per_date(spark, root, spec) == {20240101: 20}
+
+
+def test_columns_of_the_spec(spark, source, root):
+    spec = TableSpec("t", partition_column="id", columns=("id",))
+    extract_table(spark, source, spec, D1, root)
+    assert read_snapshots(spark, table_root(root, spec), "get_data").columns == ["id", "get_data"]
+
+
+def test_file_sizes(spark, tmp_path):
+    path = str(tmp_path / "sized")
+    assert write_snapshot(spark.range(1000), path, files=4, rows_per_file=100) == 1000
+    files = [f for f in Path(path).iterdir() if f.name.startswith("part-")]
+    sizes = [spark.read.parquet(str(f)).count() for f in files]
+    assert sum(sizes) == 1000 and max(sizes) <= 100
+
+
+def test_large_results_are_not_shuffled(spark, plan):
+    wide = spark.range(0, 1000, 1, 64)
+    assert write_tasks_enough(spark, 10_000) and not write_tasks_enough(spark, 2)
+    assert "Exchange" not in plan(sized(wide, 32)) and "Coalesce 32" in plan(sized(wide, 32))
+    assert "RoundRobinPartitioning(2)" in plan(sized(wide, 2)) or "REPARTITION_BY_NUM" in plan(sized(wide, 2))
+
+
+def test_many_tables_at_once(spark, lake, root):
+    specs = [TableSpec(t, primary_key=k) for t, k in [("region", "r_regionkey"), ("nation", "n_nationkey")]]
+    specs += [TableSpec("orders", last_update_column="o_orderdate"), TableSpec("customer", partition_column="c_custkey")]
+    results = extract_all(spark, lambda spec: lake, specs, D1, root, at_once=3)
+    assert [(r.spec.table, r.rows) for r in results] == [("region", 5), ("nation", 25), ("orders", 1500), ("customer", 150)]
+    assert extract_all(spark, lambda spec: lake, [], D1, root) == []
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, lake, root):
+    specs = [TableSpec("absent", partition_column="x"), TableSpec("nation", partition_column="n_nationkey")]
+    with pytest.raises(RuntimeError, match="absent"):
+        extract_all(spark, lambda spec: lake, specs, D1, root)
+    assert completed_dates(spark, table_root(root, specs[1]), "get_data") == ["20240101"]
+
+
+def test_latest_of_overlapping_snapshots_is_the_source(spark, source, root, write_table, rows):
+    extract_table(spark, source, DATED, D1, root)
+    changed = source.table("t").collect()
+    changed = [(r["id"], datetime(2024, 1, 9) if r["id"] in (0, 7) else r["ts"]) for r in changed]
+    newer = write_table("t", spark.createDataFrame(changed + [(99, datetime(2024, 1, 3))], "id bigint, ts timestamp_ntz"))
+    extract_table(spark, newer, DATED, D2, root)
+    extract_table(spark, newer, DATED, D3, root)
+    versions = read_snapshots(spark, table_root(root, DATED), "get_data")
+    assert versions.count() > 21
+    assert rows(latest_state(versions, ["id"], ["ts", "get_data"]), "id", "ts") == rows(newer.table("t"), "id", "ts")
+
+
+def test_folder_probe(spark, tmp_path):
+    folder = str(tmp_path / "probe")
+    assert not folder_has_files(spark, folder)
+    assert not (tmp_path / "probe").exists()
+    assert not folder_has_files(spark, folder, create=True)
+    assert (tmp_path / "probe").is_dir()
+    (tmp_path / "probe" / "x=1").mkdir()
+    assert folder_has_files(spark, folder)
+    assert completed_children(spark, folder, "x=") == []
+    (tmp_path / "probe" / "x=1" / "_SUCCESS").touch()
+    assert completed_children(spark, folder, "x=") == ["x=1"]
+
+
+def test_columns_that_come_later(spark, source, root, write_table):
+    extract_table(spark, source, KEYED, D1, root)
+    wider = write_table("t", spark.range(3).withColumn("extra", F.lit(1)))
+    extract_table(spark, wider, KEYED, D2, root)
+    df = read_snapshots(spark, table_root(root, KEYED), "get_data", merge_schema=True)
+    assert df.where("extra = 1").count() == 3 and df.where("extra is null").count() == 20
