@@ -11,6 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def jar_settings(jars: Sequence[str], packages: Sequence[str]) -> dict[str, str]:
+    """JDBC drivers and connectors as the lists Spark takes."""
+    settings = {}
+    if jars:
+        settings["spark.jars"] = ",".join(j.strip() for j in jars)
+    if packages:
+        settings["spark.jars.packages"] = ",".join(p.strip() for p in packages)
+    return settings
+
+
 def build_session(
     app: str = "sluicegate",
     *,
@@ -30,12 +40,9 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        **jar_settings(jars, packages),
+        **(conf or {}),
     }
-    if jars:
-        settings["spark.jars"] = ",".join(j.strip() for j in jars)
-    if packages:
-        settings["spark.jars.packages"] = ",".join(p.strip() for p in packages)
-    settings.update(conf or {})
     for name, value in settings.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

@@ -1,0 +1,52 @@
+import glob
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from compare import same
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"create view {name} as select * from '{path}'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_its_sql(spark, duck, name):
+    same(QUERIES[name](spark, SF_DIR), duck.execute(ORACLES[name]))
+
+
+def test_every_query_has_its_sql():
+    assert QUERIES.keys() == ORACLES.keys()
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns[-1] == "get_data" and not df.isEmpty()
+
+
+def test_pushdown_and_pruning(spark, plan):
+    text = plan(contract.incremental_read(spark, SF_DIR))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in text and "Exchange" not in text
+    text = plan(contract.filtered_count_probe(spark, SF_DIR))
+    assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in text
+    text = plan(contract.bucketed_read(spark, SF_DIR))
+    assert "ReadSchema: struct<l_orderkey:bigint>" in text and "hashpartitioning" not in text
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["incremental_read", "stride_read", "hash_bucket", "request_frame", "timeseries_flatten", "binary_value_cast", "to_json_messages"],
+)
+def test_projections_do_not_shuffle_or_leave_the_jvm(spark, plan, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "Exchange" not in text and "Python" not in text
