@@ -18,13 +18,14 @@ def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64")
 
 
 def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Each row with the number of rows that share its key; NULL for a NULL key.
+    """Each row with the number of rows that share its key; 1 for a NULL key, which equals no other.
 
-    The counts are pre-aggregated on the map side. The ``HOT_KEYS`` largest groups are joined from a
+    The counts are pre-aggregated on the map side and only those of repeated keys are joined. The ``HOT_KEYS`` largest groups are joined from a
     broadcast of that many rows at most; the other rows by a shuffle on their key. Rows settled by the
     broadcast, and rows without a key, go through that shuffle spread by a hash of the whole row.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    keyed = df.where(F.col(key).isNotNull())
+    counts = keyed.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
     hot = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(F.col("_key").alias("_hot"), F.col("_n").alias("_hot_n"))
     tagged = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     settled = F.col("_hot").isNotNull() | F.col(key).isNull()
@@ -36,7 +37,7 @@ def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
         (F.col("_place") == F.col("_key_place")) & (F.col("_cold") == F.col("_key")),
         "left",
     )
-    return joined.select(*df.columns, F.coalesce("_hot_n", "_n").alias(name))
+    return joined.select(*df.columns, F.coalesce("_hot_n", "_n", F.lit(1)).alias(name))
 
 
 def self_join_counted(
@@ -51,7 +52,7 @@ def self_join_counted(
     matched = with_group_size(df, key, copies).select(
         hash_bucket(key, buckets, method).alias(BUCKET_COLUMN),
         *df.columns,
-        F.coalesce(F.col(copies), F.lit(1)).cast("bigint").alias(copies),
+        copies,
     )
     empty = (
         df.where(F.col(key).isNull())

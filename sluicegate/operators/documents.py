@@ -85,9 +85,11 @@ def _text(path: str) -> Column:
 def user_records(documents: DataFrame, body: str = "body") -> DataFrame:
     """The first result of each document as a flat record; a document without results gives no row.
 
-    In the address a part that is null reads ``None``.
+    In the address a part that is null reads ``None``. The first result is exploded, not filtered: a
+    filter would be pushed below the projection and parse every document a second time.
     """
-    user = F.get(F.from_json(F.col(body), USER_BODY)["results"], F.lit(0))
+    parsed = documents.select(F.from_json(F.col(body), USER_BODY).alias("document"))
+    users = parsed.select(F.explode(F.slice("document.results", 1, 1)).alias("r"))
     street, place = "r.location.street", "r.location"
     address = F.concat_ws(
         ", ",
@@ -97,8 +99,7 @@ def user_records(documents: DataFrame, body: str = "body") -> DataFrame:
         _text(f"{place}.country"),
     )
     return (
-        documents.select(user.alias("r"))
-        .where(F.col("r").isNotNull())
+        users.where(F.col("r").isNotNull())
         .select(
             F.col("r.name.first").alias("first_name"),
             F.col("r.name.last").alias("last_name"),

@@ -14,7 +14,7 @@ from sluicegate.operators.buckets import with_bucket
 from sluicegate.operators.snapshot import completed_dates, write_snapshot
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import date_tag, file_count, layout, read_strategy, snapshot_path, table_root
-from sluicegate.sources.base import Source, count_rows, find_bounds
+from sluicegate.sources.base import Source, count_rows
 
 
 @dataclass(frozen=True)
@@ -56,8 +56,7 @@ def extract_table(
     if files == 0:
         return ExtractResult(spec, strategy, shape, first, False, 0, 0, None)
 
-    bounds = find_bounds(source, spec, rows if whole else None) if spec.partition_column else None
-    df = source.read(spec, bounds, since, until)
+    df = source.read(spec, source.split(spec, rows if whole else None), since, until)
     path = snapshot_path(root, spec, start)
     if shape == "bucketed" and spec.bucket_key:
         df = with_bucket(df, spec.bucket_key, spec.buckets, hash_method)

@@ -51,6 +51,10 @@ def needs_key_range(spec: TableSpec) -> bool:
     return spec.bounds == "minmax" and open_end
 
 
+def needs_row_count(spec: TableSpec) -> bool:
+    return spec.bounds == "count" and _is_word(spec.upper_bound, "max")
+
+
 def resolve_bounds(
     spec: TableSpec, total_rows: int, key_range: tuple[int | None, int | None] | None = None
 ) -> Bounds:

@@ -8,7 +8,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 
 from sluicegate.plans.spec import TableSpec
-from sluicegate.plans.strategy import Bounds, needs_key_range, resolve_bounds
+from sluicegate.plans.strategy import Bounds, needs_key_range, needs_row_count, resolve_bounds
 
 
 class Source(Protocol):
@@ -20,6 +20,9 @@ class Source(Protocol):
     def key_range_frame(self, spec: TableSpec) -> DataFrame:
         """One row, ``lo`` and ``hi`` of the split column."""
 
+    def split(self, spec: TableSpec, total_rows: int | None = None) -> Bounds | None:
+        """The bounds a read by the split column needs, or None where the source splits by itself."""
+
     def read(
         self,
         spec: TableSpec,
@@ -41,4 +44,6 @@ def find_bounds(source: Source, spec: TableSpec, total_rows: int | None = None)
     if needs_key_range(spec):
         lo, hi = source.key_range_frame(spec).first()
         return resolve_bounds(spec, 0, (lo, hi))
-    return resolve_bounds(spec, count_rows(source, spec) if total_rows is None else total_rows)
+    if needs_row_count(spec) and total_rows is None:
+        total_rows = count_rows(source, spec)
+    return resolve_bounds(spec, total_rows or 0)

@@ -14,6 +14,7 @@ from sluicegate.plans.strategy import (
     interval_sql,
     read_strategy,
 )
+from sluicegate.sources.base import find_bounds
 
 
 def url_dialect(url: str) -> str:
@@ -95,6 +96,9 @@ class JdbcSource:
     def key_range_frame(self, spec: TableSpec) -> DataFrame:
         return self._load(query=self.key_range_query(spec))
 
+    def split(self, spec: TableSpec, total_rows: int | None = None) -> Bounds | None:
+        return find_bounds(self, spec, total_rows) if spec.partition_column else None
+
     def read(
         self,
         spec: TableSpec,
@@ -102,19 +106,21 @@ class JdbcSource:
         since: datetime | None = None,
         until: datetime | None = None,
     ) -> DataFrame:
-        """Strides when the table has a split column, dated or not; else buckets; else one connection.
+        """By strides of the split column, dated or not; else by hash of a key; else in one piece.
 
-        A dated table without a split column is one connection, as no column is known to split it by.
+        A keyless table is hashed into ``num_partitions`` pieces, or as many as it has buckets. A dated
+        table without a split column is hashed when its spec names a key and ``num_partitions``.
         """
         table = self.table_text(spec, since, until)
         if spec.partition_column and bounds and bounds.strides > 1:
             return self._load(dbtable=table, **self.stride_options(spec, bounds))
-        if read_strategy(spec) == "bucket" and spec.bucket_key:
+        pieces = spec.num_partitions or (spec.buckets if read_strategy(spec) == "bucket" else 1)
+        if spec.bucket_key and not spec.partition_column and pieces > 1:
             options = self.base_options()
             return self.spark.read.jdbc(
                 options.pop("url"),
                 table,
-                predicates=bucket_predicates(spec.bucket_key, spec.buckets, self.dialect),
+                predicates=bucket_predicates(spec.bucket_key, pieces, self.dialect),
                 properties=options,
             )
         return self._load(dbtable=table)

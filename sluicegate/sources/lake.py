@@ -13,7 +13,7 @@ from sluicegate.plans.strategy import Bounds
 
 
 class LakeSource:
-    """Spark splits Parquet by bytes, so bounds and buckets do not change how the files are read."""
+    """Spark splits Parquet by bytes: there are no bounds to ask for, and buckets change nothing."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
@@ -39,6 +39,9 @@ class LakeSource:
         key = spec.partition_column
         return self.table(spec.table).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
 
+    def split(self, spec: TableSpec, total_rows: int | None = None) -> Bounds | None:
+        return None
+
     def read(
         self,
         spec: TableSpec,

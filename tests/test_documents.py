@@ -67,7 +67,8 @@ def test_moment_does_not_depend_on_the_session_zone(spark):
 def test_no_python_and_no_shuffle_in_the_plans(spark, plan):
     for df in (flatten_quotes(bodies(spark, response({}))), user_records(bodies(spark, "{}"))):
         text = plan(df)
-        assert "Python" not in text.replace("ExistingRDD", "") and "Exchange" not in text
+        assert "Python" not in text and "Exchange" not in text
+        assert text.count("from_json") == 1
 
 
 USER = {

@@ -68,6 +68,21 @@ def test_key_range(spark, views, source):
     assert tuple(spark.sql(source.key_range_query(ORDERS)).first()) == (0, 1499)
 
 
+def test_bounds_are_asked_for_only_where_needed(spark, views, source, monkeypatch):
+    asked = []
+    monkeypatch.setattr(source, "_load", lambda query: asked.append(query) or spark.sql(query))
+    fields = {"partition_column": "o_orderkey"}
+    assert source.split(TableSpec("orders")) is None
+    assert source.split(TableSpec("orders", lower_bound=5, upper_bound=9, **fields)) == Bounds(5, 9, 1)
+    assert source.split(TableSpec("orders", bounds="count", **fields), 30_000) == Bounds(0, 30_000, 3)
+    assert source.split(TableSpec("orders", rows_per_partition=500, **fields), 30_000) == Bounds(0, 1500, 3)
+    assert source.split(TableSpec("orders", bounds="count", **fields)) == Bounds(0, 1500, 1)
+    assert asked == [
+        "select min(o_orderkey) as lo, max(o_orderkey) as hi from orders",
+        "select count(*) as n from orders",
+    ]
+
+
 class Recorder:
     """Stands where ``spark.read`` is and keeps what it was asked."""
 
@@ -121,6 +136,21 @@ class Recorder:
             None,
             {"dbtable": "t", "predicates": bucket_predicates("id", 3, "postgresql")},
         ),
+        (
+            TableSpec("t", primary_key="id", num_partitions=5),
+            None,
+            None,
+            {"dbtable": "t", "predicates": bucket_predicates("id", 5, "postgresql")},
+        ),
+        (
+            TableSpec("t", last_update_column="ts", primary_key="id", num_partitions=2),
+            None,
+            SINCE,
+            {
+                "dbtable": "(select * from t where ts >= timestamp '1998-01-01 00:00:00') src",
+                "predicates": bucket_predicates("id", 2, "postgresql"),
+            },
+        ),
         (TableSpec("t"), None, None, {"dbtable": "t"}),
     ],
 )
@@ -130,8 +160,8 @@ def test_each_strategy_asks_for_its_read(source, spec, bounds, since, expected):
     (call,) = recorder.calls
     assert expected.items() <= call.items()
     assert call["url"] == "jdbc:postgresql://h:5432/shop" and call["password"] == "s3cret"
-    if "numPartitions" not in expected:
-        assert "numPartitions" not in call
+    for absent in {"numPartitions", "predicates"} - expected.keys():
+        assert absent not in call
     assert "query" not in call
 
 
