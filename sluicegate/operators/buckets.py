@@ -20,24 +20,18 @@ def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64")
 def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     """Each row with the number of rows that share its key; 1 for a NULL key, which equals no other.
 
-    The counts are pre-aggregated on the map side and only those of repeated keys are joined. The ``HOT_KEYS`` largest groups are joined from a
-    broadcast of that many rows at most; the other rows by a shuffle on their key. Rows settled by the
-    broadcast, and rows without a key, go through that shuffle spread by a hash of the whole row.
+    The counts are pre-aggregated on the map side. The ``HOT_KEYS`` largest groups are joined from a
+    broadcast of that many rows at most, and their rows are not shuffled, nor are those without a key;
+    the other rows meet the counts of the remaining repeated keys in a shuffle on the key.
     """
     keyed = df.where(F.col(key).isNotNull())
     counts = keyed.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    hot = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(F.col("_key").alias("_hot"), F.col("_n").alias("_hot_n"))
-    tagged = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
-    tagged = tagged.withColumn("_cold", F.when(~settled, F.col(key))).withColumn(
-        "_place", F.when(settled, F.xxhash64(*df.columns)).otherwise(F.xxhash64(key))
-    )
-    joined = tagged.join(
-        counts.withColumn("_key_place", F.xxhash64("_key")),
-        (F.col("_place") == F.col("_key_place")) & (F.col("_cold") == F.col("_key")),
-        "left",
-    )
-    return joined.select(*df.columns, F.coalesce("_hot_n", "_n", F.lit(1)).alias(name))
+    hot = F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS))
+    settled = df.join(hot, F.col(key) == F.col("_key"), "left").where(F.col("_key").isNotNull() | F.col(key).isNull())
+    cold = keyed.join(hot, F.col(key) == F.col("_key"), "left_anti")
+    cold = cold.join(counts, F.col(key) == F.col("_key"), "left")
+    size = F.coalesce("_n", F.lit(1)).alias(name)
+    return settled.select(*df.columns, size).unionByName(cold.select(*df.columns, size))
 
 
 def self_join_counted(

@@ -42,23 +42,25 @@ def extract_table(
 
     A run is the first one while no earlier date is complete: it takes the whole table, unless the
     spec says ``since_start``. So a rerun of the first date takes the whole table again, and a date
-    that broke off is not mistaken for history. One count decides emptiness and file count; an empty
-    extract writes nothing.
+    that broke off is not mistaken for history. With an ``end`` the intervals of successive runs are
+    disjoint, the first one reaching back without limit. One count decides emptiness and file count;
+    an empty extract writes nothing.
     """
     strategy, shape = read_strategy(spec), layout(spec)
     earlier = [d for d in completed_dates(spark, table_root(root, spec), spec.job) if d < date_tag(start)]
     first = not earlier
     whole = strategy != "incremental" or (first and spec.initial == "all")
-    since, until = (None, None) if whole else (start, end)
+    since = None if whole else start
+    until = end if strategy == "incremental" else None
 
     rows = count_rows(source, spec, since, until)
     files = file_count(rows, spec.rows_per_file)
     if files == 0:
         return ExtractResult(spec, strategy, shape, first, False, 0, 0, None)
 
-    df = source.read(spec, source.split(spec, rows if whole else None), since, until)
+    df = source.read(spec, source.split(spec, rows if since is None and until is None else None), since, until)
     path = snapshot_path(root, spec, start)
-    if shape == "bucketed" and spec.bucket_key:
+    if shape == "bucketed":
         df = with_bucket(df, spec.bucket_key, spec.buckets, hash_method)
         written = write_snapshot(df, path, files, spec.rows_per_file, spec.buckets)
     else:

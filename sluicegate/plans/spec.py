@@ -9,6 +9,7 @@ from dataclasses import dataclass, field, fields
 from typing import Any
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*)*")
+FOLDER = re.compile(r"\w[\w.-]*")
 
 # The names a table entry uses in the YAML file, and the field each one sets.
 TABLE_KEYS = {
@@ -69,6 +70,11 @@ class TableSpec:
         names += [n for n in (self.partition_column, self.last_update_column, self.bucket_column) if n]
         for name in names:
             check_identifier(name)
+        for name in (self.source, self.database):
+            if not FOLDER.fullmatch(name):
+                raise ValueError(f"not usable as a folder name: {name!r}")
+        if self.columns and self.split_key and self.split_key not in self.columns:
+            raise ValueError(f"{self.table}: the reading is split by {self.split_key}, so columns must hold it")
         if self.initial not in ("all", "since_start"):
             raise ValueError(f"initial must be 'all' or 'since_start', not {self.initial!r}")
         if self.bounds not in ("minmax", "count"):
@@ -84,6 +90,13 @@ class TableSpec:
             return self.bucket_column
         return self.primary_key[0] if self.primary_key else None
 
+    @property
+    def split_key(self) -> str | None:
+        """The column a parallel read goes by, if there is one."""
+        if self.partition_column:
+            return self.partition_column
+        return None if self.last_update_column and not self.num_partitions else self.bucket_key
+
 
 @dataclass(frozen=True)
 class Connection:

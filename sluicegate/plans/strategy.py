@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from sluicegate.plans.spec import TableSpec, check_identifier
 
@@ -19,8 +19,8 @@ def read_strategy(spec: TableSpec) -> str:
 
 
 def layout(spec: TableSpec) -> str:
-    """Only the bucket read has a bucket to lay its directories out by."""
-    return "bucketed" if read_strategy(spec) == "bucket" else "sized"
+    """Only the bucket read has a bucket to lay its directories out by, given a key to hash."""
+    return "bucketed" if read_strategy(spec) == "bucket" and spec.bucket_key else "sized"
 
 
 def file_count(rows: int, rows_per_file: int = 1_000_000) -> int:
@@ -102,10 +102,17 @@ def bucket_predicates(key: str, buckets: int, dialect: str = "integer") -> list[
     return predicates
 
 
+def utc(moment: datetime) -> datetime:
+    """A moment with a zone as the UTC time it stands for, without one as it is."""
+    if moment.tzinfo is None:
+        return moment
+    return moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def timestamp_text(moment: datetime | date) -> str:
     """The text of a moment; only date objects get this far, never strings from outside."""
     if isinstance(moment, datetime):
-        return moment.replace(tzinfo=None).isoformat(sep=" ")
+        return utc(moment).isoformat(sep=" ")
     return f"{moment.isoformat()} 00:00:00"
 
 
@@ -121,7 +128,7 @@ def interval_sql(column: str, since: datetime | None, until: datetime | None) ->
 
 
 def date_tag(day: date | datetime) -> str:
-    return day.strftime("%Y%m%d")
+    return (utc(day) if isinstance(day, datetime) else day).strftime("%Y%m%d")
 
 
 def table_root(root: str, spec: TableSpec) -> str:

@@ -115,12 +115,12 @@ class JdbcSource:
         if spec.partition_column and bounds and bounds.strides > 1:
             return self._load(dbtable=table, **self.stride_options(spec, bounds))
         pieces = spec.num_partitions or (spec.buckets if read_strategy(spec) == "bucket" else 1)
-        if spec.bucket_key and not spec.partition_column and pieces > 1:
+        if spec.split_key and not spec.partition_column and pieces > 1:
             options = self.base_options()
             return self.spark.read.jdbc(
                 options.pop("url"),
                 table,
-                predicates=bucket_predicates(spec.bucket_key, pieces, self.dialect),
+                predicates=bucket_predicates(spec.split_key, pieces, self.dialect),
                 properties=options,
             )
         return self._load(dbtable=table)

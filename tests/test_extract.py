@@ -111,6 +111,26 @@ def test_keyless_table_is_bucketed_from_the_first_run_on(spark, source, root, bu
     assert df.where("get_data = 20240102").select("id", "mod_hash_id").exceptAll(expected).isEmpty()
 
 
+def test_keyless_table_without_any_key(spark, source, root):
+    spec = TableSpec("t")
+    result = extract_table(spark, source, spec, D1, root)
+    assert (result.layout, result.rows) == ("sized", 20)
+
+
+def test_rows_without_a_key_are_kept(spark, write_table, root):
+    source = write_table("t", spark.createDataFrame([("a",), (None,), (None,)], "id string"))
+    extract_table(spark, source, KEYLESS, D1, root)
+    df = read_snapshots(spark, table_root(root, KEYLESS), "get_data")
+    assert df.count() == 3 and df.where("id is null and mod_hash_id is null").count() == 2
+
+
+def test_runs_with_an_end_do_not_overlap(spark, source, root):
+    for start, end in ((D1, D2), (D2, D3), (D3, datetime(2030, 1, 1))):
+        extract_table(spark, source, DATED, start, root, end=end)
+    assert per_date(spark, root, DATED) == {20240101: 8, 20240102: 4, 20240103: 8}
+    assert read_snapshots(spark, table_root(root, DATED), "get_data").select("id").distinct().count() == 20
+
+
 def test_bucket_pruning(spark, source, root, plan):
     extract_table(spark, source, KEYLESS, D1, root)
     text = plan(read_snapshots(spark, table_root(root, KEYLESS), "get_data").where("mod_hash_id = 1"))

@@ -61,6 +61,8 @@ def test_no_tables():
         {"table_name": "t", "bounds": "guess"},
         {"table_name": "t", "initial": "some"},
         {"table_name": "t", "buckets": 0},
+        {"table_name": "t", "partitionColumn": "id", "columns": ["a"]},
+        {"table_name": "t", "primaryKey_col": "id", "columns": ["a"]},
     ],
 )
 def test_bad_entries_are_refused(entry):
@@ -68,6 +70,22 @@ def test_bad_entries_are_refused(entry):
         table_spec(entry)
 
 
+@pytest.mark.parametrize("name", ["", "..", "a/b", "a*", "{x}"])
+def test_folder_names(name):
+    with pytest.raises(ValueError):
+        TableSpec("t", source=name)
+    with pytest.raises(ValueError):
+        TableSpec("t", database=name)
+
+
+def test_split_key():
+    assert TableSpec("t", primary_key="id").split_key == "id"
+    assert TableSpec("t", primary_key="id", partition_column="n").split_key == "n"
+    assert TableSpec("t", primary_key="id", last_update_column="ts").split_key is None
+    assert TableSpec("t", primary_key="id", last_update_column="ts", num_partitions=4).split_key == "id"
+    assert TableSpec("t").split_key is None
+
+
 def test_schema_qualified_names_are_allowed():
     assert TableSpec("public.uuiddata").table == "public.uuiddata"
 

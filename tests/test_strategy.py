@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -117,3 +117,13 @@ def test_paths_hold_source_and_database():
     assert one == "hdfs://h/lake/pg/a/t/get_data=20240901"
     assert two == "hdfs://h/lake/pg/b/t/get_data=20240901"
     assert date_tag(date(2024, 1, 31)) == "20240131"
+
+
+def test_moments_with_a_zone_are_taken_as_utc():
+    hanoi = datetime(2024, 9, 1, 3, tzinfo=timezone(timedelta(hours=7)))
+    assert date_tag(hanoi) == "20240831"
+    assert interval_sql("ts", hanoi, None) == "ts >= timestamp '2024-08-31 20:00:00'"
+
+
+def test_no_key_no_buckets():
+    assert (read_strategy(TableSpec("t")), layout(TableSpec("t"))) == ("bucket", "sized")
