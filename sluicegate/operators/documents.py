@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.functions.columns import utc_second
+from sluicegate.functions.parsing import parse_once
 from sluicegate.session import land
 
 # Prices as DOUBLE and volumes as BIGINT: narrower types would round the first and lose the second.
@@ -67,7 +68,7 @@ def flatten_quotes(bodies: DataFrame, body: str = "body") -> DataFrame:
 
     A missing volume is NULL, as is a timestamp that does not read as one.
     """
-    parsed = bodies.select(F.from_json(F.col(body), QUOTE_BODY).alias("response"))
+    parsed = bodies.select(parse_once(F.col(body), QUOTE_BODY).alias("response"))
     entries = parsed.select(
         F.col("response.data.symbol").alias("symbol"),
         F.col("response.data.type").alias("type"),
@@ -85,11 +86,10 @@ def _text(path: str) -> Column:
 def user_records(documents: DataFrame, body: str = "body") -> DataFrame:
     """The first result of each document as a flat record; a document without results gives no row.
 
-    In the address a part that is null reads ``None``. The first result is exploded, not filtered: a
-    filter would be pushed below the projection and parse every document a second time.
+    In the address a part that is null reads ``None``.
     """
-    parsed = documents.select(F.from_json(F.col(body), USER_BODY).alias("document"))
-    users = parsed.select(F.explode(F.slice("document.results", 1, 1)).alias("r"))
+    parsed = documents.select(parse_once(F.col(body), USER_BODY).alias("document"))
+    users = parsed.select(F.get("document.results", F.lit(0)).alias("r"))
     street, place = "r.location.street", "r.location"
     address = F.concat_ws(
         ", ",

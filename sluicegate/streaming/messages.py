@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicegate.functions.parsing import parse_once
+
 # The fields of a user message, all text.
 USER_FIELDS = (
     "id",
@@ -50,7 +52,7 @@ def message_text(messages: DataFrame) -> DataFrame:
 
 def decode_messages(messages: DataFrame, schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
     """The fields of each message as columns; a message that does not parse gives NULLs."""
-    parsed = F.from_json(F.col("value").cast("string"), schema, TIME_FORMATS)
+    parsed = parse_once(F.col("value").cast("string"), schema, TIME_FORMATS)
     return messages.select(parsed.alias("data"), *carry).select("data.*", *carry)
 
 
@@ -65,7 +67,7 @@ def split_messages(
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.col("value").cast("string")
     parsed = messages.select(
-        F.from_json(text, marked, {"columnNameOfCorruptRecord": CORRUPT, **TIME_FORMATS}).alias("data"),
+        parse_once(text, marked, {"columnNameOfCorruptRecord": CORRUPT, **TIME_FORMATS}).alias("data"),
         text.alias("_text"),
         *carry,
     )

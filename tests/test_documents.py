@@ -65,7 +65,9 @@ def test_moment_does_not_depend_on_the_session_zone(spark):
 
 
 def test_no_python_and_no_shuffle_in_the_plans(spark, plan):
-    for df in (flatten_quotes(bodies(spark, response({}))), user_records(bodies(spark, "{}"))):
+    quotes, users = flatten_quotes(bodies(spark, response({}))), user_records(bodies(spark, "{}"))
+    filtered = quotes.where("symbol = 'A' and price > 1 and type is not null")
+    for df in (quotes, users, filtered, users.where("gender = 'x' and address like '1%'")):
         text = plan(df)
         assert "Python" not in text and "Exchange" not in text
         assert text.count("from_json") == 1

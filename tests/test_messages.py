@@ -80,6 +80,15 @@ def test_split(spark, text, status):
     assert row["rejected_text"] == (text if status == "rejected" else None)
 
 
+def test_each_message_is_parsed_once(spark, plan):
+    schema = spark.createDataFrame([], "id string, n int").schema
+    messages = values(spark, "{}")
+    split = split_messages(messages, schema, required=["id"])
+    decoded = decode_messages(messages, schema)
+    for df in (split, split.where("status = 'accepted' and n > 3"), decoded.where("id = 'a' and n > 3")):
+        assert plan(df).count("from_json") == 1
+
+
 def test_split_loses_nothing_and_carries(spark):
     schema = spark.createDataFrame([], "id string").schema
     df = values(spark, '{"id":"a"}', "{", '{"id":"b"}').selectExpr("value", "1 as offset")
