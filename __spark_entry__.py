@@ -47,6 +47,7 @@ EVENT_DAYS = [datetime(2024, 1, d) for d in (1, 2, 3)]
 SNAPSHOT_DAY = datetime(2024, 9, 1)
 ENDPOINT, PERIOD = "https://example.invalid/q", "MAX"
 ONCE = {"availableNow": True}
+FILES_PER_BATCH = 1000
 
 ORDERS = TableSpec("orders", last_update_column="o_orderdate", primary_key="o_orderkey", partition_column="o_orderkey")
 EVENTS = TableSpec("events", last_update_column="ts", primary_key="event_id")
@@ -266,7 +267,7 @@ def _quote_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a response of two quotes: its own, and one a day later that has no volume."""
 
     def second(moment):
-        return F.date_trunc("second", moment).cast("timestamp_ntz").cast("string")
+        return F.regexp_replace(moment.cast("string"), r"\.\d+$", "")
 
     def quote(price, volume):
         return F.struct(
@@ -380,7 +381,7 @@ def _finish(query) -> None:
 
 def json_parse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "parsed")
-    customers = LakeSource(spark, sf_dir).stream("customer")
+    customers = LakeSource(spark, sf_dir).stream("customer", FILES_PER_BATCH)
     parsed = decode_messages(encode_messages(customers, key="c_custkey"), customers.schema)
     _finish(append_stream(parsed, f"{path}/rows", f"{path}/checkpoint", ONCE))
     return spark.read.parquet(f"{path}/rows")
@@ -389,7 +390,7 @@ def json_parse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def malformed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The message of a customer in debt breaks off before its closing brace.
     path = new_work_dir(spark, "split")
-    customers = LakeSource(spark, sf_dir).stream("customer")
+    customers = LakeSource(spark, sf_dir).stream("customer", FILES_PER_BATCH)
     messages = encode_messages(customers, carry=["c_acctbal"]).select(
         F.when(F.col("c_acctbal") < 0, F.encode(F.rtrim(F.col("value").cast("string"), F.lit("}")), "UTF-8"))
         .otherwise(F.col("value"))
@@ -403,14 +404,14 @@ def malformed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "append")
     for _ in range(2):
-        orders = LakeSource(spark, sf_dir).stream("orders")
+        orders = LakeSource(spark, sf_dir).stream("orders", FILES_PER_BATCH)
         _finish(append_stream(orders, f"{path}/rows", f"{path}/checkpoint", ONCE))
     return spark.read.parquet(f"{path}/rows")
 
 
 def _upsert_events(spark: SparkSession, sf_dir: str) -> tuple[str, list[str], list[str]]:
     path, keys, order = new_work_dir(spark, "keyed"), ["user_id"], ["timestamp", "offset"]
-    events = LakeSource(spark, sf_dir).stream("events")
+    events = LakeSource(spark, sf_dir).stream("events", FILES_PER_BATCH)
     messages = encode_messages(events, key="user_id", carry=["ts", "event_id"])
     messages = messages.withColumnsRenamed({"ts": "timestamp", "event_id": "offset"})
     decoded = decode_messages(messages, events.schema, carry=order)

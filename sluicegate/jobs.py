@@ -10,7 +10,6 @@ from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records
@@ -82,17 +81,19 @@ def send_users(documents: DataFrame, path: str, servers: str, topic: str = "user
     send_batch(user_messages(documents, path), servers, topic)
 
 
-def accepted_users(messages: DataFrame) -> DataFrame:
-    """Users whose message parses and has an id, with the place of the message in its topic."""
-    split = split_messages(messages, USER_MESSAGE, required=["id"], carry=KAFKA_ORDER)
-    return split.where(F.col("status") == "accepted").drop("status", "rejected_text")
+def decoded_users(messages: DataFrame) -> DataFrame:
+    """User messages decoded; one that does not parse or has no id is marked as rejected."""
+    return split_messages(messages, USER_MESSAGE, required=["id"], carry=KAFKA_ORDER)
 
 
 def take_users(
     spark: SparkSession, servers: str, path: str, checkpoint: str, topic: str = "users_created", **settings
 ) -> StreamingQuery:
-    """Keep the last message per user id below ``path``; read it with ``current_state``."""
-    users = accepted_users(read_topic(spark, servers, topic, **settings))
+    """Keep the last message per user id below ``path``; read it with ``current_state``.
+
+    Rejected messages are kept beside it; read them with ``rejected_messages``.
+    """
+    users = decoded_users(read_topic(spark, servers, topic, **settings))
     return keyed_upsert_stream(users, path, checkpoint, ["id"], KAFKA_ORDER)
 
 

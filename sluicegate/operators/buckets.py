@@ -40,8 +40,9 @@ def self_join_counted(
     """``select bucket(u1.key), u2.* from t u1 full join t u2 on u1.key = u2.key`` with a multiplicity.
 
     The join gives each row of a k-fold key k times, each NULL-keyed row once with a NULL bucket, and
-    once more as a row of NULLs. Here every distinct result row comes once with its ``copies``, so the
-    result stays as large as the table while the join would grow with the square of k.
+    once more as a row of NULLs. Here each row of the table comes once with its ``copies``, and the rows
+    of NULLs as one, so the result is as large as the table while the join grows with the square of k.
+    With unique keys, which is what the join is meant for, every ``copies`` is 1.
     """
     matched = with_group_size(df, key, copies).select(
         hash_bucket(key, buckets, method).alias(BUCKET_COLUMN),

@@ -64,7 +64,8 @@ def extract_table(
         df = with_bucket(df, spec.bucket_key, spec.buckets, hash_method)
         written = write_snapshot(df, path, files, spec.rows_per_file, spec.buckets)
     else:
-        written = write_snapshot(df, path, files, spec.rows_per_file)
+        filtered = since is not None or until is not None
+        written = write_snapshot(df, path, files, spec.rows_per_file, filtered=filtered)
     return ExtractResult(spec, strategy, shape, first, True, written, files, path)
 
 

@@ -14,26 +14,29 @@ from sluicegate.sources.storage import completed_children
 FEW_BUCKETS = 8
 
 
-def write_tasks_enough(spark: SparkSession, files: int) -> bool:
-    """Would that many tasks still keep the cluster busy?"""
-    cores = spark.sparkContext.defaultParallelism
-    return files >= max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def sized(df: DataFrame, files: int) -> DataFrame:
+def sized(df: DataFrame, files: int, filtered: bool = False) -> DataFrame:
     """About ``files`` output files.
 
-    A large result is coalesced, which moves no rows: the scan keeps at least as many tasks as the
-    cluster has cores. A smaller one, such as a day out of a long history, is shuffled, so that the
-    scan behind it runs on all cores and only the few rows found are moved.
+    When that many tasks keep all cores busy the result is coalesced, which moves no rows: a task then
+    reads about what it writes. A smaller result is shuffled instead, and the scan behind it keeps its
+    own width. A ``filtered`` frame, such as a day out of a long history, reads far more than it
+    writes, so it has to be larger before its scan is narrowed: under dynamic allocation the cores
+    known at the start may be few.
     """
-    if write_tasks_enough(df.sparkSession, files):
-        return df.coalesce(files)
-    return df.repartition(max(1, files))
+    spark = df.sparkSession
+    enough = spark.sparkContext.defaultParallelism
+    if filtered:
+        enough = max(enough, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.coalesce(files) if files >= enough else df.repartition(max(1, files))
 
 
 def write_snapshot(
-    df: DataFrame, path: str, files: int, rows_per_file: int = 1_000_000, buckets: int | None = None
+    df: DataFrame,
+    path: str,
+    files: int,
+    rows_per_file: int = 1_000_000,
+    buckets: int | None = None,
+    filtered: bool = False,
 ) -> int:
     """Replace the snapshot at ``path``; returns the rows written, measured during the write.
 
@@ -43,7 +46,7 @@ def write_snapshot(
     written = Observation()
     df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if buckets is None or buckets <= FEW_BUCKETS:
-        df = sized(df, files)
+        df = sized(df, files, filtered)
     else:
         df = df.hint("rebalance", F.col(BUCKET_COLUMN))
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 Fetcher = Callable[[Mapping[str, str]], str]
 
+HELD = 64
 REQUEST_COLUMNS = ("endpoint", "symbol", "period")
 
 
@@ -30,11 +31,12 @@ def fetch_bodies(
     """Add ``body`` and ``error`` to each request; one failed request does not fail the job.
 
     ``tasks`` spreads the requests first; within a task up to ``concurrency`` of them wait on the
-    network together. Land the result before using it twice, or every use fetches again.
+    network together, and a task holds the answers of ``HELD`` requests at most. Land the result before
+    using it twice, or every use fetches again.
     """
     if tasks:
         requests = requests.repartition(tasks)
-    names = requests.columns
+    names, held = requests.columns, HELD
 
     def run(batches):
         from concurrent.futures import ThreadPoolExecutor
@@ -47,8 +49,10 @@ def fetch_bodies(
 
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                answers = list(pool.map(call, batch[names].to_dict("records")))
-                yield batch.assign(body=[a[0] for a in answers], error=[a[1] for a in answers])
+                for at in range(0, len(batch), held):
+                    part = batch.iloc[at : at + held]
+                    answers = list(pool.map(call, part[names].to_dict("records")))
+                    yield part.assign(body=[a[0] for a in answers], error=[a[1] for a in answers])
 
     answer = [T.StructField("body", T.StringType()), T.StructField("error", T.StringType())]
     return requests.mapInPandas(run, T.StructType([*requests.schema.fields, *answer]))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.operators.latest import latest_state
@@ -46,6 +47,10 @@ def _base(path: str) -> str:
     return f"{path}/base"
 
 
+def _rejected(path: str) -> str:
+    return f"{path}/rejected"
+
+
 def _number(name: str) -> int:
     return int(name.split("=", 1)[1])
 
@@ -61,11 +66,24 @@ def keyed_upsert_stream(
     """Keep the last write per key, without a table format.
 
     Each micro-batch is reduced to one row per key and written as ``log/batch_id=N``. The write
-    replaces that folder, so a batch replayed after a failure replaces itself.
+    replaces that folder, so a batch replayed after a failure replaces itself. Of messages that went
+    through ``split_messages`` the rejected ones are written whole to ``rejected/batch_id=N``.
     """
+    split = {"status", "rejected_text"} <= set(stream.columns)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_state(batch, keys, order).write.mode("overwrite").parquet(f"{_log(path)}/batch_id={batch_id:012d}")
+        folder = f"batch_id={batch_id:012d}"
+        if not split:
+            latest_state(batch, keys, order).write.mode("overwrite").parquet(f"{_log(path)}/{folder}")
+            return
+        batch.persist()
+        try:
+            accepted = batch.where(F.col("status") == "accepted").drop("status", "rejected_text")
+            latest_state(accepted, keys, order).write.mode("overwrite").parquet(f"{_log(path)}/{folder}")
+            rejected = batch.where(F.col("status") == "rejected").drop("status")
+            rejected.write.mode("overwrite").parquet(f"{_rejected(path)}/{folder}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if trigger:
@@ -93,6 +111,14 @@ def current_state(spark: SparkSession, path: str, keys: Sequence[str], order: Se
     return latest_state(spark.read.parquet(*folders), keys, order)
 
 
+def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Every rejected message so far, with the text it came as."""
+    batches = completed_children(spark, _rejected(path), "batch_id=")
+    if not batches:
+        raise FileNotFoundError(f"no completed batch below {_rejected(path)}")
+    return spark.read.parquet(*(f"{_rejected(path)}/{b}" for b in batches))
+
+
 def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> str:
     """Fold the batches so far into a new base, ``base/upto=N``; returns its path.
 

@@ -11,7 +11,6 @@ from sluicegate.operators.snapshot import (
     read_snapshots,
     sized,
     write_snapshot,
-    write_tasks_enough,
 )
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import table_root
@@ -160,9 +159,15 @@ def test_file_sizes(spark, tmp_path):
 
 def test_large_results_are_not_shuffled(spark, plan):
     wide = spark.range(0, 1000, 1, 64)
-    assert write_tasks_enough(spark, 10_000) and not write_tasks_enough(spark, 2)
     assert "Exchange" not in plan(sized(wide, 32)) and "Coalesce 32" in plan(sized(wide, 32))
-    assert "RoundRobinPartitioning(2)" in plan(sized(wide, 2)) or "REPARTITION_BY_NUM" in plan(sized(wide, 2))
+    assert "RoundRobinPartitioning(2)" in plan(sized(wide, 2))
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        assert "Coalesce 32" in plan(sized(wide, 32))
+        assert "RoundRobinPartitioning(32)" in plan(sized(wide, 32, filtered=True))
+        assert "Coalesce 40" in plan(sized(wide, 40, filtered=True))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
 def test_many_tables_at_once(spark, lake, root):

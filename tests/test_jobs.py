@@ -10,7 +10,7 @@ from sluicegate.operators.snapshot import read_snapshots
 from sluicegate.plans.spec import Connection, TableSpec
 from sluicegate.plans.strategy import table_root
 from sluicegate.streaming.messages import USER_FIELDS
-from sluicegate.streaming.stream import current_state, keyed_upsert_stream
+from sluicegate.streaming.stream import current_state, keyed_upsert_stream, rejected_messages
 
 DAY = datetime(2024, 9, 1)
 
@@ -75,11 +75,12 @@ def test_users_from_documents_to_keyed_state(spark, tmp_path, rows):
     stream = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "topic"))
     state = str(tmp_path / "state")
     keyed_upsert_stream(
-        jobs.accepted_users(stream), state, str(tmp_path / "c"), ["id"], jobs.KAFKA_ORDER, {"availableNow": True}
+        jobs.decoded_users(stream), state, str(tmp_path / "c"), ["id"], jobs.KAFKA_ORDER, {"availableNow": True}
     ).awaitTermination()
     found = current_state(spark, state, ["id"], jobs.KAFKA_ORDER)
     assert found.columns == [*USER_FIELDS, *jobs.KAFKA_ORDER]
     assert rows(found, "first_name") == rows(user_records(documents), "first_name")
+    assert rows(rejected_messages(spark, state), "rejected_text", "offset") == [("{bad", 10**12)] * 2
 
 
 def test_command_line_wants_its_arguments(capsys):
