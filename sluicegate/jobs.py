@@ -122,7 +122,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session(f"sluicegate-{asked.job}")
     if asked.job == "extract":
         for r in extract_tables(spark, asked.tables, asked.env, asked.start, asked.end):
-            print(f"{r.spec.source}.{r.spec.database}.{r.spec.table}: {r.strategy}, {r.rows} rows, {r.path or 'nothing written'}")
+            name = f"{r.spec.source}.{r.spec.database}.{r.spec.table}"
+            print(f"{name}: {r.strategy}, {r.rows} rows, {r.path or 'nothing written'}")
     elif asked.job == "quotes":
         with open(asked.config, encoding="utf-8") as f:
             config = read_yaml(f.read())

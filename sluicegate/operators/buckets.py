@@ -20,12 +20,15 @@ def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64")
 def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     """Each row with the number of rows that share its key; 1 for a NULL key, which equals no other.
 
-    The counts are pre-aggregated on the map side. The ``HOT_KEYS`` largest groups are joined from a
-    broadcast of that many rows at most, and their rows are not shuffled, nor are those without a key;
-    the other rows meet the counts of the remaining repeated keys in a shuffle on the key.
+    A first job counts over the key column alone and stops at a repeated key; where there is none, no
+    row is shuffled. Otherwise the ``HOT_KEYS`` largest groups are joined from a broadcast of that many
+    rows at most, and their rows are not shuffled, nor are those without a key; the other rows meet the
+    counts of the remaining repeated keys in a shuffle on the key.
     """
     keyed = df.where(F.col(key).isNotNull())
     counts = keyed.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
+    if counts.isEmpty():
+        return df.withColumn(name, F.lit(1).cast("bigint"))
     hot = F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS))
     settled = df.join(hot, F.col(key) == F.col("_key"), "left").where(F.col("_key").isNotNull() | F.col(key).isNull())
     cold = keyed.join(hot, F.col(key) == F.col("_key"), "left_anti")

@@ -10,6 +10,7 @@ from sluicegate.functions.columns import utc_second
 from sluicegate.functions.parsing import parse_once
 from sluicegate.session import land
 
+# The fields of a quote answer and, further below, of a user document.
 # Prices as DOUBLE and volumes as BIGINT: narrower types would round the first and lose the second.
 QUOTE = T.StructType(
     [

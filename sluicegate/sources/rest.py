@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 Fetcher = Callable[[Mapping[str, str]], str]
 
 HELD = 64
+# The headers and the language the quote service takes.
+KEY_HEADER, HOST_HEADER, LANGUAGE = "x-rapidapi-key", "x-rapidapi-host", "en"
+
 REQUEST_COLUMNS = ("endpoint", "symbol", "period")
 
 
@@ -77,18 +80,19 @@ def fetch_lateral(requests: DataFrame, fetcher: Fetcher) -> DataFrame:
 
 
 def http_fetcher(key_env: str, host_env: str, timeout: float = 30.0) -> Fetcher:
-    """GET with the symbol, the period and English as parameters, and key and host as headers.
+    """GET with the symbol, the period and the language as parameters, and key and host as headers.
 
-    Both are read from the environment of the worker that makes the call.
+    Key and host are read from the environment of the worker that makes the call.
     """
+    key_header, host_header, language = KEY_HEADER, HOST_HEADER, LANGUAGE
 
     def fetch(request: Mapping[str, str]) -> str:
         import os
         from urllib.parse import urlencode
         from urllib.request import Request, urlopen
 
-        query = urlencode({"symbol": request["symbol"], "period": request["period"], "language": "en"})
-        headers = {"x-rapidapi-key": os.environ[key_env], "x-rapidapi-host": os.environ[host_env]}
+        query = urlencode({"symbol": request["symbol"], "period": request["period"], "language": language})
+        headers = {key_header: os.environ[key_env], host_header: os.environ[host_env]}
         with urlopen(Request(f"{request['endpoint']}?{query}", headers=headers), timeout=timeout) as answer:
             return answer.read().decode("utf-8")
 

@@ -52,8 +52,9 @@ def test_counted_self_join_past_the_hot_keys(spark, monkeypatch):
         assert n == (sizes[key] if key is not None else 1)
 
 
-def test_unique_keys_make_the_join_a_projection(lake, rows):
+def test_unique_keys_make_the_join_a_projection(lake, rows, plan):
     customers = lake.table("customer")
+    assert "Exchange" not in plan(with_group_size(customers, "c_custkey", "n"))
     joined = self_join_counted(customers, "c_custkey", 2)
     assert {r[0] for r in joined.select("copies").distinct().collect()} == {1}
     plain = with_bucket(customers, "c_custkey", 2)

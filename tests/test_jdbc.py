@@ -1,6 +1,7 @@
 """JDBC without a database: the options, the SQL text run by Spark on the same tables, Spark's strides.
 
-With SLUICEGATE_JDBC_URL (and _DATABASE, _USER, _DRIVER, _TABLE, _KEY) set to a database of your own the last test reads from it.
+With SLUICEGATE_JDBC_URL (and _DATABASE, _USER, _PASSWORD, _DRIVER, _TABLE, _KEY) set to a database of your
+own, the last test reads from it.
 """
 
 import os
