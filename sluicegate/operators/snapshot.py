@@ -40,15 +40,16 @@ def write_snapshot(
 ) -> int:
     """Replace the snapshot at ``path``; returns the rows written, measured during the write.
 
+    They are counted after the last shuffle, where a task repeated for a lost executor counts once.
     ``maxRecordsPerFile`` holds the file size whatever the task sizes are. Many buckets are brought
     together by a rebalance, which AQE splits again where one bucket is too large for a task.
     """
-    written = Observation()
-    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if buckets is None or buckets <= FEW_BUCKETS:
         df = sized(df, files, filtered)
     else:
         df = df.hint("rebalance", F.col(BUCKET_COLUMN))
+    written = Observation()
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if buckets is not None:
         writer = writer.partitionBy(BUCKET_COLUMN)
@@ -68,7 +69,7 @@ def read_snapshots(
     dates: Iterable[str] | None = None,
     merge_schema: bool = False,
 ) -> DataFrame:
-    """The completed snapshots of a table as one frame, the date tag as an integer column.
+    """The completed snapshots of a table as one frame; the date tag and any bucket are integers.
 
     ``merge_schema`` reads every footer and is only needed when columns came or went between dates.
     """
@@ -77,4 +78,5 @@ def read_snapshots(
         raise FileNotFoundError(f"no completed snapshot below {folder}")
     reader = spark.read.option("basePath", folder).option("mergeSchema", merge_schema)
     df = reader.parquet(*(f"{folder}/{job}={d}" for d in chosen))
-    return df.withColumn(job, F.col(job).cast("int"))
+    numbered = [c for c in (job, BUCKET_COLUMN) if c in df.columns]
+    return df.withColumns({c: F.col(c).cast("int") for c in numbered})
