@@ -6,6 +6,7 @@ import os
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
+from datetime import date
 from typing import Any
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*)*")
@@ -42,8 +43,8 @@ def check_identifier(name: str) -> str:
 class TableSpec:
     table: str
     num_partitions: int | None = None
-    lower_bound: int | str | None = None
-    upper_bound: int | str | None = None
+    lower_bound: int | str | date | None = None
+    upper_bound: int | str | date | None = None
     partition_column: str | None = None
     primary_key: tuple[str, ...] = ()
     last_update_column: str | None = None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from numbers import Number
 
 from sluicegate.plans.spec import TableSpec, check_identifier
 
@@ -29,12 +30,20 @@ def file_count(rows: int, rows_per_file: int = 1_000_000) -> int:
 
 @dataclass(frozen=True)
 class Bounds:
-    lower: int
-    upper: int
+    """Ends of a split column, numbers or moments."""
+
+    lower: int | datetime
+    upper: int | datetime
     partitions: int
 
+    @property
+    def moments(self) -> bool:
+        return isinstance(self.lower, datetime)
+
     @property
     def strides(self) -> int:
+        if self.moments:
+            return self.partitions
         return max(1, min(self.partitions, self.upper - self.lower))
 
     @property
@@ -55,20 +64,37 @@ def needs_row_count(spec: TableSpec) -> bool:
     return spec.bounds == "count" and _is_word(spec.upper_bound, "max")
 
 
+def _end(value: object) -> int | datetime:
+    """A bound as a number, or as the moment it stands for."""
+    if isinstance(value, datetime):
+        return utc(value)
+    if isinstance(value, Number):
+        return int(value)
+    text = str(value)
+    return int(text) if text.lstrip("-").isdigit() else utc(datetime.fromisoformat(text))
+
+
 def resolve_bounds(
-    spec: TableSpec, total_rows: int, key_range: tuple[int | None, int | None] | None = None
+    spec: TableSpec, total_rows: int, key_range: tuple | None = None
 ) -> Bounds:
     """Turn ``min`` / ``max`` / null into numbers.
 
     With ``bounds='count'`` the open upper end is the row count and the open lower end 0; with
     ``minmax`` they are the true ends of the key, so that sparse keys do not pile up in one stride.
-    Either way the bounds only place the cuts: no row is left out.
+    Either way the bounds only place the cuts: no row is left out. A date or timestamp column is cut
+    into ``num_partitions`` strides, which its spec then has to name.
     """
     low_key, high_key = (0, total_rows)
     if spec.bounds == "minmax" and key_range and key_range[0] is not None:
-        low_key, high_key = int(key_range[0]), int(key_range[1]) + 1
-    lower = low_key if _is_word(spec.lower_bound, "min") else int(spec.lower_bound)
-    upper = high_key if _is_word(spec.upper_bound, "max") else int(spec.upper_bound)
+        low_key, high_key = (_end(k) for k in key_range)
+        if not isinstance(high_key, datetime):
+            high_key += 1
+    lower = low_key if _is_word(spec.lower_bound, "min") else _end(spec.lower_bound)
+    upper = high_key if _is_word(spec.upper_bound, "max") else _end(spec.upper_bound)
+    if isinstance(lower, datetime) != isinstance(upper, datetime):
+        raise ValueError(f"{spec.table}: one bound is a date and the other is not")
+    if isinstance(lower, datetime) and spec.num_partitions is None:
+        raise ValueError(f"{spec.table}: a date column is split into a given number of partitions")
     if lower > upper:
         raise ValueError(f"{spec.table}: lower bound {lower} is above upper bound {upper}")
     if spec.num_partitions is None:
@@ -116,6 +142,20 @@ def timestamp_text(moment: datetime | date) -> str:
     return f"{moment.isoformat()} 00:00:00"
 
 
+def moment_predicates(column: str, bounds: Bounds) -> list[str]:
+    """One WHERE text per stride of a date or timestamp column, half-open like the strides of numbers.
+
+    Spark's own stride options refuse a timestamp without a zone, which is how timestamps are read here.
+    """
+    span, n = bounds.upper - bounds.lower, bounds.strides
+    cuts = [bounds.lower + span * i / n for i in range(1, n)]
+    predicates = [interval_sql(column, a, b) for a, b in zip([None, *cuts], [*cuts, None])]
+    if cuts:
+        predicates[0] += f" or {check_identifier(column)} is null"
+        return predicates
+    return ["1 = 1"]
+
+
 def interval_sql(column: str, since: datetime | None, until: datetime | None) -> str:
     """``since`` belongs to the interval, ``until`` does not; without ``until`` it stays open."""
     check_identifier(column)

@@ -12,6 +12,7 @@ from sluicegate.plans.strategy import (
     Bounds,
     bucket_predicates,
     interval_sql,
+    moment_predicates,
     read_strategy,
 )
 from sluicegate.sources.base import find_bounds
@@ -106,23 +107,19 @@ class JdbcSource:
         since: datetime | None = None,
         until: datetime | None = None,
     ) -> DataFrame:
-        """By strides of the split column, dated or not; else by hash of a key; else in one piece.
+        """By strides of the split column; else by hash of a key; else in one piece; dated or not.
 
         A keyless table is hashed into ``num_partitions`` pieces, or as many as it has buckets. A dated
         table without a split column is hashed when its spec names a key and ``num_partitions``.
         """
         table = self.table_text(spec, since, until)
         if spec.partition_column and bounds and bounds.strides > 1:
+            if bounds.moments:
+                return self._load_pieces(table, moment_predicates(spec.partition_column, bounds))
             return self._load(dbtable=table, **self.stride_options(spec, bounds))
         pieces = spec.num_partitions or (spec.buckets if read_strategy(spec) == "bucket" else 1)
         if spec.split_key and not spec.partition_column and pieces > 1:
-            options = self.base_options()
-            return self.spark.read.jdbc(
-                options.pop("url"),
-                table,
-                predicates=bucket_predicates(spec.split_key, pieces, self.dialect),
-                properties=options,
-            )
+            return self._load_pieces(table, bucket_predicates(spec.split_key, pieces, self.dialect))
         return self._load(dbtable=table)
 
     def _where(self, spec: TableSpec, since: datetime | None, until: datetime | None) -> str:
@@ -130,5 +127,9 @@ class JdbcSource:
             return ""
         return f" where {interval_sql(spec.last_update_column, since, until)}"
 
+    def _load_pieces(self, table: str, predicates: list[str]) -> DataFrame:
+        options = self.base_options()
+        return self.spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
+
     def _load(self, **options: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.base_options(), **options).load()

@@ -190,6 +190,20 @@ def test_spark_takes_the_stride_options_and_loses_no_row(spark, lake, source, bo
         assert table.where(number != stride_number("o_orderkey", bounds)).isEmpty()
 
 
+@pytest.mark.parametrize("pieces", [1, 5])
+def test_strides_of_a_date_column(lake, source, pieces):
+    table = lake.table("orders")
+    spec = TableSpec("orders", partition_column="o_orderdate", num_partitions=pieces)
+    bounds = find_bounds(lake, spec)
+    source.spark = recorder = Recorder()
+    source.read(spec, bounds)
+    texts = recorder.calls[0].get("predicates", ["1 = 1"])
+    assert len(texts) == pieces
+    hits = [F.coalesce(F.expr(t), F.lit(False)).cast("int") for t in texts]
+    assert [tuple(r) for r in table.groupBy(sum(hits, F.lit(0))).count().collect()] == [(1, 1500)]
+    assert all(n > 200 for n in table.agg(*(F.sum(h) for h in hits)).first())
+
+
 @pytest.mark.skipif("SLUICEGATE_JDBC_URL" not in os.environ, reason="no database given")
 def test_live_database(spark):
     env = {k: os.environ.get(f"SLUICEGATE_JDBC_{k}") for k in ("URL", "DATABASE", "USER", "DRIVER", "TABLE", "KEY")}

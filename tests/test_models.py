@@ -1,0 +1,95 @@
+"""Random histories of runs and batches against plain Python models."""
+
+import uuid
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluicegate.operators.extract import extract_table
+from sluicegate.operators.latest import latest_state
+from sluicegate.operators.snapshot import read_snapshots
+from sluicegate.plans.spec import TableSpec
+from sluicegate.plans.strategy import table_root
+from sluicegate.streaming.messages import split_messages
+from sluicegate.streaming.stream import compact, current_state, keyed_upsert_stream, rejected_messages
+
+FEW = {"max_examples": 6, "deadline": None, "suppress_health_check": [HealthCheck.function_scoped_fixture]}
+DAY0 = datetime(2024, 1, 1)
+IDS = range(48)
+
+
+def moment(i):
+    return DAY0 + timedelta(hours=3 * i)
+
+
+@pytest.fixture(scope="module")
+def source(spark, tmp_path_factory):
+    from sluicegate.sources.lake import LakeSource
+
+    folder = str(tmp_path_factory.mktemp("model"))
+    made = spark.range(len(IDS)).select("id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + id * interval 3 hours").alias("ts"))
+    made.write.parquet(f"{folder}/t.parquet")
+    return LakeSource(spark, folder)
+
+
+RUN = st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(1, 3)))
+
+
+@settings(**FEW)
+@given(st.lists(RUN, min_size=1, max_size=4), st.sampled_from(["all", "since_start"]))
+def test_any_order_of_runs(spark, source, tmp_path, runs, initial):
+    spec = TableSpec("t", last_update_column="ts", primary_key="id", initial=initial)
+    root = str(tmp_path / uuid.uuid4().hex)
+    held = {}
+    for day, length in runs:
+        start = DAY0 + timedelta(days=day)
+        end = start + timedelta(days=length) if length else None
+        first = not any(d < start for d in held)
+        low = datetime.min if first and initial == "all" else start
+        expected = {i for i in IDS if low <= moment(i) and (end is None or moment(i) < end)}
+        result = extract_table(spark, source, spec, start, root, end)
+        assert (result.first_run, result.rows, result.written) == (first, len(expected), bool(expected))
+        if expected:
+            held[start] = expected
+    if held:
+        snapshots = read_snapshots(spark, table_root(root, spec), "get_data")
+        found = {(r["get_data"], r["id"]) for r in snapshots.select("get_data", "id").collect()}
+        assert found == {(int(d.strftime("%Y%m%d")), i) for d, ids in held.items() for i in ids}
+        latest = latest_state(snapshots, ["id"], ["ts", "get_data"])
+        assert sorted(r["id"] for r in latest.collect()) == sorted(set().union(*held.values()))
+
+
+MESSAGE = st.one_of(st.tuples(st.sampled_from("abcd"), st.integers(0, 99)), st.none())
+STEP = st.one_of(st.lists(MESSAGE, min_size=1, max_size=6), st.just("compact"))
+
+
+@settings(**FEW)
+@given(st.lists(STEP, min_size=1, max_size=4))
+def test_any_mix_of_batches_and_compactions(spark, tmp_path, steps):
+    place = tmp_path / uuid.uuid4().hex
+    topic, state, checkpoint = (str(place / n) for n in ("topic", "state", "checkpoint"))
+    schema = spark.createDataFrame([], "id string, v int").schema
+    order, newest, rejected, offset = ["offset"], {}, 0, 0
+    for step in steps:
+        if step == "compact":
+            if newest or rejected:
+                compact(spark, state, ["id"], order)
+        else:
+            rows = []
+            for message in step:
+                text = "{cut" if message is None else f'{{"id":"{message[0]}","v":{message[1]}}}'
+                rows.append((text.encode(), offset))
+                offset += 1
+                rejected += message is None
+                if message:
+                    newest[message[0]] = message[1]
+            spark.createDataFrame(rows, "value binary, offset bigint").coalesce(1).write.mode("append").parquet(topic)
+            stream = spark.readStream.schema("value binary, offset bigint").parquet(topic)
+            users = split_messages(stream, schema, required=["id"], carry=order)
+            keyed_upsert_stream(users, state, checkpoint, ["id"], order, {"availableNow": True}).awaitTermination()
+        if newest or rejected:
+            assert {r["id"]: r["v"] for r in current_state(spark, state, ["id"], order).collect()} == newest
+            assert rejected_messages(spark, state).count() == rejected
