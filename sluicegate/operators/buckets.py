@@ -20,8 +20,8 @@ def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64")
 def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     """Each row with the number of rows that share its key; 1 for a NULL key, which equals no other.
 
-    A first job counts over the key column alone and stops at a repeated key; where there is none, no
-    row is shuffled. Otherwise the ``HOT_KEYS`` largest groups are joined from a broadcast of that many
+    A first job over the key column alone asks whether any key repeats; where none does, no row is
+    shuffled. Otherwise the ``HOT_KEYS`` largest groups are joined from a broadcast of that many
     rows at most, and their rows are not shuffled, nor are those without a key; the other rows meet the
     counts of the remaining repeated keys in a shuffle on the key.
     """

@@ -13,7 +13,7 @@ def latest_state(versions: DataFrame, keys: Sequence[str], order: Sequence[str])
 
     An aggregate, so each map task sends one row per key: a key that holds most of the rows costs the
     shuffle and the task behind it no more than any other. It sorts by key alone, where ``row_number``
-    would sort by the order columns as well; measured, that took half as long again to twice as long.
+    sorts by the order columns as well and took 1.2 to 2 times as long on 12 million rows.
     """
     rest = [c for c in versions.columns if c not in keys]
     if not rest:
