@@ -24,6 +24,7 @@ from sluicegate.sources.rest import Fetcher, fetch_bodies, http_fetcher, request
 from sluicegate.streaming.messages import USER_MESSAGE, encode_messages, split_messages
 from sluicegate.streaming.stream import keyed_upsert_stream
 
+REQUESTS_PER_TASK = 8
 KAFKA_ORDER = ("partition", "offset")
 
 
@@ -64,7 +65,8 @@ def fetch_quotes(
     """
     symbols = spark.createDataFrame([(s,) for s in config["symbol"]], "symbol string")
     requests = request_frame(symbols, "symbol", endpoint, config["period"])
-    bodies = land(fetch_bodies(requests, fetcher, tasks=max(1, symbols.count())), f"{root}/bodies/{job}={date_tag(day)}")
+    tasks = max(1, file_count(symbols.count(), REQUESTS_PER_TASK))
+    bodies = land(fetch_bodies(requests, fetcher, tasks=tasks), f"{root}/bodies/{job}={date_tag(day)}")
     quotes = flatten_quotes(bodies)
     rows = quotes.count()
     if rows == 0:

@@ -67,6 +67,9 @@ class TableSpec:
             elif isinstance(value, str):
                 value = (value,)
             object.__setattr__(self, name, tuple(value))
+        for name in ("num_partitions", "buckets", "rows_per_partition", "rows_per_file"):
+            if getattr(self, name) is not None:
+                object.__setattr__(self, name, int(getattr(self, name)))
         names = [self.table, self.job, *self.primary_key, *self.columns]
         names += [n for n in (self.partition_column, self.last_update_column, self.bucket_column) if n]
         for name in names:
@@ -81,7 +84,7 @@ class TableSpec:
         if self.bounds not in ("minmax", "count"):
             raise ValueError(f"bounds must be 'minmax' or 'count', not {self.bounds!r}")
         for name in ("buckets", "rows_per_partition", "rows_per_file"):
-            if int(getattr(self, name)) < 1:
+            if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
 
     @property

@@ -82,7 +82,8 @@ def resolve_bounds(
     With ``bounds='count'`` the open upper end is the row count and the open lower end 0; with
     ``minmax`` they are the true ends of the key, so that sparse keys do not pile up in one stride.
     Either way the bounds only place the cuts: no row is left out. A date or timestamp column is cut
-    into ``num_partitions`` strides, which its spec then has to name.
+    into ``num_partitions`` strides, which its spec then has to name. An open end that falls on the
+    wrong side of a fixed one is moved to it; two fixed ends the wrong way round are an error.
     """
     low_key, high_key = (0, total_rows)
     if spec.bounds == "minmax" and key_range and key_range[0] is not None:
@@ -95,12 +96,13 @@ def resolve_bounds(
         raise ValueError(f"{spec.table}: one bound is a date and the other is not")
     if isinstance(lower, datetime) and spec.num_partitions is None:
         raise ValueError(f"{spec.table}: a date column is split into a given number of partitions")
-    if lower > upper:
+    if lower > upper and not (_is_word(spec.lower_bound, "min") or _is_word(spec.upper_bound, "max")):
         raise ValueError(f"{spec.table}: lower bound {lower} is above upper bound {upper}")
+    upper = max(lower, upper)
     if spec.num_partitions is None:
         partitions = max(1, -(-(upper - lower) // spec.rows_per_partition))
     else:
-        partitions = max(1, int(spec.num_partitions))
+        partitions = max(1, spec.num_partitions)
     return Bounds(lower, upper, min(partitions, MAX_READ_PARTITIONS))
 
 

@@ -64,6 +64,9 @@ def test_other_bounds():
     assert resolve_bounds(spec(), 0, (None, None)) == Bounds(0, 0, 1)
     assert resolve_bounds(spec(), 0, (Decimal("2.00"), Decimal("9.50"))) == Bounds(2, 10, 1)
     assert resolve_bounds(spec(), 0, (0, 10**15)).partitions == MAX_READ_PARTITIONS
+    assert resolve_bounds(spec(lower_bound=900), 0, (-50, -1)) == Bounds(900, 900, 1)
+    assert resolve_bounds(spec(lower_bound=900, upper_bound="max", bounds="count"), 5) == Bounds(900, 900, 1)
+    assert resolve_bounds(spec(lower_bound=0, upper_bound=8, num_partitions="4"), 0) == Bounds(0, 8, 4)
     assert not needs_key_range(spec(lower_bound=0, upper_bound=9))
     with pytest.raises(ValueError):
         resolve_bounds(spec(lower_bound=9, upper_bound=3), 0)
