@@ -25,6 +25,7 @@ from sluicegate.plans.strategy import (  # noqa: E402
     bucket_predicates,
     file_count,
     layout,
+    moment_predicates,
     read_strategy,
     resolve_bounds,
     table_root,
@@ -34,12 +35,19 @@ from sluicegate.sources.lake import LakeSource  # noqa: E402
 from sluicegate.sources.rest import fetch_bodies, fetch_lateral, request_frame  # noqa: E402
 from sluicegate.session import land, new_work_dir  # noqa: E402
 from sluicegate.streaming.messages import (  # noqa: E402
+    USER_MESSAGE,
     decode_messages,
     encode_messages,
     message_text,
     split_messages,
 )
-from sluicegate.streaming.stream import append_stream, compact, current_state, keyed_upsert_stream  # noqa: E402
+from sluicegate.streaming.stream import (  # noqa: E402
+    append_stream,
+    compact,
+    current_state,
+    keyed_upsert_stream,
+    rejected_messages,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ORDERS_START = datetime(1998, 1, 1)
@@ -158,13 +166,24 @@ def hash_bucket_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return self_join_counted(t, "id", 2, "md5")
 
 
+def _rows_per_predicate(df: DataFrame, predicates: list[str], name: str) -> DataFrame:
+    """How many rows each part of a split read takes, in one pass."""
+    counts = df.agg(*(F.count_if(F.expr(p)).alias(f"n{i}") for i, p in enumerate(predicates)))
+    pairs = (F.struct(F.lit(i).alias(name), F.col(f"n{i}").alias("n")) for i in range(len(predicates)))
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def bucketed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predicates = bucket_predicates("l_orderkey", 4)
-    counts = LakeSource(spark, sf_dir).table("lineitem").agg(
-        *(F.count_if(F.expr(p)).alias(f"n{i}") for i, p in enumerate(predicates))
+    return _rows_per_predicate(
+        LakeSource(spark, sf_dir).table("lineitem"), bucket_predicates("l_orderkey", 4), "bucket"
     )
-    pairs = F.array(*(F.struct(F.lit(i).alias("bucket"), F.col(f"n{i}").alias("n")) for i in range(4)))
-    return counts.select(F.inline(pairs))
+
+
+def date_strides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = LakeSource(spark, sf_dir)
+    spec = TableSpec("orders", partition_column="o_orderdate", num_partitions=6)
+    predicates = moment_predicates("o_orderdate", find_bounds(source, spec))
+    return _rows_per_predicate(source.read(spec), predicates, "stride")
 
 
 def sized_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +420,19 @@ def malformed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_per(spark.read.parquet(f"{path}/rows"), "status")
 
 
+def rejected_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected messages of a keyed stream, each with its whole text."""
+    path = new_work_dir(spark, "rejected")
+    customers = LakeSource(spark, sf_dir).stream("customer", FILES_PER_BATCH)
+    users = customers.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("first_name"), "c_acctbal")
+    whole = F.to_json(F.struct("id", "first_name"))
+    text = F.when(F.col("c_acctbal") < 0, F.rtrim(whole, F.lit("}"))).otherwise(whole)
+    messages = users.select(F.encode(text, "UTF-8").alias("value"), F.col("id").cast("bigint").alias("offset"))
+    split = split_messages(messages, USER_MESSAGE, required=["id"], carry=["offset"])
+    _finish(keyed_upsert_stream(split, path, f"{path}/checkpoint", ["id"], ["offset"], ONCE))
+    return rejected_messages(spark, path).select("offset", "rejected_text")
+
+
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "append")
     for _ in range(2):
@@ -453,6 +485,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hash_bucket": hash_bucket,
         "hash_bucket_self_join": hash_bucket_self_join,
         "bucketed_read": bucketed_read,
+        "date_strides": date_strides,
         "sized_file_count": sized_file_count,
         "read_strategy": strategy_choice,
         "first_run_snapshot": first_run_snapshot,
@@ -473,6 +506,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "to_json_messages": to_json_messages,
         "json_parse_stream": json_parse_stream,
         "malformed_split": malformed_split,
+        "rejected_messages": rejected_texts,
         "append_stream": append_twice,
         "keyed_upsert_stream": keyed_upsert,
         "keyed_compaction": keyed_compaction,
@@ -549,6 +583,11 @@ def oracle_sql() -> dict[str, str]:
             group by all
         """,
         "bucketed_read": "select (l_orderkey % 4)::int as bucket, count(*) as n from lineitem group by 1",
+        "date_strides": """
+            with b as (select epoch_us(min(o_orderdate)) as lo, epoch_us(max(o_orderdate)) as hi from orders)
+            select least(5, (epoch_us(o_orderdate) - lo) * 6 // (hi - lo))::int as stride, count(*) as n
+            from orders, b group by 1
+        """,
         "sized_file_count": "select count(*) as n, cast(ceil(count(*) / 1000.0) as bigint) as files from events",
         "read_strategy": """
             select *, ceil(n / 1000.0)::bigint as files from (
@@ -610,6 +649,10 @@ def oracle_sql() -> dict[str, str]:
             select case when c_acctbal < 0 then 'rejected' else 'accepted' end as status, count(*) as n
             from customer group by 1
         """,
+        "rejected_messages": """
+            select c_custkey as offset, '{"id":"' || c_custkey || '","first_name":"' || c_name || '"' as rejected_text
+            from customer where c_acctbal < 0
+        """,
         "append_stream": "select * from orders",
         "keyed_upsert_stream": LATEST_PER_USER,
         "keyed_compaction": LATEST_PER_USER,
