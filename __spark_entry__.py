@@ -32,8 +32,8 @@ from sluicegate.plans.strategy import (  # noqa: E402
 )
 from sluicegate.sources.base import find_bounds  # noqa: E402
 from sluicegate.sources.lake import LakeSource  # noqa: E402
-from sluicegate.sources.rest import fetch_bodies, fetch_lateral, request_frame  # noqa: E402
-from sluicegate.session import land, new_work_dir  # noqa: E402
+from sluicegate.sources.rest import fetch_bodies, fetch_lateral, land_bodies, request_frame  # noqa: E402
+from sluicegate.session import new_work_dir  # noqa: E402
 from sluicegate.streaming.messages import (  # noqa: E402
     USER_MESSAGE,
     decode_messages,
@@ -334,12 +334,12 @@ def _stand_in() -> Callable:
 
 def fetch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = fetch_bodies(requests(spark, sf_dir), _stand_in())
-    return flatten_quotes(land(bodies, new_work_dir(spark, "bodies")))
+    return flatten_quotes(land_bodies(bodies, new_work_dir(spark, "bodies")))
 
 
 def fetch_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = request_frame(LakeSource(spark, sf_dir).table("supplier"), "s_name", ENDPOINT, PERIOD)
-    return flatten_quotes(land(fetch_lateral(asked, _stand_in()), new_work_dir(spark, "bodies")))
+    return flatten_quotes(land_bodies(fetch_lateral(asked, _stand_in()), new_work_dir(spark, "bodies")))
 
 
 def _user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,7 +424,8 @@ def rejected_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejected messages of a keyed stream, each with its whole text."""
     path = new_work_dir(spark, "rejected")
     customers = LakeSource(spark, sf_dir).stream("customer", FILES_PER_BATCH)
-    users = customers.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("first_name"), "c_acctbal")
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    users = customers.select(key.alias("id"), name.alias("first_name"), "c_acctbal")
     whole = F.to_json(F.struct("id", "first_name"))
     text = F.when(F.col("c_acctbal") < 0, F.rtrim(whole, F.lit("}"))).otherwise(whole)
     messages = users.select(F.encode(text, "UTF-8").alias("value"), F.col("id").cast("bigint").alias("offset"))

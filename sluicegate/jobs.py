@@ -17,10 +17,10 @@ from sluicegate.operators.extract import ExtractResult, extract_all
 from sluicegate.operators.snapshot import write_snapshot
 from sluicegate.plans.spec import Connection, TableSpec, load_connections, load_specs, read_yaml
 from sluicegate.plans.strategy import date_tag, file_count
-from sluicegate.session import build_session, land
+from sluicegate.session import build_session
 from sluicegate.sources.jdbc import JdbcSource
 from sluicegate.sources.kafka import read_topic, send_batch
-from sluicegate.sources.rest import Fetcher, fetch_bodies, http_fetcher, request_frame
+from sluicegate.sources.rest import Fetcher, fetch_bodies, http_fetcher, land_bodies, request_frame
 from sluicegate.streaming.messages import USER_MESSAGE, encode_messages, split_messages
 from sluicegate.streaming.stream import keyed_upsert_stream
 
@@ -66,7 +66,7 @@ def fetch_quotes(
     symbols = spark.createDataFrame([(s,) for s in config["symbol"]], "symbol string")
     requests = request_frame(symbols, "symbol", endpoint, config["period"])
     tasks = max(1, file_count(symbols.count(), REQUESTS_PER_TASK))
-    bodies = land(fetch_bodies(requests, fetcher, tasks=tasks), f"{root}/bodies/{job}={date_tag(day)}")
+    bodies = land_bodies(fetch_bodies(requests, fetcher, tasks=tasks), f"{root}/bodies/{job}={date_tag(day)}")
     quotes = flatten_quotes(bodies)
     rows = quotes.count()
     if rows == 0:

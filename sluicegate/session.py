@@ -65,11 +65,15 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def land(df: DataFrame, path: str) -> DataFrame:
+def land(df: DataFrame, path: str, large_rows: bool = False) -> DataFrame:
     """Write once and read back.
 
     For values that a recomputed task would make anew (random ids, fetched bodies): whatever reads
-    the result sees one state, even when executors are lost later.
+    the result sees one state, even when executors are lost later. Parquet is read some thousand rows
+    at a time; ``large_rows``, such as bodies of megabytes, go to JSON lines, which are read one by one.
     """
+    if large_rows:
+        df.write.mode("overwrite").json(path)
+        return df.sparkSession.read.schema(df.schema).option("maxStringLen", 2**31 - 1).json(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

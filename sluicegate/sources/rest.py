@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicegate.session import land
+
 Fetcher = Callable[[Mapping[str, str]], str]
 
-HELD = 64
 # The headers and the language the quote service takes.
 KEY_HEADER, HOST_HEADER, LANGUAGE = "x-rapidapi-key", "x-rapidapi-host", "en"
 
@@ -34,12 +35,12 @@ def fetch_bodies(
     """Add ``body`` and ``error`` to each request; one failed request does not fail the job.
 
     ``tasks`` spreads the requests first; within a task up to ``concurrency`` of them wait on the
-    network together, and a task holds the answers of ``HELD`` requests at most. Land the result before
-    using it twice, or every use fetches again.
+    network together, and a task holds the answers of twice as many at most. Land the result before using it
+    twice (``land_bodies``), or every use fetches again.
     """
     if tasks:
         requests = requests.repartition(tasks)
-    names, held = requests.columns, HELD
+    names, held = requests.columns, 2 * concurrency
 
     def run(batches):
         from concurrent.futures import ThreadPoolExecutor
@@ -61,6 +62,11 @@ def fetch_bodies(
     return requests.mapInPandas(run, T.StructType([*requests.schema.fields, *answer]))
 
 
+def land_bodies(fetched: DataFrame, path: str) -> DataFrame:
+    """Fetch now, keep the answers at ``path``, and go on from there."""
+    return land(fetched, path, large_rows=True)
+
+
 def fetch_function(fetcher: Fetcher):
     """The same as a table function, for use with ``lateralJoin``: one call gives one row."""
 

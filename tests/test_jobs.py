@@ -55,7 +55,7 @@ def test_quotes_of_the_configured_symbols(spark, tmp_path):
     written = jobs.fetch_quotes(spark, config, "https://example.invalid/q", fetch, str(tmp_path), DAY)
     quotes = read_snapshots(spark, f"{tmp_path}/quotes", "get_data")
     assert written == quotes.count() == 4
-    bodies = spark.read.parquet(f"{tmp_path}/bodies/get_data=20240901")
+    bodies = spark.read.json(f"{tmp_path}/bodies/get_data=20240901")
     assert bodies.where("error is not null").select("symbol").collect() == [("GONE",)]
     nothing = jobs.fetch_quotes(spark, {"symbol": ["GONE"], "period": "MAX"}, "e", fetch, str(tmp_path / "b"), DAY)
     assert nothing == 0 and not (tmp_path / "b" / "quotes").exists()

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.operators.documents import flatten_quotes, user_records
-from sluicegate.session import land
 from sluicegate.sources import kafka
-from sluicegate.sources.rest import fetch_bodies, fetch_lateral, http_fetcher, plain_fetcher, request_frame
+from sluicegate.sources.rest import fetch_bodies, fetch_lateral, http_fetcher, land_bodies, plain_fetcher, request_frame
 
 
 @pytest.fixture
@@ -86,11 +85,19 @@ def test_more_requests_than_a_task_holds(spark):
 
 def test_landed_bodies_are_fetched_once(asked, tmp_path):
     log = tmp_path / "calls"
-    landed = land(fetch_bodies(asked, stand_in(str(log))), str(tmp_path / "bodies"))
+    landed = land_bodies(fetch_bodies(asked, stand_in(str(log))), str(tmp_path / "bodies"))
     assert landed.count() == 3 and flatten_quotes(landed).count() == 2
     assert len(log.read_text().split()) == 3
 
 
+def test_landed_bodies_stay_as_they_came(spark, tmp_path):
+    texts = ["{}", "", None, 'line\nbreak \r "quoted" \\ é 日本 \u2028', "x" * 3_000_000]
+    df = spark.createDataFrame([(str(i), t, None) for i, t in enumerate(texts)], "symbol string, body string, error string")
+    landed = land_bodies(df, str(tmp_path / "bodies"))
+    assert landed.schema == df.schema
+    assert [r["body"] for r in landed.orderBy("symbol").collect()] == texts
+
+
 def test_http_request(monkeypatch):
     seen = {}
 
