@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from sluicegate.operators.buckets import with_bucket
-from sluicegate.operators.snapshot import completed_dates, write_snapshot
+from sluicegate.operators.snapshot import has_earlier_date, write_snapshot
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import date_tag, file_count, layout, read_strategy, snapshot_path, table_root
 from sluicegate.sources.base import Source, count_rows
@@ -47,8 +47,7 @@ def extract_table(
     an empty extract writes nothing.
     """
     strategy, shape = read_strategy(spec), layout(spec)
-    earlier = [d for d in completed_dates(spark, table_root(root, spec), spec.job) if d < date_tag(start)]
-    first = not earlier
+    first = not has_earlier_date(spark, table_root(root, spec), spec.job, date_tag(start))
     whole = strategy != "incremental" or (first and spec.initial == "all")
     since = None if whole else start
     until = end if strategy == "incremental" else None

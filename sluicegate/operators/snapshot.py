@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators.buckets import BUCKET_COLUMN
-from sluicegate.sources.storage import completed_children
+from sluicegate.sources.storage import child_names, completed, is_complete
 
 # Directory buckets a task may write side by side before the rows are brought together first.
 FEW_BUCKETS = 8
@@ -59,7 +59,14 @@ def write_snapshot(
 
 def completed_dates(spark: SparkSession, folder: str, job: str) -> list[str]:
     """Date tags whose snapshot was written to the end."""
-    return [name.split("=", 1)[1] for name in completed_children(spark, folder, f"{job}=")]
+    names = completed(spark, folder, child_names(spark, folder, f"{job}="))
+    return [name.split("=", 1)[1] for name in names]
+
+
+def has_earlier_date(spark: SparkSession, folder: str, job: str, tag: str) -> bool:
+    """Is any date before ``tag`` complete? Looks from the latest back and stops at the first."""
+    earlier = [n for n in child_names(spark, folder, f"{job}=") if n < f"{job}={tag}"]
+    return any(is_complete(spark, f"{folder}/{n}") for n in reversed(earlier))
 
 
 def read_snapshots(

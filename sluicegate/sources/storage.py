@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 
@@ -20,11 +23,23 @@ def folder_has_files(spark: SparkSession, path: str, create: bool = False) -> bo
     return len(fs.listStatus(folder)) > 0
 
 
-def completed_children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
-    """Names of the sub-folders ``prefix*`` whose write was committed, in order.
+def child_names(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Names of the sub-folders ``prefix*``, in order; one listing."""
+    fs, path = _file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(path))
+    return sorted(n for n in names if n.startswith(prefix))
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Was the write to this folder committed? A failed job leaves no ``_SUCCESS``."""
+    fs, marker = _file_system(spark, f"{folder}/_SUCCESS")
+    return fs.exists(marker)
+
 
-    One glob call. A folder left behind by a failed job has no ``_SUCCESS`` and is not listed.
-    """
-    fs, pattern = _file_system(spark, f"{folder}/{prefix}*/_SUCCESS")
-    found = fs.globStatus(pattern) or []
-    return sorted(status.getPath().getParent().getName() for status in found)
+def completed(spark: SparkSession, folder: str, names: Sequence[str]) -> list[str]:
+    """Those of the sub-folders that are complete, asked for a few at a time."""
+    with ThreadPoolExecutor(16) as pool:
+        complete = list(pool.map(lambda n: is_complete(spark, f"{folder}/{n}"), names))
+    return [n for n, c in zip(names, complete) if c]

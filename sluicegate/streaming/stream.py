@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.operators.latest import latest_state
-from sluicegate.sources.storage import completed_children
+from sluicegate.sources.storage import child_names, completed, is_complete
 
 
 def append_stream(
@@ -92,11 +92,15 @@ def keyed_upsert_stream(
 
 
 def _state_files(spark: SparkSession, path: str) -> tuple[list[str], int]:
-    """Folders that make up the state now: the newest base and the batches after it."""
-    bases = completed_children(spark, _base(path), "upto=")
-    base = max(bases, key=_number) if bases else None
+    """Folders that make up the state now: the newest base and the batches after it.
+
+    Older batches are not looked at, however many are left lying.
+    """
+    bases = reversed(child_names(spark, _base(path), "upto="))
+    base = next((b for b in bases if is_complete(spark, f"{_base(path)}/{b}")), None)
     done = _number(base) if base else -1
-    batches = [b for b in completed_children(spark, _log(path), "batch_id=") if _number(b) > done]
+    later = [b for b in child_names(spark, _log(path), "batch_id=") if _number(b) > done]
+    batches = completed(spark, _log(path), later)
     folders = [f"{_base(path)}/{base}"] if base else []
     folders += [f"{_log(path)}/{b}" for b in batches]
     newest = max([done, *(_number(b) for b in batches)])
@@ -113,7 +117,7 @@ def current_state(spark: SparkSession, path: str, keys: Sequence[str], order: Se
 
 def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
     """Every rejected message so far, with the text it came as."""
-    batches = completed_children(spark, _rejected(path), "batch_id=")
+    batches = completed(spark, _rejected(path), child_names(spark, _rejected(path), "batch_id="))
     if not batches:
         raise FileNotFoundError(f"no completed batch below {_rejected(path)}")
     return spark.read.parquet(*(f"{_rejected(path)}/{b}" for b in batches))

@@ -8,13 +8,14 @@ from sluicegate.operators.extract import extract_all, extract_table
 from sluicegate.operators.latest import latest_state
 from sluicegate.operators.snapshot import (
     completed_dates,
+    has_earlier_date,
     read_snapshots,
     sized,
     write_snapshot,
 )
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import table_root
-from sluicegate.sources.storage import completed_children, folder_has_files
+from sluicegate.sources.storage import child_names, completed, folder_has_files
 
 DATED = TableSpec("t", last_update_column="ts", primary_key="id")
 KEYED = TableSpec("t", partition_column="id")
@@ -205,9 +206,14 @@ def test_folder_probe(spark, tmp_path):
     assert (tmp_path / "probe").is_dir()
     (tmp_path / "probe" / "x=1").mkdir()
     assert folder_has_files(spark, folder)
-    assert completed_children(spark, folder, "x=") == []
+    for name in ("x=0", "x=2", "y=1"):
+        (tmp_path / "probe" / name).mkdir()
+    assert child_names(spark, folder, "x=") == ["x=0", "x=1", "x=2"]
+    assert completed(spark, folder, ["x=0", "x=1"]) == []
     (tmp_path / "probe" / "x=1" / "_SUCCESS").touch()
-    assert completed_children(spark, folder, "x=") == ["x=1"]
+    assert completed(spark, folder, ["x=0", "x=1", "x=2"]) == ["x=1"]
+    assert [has_earlier_date(spark, folder, "x", t) for t in "0123"] == [False, False, True, True]
+    assert child_names(spark, f"{folder}/absent", "x=") == []
 
 
 def test_columns_that_come_later(spark, source, root, write_table):
