@@ -15,6 +15,7 @@ Fetcher = Callable[[Mapping[str, str]], str]
 # The headers and the language the quote service takes.
 KEY_HEADER, HOST_HEADER, LANGUAGE = "x-rapidapi-key", "x-rapidapi-host", "en"
 
+HELD_CHARS = 16 * 2**20
 REQUEST_COLUMNS = ("endpoint", "symbol", "period")
 
 
@@ -35,12 +36,12 @@ def fetch_bodies(
     """Add ``body`` and ``error`` to each request; one failed request does not fail the job.
 
     ``tasks`` spreads the requests first; within a task up to ``concurrency`` of them wait on the
-    network together, and a task holds the answers of twice as many at most. Land the result before using it
-    twice (``land_bodies``), or every use fetches again.
+    network together, and a task passes its answers on before they grow past ``HELD_CHARS`` by more than
+    one such round. Land the result before using it twice (``land_bodies``), or every use fetches again.
     """
     if tasks:
         requests = requests.repartition(tasks)
-    names, held = requests.columns, 2 * concurrency
+    names, round_size, held_chars = requests.columns, 2 * concurrency, HELD_CHARS
 
     def run(batches):
         from concurrent.futures import ThreadPoolExecutor
@@ -53,10 +54,16 @@ def fetch_bodies(
 
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                for at in range(0, len(batch), held):
-                    part = batch.iloc[at : at + held]
-                    answers = list(pool.map(call, part[names].to_dict("records")))
-                    yield part.assign(body=[a[0] for a in answers], error=[a[1] for a in answers])
+                asked, answers, chars, passed_on = batch[names].to_dict("records"), [], 0, 0
+                for at in range(0, len(asked), round_size):
+                    got = list(pool.map(call, asked[at : at + round_size]))
+                    answers += got
+                    chars += sum(len(body or "") for body, _ in got)
+                    done = passed_on + len(answers)
+                    if chars >= held_chars or done == len(asked):
+                        bodies, errors = zip(*answers)
+                        yield batch.iloc[passed_on:done].assign(body=bodies, error=errors)
+                        answers, chars, passed_on = [], 0, done
 
     answer = [T.StructField("body", T.StringType()), T.StructField("error", T.StringType())]
     return requests.mapInPandas(run, T.StructType([*requests.schema.fields, *answer]))

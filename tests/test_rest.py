@@ -77,7 +77,9 @@ print(answer["error"][0], "sluicegate" in sys.modules)
     assert done.stdout.strip() == "LookupError: no such symbol False", done.stderr
 
 
-def test_more_requests_than_a_task_holds(spark):
+@pytest.mark.parametrize("held", [0, 500, 10**9])
+def test_more_requests_than_a_task_holds(spark, monkeypatch, held):
+    monkeypatch.setattr("sluicegate.sources.rest.HELD_CHARS", held)
     symbols = spark.range(0, 1000, 1, 2).select(F.col("id").cast("string").alias("symbol"))
     fetched = fetch_bodies(request_frame(symbols, "symbol", "e", "MAX"), stand_in())
     assert fetched.where("get_json_object(body, '$.data.symbol') = symbol").count() == 1000
