@@ -69,7 +69,7 @@ config:
   databases:
     - db_name: sales
       job: get_data
-      source_name: a1
+      source_name: main
       source_type: database
       tbl_list:
         - {table_name: customer, numPartitions: 4, lowerBound: 0, upperBound: max, partitionColumn: c_custkey,
@@ -577,11 +577,12 @@ def oracle_sql() -> dict[str, str]:
         "hash_bucket_self_join": f"""
             with t as (
                 select case when o_orderpriority <> '1-URGENT' then o_custkey end as id,
-                       o_orderkey, o_orderpriority, o_totalprice
+                       o_orderkey, o_orderpriority, o_totalprice, row_number() over () as place
                 from orders)
-            select {MD5_BUCKET.format(key='u1.id')} as mod_hash_id, u2.*, count(*) as copies
-            from t u1 full join t u2 on u1.id = u2.id
-            group by all
+            select * exclude (place) from (
+                select {MD5_BUCKET.format(key='u1.id')} as mod_hash_id, u2.*, count(*) as copies
+                from t u1 full join t u2 on u1.id = u2.id
+                group by all)
         """,
         "bucketed_read": "select (l_orderkey % 4)::int as bucket, count(*) as n from lineitem group by 1",
         "date_strides": """

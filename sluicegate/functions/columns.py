@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from sluicegate.plans.strategy import Bounds, timestamp_text
 
 
+def named(*names: str) -> list[Column]:
+    """Columns by their whole name, dots and all."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def typed_literal(df: DataFrame, column: str, value: datetime | date) -> Column:
     """A literal of the column's own type, so that the comparison reaches the scan uncast."""
     return F.lit(timestamp_text(value)).cast(df.schema[column].dataType)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicegate.functions.columns import hash_bucket
+from sluicegate.functions.columns import hash_bucket, named
 
 BUCKET_COLUMN = "mod_hash_id"
 # Keys looked up from a broadcast. Any other key holds less than a thousandth of the rows.
@@ -34,7 +34,8 @@ def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     cold = keyed.join(hot, F.col(key) == F.col("_key"), "left_anti")
     cold = cold.join(counts, F.col(key) == F.col("_key"), "left")
     size = F.coalesce("_n", F.lit(1)).alias(name)
-    return settled.select(*df.columns, size).unionByName(cold.select(*df.columns, size))
+    columns = named(*df.columns)
+    return settled.select(*columns, size).unionByName(cold.select(*columns, size))
 
 
 def self_join_counted(
@@ -49,8 +50,7 @@ def self_join_counted(
     """
     matched = with_group_size(df, key, copies).select(
         hash_bucket(key, buckets, method).alias(BUCKET_COLUMN),
-        *df.columns,
-        copies,
+        *named(*df.columns, copies),
     )
     empty = (
         df.where(F.col(key).isNull())

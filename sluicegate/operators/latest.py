@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluicegate.functions.columns import named
+
 
 def latest_state(versions: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row per key, by ``order`` (later columns break ties, NULL counts as oldest).
@@ -18,6 +20,6 @@ def latest_state(versions: DataFrame, keys: Sequence[str], order: Sequence[str])
     rest = [c for c in versions.columns if c not in keys]
     if not rest:
         return versions.distinct()
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_newest")
-    picked = versions.groupBy(*keys).agg(newest)
-    return picked.select(*(F.col(c) if c in keys else F.col(f"_newest.{c}") for c in versions.columns))
+    newest = F.max_by(F.struct(*named(*rest)), F.struct(*named(*order))).alias("_newest")
+    picked = versions.groupBy(*named(*keys)).agg(newest).select(*named(*keys), "_newest.*")
+    return picked.select(*named(*versions.columns))

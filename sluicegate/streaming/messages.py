@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicegate.functions.columns import named
 from sluicegate.functions.parsing import parse_once
 
 # The fields of a user message, all text.
@@ -40,7 +41,7 @@ def encode_messages(records: DataFrame, key: str | None = None, carry: Sequence[
 
     Messages with one key stay in order on one topic partition.
     """
-    columns = [F.encode(F.to_json(F.struct(*records.columns), TIME_FORMATS), "UTF-8").alias("value")]
+    columns = [F.encode(F.to_json(F.struct(*named(*records.columns)), TIME_FORMATS), "UTF-8").alias("value")]
     if key is not None:
         columns.insert(0, F.col(key).cast("string").cast("binary").alias("key"))
     return records.select(*columns, *carry)
@@ -73,10 +74,10 @@ def split_messages(
     )
     bad = F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull()
     for name in required:
-        bad = bad | F.col(f"data.{name}").isNull()
+        bad = bad | F.col("data").getField(name).isNull()
     return parsed.select(
         F.when(bad, F.lit("rejected")).otherwise(F.lit("accepted")).alias("status"),
-        *(F.col(f"data.{n}") for n in schema.names),
+        *(F.col("data").getField(n).alias(n) for n in schema.names),
         F.when(bad, F.col("_text")).alias("rejected_text"),
         *carry,
     )

@@ -42,6 +42,13 @@ def test_counted_self_join_is_the_full_join(spark, rows):
     assert counted == literal
 
 
+def test_odd_names_and_nested_columns(spark):
+    df = spark.sql("select * from values ('a', map('k', 1), 1), ('a', map('k', 2), 2) as t(id, `m.ap`, `v v`)")
+    found = self_join_counted(df, "id", 2)
+    assert found.columns == ["mod_hash_id", "id", "m.ap", "v v", "copies"]
+    assert sorted((r["m.ap"]["k"], r["copies"]) for r in found.collect()) == [(1, 2), (2, 2)]
+
+
 def test_counted_self_join_past_the_hot_keys(spark, monkeypatch):
     """With room for one hot key the others go through the shuffle."""
     monkeypatch.setattr("sluicegate.operators.buckets.HOT_KEYS", 1)

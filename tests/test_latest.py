@@ -28,6 +28,16 @@ def test_composite_key(spark):
     assert {r["v"] for r in latest_state(df, ["a", "b"], ["t"]).collect()} == {"new", "only"}
 
 
+def test_odd_names_and_nested_columns(spark):
+    df = spark.sql(
+        """select * from values
+           (1, 1, map('k', 1), array('x'), named_struct('p', 1)), (1, 2, map('k', 2), array('y'), named_struct('p', 2))
+           as t(`a.key`, `when `, `m.ap`, arr, `st``r`)"""
+    )
+    (row,) = latest_state(df, ["a.key"], ["when "]).collect()
+    assert row.asDict(recursive=True) == {"a.key": 1, "when ": 2, "m.ap": {"k": 2}, "arr": ["y"], "st`r": {"p": 2}}
+
+
 def test_nothing_but_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "a int")
     assert latest_state(df, ["a"], ["a"]).count() == 2

@@ -8,7 +8,7 @@ config:
   databases:
     - db_name: shop
       job: get_data
-      source_name: a1
+      source_name: main
       source_type: database
       tbl_list:
         - lastUpdate_col: updated_time
@@ -87,7 +87,7 @@ def test_split_key():
 
 
 def test_schema_qualified_names_are_allowed():
-    assert TableSpec("public.uuiddata").table == "public.uuiddata"
+    assert TableSpec("public.readings").table == "public.readings"
 
 
 def test_passwords_come_from_the_environment_only(tmp_path, monkeypatch):
