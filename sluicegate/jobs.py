@@ -84,8 +84,8 @@ def send_users(documents: DataFrame, path: str, servers: str, topic: str = "user
 
 
 def decoded_users(messages: DataFrame) -> DataFrame:
-    """User messages decoded; one that does not parse or has no id is marked as rejected."""
-    return split_messages(messages, USER_MESSAGE, required=["id"], carry=KAFKA_ORDER)
+    """User messages decoded; one that does not parse or has no UUID as its id is marked as rejected."""
+    return split_messages(messages, USER_MESSAGE, required=["id"], carry=KAFKA_ORDER, uuids=["id"])
 
 
 def take_users(

@@ -84,6 +84,9 @@ def extract_all(
     they have finished.
     """
     specs = list(specs)
+    places = [(table_root(root, s), s.job) for s in specs]
+    if len(set(places)) < len(places):
+        raise ValueError("a table is listed twice: its snapshots would replace each other")
 
     def run(spec: TableSpec) -> ExtractResult:
         return extract_table(spark, source_of(spec), spec, start, root, end, hash_method)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.functions.columns import named
+from sluicegate.functions.columns import is_uuid, named
 from sluicegate.functions.parsing import parse_once
 
 # The fields of a user message, all text.
@@ -58,12 +58,17 @@ def decode_messages(messages: DataFrame, schema: T.StructType, carry: Sequence[s
 
 
 def split_messages(
-    messages: DataFrame, schema: T.StructType, required: Sequence[str] = (), carry: Sequence[str] = ()
+    messages: DataFrame,
+    schema: T.StructType,
+    required: Sequence[str] = (),
+    carry: Sequence[str] = (),
+    uuids: Sequence[str] = (),
 ) -> DataFrame:
     """Decoded messages with a ``status`` and, for a rejected one, its text in ``rejected_text``.
 
-    Rejected are messages that do not parse, fields of the wrong type, and NULL in a required field,
-    which would otherwise reach a sink that has it as its key. One pass, no message lost.
+    Rejected are messages that do not parse, fields of the wrong type, NULL in a required field, which
+    would otherwise reach a sink that has it as its key, and a text in one of ``uuids`` that is none.
+    One pass, no message lost.
     """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.col("value").cast("string")
@@ -75,6 +80,8 @@ def split_messages(
     bad = F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull()
     for name in required:
         bad = bad | F.col("data").getField(name).isNull()
+    for name in uuids:
+        bad = bad | F.coalesce(~is_uuid(F.col("data").getField(name)), F.lit(False))
     return parsed.select(
         F.when(bad, F.lit("rejected")).otherwise(F.lit("accepted")).alias("status"),
         *(F.col("data").getField(n).alias(n) for n in schema.names),

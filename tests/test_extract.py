@@ -177,6 +177,8 @@ def test_many_tables_at_once(spark, lake, root):
     results = extract_all(spark, lambda spec: lake, specs, D1, root, at_once=3)
     assert [(r.spec.table, r.rows) for r in results] == [("region", 5), ("nation", 25), ("orders", 1500), ("customer", 150)]
     assert extract_all(spark, lambda spec: lake, [], D1, root) == []
+    with pytest.raises(ValueError, match="twice"):
+        extract_all(spark, lambda spec: lake, [specs[0], specs[1], specs[0]], D1, root)
 
 
 def test_one_failing_table_does_not_stop_the_others(spark, lake, root):

@@ -80,6 +80,21 @@ def test_split(spark, text, status):
     assert row["rejected_text"] == (text if status == "rejected" else None)
 
 
+@pytest.mark.parametrize(
+    "value, status",
+    [
+        ('"0b7e8a52-7c1e-4b55-9d0f-0c6f3a1d2e4f"', "accepted"),
+        ("null", "accepted"),
+        ('"0b7e8a52"', "rejected"),
+        ('""', "rejected"),
+    ],
+)
+def test_uuids(spark, value, status):
+    schema = spark.createDataFrame([], "id string").schema
+    row = split_messages(values(spark, f'{{"id":{value}}}'), schema, uuids=["id"]).first()
+    assert row["status"] == status
+
+
 def test_each_message_is_parsed_once(spark, plan):
     schema = spark.createDataFrame([], "id string, n int").schema
     messages = values(spark, "{}")
