@@ -20,21 +20,23 @@ def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64")
 def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     """Each row with the number of rows that share its key; 1 for a NULL key, which equals no other.
 
-    A first job over the key column alone asks whether any key repeats; where none does, no row is
-    shuffled. Otherwise the ``HOT_KEYS`` largest groups are joined from a broadcast of that many
-    rows at most, and their rows are not shuffled, nor are those without a key; the other rows meet the
-    counts of the remaining repeated keys in a shuffle on the key.
+    A first job over the key column alone asks how many keys repeat. Up to ``HOT_KEYS`` of them are
+    joined from a broadcast, and no row is shuffled. Beyond that the largest ``HOT_KEYS`` groups are, and
+    their rows are not shuffled, nor are those without a key; the other rows meet the counts of the
+    remaining repeated keys in a shuffle on the key.
     """
     keyed = df.where(F.col(key).isNotNull())
     counts = keyed.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    if counts.isEmpty():
-        return df.withColumn(name, F.lit(1).cast("bigint"))
+    columns, size = named(*df.columns), F.coalesce("_n", F.lit(1)).alias(name)
+    repeated = counts.limit(HOT_KEYS + 1).count()
+    if repeated == 0:
+        return df.select(*columns, F.lit(1).cast("bigint").alias(name))
+    if repeated <= HOT_KEYS:
+        return df.join(F.broadcast(counts), F.col(key) == F.col("_key"), "left").select(*columns, size)
     hot = F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS))
     settled = df.join(hot, F.col(key) == F.col("_key"), "left").where(F.col("_key").isNotNull() | F.col(key).isNull())
     cold = keyed.join(hot, F.col(key) == F.col("_key"), "left_anti")
     cold = cold.join(counts, F.col(key) == F.col("_key"), "left")
-    size = F.coalesce("_n", F.lit(1)).alias(name)
-    columns = named(*df.columns)
     return settled.select(*columns, size).unionByName(cold.select(*columns, size))
 
 

@@ -69,18 +69,21 @@ def test_unique_keys_make_the_join_a_projection(lake, rows, plan):
 
 
 @pytest.mark.parametrize("value", ["id", "0"])
-def test_hot_key_does_not_meet_in_one_task(spark, value):
+@pytest.mark.parametrize("other", ["id", "id div 6"])
+def test_hot_key_does_not_meet_in_one_task(spark, value, other):
     """A third of the rows has one key, another third has none, and the rows may all be copies."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     spark.conf.set("spark.sql.shuffle.partitions", 16)
     try:
         df = spark.range(0, 30_000, 1, 16).select(
-            F.when(F.col("id") % 3 == 0, -7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), F.expr(value).alias("v")
+            F.when(F.col("id") % 3 == 0, -7).when(F.col("id") % 3 == 1, F.expr(other)).alias("k"),
+                F.expr(value).alias("v"),
         )
         sized = with_group_size(df, "k", "n").withColumn("task", F.spark_partition_id())
         per_task = [r["rows"] for r in sized.groupBy("task").agg(F.count("*").alias("rows"), F.max("n")).collect()]
         assert max(per_task) < 2 * 30_000 / 16
+        assert sized.where("k >= 0").agg(F.min("n"), F.max("n")).first() == ((1, 1) if other == "id" else (2, 2))
         assert sized.where("k = -7").agg(F.min("n"), F.max("n")).first() == (10_000, 10_000)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
