@@ -83,6 +83,33 @@ def test_users_from_documents_to_keyed_state(spark, tmp_path, rows):
     assert rows(rejected_messages(spark, state), "rejected_text", "offset") == [("{bad", 10**12)] * 2
 
 
+def test_users_are_taken_until_the_query_stops(spark, tmp_path, monkeypatch, rows):
+    one, two = ("0b7e8a52-7c1e-4b55-9d0f-0c6f3a1d2e4%d" % i for i in (1, 2))
+
+    def send(*messages):
+        made = [(f'{{"id":"{i}","first_name":"{n}"}}'.encode(), 0, offset) for i, n, offset in messages]
+        made = spark.createDataFrame(made, "value binary, partition int, offset bigint")
+        made.coalesce(1).write.mode("append").parquet(str(tmp_path / "topic"))
+
+    def read_topic(spark, servers, topic, **settings):
+        assert (servers, topic, settings) == ("h:9092", "users_created", {"fail_on_data_loss": False})
+        return spark.readStream.schema("value binary, partition int, offset bigint").parquet(str(tmp_path / "topic"))
+
+    monkeypatch.setattr(jobs, "read_topic", read_topic)
+    send((one, "a", 0), (two, "b", 1), ("no uuid", "c", 2))
+    state = str(tmp_path / "state")
+    query = jobs.take_users(spark, "h:9092", state, str(tmp_path / "c"), fail_on_data_loss=False)
+    try:
+        query.processAllAvailable()
+        send((one, "d", 3))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    found = current_state(spark, state, ["id"], jobs.KAFKA_ORDER)
+    assert rows(found, "id", "first_name") == [(one, "d"), (two, "b")]
+    assert rows(rejected_messages(spark, state), "offset") == [(2,)]
+
+
 def test_command_line_wants_its_arguments(capsys):
     with pytest.raises(SystemExit):
         jobs.main(["extract", "--tables", "t.yml"])

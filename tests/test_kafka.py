@@ -1,0 +1,66 @@
+"""The Kafka connector is not on the class path here: what is asked of it is recorded instead."""
+
+import pytest
+
+from sluicegate.sources import kafka
+
+
+class Recorder:
+    """Stands for a session, a frame, a reader or a writer, and keeps what it was asked."""
+
+    def __init__(self):
+        self.asked = {}
+
+    def __getattr__(self, name):
+        if name in ("readStream", "write", "writeStream"):
+            self.asked["by"] = name
+            return self
+
+        def ask(*values, **options):
+            if name == "format":
+                self.asked["format"] = values[0]
+            elif name == "option":
+                self.asked[values[0]] = values[1]
+            else:
+                self.asked.update(options)
+            return self
+
+        return ask
+
+
+def test_read_topic():
+    session = Recorder()
+    kafka.read_topic(session, "h:9092", "users_created", fail_on_data_loss=False)
+    assert session.asked == {
+        "by": "readStream",
+        "format": "kafka",
+        **kafka.subscribe_options("h:9092", "users_created", fail_on_data_loss=False),
+    }
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_send(stream):
+    messages = Recorder()
+    expected = {"format": "kafka", "kafka.bootstrap.servers": "h:9092", "topic": "t"}
+    if stream:
+        kafka.send_stream(messages, "h:9092", "t", "/checkpoint")
+        expected |= {"by": "writeStream", "checkpointLocation": "/checkpoint"}
+    else:
+        kafka.send_batch(messages, "h:9092", "t")
+        expected |= {"by": "write"}
+    assert messages.asked == expected
+
+
+def test_topic_options():
+    assert kafka.subscribe_options("h:9092", "users_created") == {
+        "kafka.bootstrap.servers": "h:9092",
+        "subscribe": "users_created",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "true",
+    }
+    options = kafka.subscribe_options("h", "t", "latest", False, max_offsets_per_trigger=1000, min_partitions=64)
+    assert options["failOnDataLoss"] == "false" and options["startingOffsets"] == "latest"
+    assert (options["maxOffsetsPerTrigger"], options["minPartitions"]) == ("1000", "64")
+    for bad in (("", "t"), ("h", ""), ("h", "t", "first")):
+        with pytest.raises(ValueError):
+            kafka.subscribe_options(*bad)

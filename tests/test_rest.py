@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.operators.documents import flatten_quotes, user_records
-from sluicegate.sources import kafka
 from sluicegate.sources.rest import fetch_bodies, fetch_lateral, http_fetcher, land_bodies, plain_fetcher, request_frame
 
 
@@ -127,18 +126,3 @@ def test_user_poll(spark, monkeypatch):
     body = plain_fetcher()({"endpoint": "https://example.invalid/api/"})
     row = user_records(spark.createDataFrame([(body,)], "body string")).first()
     assert (row["first_name"], row["gender"], row["address"]) == ("A", "male", "None None, None, None, None")
-
-
-def test_topic_options():
-    assert kafka.subscribe_options("h:9092", "users_created") == {
-        "kafka.bootstrap.servers": "h:9092",
-        "subscribe": "users_created",
-        "startingOffsets": "earliest",
-        "failOnDataLoss": "true",
-    }
-    options = kafka.subscribe_options("h", "t", "latest", False, max_offsets_per_trigger=1000, min_partitions=64)
-    assert options["failOnDataLoss"] == "false" and options["startingOffsets"] == "latest"
-    assert (options["maxOffsetsPerTrigger"], options["minPartitions"]) == ("1000", "64")
-    for bad in (("", "t"), ("h", ""), ("h", "t", "first")):
-        with pytest.raises(ValueError):
-            kafka.subscribe_options(*bad)
