@@ -57,7 +57,8 @@ def extract_table(
     if files == 0:
         return ExtractResult(spec, strategy, shape, first, False, 0, 0, None)
 
-    df = source.read(spec, source.split(spec, rows if since is None and until is None else None), since, until)
+    total = rows if since is None and until is None else None
+    df = source.read(spec, source.split(spec, total, since, until), since, until)
     path = snapshot_path(root, spec, start)
     if shape == "bucketed":
         df = with_bucket(df, spec.bucket_key, spec.buckets, hash_method)

@@ -17,10 +17,18 @@ class Source(Protocol):
     ) -> DataFrame:
         """One row, one column ``n``."""
 
-    def key_range_frame(self, spec: TableSpec) -> DataFrame:
+    def key_range_frame(
+        self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
+    ) -> DataFrame:
         """One row, ``lo`` and ``hi`` of the split column."""
 
-    def split(self, spec: TableSpec, total_rows: int | None = None) -> Bounds | None:
+    def split(
+        self,
+        spec: TableSpec,
+        total_rows: int | None = None,
+        since: datetime | None = None,
+        until: datetime | None = None,
+    ) -> Bounds | None:
         """The bounds a read by the split column needs, or None where the source splits by itself."""
 
     def read(
@@ -39,10 +47,20 @@ def count_rows(
     return int(source.count_frame(spec, since, until).first()[0])
 
 
-def find_bounds(source: Source, spec: TableSpec, total_rows: int | None = None) -> Bounds:
-    """Bounds of the split column; asks the source only for what the spec leaves open."""
+def find_bounds(
+    source: Source,
+    spec: TableSpec,
+    total_rows: int | None = None,
+    since: datetime | None = None,
+    until: datetime | None = None,
+) -> Bounds:
+    """Bounds of the split column; asks the source only for what the spec leaves open.
+
+    The range is that of the rows to be read: new rows tend to have the highest keys, and strides over
+    all keys would leave them to the last one.
+    """
     if needs_key_range(spec):
-        lo, hi = source.key_range_frame(spec).first()
+        lo, hi = source.key_range_frame(spec, since, until).first()
         return resolve_bounds(spec, 0, (lo, hi))
     if needs_row_count(spec) and total_rows is None:
         total_rows = count_rows(source, spec)

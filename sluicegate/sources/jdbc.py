@@ -64,9 +64,11 @@ class JdbcSource:
     ) -> str:
         return f"select count(*) as n from {spec.table}{self._where(spec, since, until)}"
 
-    def key_range_query(self, spec: TableSpec) -> str:
+    def key_range_query(
+        self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
+    ) -> str:
         key = spec.partition_column
-        return f"select min({key}) as lo, max({key}) as hi from {spec.table}"
+        return f"select min({key}) as lo, max({key}) as hi from {spec.table}{self._where(spec, since, until)}"
 
     def table_text(
         self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
@@ -94,11 +96,19 @@ class JdbcSource:
     ) -> DataFrame:
         return self._load(query=self.count_query(spec, since, until))
 
-    def key_range_frame(self, spec: TableSpec) -> DataFrame:
-        return self._load(query=self.key_range_query(spec))
+    def key_range_frame(
+        self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
+    ) -> DataFrame:
+        return self._load(query=self.key_range_query(spec, since, until))
 
-    def split(self, spec: TableSpec, total_rows: int | None = None) -> Bounds | None:
-        return find_bounds(self, spec, total_rows) if spec.partition_column else None
+    def split(
+        self,
+        spec: TableSpec,
+        total_rows: int | None = None,
+        since: datetime | None = None,
+        until: datetime | None = None,
+    ) -> Bounds | None:
+        return find_bounds(self, spec, total_rows, since, until) if spec.partition_column else None
 
     def read(
         self,

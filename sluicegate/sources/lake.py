@@ -35,11 +35,19 @@ class LakeSource:
     ) -> DataFrame:
         return self._interval(spec, since, until).agg(F.count("*").alias("n"))
 
-    def key_range_frame(self, spec: TableSpec) -> DataFrame:
+    def key_range_frame(
+        self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
+    ) -> DataFrame:
         key = spec.partition_column
-        return self.table(spec.table).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        return self._interval(spec, since, until).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
 
-    def split(self, spec: TableSpec, total_rows: int | None = None) -> Bounds | None:
+    def split(
+        self,
+        spec: TableSpec,
+        total_rows: int | None = None,
+        since: datetime | None = None,
+        until: datetime | None = None,
+    ) -> Bounds | None:
         return None
 
     def read(
