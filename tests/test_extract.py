@@ -88,6 +88,13 @@ def test_empty_extract_writes_nothing(spark, source, root, first):
     assert len(completed_dates(spark, table_root(root, spec), "get_data")) == (0 if first else 1)
 
 
+def test_empty_rerun_keeps_the_date(spark, source, root):
+    extract_table(spark, source, DATED, D1, root)
+    extract_table(spark, source, DATED, D3, root)
+    assert not extract_table(spark, source, DATED, D3, root, end=D3).written
+    assert per_date(spark, root, DATED) == {20240101: 20, 20240103: 8}
+
+
 def test_empty_table(spark, write_table, root):
     source = write_table("t", spark.createDataFrame([], "id bigint, ts timestamp_ntz"))
     for spec in (DATED, KEYED, KEYLESS):
