@@ -49,6 +49,15 @@ from sluicegate.streaming.stream import (  # noqa: E402
     rejected_messages,
 )
 
+# The one place that does without the training-data subpackage and its pipeline where they are not installed.
+try:
+    import corpus_pipeline
+    from sluicegate.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "sluicegate.llm", "sluicegate.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 ORDERS_START = datetime(1998, 1, 1)
 EVENT_DAYS = [datetime(2024, 1, d) for d in (1, 2, 3)]
@@ -473,7 +482,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return read_snapshots(spark, table_root(root, spec), spec.job)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "count_probe": count_probe,
         "filtered_count_probe": filtered_count_probe,
@@ -552,7 +561,7 @@ def _bounds_sql(lower: str, upper: str) -> str:
     """
 
 
-def oracle_sql() -> dict[str, str]:
+def library_sql() -> dict[str, str]:
     return {
         "count_probe": "select count(*) as n from orders",
         "filtered_count_probe": "select count(*) as n from orders where o_orderdate >= timestamp '1998-01-01'",
@@ -659,3 +668,16 @@ def oracle_sql() -> dict[str, str]:
         "keyed_upsert_stream": LATEST_PER_USER,
         "keyed_compaction": LATEST_PER_USER,
     }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return library_queries()
+    return library_queries() | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def oracle_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return library_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return library_sql() | llm_queries.oracle_sql() | pipeline
