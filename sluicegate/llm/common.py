@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluicegate.functions.columns import named
 from sluicegate.session import new_work_dir
@@ -42,15 +41,9 @@ def ceil_div(rows: int, per: int) -> int:
     return max(1, -(-int(rows) // int(per)))
 
 
-def arrow_map(schema: pa.Schema, work: Callable[[dict], dict]) -> Callable:
-    """For ``mapInArrow``: ``work`` turns the columns of a batch, as lists, into the columns of another."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield to_batch(work(batch.to_pydict()), schema)
-
-    return run
+def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
+    """A schema with more fields behind its own."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
 
 
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import column, to_batch, uniform
+from sluicegate.llm.common import column, to_batch, uniform, with_fields
 
 UNKNOWN = "und"
 #: Texts are parsed side by side in stretches of so many characters; a phrase ends with its stretch.
@@ -221,7 +221,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tu
     """
     rows = docs.select(column(text).alias("_text"), *(column(c) for c in keep))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("lang_score", "double")
+    schema = with_fields(rows.drop("_text").schema, "lang_pred string, lang_score double")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

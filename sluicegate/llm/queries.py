@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import language, packing, quality
+from sluicegate.llm import language, ngram_lm, packing, prob_minhash, quality, sentencepiece_bpe
 from sluicegate.llm.common import remainder
 
 CAPACITY = 2048
@@ -23,10 +23,38 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32("text"))
+    model = vocabulary("piece_bpe_32k.model")
+    coded = sentencepiece_bpe.encode_texts(docs, model, seed=1, keep=("doc_id", "text_crc32"), decode_back=True)
+    lossless = F.crc32("decoded").eqNullSafe(F.col("text_crc32"))
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), lossless.alias("lossless"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), capacity=CAPACITY)
 
 
+def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 5) == 1
+    found = ngram_lm.score(docs, train=~held_out, keep=("doc_id",))
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("lm_tokens").alias("n_tokens"),
+        F.col("lm_known").alias("n_known"),
+        F.col("lm_train_tokens").alias("train_tokens"),
+        F.col("lm_base").alias("base_score"),
+        F.col("lm_score").alias("score"),
+    )
+
+
+def op7_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "component_id", "kept")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 3) == 1
@@ -46,7 +74,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_packing": op5_packing,
+        "op6_ngram_lm": op6_ngram_lm,
+        "op7_prob_minhash": op7_prob_minhash,
         "op8_language": op8_language,
         "op9_quality": op9_quality,
     }
