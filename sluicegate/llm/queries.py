@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import language, ngram_lm, packing, prob_minhash, quality, sentencepiece_bpe
+from sluicegate.llm import (
+    cap_filters,
+    language,
+    ngram_lm,
+    packing,
+    prob_minhash,
+    quality,
+    sentencepiece_bpe,
+    topk,
+    url_rules,
+)
 from sluicegate.llm.common import remainder
 
 CAPACITY = 2048
+# The rules that URLs are judged by.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +41,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0)
+
+
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"select * from values {values} as rules(host, path, verdict)")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules, keep=("page_id",))
+
+
+def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32("text"))
     model = vocabulary("piece_bpe_32k.model")
@@ -74,6 +106,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_topk": op1_topk,
+        "op2_url_rules": op2_url_rules,
+        "op3_cap_filters": op3_cap_filters,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_packing": op5_packing,
         "op6_ngram_lm": op6_ngram_lm,
@@ -83,5 +118,59 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _topk_sql() -> str:
+    return """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as x from embeddings
+            where embedding is not null and not list_contains(list_transform(embedding, lambda x: x is null or not isfinite(x)), true)),
+        s as (
+            select q.vec_id as query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::bigint as score
+            from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id)
+        select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+        from s qualify rank <= 20
+    """
+
+
+def _url_sql() -> str:
+    rules = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    return f"""
+        with cut as (
+            select page_id, row_number() over () as row,
+                   case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+            from pages),
+        split as (
+            select page_id, row,
+                   translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+            from cut),
+        rules(rule_host, rule_path, action) as (values {rules})
+        select page_id, host, path, rule_host || rule_path as rule, coalesce(action, 'allow') as verdict
+        from split left join rules
+            on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        qualify row_number() over (partition by row order by length(rule_host || rule_path) desc, length(rule_host) desc) = 1
+    """
+
+
+def _near_vectors_sql() -> str:
+    return """
+        with recursive v as (select vec_id, label, list_transform(embedding, lambda x: x::double) as x from embeddings),
+        links as (
+            select a.vec_id as a, b.vec_id as b from v a join v b
+            on a.label = b.label and a.vec_id <> b.vec_id
+            and list_inner_product(a.x, b.x) / sqrt(list_inner_product(a.x, a.x) * list_inner_product(b.x, b.x)) >= 0.93),
+        reach(vec_id, other) as (
+            select vec_id, vec_id from v
+            union select reach.vec_id, links.b from reach join links on reach.other = links.a)
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+        from (select vec_id, min(other) as component_id from reach group by 1)
+        left join (select a, count(*) as n from links group by 1) on a = vec_id
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_topk": _topk_sql(),
+        "op2_url_rules": _url_sql(),
+        "op3_cap_filters": _near_vectors_sql(),
+    }
