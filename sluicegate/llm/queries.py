@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluicegate.llm import (
     cap_filters,
     language,
+    line_dedup,
     ngram_lm,
     packing,
     prob_minhash,
@@ -104,6 +105,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_later_lines(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return found.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
@@ -115,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_prob_minhash": op7_prob_minhash,
         "op8_language": op8_language,
         "op9_quality": op9_quality,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
