@@ -7,35 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import language, packing, quality
+from sluicegate.llm import language, line_dedup, packing, prob_minhash, quality
 from sluicegate.llm.common import column, landed
 from sluicegate.llm.queries import CAPACITY, table, vocabulary
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 #: The stages learn, hash and tokenize; SQL cannot express them. The tests hold them against plain versions.
 ORACLE_SQL = None
 
 
-def _clear(docs: DataFrame, *names: str) -> DataFrame:
+def _documents(df: DataFrame) -> DataFrame:
     """Only the columns of documents, so that no other one can clash."""
-    return docs.select(*(column(c) for c in COLUMNS))
+    return df.select(*(column(c) for c in COLUMNS))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter, NULL ones among them, in which no language can be read."""
-    docs = _clear(docs)
-    model = language.learn(docs)
-    found = language.identify(docs.withColumn("_whole", F.col("text")), model, text="_whole", keep=tuple(COLUMNS))
-    return _clear(found.where(F.col("lang_pred") != language.UNKNOWN))
+    """Rejects texts without a letter, NULL ones among them: no language can be read in them."""
+    docs = _documents(docs)
+    found = language.identify(docs, language.learn(docs), keep=COLUMNS)
+    return _documents(found.where(F.col("lang_pred") != language.UNKNOWN))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that score below the threshold, by a model of all labelled ones among those that came."""
-    docs = _clear(docs)
+    """Rejects documents that score below the threshold, by a model of the labelled ones among those that came."""
+    docs = _documents(docs)
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
-    found = quality.score(docs.withColumn("_whole", F.col("text")), model, text="_whole", keep=tuple(COLUMNS))
-    return _clear(found.where(F.col("quality_score") >= model.at))
+    found = quality.score(docs, model, keep=COLUMNS)
+    return _documents(found.where(F.col("quality_score") >= model.at))
+
+
+def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes lines out that match an earlier one. Every document stays, with an empty text if all its lines go."""
+    kept = tuple(c for c in COLUMNS if c != "text")
+    found = line_dedup.remove_later_lines(_documents(docs), keep=kept)
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return _documents(found.withColumn("n_chars", changed))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group. Equal rows are one document; those without a key are in no group."""
+    docs = _documents(docs).withColumn("text_hash", F.xxhash64("text"))
+    found = prob_minhash.near_duplicates(docs)
+    dropped = found.where(~F.col("kept")).select("doc_id", "text_hash").distinct()
+    keyed = docs.where("doc_id is not null").join(dropped, ["doc_id", "text_hash"], "left_anti")
+    keyed = keyed.dropDuplicates(["doc_id", "text_hash"])
+    return _documents(keyed.unionByName(docs.where("doc_id is null")))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +62,8 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", identify_language),
     ("quality", classify_quality),
+    ("line_dedup", remove_lines),
+    ("minhash", drop_near_duplicates),
     ("packing", pack_documents),
 ]
 

@@ -26,6 +26,13 @@ def column(name: str) -> Column:
     return named(name)[0]
 
 
+def with_text(df: DataFrame, text: str, keep: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """The columns of ``keep`` and the text, which goes to Python once even where it is kept; and its place."""
+    if text in keep:
+        return df.select(*named(*keep)), keep.index(text)
+    return df.select(*named(*keep), column(text).alias("_text")), len(keep)
+
+
 def remainder(key: Column | str, divisor: int) -> Column:
     """CRC32 of a key's text, modulo ``divisor``; NULL for a NULL key."""
     key = column(key) if isinstance(key, str) else key

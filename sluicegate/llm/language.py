@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import column, to_batch, uniform, with_fields
+from sluicegate.functions.columns import named
+from sluicegate.llm.common import column, to_batch, uniform, with_fields, with_text
 
 UNKNOWN = "und"
 #: Texts are parsed side by side in stretches of so many characters; a phrase ends with its stretch.
@@ -219,22 +220,22 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tu
     ``und`` with score 0 where the text is NULL or has no letter, or where nothing was learned. The
     model, whose size its sample bounds, is broadcast. Ties go to the name that sorts first.
     """
-    rows = docs.select(column(text).alias("_text"), *(column(c) for c in keep))
+    rows, at = with_text(docs, text, keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = with_fields(rows.drop("_text").schema, "lang_pred string, lang_score double")
+    schema = with_fields(rows.select(*named(*keep)).schema, "lang_pred string, lang_score double")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(at).to_pylist()
             names, scores = [], []
             for part in _by_size(texts):
                 found = judge(model, part)
                 names += found[0]
                 scores += found[1]
             out = to_batch({"lang_pred": names, "lang_score": scores}, OUT)
-            columns = [*batch.columns[1:], *out.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[1:], *out.schema.names])
+            columns = [*batch.columns[: len(keep)], *out.columns]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *out.schema.names])
 
     return rows.mapInArrow(run, schema)
 

@@ -243,8 +243,8 @@ def near_duplicates(
     bands: int = 16,
     rows: int = 4,
 ) -> DataFrame:
-    """Per row its group: ``doc_id``, ``component_id`` (the smallest ``doc_id`` that links reach), ``kept``
-    (whether that is its own), ``text_hash`` (of the text as Spark's ``xxhash64``).
+    """Per row its group: ``doc_id``, ``component_id`` (the smallest ``doc_id`` that links reach), ``kept`` (whether
+    it is that document, of two texts under one ``doc_id`` one), ``text_hash`` (the text's ``xxhash64`` in Spark).
 
     Two documents are linked when their shingles of ``length`` words, weighted by how often they come, have a
     probability Jaccard of ``least`` or more, verified exactly. Candidates share one of ``bands`` bands of
@@ -288,11 +288,15 @@ def near_duplicates(
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
-    grouped = nodes.select("node", F.col("first.doc_id").alias("own")).join(found, "node", "left")
+    grouped = nodes.select("node", "first").join(found, "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
-    least_id = grouped.groupBy("component").agg(F.min("own").alias("component_id"))
-    grouped = landed(grouped.join(least_id, "component").select("node", "component_id"), "groups")
+    heads = grouped.groupBy("component").agg(F.min("first").alias("head"))
+    grouped = landed(grouped.join(heads, "component").select("node", "head"), "groups")
     out = signed.select("doc_id", "text_hash", "node").join(grouped, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    out = out.select("doc_id", "text_hash", component.alias("component_id"))
-    return out.select("doc_id", "component_id", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)).alias("kept"), "text_hash")
+    own = F.struct("doc_id", "text_hash")
+    return out.select(
+        "doc_id",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("head.doc_id", "doc_id")).alias("component_id"),
+        (F.col("doc_id").isNull() | F.col("head").isNull() | (F.col("head") == own)).alias("kept"),
+        "text_hash",
+    )
