@@ -92,7 +92,8 @@ def search_block(
             rows, score = rows[np.isfinite(score)], score[np.isfinite(score)]
             if wide:
                 whole = [int(x) for x in part[:, q]]
-                score = np.array([sum(x * int(y) for x, y in zip(whole, vectors[:, r])) for r in rows], dtype=object)
+                exact = (sum(x * int(y) for x, y in zip(whole, vectors[:, r])) for r in rows)
+                score = np.array([max(-LONG, min(LONG - 1, s)) for s in exact], dtype=object)
             order = sorted(range(len(rows)), key=lambda i: (-score[i], ids[rows[i]])) if wide else np.lexsort((ids[rows], -score))
             order = np.array(order[:k], dtype=np.int64)
             out.append((rows[order], score[order]))
@@ -110,7 +111,7 @@ def _search(k: int, step: int):
                     {
                         "query_id": np.repeat(query_ids, [len(r) for r, _ in found]),
                         "vec_id": np.concatenate([ids[r] for r, _ in found]),
-                        "score": [max(-LONG, min(LONG - 1, int(s))) for _, x in found for s in x],
+                        "score": [int(s) for _, x in found for s in x],
                     }
                 )
 
@@ -137,7 +138,7 @@ def top_k(
 
     A vector that is NULL, empty or holds a NULL or non-finite component takes no part, nor does a NULL id. Vectors
     of different lengths are not compared. Of rows with one id the least vector counts, once; no row
-    is its own candidate. A score beyond the range of a long stays at its end. An empty table gives no rows.
+    is its own candidate. A score beyond the range of a long is the end of the range, before ranking. An empty table gives no rows.
     """
     scaled = F.transform(column(vector).cast("array<double>"), lambda x: x * F.lit(float(scale)))
     rows = vectors.where(usable(vector)).select(column(key).cast("long").alias("id"), scaled.alias("vector"))
