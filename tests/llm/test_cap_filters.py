@@ -1,0 +1,93 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from helpers import Groups
+from sluicegate.llm import cap_filters
+
+
+def rows_for(seed=1):
+    rng = np.random.default_rng(seed)
+    rows, n = [], 0
+    for group in range(25):
+        centre = rng.standard_normal(24)
+        centre /= np.linalg.norm(centre)
+        for _ in range(int(rng.integers(1, 9))):
+            noise = rng.standard_normal(24) * rng.choice([0.0, 0.02, 0.05, 0.08])
+            rows.append((n, (3.0 * (centre + noise)).tolist(), int(group % 3)))
+            n += 1
+    same = rows[0][1]
+    rows += [(n + i, same, rows[0][2]) for i in range(30)]
+    rows += [(500, same, None), (501, None, 1), (502, [0.0] * 24, 1), (503, [0.0] * 24, 1)]
+    rows += [(504, [float("nan")] * 24, 1), (505, [1.0, None] * 12, 1), (506, [], 1), (507, same[:12], 0), (508, same[:12], 0)]
+    rows += [(None, same, rows[0][2]), (None, same, rows[0][2]), rows[3], rows[3], (509, [1e300] * 24, 2), (510, [1e-300] * 24, 2)]
+    return rows
+
+
+def brute(rows, least=0.93):
+    vectors = {}
+    for i, v, label in rows:
+        if i is not None:
+            fine = v and all(x is not None and math.isfinite(x) for x in v) and any(v) and label is not None
+            vectors[i] = (label, np.array(v) / np.abs(v).max()) if fine else None
+    plain, links = Groups(), dict.fromkeys(vectors, 0)
+    for a in vectors:
+        plain.find(a)
+        for b in vectors:
+            if a >= b or vectors[a] is None or vectors[b] is None or vectors[a][0] != vectors[b][0]:
+                continue
+            x, y = vectors[a][1], vectors[b][1]
+            if len(x) == len(y) and x @ y / math.sqrt((x @ x) * (y @ y)) >= least:
+                plain.join(a, b)
+                links[a] += 1
+                links[b] += 1
+    return sorted((i, links[i], plain.find(i), plain.find(i) == i) for i in vectors)
+
+
+def found(spark, rows):
+    df = spark.createDataFrame([(i, v, k, "x", 3) for i, v, k in rows], "vec_id long, embedding array<double>, label int, node string, cap int")
+    return [tuple(r) for r in cap_filters.near_vectors(df).collect()]
+
+
+@pytest.mark.parametrize("block", [256, 5])
+def test_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(cap_filters, "BLOCK", block)
+    got = found(spark, rows_for())
+    assert sorted(r for r in got if r[0] is not None) == brute(rows_for())
+    assert [r for r in got if r[0] is None] == [(None, 0, None, True)] * 2
+
+
+def test_no_rows(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(1, None, 2)]) == [(1, 0, 1, True)]
+
+
+def test_decoding_lists_the_best_directions():
+    rng = np.random.default_rng(0)
+    code = cap_filters.build_code(10, 5, parts=3, seed=1)
+    unit = rng.standard_normal((20, 10))
+    turned = (unit @ code.rotation).reshape(20, 3, -1)
+    sums = np.einsum("npd,pwd->npw", turned, code.books)
+    every = (sums[:, 0, :, None, None] + sums[:, 1, None, :, None] + sums[:, 2, None, None, :]).reshape(20, -1)
+    listed = cap_filters.decode_caps(code, unit, 9)
+    for row, numbers in enumerate(listed):
+        assert set(numbers) == set(np.argsort(-every[row])[:9])
+
+
+@pytest.mark.parametrize("n, least", [(51_282, 0.995), (5_000_000, 0.985)])
+def test_recall_at_the_threshold(n, least):
+    rng = np.random.default_rng(3)
+    a = rng.standard_normal((2000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal(a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * b
+    hit = np.zeros(len(a), dtype=bool)
+    for c in range(3):
+        code = cap_filters.build_code(64, round((16 * n) ** 0.25), seed=c)
+        x, y = (cap_filters.decode_caps(code, v, 16) for v in (a, b))
+        hit |= (x[:, :, None] == y[:, None, :]).any(axis=(1, 2))
+    assert hit.mean() >= least

@@ -1,0 +1,23 @@
+import random
+
+import pytest
+
+from helpers import Groups
+from sluicegate.llm.components import components
+
+
+@pytest.mark.parametrize("kind", ["path", "star", "random", "none"])
+def test_components_equal_union_find(spark, kind):
+    rng = random.Random(1)
+    links = {
+        "path": [(i, i + 1) for i in range(60)],
+        "star": [(7, i) for i in range(50)] + [(100, 101)],
+        "random": [(rng.randrange(80), rng.randrange(80)) for _ in range(60)],
+        "none": [],
+    }[kind]
+    plain = Groups()
+    for a, b in links:
+        if a != b:
+            plain.join(a, b)
+    found = components(spark.createDataFrame(links + links[:5], "a long, b long"))
+    assert {r[0]: r[1] for r in found.collect()} == {x: plain.find(x) for x in plain.parent}

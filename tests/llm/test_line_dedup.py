@@ -1,0 +1,68 @@
+import random
+import re
+
+import pytest
+
+from helpers import SF_DIR, WORDS, awkward, documents, sentence
+from sluicegate.llm import line_dedup
+
+
+def brute(rows, least=0.8):
+    """Texts, lines and removed lines by comparing each line with all that come earlier."""
+    order = sorted({(i is not None, i, t) for i, t in rows if t is not None}, key=lambda r: (r[0], r[1] or 0))
+    earlier, out = [], {}
+    for _, doc, text in order:
+        stay = []
+        for line in text.split("\n"):
+            words = frozenset(w for w in re.split(r"[ \t\n\x0b\f\r]+", line.lower()) if w)
+            hit = words and any(len(words & e) >= least * len(words | e) - 1e-9 for e in earlier)
+            if words:
+                earlier.append(words)
+            if not hit:
+                stay.append(line)
+        out[doc, text] = ("\n".join(stay), text.count("\n") + 1, text.count("\n") + 1 - len(stay))
+    return sorted(((i, *(out[i, t] if t is not None else (None, 0, 0))) for i, t in rows), key=repr)
+
+
+def rows_for():
+    rng = random.Random(6)
+    pool = [sentence(rng, rng.randrange(1, 25)) for _ in range(30)] + ["oak", "", "  ", "ash elm", "elm Ash", "a b c d", "a b c d e"]
+    rows = []
+    for i in range(60):
+        lines = []
+        for _ in range(rng.randrange(1, 9)):
+            words = rng.choice(pool).split(" ")
+            if rng.random() < 0.4 and len(words) > 1:
+                words[rng.randrange(len(words))] = rng.choice(WORDS)
+            lines.append(" ".join(words).upper() if rng.random() < 0.1 else " ".join(words))
+        rows.append((200 + i, "\n".join(lines)))
+    rows += [(1000 + i, "the common line of many documents\n" + rows[i][1]) for i in range(40)]
+    return [(i, t) for i, t in rows + awkward() if i is not None] + [(None, "oak\nfir"), (200, rows[0][1])]
+
+
+@pytest.mark.parametrize("least", [0.8, 0.5, 1.0])
+def test_equals_brute_force(spark, least):
+    rows = rows_for()
+    df = line_dedup.remove_later_lines(documents(spark, rows), least=least, keep=("doc_id",))
+    assert df.columns == ["doc_id", "text", "n_lines", "n_removed"]
+    assert sorted((tuple(r) for r in df.collect()), key=repr) == brute(rows, least)
+
+
+def test_given_documents(spark):
+    df = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    got = line_dedup.remove_later_lines(df, keep=("doc_id",)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+
+
+def test_no_rows(spark):
+    assert line_dedup.remove_later_lines(documents(spark, []), keep=("doc_id",)).collect() == []
+    got = line_dedup.remove_later_lines(documents(spark, [(1, None), (2, "")]), keep=("doc_id", "lang")).collect()
+    assert sorted(map(tuple, got), key=repr) == [(1, "en", None, 0, 0), (2, "en", "", 1, 0)]
+
+
+def test_stays_in_the_jvm_and_shuffles_texts_once(spark, plan):
+    df = line_dedup.remove_later_lines(spark.read.parquet(f"{SF_DIR}/documents.parquet"), keep=("doc_id",))
+    df.collect()
+    text = plan(df)
+    assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", text)

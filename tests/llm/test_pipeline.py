@@ -1,0 +1,62 @@
+import re
+
+import corpus_pipeline
+from helpers import awkward, documents
+from test_line_dedup import brute as brute_lines
+from test_prob_minhash import brute as brute_groups
+from test_packing import check
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    """Each stage against a plain version, on what the one before it left."""
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["language", "quality", "line_dedup", "minhash", "packing"]
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    extra = documents(spark, [(i if i is None else 10_000 + i, t) for i, t in awkward()])
+    docs = spark.createDataFrame(given.unionByName(extra.select(given.columns)).collect(), given.schema)
+    steps = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        docs = spark.createDataFrame(stage(spark, docs, SF_DIR).collect(), given.schema)
+        assert docs.columns == given.columns
+        steps[name] = (before, [tuple(r) for r in docs.select("doc_id", "text").collect()])
+
+    before, after = steps["language"]
+    assert sorted(after, key=repr) == sorted((r for r in before if re.search(r"[^\W\d_]", r[1] or "")), key=repr)
+    before, after = steps["quality"]
+    assert set(after) <= set(before) and len(after) < len(before)
+    bad = {r[0] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 0").collect()}
+    good = {r[0] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1").collect()}
+    kept, came = {r[0] for r in after}, {r[0] for r in before}
+    assert len(bad & kept) <= 0.05 * len(bad & came) and len(good & kept) >= 0.97 * len(good & came)
+    before, after = steps["line_dedup"]
+    assert sorted(after, key=repr) == sorted(((r[0], r[1]) for r in brute_lines(before)), key=repr)
+    before, after = steps["minhash"]
+    own = {i for i, _, first in brute_groups(before) if first}
+    assert sorted({r for r in before if r[0] in own or r[0] is None}, key=repr) == sorted(set(after), key=repr)
+    check([tuple(r) for r in docs.select("doc_id", "text").collect()], corpus_pipeline.pack_documents(spark, docs, SF_DIR).collect(), 2048)
+
+
+def test_run_is_the_stages_in_turn(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_DIR)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    columns = ("doc_id", "doc_tokens")
+    expected = corpus_pipeline.pack_documents(spark, docs, SF_DIR).select(*columns).distinct().collect()
+    assert sorted(corpus_pipeline.run(spark, SF_DIR).select(*columns).distinct().collect()) == sorted(expected)
+
+
+def test_no_documents(spark):
+    docs = documents(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF_DIR).collect() == []
+
+
+def test_near_copies_that_line_dedup_leaves_are_one(spark):
+    rows = [(i, t) for i, t in awkward() if i is not None]
+    got = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), SF_DIR).collect()
+    own = {i for i, _, first in brute_groups(rows) if first}
+    assert sorted(r.doc_id for r in got) == sorted(own)

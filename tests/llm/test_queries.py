@@ -1,0 +1,45 @@
+import glob
+import os
+
+import duckdb
+import pytest
+
+from compare import same
+from helpers import SF_DIR
+from sluicegate.llm import queries
+
+QUERIES, ORACLES = queries.queries(), queries.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"create view {name} as select * from read_parquet('{path}')")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, duck, name):
+    same(QUERIES[name](spark, SF_DIR), duck.execute(ORACLES[name]))
+
+
+def test_one_query_per_operator():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+
+
+# The columns each query has to return.
+COLUMNS = {
+    "op5_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op6_ngram_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op8_language": "doc_id held_out lang_pred score",
+    "op9_quality": "doc_id held_out score predicted",
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_columns(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    assert set(COLUMNS[name].split()) <= set(df.columns)
+    assert df.select("doc_id").distinct().count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()

@@ -1,0 +1,75 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from sluicegate.llm import topk
+
+
+def brute(rows, k, scale=64):
+    vectors = {}
+    for i, v in rows:
+        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        vectors[i] = min(vectors.get(i, v), v)
+    whole = {i: [math.floor(scale * x) for x in v] for i, v in vectors.items()}
+    out = []
+    for q in sorted(i for i in whole if i % 20 == 0):
+        scores = [
+            (-sum(a * b for a, b in zip(whole[q], v)), i)
+            for i, v in whole.items()
+            if i != q and len(v) == len(whole[q])
+        ]
+        out += [(q, r + 1, i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def found(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, q int, width string")
+    return sorted(tuple(r) for r in topk.top_k(df, lambda key: key % 20 == 0, **options).collect())
+
+
+def awkward(seed=5, n=130, width=10):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(width)]) for i in range(n)]
+    rows += [(n + i, rows[7][1]) for i in range(40)]
+    return rows + [
+        (n, rows[n][1]),
+        (20, [5.0] * width),
+        (1000, None),
+        (1020, []),
+        (1040, [1.0, None] * 5),
+        (1060, [float("nan")] * width),
+        (1080, [float("inf")] * width),
+        (1100, [0.5, 0.5]),
+        (1101, [0.5, 0.25]),
+        (1120, [0.0] * width),
+        (None, [1.0] * width),
+    ]
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 16, "query_rows": 2, "step": 3}, {"k": 3, "step": 4, "block_rows": 40}])
+def test_equals_brute_force(spark, options):
+    assert found(spark, awkward(), **options) == brute(awkward(), options.get("k", 20))
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.uniform(-1, 1) * 10.0 ** rng.choice([3, 6, 7]) for _ in range(6)]) for i in range(45)]
+    assert found(spark, rows, k=5, step=2) == brute(rows, 5)
+
+
+def test_no_rows(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(1, [1.0]), (2, None)]) == []
+
+
+def test_most_candidates_are_dropped_before_the_last_dimensions():
+    rng = np.random.default_rng(0)
+    centre = rng.standard_normal(64)
+    vectors = np.floor(64 * rng.standard_normal((64, 4000)) * 0.1)
+    vectors[:, :40] = np.floor(64 * (centre[:, None] + 0.01 * rng.standard_normal((64, 40))))
+    queries = np.floor(64 * centre)[:, None]
+    rows, scores = topk.search_block(np.array([-1]), queries, np.arange(4000), vectors, 20, 16)[0]
+    assert set(rows) <= set(range(40)) and (np.diff(scores) <= 0).all()
