@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sluicegate.functions.columns import named
 from sluicegate.operators.latest import latest_state
-from sluicegate.sources.storage import child_names, completed, is_complete
+from sluicegate.sources.storage import child_names, completed, is_complete, remove_folder
+
+BUCKET = "_bucket"
 
 
 def append_stream(
@@ -47,6 +52,10 @@ def _base(path: str) -> str:
     return f"{path}/base"
 
 
+def _manifests(path: str) -> str:
+    return f"{path}/manifest"
+
+
 def _rejected(path: str) -> str:
     return f"{path}/rejected"
 
@@ -65,14 +74,16 @@ def keyed_upsert_stream(
 ) -> StreamingQuery:
     """Keep the last write per key, without a table format.
 
-    Each micro-batch is reduced to one row per key and written as ``log/batch_id=N``. The write
-    replaces that folder, so a batch replayed after a failure replaces itself. Of messages that went
-    through ``split_messages`` the rejected ones are written whole to ``rejected/batch_id=N``.
+    Each micro-batch is reduced to one row per key and written as ``log/query=ID/batch_id=N``. The write
+    replaces that folder, so a batch replayed after a failure replaces itself. The id is the query's, which
+    its checkpoint holds: with a new checkpoint batches count from 0 again, below another id. Of messages that went
+    through ``split_messages`` the rejected ones are written whole to ``rejected/query=ID/batch_id=N``.
     """
     split = {"status", "rejected_text"} <= set(stream.columns)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"batch_id={batch_id:012d}"
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"query={query}/batch_id={batch_id:012d}"
         if not split:
             latest_state(batch, keys, order).write.mode("overwrite").parquet(f"{_log(path)}/{folder}")
             return
@@ -91,48 +102,94 @@ def keyed_upsert_stream(
     return writer.start()
 
 
-def _state_files(spark: SparkSession, path: str) -> tuple[list[str], int]:
-    """Folders that make up the state now: the newest base and the batches after it.
+def _batches(spark: SparkSession, folder: str, covered: Mapping[str, int] | None = None) -> dict[str, int]:
+    """Complete batches of all queries beyond the ``covered`` ones: folder name and number."""
+    names = []
+    for query in child_names(spark, folder, "query="):
+        done = (covered or {}).get(query, -1)
+        names += [f"{query}/{b}" for b in child_names(spark, f"{folder}/{query}", "batch_id=") if _number(b) > done]
+    return {n: _number(n.rpartition("/")[2]) for n in completed(spark, folder, names)}
 
-    Older batches are not looked at, however many are left lying.
-    """
-    bases = reversed(child_names(spark, _base(path), "upto="))
-    base = next((b for b in bases if is_complete(spark, f"{_base(path)}/{b}")), None)
-    done = _number(base) if base else -1
-    later = [b for b in child_names(spark, _log(path), "batch_id=") if _number(b) > done]
-    batches = completed(spark, _log(path), later)
-    folders = [f"{_base(path)}/{base}"] if base else []
-    folders += [f"{_log(path)}/{b}" for b in batches]
-    newest = max([done, *(_number(b) for b in batches)])
-    return folders, newest
+
+def _manifest(spark: SparkSession, path: str) -> dict:
+    """What the newest compaction left: per bucket the generation that holds it, per query the last batch folded."""
+    found = reversed(child_names(spark, _manifests(path), "generation="))
+    newest = next((m for m in found if is_complete(spark, f"{_manifests(path)}/{m}")), None)
+    if newest is None:
+        return {"generation": -1, "held": {}, "covered": {}}
+    return json.loads(spark.read.text(f"{_manifests(path)}/{newest}", wholetext=True).first()[0])
+
+
+def _base_folders(path: str, held: Mapping[str, int]) -> list[str]:
+    return [f"{_base(path)}/generation={g:012d}/{BUCKET}={b}" for b, g in held.items()]
+
+
+def _read(spark: SparkSession, path: str, log: Sequence[str], held: Mapping[str, int], schema: str | None) -> DataFrame:
+    folders = [f"{_log(path)}/{b}" for b in log] + _base_folders(path, held)
+    reader = spark.read if schema is None else spark.read.schema(T.StructType.fromJson(json.loads(schema)))
+    return reader.parquet(*folders) if folders else spark.createDataFrame([], T.StructType.fromJson(json.loads(schema)))
 
 
 def current_state(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The latest row per key over everything written so far."""
-    folders, _ = _state_files(spark, path)
-    if not folders:
+    """The latest row per key over everything written so far, by whatever queries."""
+    manifest = _manifest(spark, path)
+    log = _batches(spark, _log(path), manifest["covered"])
+    if not log and manifest["generation"] < 0:
         raise FileNotFoundError(f"no completed batch below {path}")
-    return latest_state(spark.read.parquet(*folders), keys, order)
+    return latest_state(_read(spark, path, list(log), manifest["held"], manifest.get("schema")), keys, order)
 
 
 def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
     """Every rejected message so far, with the text it came as."""
-    batches = completed(spark, _rejected(path), child_names(spark, _rejected(path), "batch_id="))
+    batches = _batches(spark, _rejected(path))
     if not batches:
         raise FileNotFoundError(f"no completed batch below {_rejected(path)}")
     return spark.read.parquet(*(f"{_rejected(path)}/{b}" for b in batches))
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> str:
-    """Fold the batches so far into a new base, ``base/upto=N``; returns its path.
-
-    Nothing is overwritten while it is read. Readers change over once the base is complete; from then
-    on the batches up to N are no longer read and may be removed.
+def compact(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    buckets: int = 64,
+    remove: bool = False,
+) -> int:
+    """Fold the batches so far into the base; returns its generation.
+
+    The base holds the state by hash bucket of the key. Only buckets that the batches touch are read and
+    written anew, into ``base/generation=N``; a manifest then says which generation holds each bucket and up to
+    which batch of each query the log is folded, so the work follows the change and not the state. Nothing is overwritten while it is
+    read: readers change over with the manifest. ``buckets`` counts for the first compaction and stays.
+    With ``remove`` the folders no longer needed go, which readers that began before would still be
+    reading. One compaction runs at a time.
     """
-    folders, newest = _state_files(spark, path)
-    if not folders:
-        raise FileNotFoundError(f"no completed batch below {path}")
-    target = f"{_base(path)}/upto={newest:012d}"
-    if folders != [target]:
-        latest_state(spark.read.parquet(*folders), keys, order).write.mode("overwrite").parquet(target)
-    return target
+    manifest = _manifest(spark, path)
+    log = _batches(spark, _log(path), manifest["covered"])
+    if not log:
+        if manifest["generation"] < 0:
+            raise FileNotFoundError(f"no completed batch below {path}")
+        return manifest["generation"]
+    buckets = manifest.get("buckets", buckets)
+    bucket = F.pmod(F.xxhash64(*named(*keys)), F.lit(buckets)).cast("int")
+    changes = _read(spark, path, list(log), {}, manifest.get("schema"))
+    touched = {str(r[0]) for r in changes.select(bucket.alias(BUCKET)).distinct().collect()}
+    generation = manifest["generation"] + 1
+    before = {b: g for b, g in manifest["held"].items() if b in touched}
+    state = latest_state(_read(spark, path, list(log), before, manifest.get("schema")), keys, order)
+    folded = state.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET))
+    folded.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{_base(path)}/generation={generation:012d}")
+    covered = dict(manifest["covered"])
+    for name, number in log.items():
+        query = name.partition("/")[0]
+        covered[query] = max(number, covered.get(query, -1))
+    held = manifest["held"] | dict.fromkeys(touched, generation)
+    text = json.dumps(
+        {"generation": generation, "buckets": buckets, "held": held, "covered": covered, "schema": changes.schema.json()}
+    )
+    written = spark.range(1).select(F.lit(text).alias("value"))
+    written.write.mode("overwrite").text(f"{_manifests(path)}/generation={generation:012d}")
+    if remove:
+        for folder in [f"{_log(path)}/{b}" for b in log] + _base_folders(path, before):
+            remove_folder(spark, folder)
+    return generation

@@ -77,15 +77,16 @@ def upsert(spark, topic, tmp_path, rows):
     class Upsert:
         path, checkpoint = str(tmp_path / "state"), str(tmp_path / "state_checkpoint")
 
-        def run(self):
-            run(keyed_upsert_stream(topic.stream(), self.path, self.checkpoint, KEYS, ORDER, ONCE))
+        def run(self, checkpoint=None, stream=None):
+            source = topic.stream() if stream is None else stream
+            run(keyed_upsert_stream(source, self.path, checkpoint or self.checkpoint, KEYS, ORDER, ONCE))
             return self.state()
 
         def state(self):
             return rows(current_state(spark, self.path, KEYS, ORDER), "id", "v")
 
         def batches(self):
-            return sorted(p.name for p in (tmp_path / "state" / "log").iterdir())
+            return sorted(f"{p.parent.name}/{p.name}" for p in (tmp_path / "state" / "log").glob("query=*/batch_id=*"))
 
     return Upsert()
 
@@ -112,9 +113,9 @@ def test_replayed_batch_replaces_itself(spark, topic, upsert, tmp_path):
     for name in (last.name, f".{last.name}.crc"):
         (commits / name).unlink(missing_ok=True)
     log = tmp_path / "state" / "log"
-    stamp = {p.name: (p / "_SUCCESS").stat().st_mtime_ns for p in log.iterdir()}
+    stamp = {n: (log / n / "_SUCCESS").stat().st_mtime_ns for n in upsert.batches()}
     assert upsert.run() == before
-    again = {p.name: (p / "_SUCCESS").stat().st_mtime_ns for p in log.iterdir()}
+    again = {n: (log / n / "_SUCCESS").stat().st_mtime_ns for n in upsert.batches()}
     assert again.keys() == stamp.keys()
     assert [n for n in stamp if again[n] != stamp[n]] == [max(stamp)]
 
@@ -127,24 +128,56 @@ def test_unfinished_batch_is_not_read(topic, upsert, tmp_path):
     assert upsert.state() == [("a", 1)]
 
 
-def test_compaction(spark, topic, upsert, tmp_path, rows):
+def test_compaction(spark, topic, upsert, tmp_path):
     topic.send(("a", 1), ("b", 1))
     topic.send(("a", 2))
     before = upsert.run()
-    base = compact(spark, upsert.path, KEYS, ORDER)
-    assert base.endswith("upto=000000000001")
-    assert rows(spark.read.parquet(base), "id", "v") == before == upsert.state()
-    assert compact(spark, upsert.path, KEYS, ORDER) == base
+    assert compact(spark, upsert.path, KEYS, ORDER) == 0
+    assert upsert.state() == before
+    assert compact(spark, upsert.path, KEYS, ORDER) == 0
     # Batches folded in are no longer read.
     for name in upsert.batches():
         (tmp_path / "state" / "log" / name / "_SUCCESS").unlink()
     assert upsert.state() == before
     topic.send(("b", 5), ("d", 1))
     assert upsert.run() == [("a", 2), ("b", 5), ("d", 1)]
-    assert compact(spark, upsert.path, KEYS, ORDER).endswith("upto=000000000002")
+    assert compact(spark, upsert.path, KEYS, ORDER) == 1
     assert upsert.state() == [("a", 2), ("b", 5), ("d", 1)]
 
 
+@pytest.mark.parametrize("remove", [False, True])
+def test_compaction_writes_touched_buckets_only(spark, topic, upsert, tmp_path, remove):
+    topic.send(*((f"k{i}", i) for i in range(200)))
+    upsert.run()
+    compact(spark, upsert.path, KEYS, ORDER, buckets=16, remove=remove)
+    topic.send(("k7", 1000))
+    expected = upsert.run()
+    assert compact(spark, upsert.path, KEYS, ORDER, remove=remove) == 1
+    base = tmp_path / "state" / "base"
+    first, second = (sorted(p.name for p in (base / f"generation={g:012d}").glob("_bucket=*")) for g in (0, 1))
+    assert len(second) == 1 and len(first) == (15 if remove else 16)
+    assert upsert.state() == expected and ("k7", 1000) in expected
+    assert len(upsert.batches()) == (0 if remove else 2)
+
+
+@pytest.mark.parametrize("fold", [False, True])
+def test_a_new_checkpoint_loses_nothing(spark, topic, upsert, tmp_path, fold):
+    """As a topic after its retention, the source then holds only what came later."""
+    topic.send(("a", 1), ("b", 1))
+    upsert.run()
+    if fold:
+        compact(spark, upsert.path, KEYS, ORDER)
+    topic.send(("c", 5), ("b", 2))
+    later = topic.stream().where("v <> 1")
+    assert upsert.run(str(tmp_path / "second_checkpoint"), later) == [("a", 1), ("b", 2), ("c", 5)]
+    assert len({n.split("/")[0] for n in upsert.batches()}) == 2
+    if fold:
+        compact(spark, upsert.path, KEYS, ORDER)
+    topic.send(("a", 9))
+    assert upsert.run(str(tmp_path / "second_checkpoint"), topic.stream().where("v <> 1")) == [("a", 9), ("b", 2), ("c", 5)]
+    assert upsert.run() == [("a", 9), ("b", 2), ("c", 5)]
+
+
 def test_out_of_order_versions(spark, topic, upsert, tmp_path):
     """The order columns decide, not the batch a version came in."""
     topic.offset = 100
