@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicegate.plans.strategy import Bounds, timestamp_text
+from sluicegate.plans.strategy import timestamp_text
 
 
 def named(*names: str) -> list[Column]:
@@ -47,27 +47,10 @@ def hash_bucket(key: Column | str, buckets: int, method: str = "xxhash64") -> Co
     return F.when(key.isNotNull(), F.pmod(hashed, F.lit(buckets).cast("bigint")))
 
 
-def stride_number(column: str, bounds: Bounds) -> Column:
-    """The stride that reads a key: half-open, the first also takes NULL and all below, the last all above."""
-    key = F.col(column)
-    last = bounds.strides - 1
-    last_start = bounds.lower + last * bounds.width
-    inner = F.expr(f"(`{column}` - {bounds.lower}L) div {bounds.width}L")
-    return (
-        F.when(key.isNull() | (key < F.lit(bounds.lower)), F.lit(0))
-        .when(key >= F.lit(last_start), F.lit(last))
-        .otherwise(inner.cast("int"))
-    )
-
-
 def files_for(rows: Column, rows_per_file: int) -> Column:
     return F.ceil(rows / F.lit(rows_per_file)).cast("bigint")
 
 
-def date_tag_column(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd")
-
-
 def utc_second(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` to a zone-free timestamp; any other text gives NULL, not an error."""
     shape = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"

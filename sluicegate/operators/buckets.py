@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sluicegate.functions.columns import hash_bucket, named
 
 BUCKET_COLUMN = "mod_hash_id"
-# Keys looked up from a broadcast. Any other key holds less than a thousandth of the rows.
-HOT_KEYS = 1000
+# The rows of one key are dealt over so many tasks.
+SALTS = 8
 
 
 def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64") -> DataFrame:
@@ -20,24 +20,19 @@ def with_bucket(df: DataFrame, key: str, buckets: int, method: str = "xxhash64")
 def with_group_size(df: DataFrame, key: str, name: str) -> DataFrame:
     """Each row with the number of rows that share its key; 1 for a NULL key, which equals no other.
 
-    A first job over the key column alone asks how many keys repeat. Up to ``HOT_KEYS`` of them are
-    joined from a broadcast, and no row is shuffled. Beyond that the largest ``HOT_KEYS`` groups are, and
-    their rows are not shuffled, nor are those without a key; the other rows meet the counts of the
-    remaining repeated keys in a shuffle on the key.
+    Rows are counted per key, reduced in each map task. The count of every key that comes more than once
+    is repeated for each of ``SALTS`` salts, and rows are dealt by key and a drawn salt: whatever the
+    number of keys and however hot one is, the plan is the same, and a key's rows meet its count in as
+    many tasks as there are salts. Rows without a key are left aside.
     """
+    columns = named(*df.columns)
     keyed = df.where(F.col(key).isNotNull())
     counts = keyed.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    columns, size = named(*df.columns), F.coalesce("_n", F.lit(1)).alias(name)
-    repeated = counts.limit(HOT_KEYS + 1).count()
-    if repeated == 0:
-        return df.select(*columns, F.lit(1).cast("bigint").alias(name))
-    if repeated <= HOT_KEYS:
-        return df.join(F.broadcast(counts), F.col(key) == F.col("_key"), "left").select(*columns, size)
-    hot = F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS))
-    settled = df.join(hot, F.col(key) == F.col("_key"), "left").where(F.col("_key").isNotNull() | F.col(key).isNull())
-    cold = keyed.join(hot, F.col(key) == F.col("_key"), "left_anti")
-    cold = cold.join(counts, F.col(key) == F.col("_key"), "left")
-    return settled.select(*columns, size).unionByName(cold.select(*columns, size))
+    counts = counts.select("_key", "_n", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_part"))
+    salted = keyed.withColumn("_salt", F.floor(F.rand(SALTS) * SALTS).cast("int"))
+    met = salted.join(counts, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_part")), "left")
+    without = df.where(F.col(key).isNull()).select(*columns, F.lit(1).cast("bigint").alias(name))
+    return met.select(*columns, F.coalesce("_n", F.lit(1)).alias(name)).unionByName(without)
 
 
 def self_join_counted(

@@ -57,7 +57,8 @@ def extract_table(
     if files == 0:
         return ExtractResult(spec, strategy, shape, first, False, 0, 0, None)
 
-    total = rows if since is None and until is None else None
+    # Strides of a split column may go by the size of the whole table, other pieces by what is read.
+    total = rows if not spec.partition_column or (since is None and until is None) else None
     df = source.read(spec, source.split(spec, total, since, until), since, until)
     path = snapshot_path(root, spec, start)
     if shape == "bucketed":

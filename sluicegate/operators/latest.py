@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.functions.columns import named
+from sluicegate.operators.buckets import BUCKET_COLUMN
+from sluicegate.operators.snapshot import read_snapshots
+from sluicegate.plans.spec import TableSpec
+from sluicegate.plans.strategy import table_root
 
 
 def latest_state(versions: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -23,3 +27,13 @@ def latest_state(versions: DataFrame, keys: Sequence[str], order: Sequence[str])
     newest = F.max_by(F.struct(*named(*rest)), F.struct(*named(*order))).alias("_newest")
     picked = versions.groupBy(*named(*keys)).agg(newest).select(*named(*keys), "_newest.*")
     return picked.select(*named(*versions.columns))
+
+
+def latest_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """The current rows of a configured table: over all its snapshots the newest row per primary key, by its date
+    column and then by the run it came with."""
+    if not spec.primary_key:
+        raise ValueError(f"{spec.table}: the latest rows are by primary key, and the table names none")
+    versions = read_snapshots(spark, table_root(root, spec), spec.job, merge_schema=True)
+    order = [c for c in (spec.last_update_column, spec.job) if c]
+    return latest_state(versions.drop(BUCKET_COLUMN), spec.primary_key, order).drop(spec.job)

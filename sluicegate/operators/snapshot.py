@@ -2,32 +2,26 @@
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators.buckets import BUCKET_COLUMN
-from sluicegate.sources.storage import child_names, completed, is_complete
+from sluicegate.sources.storage import child_names, completed, is_complete, remove_folder, replace_folder
 
-# Directory buckets a task may write side by side before the rows are brought together first.
-FEW_BUCKETS = 8
+LOG = logging.getLogger(__name__)
 
 
 def sized(df: DataFrame, files: int, filtered: bool = False) -> DataFrame:
-    """About ``files`` output files.
+    """About ``files`` output files, by the kind of read and not by its size.
 
-    When that many tasks keep all cores busy the result is coalesced, which moves no rows: a task then
-    reads about what it writes. A smaller result is shuffled instead, and the scan behind it keeps its
-    own width. A ``filtered`` frame, such as a day out of a long history, reads far more than it
-    writes, so it has to be larger before its scan is narrowed: under dynamic allocation the cores
-    known at the start may be few.
+    A whole read writes what it reads: it is coalesced, which moves no rows. A ``filtered`` one, such as a day out of a
+    long history, reads far more than it writes: its result is rebalanced, and the scan behind it keeps its width.
     """
-    spark = df.sparkSession
-    enough = spark.sparkContext.defaultParallelism
-    if filtered:
-        enough = max(enough, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.coalesce(files) if files >= enough else df.repartition(max(1, files))
+    return df.hint("rebalance") if filtered else df.coalesce(max(1, files))
 
 
 def write_snapshot(
@@ -37,29 +31,42 @@ def write_snapshot(
     rows_per_file: int = 1_000_000,
     buckets: int | None = None,
     filtered: bool = False,
+    skip_empty: bool = False,
 ) -> int:
     """Replace the snapshot at ``path``; returns the rows written, measured during the write.
 
-    They are counted after the last shuffle, where a task repeated for a lost executor counts once.
-    ``maxRecordsPerFile`` holds the file size whatever the task sizes are. Many buckets are brought
+    It is written beside the old one and takes its place when it is complete, so a write that breaks off
+    leaves the old one as it was. Rows are counted after the last shuffle, where a task repeated for a lost
+    executor counts once; ``skip_empty`` leaves all as it was where there are none. ``maxRecordsPerFile`` holds the file size whatever the task sizes are. Buckets are brought
     together by a rebalance, which AQE splits again where one bucket is too large for a task.
     """
-    if buckets is None or buckets <= FEW_BUCKETS:
-        df = sized(df, files, filtered)
-    else:
-        df = df.hint("rebalance", F.col(BUCKET_COLUMN))
+    df = df.hint("rebalance", F.col(BUCKET_COLUMN)) if buckets is not None else sized(df, files, filtered)
     written = Observation()
     df = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    beside = f"{parent}/_writing-{name}-{uuid.uuid4().hex}"
+    writer = df.write.option("maxRecordsPerFile", rows_per_file)
     if buckets is not None:
         writer = writer.partitionBy(BUCKET_COLUMN)
-    writer.parquet(path)
-    return int(written.get["rows"])
+    try:
+        writer.parquet(beside)
+    except BaseException:
+        remove_folder(df.sparkSession, beside)
+        raise
+    rows = int(written.get["rows"])
+    if skip_empty and rows == 0:
+        remove_folder(df.sparkSession, beside)
+    else:
+        replace_folder(df.sparkSession, beside, path)
+    return rows
 
 
 def completed_dates(spark: SparkSession, folder: str, job: str) -> list[str]:
-    """Date tags whose snapshot was written to the end."""
-    names = completed(spark, folder, child_names(spark, folder, f"{job}="))
+    """Date tags whose snapshot was written to the end; those left out are logged."""
+    found = child_names(spark, folder, f"{job}=")
+    names = completed(spark, folder, found)
+    if len(names) < len(found):
+        LOG.warning("not complete, left out: %s", ", ".join(f"{folder}/{n}" for n in found if n not in names))
     return [name.split("=", 1)[1] for name in names]
 
 
@@ -76,7 +83,7 @@ def read_snapshots(
     dates: Iterable[str] | None = None,
     merge_schema: bool = False,
 ) -> DataFrame:
-    """The completed snapshots of a table as one frame; the date tag and any bucket are integers.
+    """The completed snapshots of a table as one frame; the date tag is a bigint and any bucket an int.
 
     ``merge_schema`` reads every footer and is only needed when columns came or went between dates.
     """
@@ -85,5 +92,5 @@ def read_snapshots(
         raise FileNotFoundError(f"no completed snapshot below {folder}")
     reader = spark.read.option("basePath", folder).option("mergeSchema", merge_schema)
     df = reader.parquet(*(f"{folder}/{job}={d}" for d in chosen))
-    numbered = [c for c in (job, BUCKET_COLUMN) if c in df.columns]
-    return df.withColumns({c: F.col(c).cast("int") for c in numbered})
+    numbered = {c: t for c, t in ((job, "bigint"), (BUCKET_COLUMN, "int")) if c in df.columns}
+    return df.withColumns({c: F.col(c).cast(t) for c, t in numbered.items()})

@@ -29,6 +29,7 @@ TABLE_KEYS = {
     "rowsPerPartition": "rows_per_partition",
     "rowsPerFile": "rows_per_file",
 }
+# Of these, source_name and source_type say nothing here; lists that have them are still read.
 DATABASE_KEYS = {"db_name", "job", "source_name", "source_type", "tbl_list"}
 
 
@@ -101,6 +102,11 @@ class TableSpec:
             return self.partition_column
         return None if self.last_update_column and not self.num_partitions else self.bucket_key
 
+    @property
+    def stride_column(self) -> str | None:
+        """The column strides go by: the split column, else the date column."""
+        return self.partition_column or self.last_update_column
+
 
 @dataclass(frozen=True)
 class Connection:
@@ -110,6 +116,7 @@ class Connection:
     url: str
     password_env: str | None = None
     driver: str | None = None
+    fetch_size: int = 100_000
     extra: Mapping[str, str] = field(default_factory=dict)
 
     def password(self) -> str | None:
@@ -163,11 +170,15 @@ def parse_connections(env: Mapping[str, Any]) -> dict[str, Connection]:
         reference = re.fullmatch(r"\$\{(\w+)\}", password) if password else None
         if password and not reference:
             raise ValueError(f"password of {entry['user']}: write ${{NAME}}, not the password itself")
+        if entry["user"] in connections:
+            raise ValueError(f"two connections are named {entry['user']!r}")
         connections[entry["user"]] = Connection(
             user=entry["user"],
             url=entry["url"],
             password_env=reference.group(1) if reference else None,
             driver=entry.get("driver"),
+            fetch_size=int(entry.get("fetchsize") or Connection.fetch_size),
+            extra={str(k): str(v) for k, v in (entry.get("options") or {}).items()},
         )
     return connections
 
@@ -187,4 +198,7 @@ def load_connections(path: str) -> tuple[dict[str, Connection], str]:
     """The connections and the output root of an environment file."""
     with open(path, encoding="utf-8") as f:
         env = read_yaml(f.read())
-    return parse_connections(env), env.get("hdfs") or env.get("root") or ""
+    root = env.get("hdfs") or env.get("root")
+    if not root:
+        raise ValueError(f"{path} names no output root (hdfs or root)")
+    return parse_connections(env), root

@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, time, timezone
 from numbers import Number
 
 from sluicegate.plans.spec import TableSpec, check_identifier
 
-# Splits of one JDBC read. A wider key range gets wider strides, never more tasks than this.
-MAX_READ_PARTITIONS = 10_000
-
-
 def read_strategy(spec: TableSpec) -> str:
     """A dated table is read since a start, a keyed one by strides, any other by hash bucket."""
     if spec.last_update_column:
@@ -46,11 +42,6 @@ class Bounds:
             return self.partitions
         return max(1, min(self.partitions, self.upper - self.lower))
 
-    @property
-    def width(self) -> int:
-        return max(1, (self.upper - self.lower) // self.strides)
-
-
 def _is_word(value: object, word: str) -> bool:
     return value is None or (isinstance(value, str) and value.lower() == word)
 
@@ -103,7 +94,16 @@ def resolve_bounds(
         partitions = max(1, -(-(upper - lower) // spec.rows_per_partition))
     else:
         partitions = max(1, spec.num_partitions)
-    return Bounds(lower, upper, min(partitions, MAX_READ_PARTITIONS))
+    return Bounds(lower, upper, partitions)
+
+
+def date_bounds(spec: TableSpec, total_rows: int, moments: tuple | None) -> Bounds | None:
+    """Bounds of the date column itself, for a dated table that names no other split: as many strides as
+    its rows ask for. None where all rows have one moment, or none."""
+    if not moments or moments[0] is None or moments[0] == moments[1]:
+        return None
+    pieces = spec.num_partitions or max(1, file_count(total_rows, spec.rows_per_partition))
+    return Bounds(_end(moments[0]), _end(moments[1]), pieces)
 
 
 # How each database hashes a text key to a bucket number.
@@ -114,7 +114,7 @@ TEXT_BUCKET_SQL = {
 
 
 def bucket_predicates(key: str, buckets: int, dialect: str = "integer") -> list[str]:
-    """One WHERE text per bucket; together they cover every row once, NULL keys in bucket 0.
+    """One WHERE text per bucket and one for NULL keys; together they cover every row once.
 
     Integer keys work in any database: a negative key has a remainder of -(n-1)..0, so bucket i
     takes both i and i - n.
@@ -126,8 +126,8 @@ def bucket_predicates(key: str, buckets: int, dialect: str = "integer") -> list[
             text = f"mod({key}, {buckets}) in ({i}, {i - buckets})"
         else:
             text = f"{TEXT_BUCKET_SQL[dialect].format(key=key, n=buckets)} = {i}"
-        predicates.append(f"{text} or {key} is null" if i == 0 else text)
-    return predicates
+        predicates.append(text)
+    return [*predicates, f"{key} is null"]
 
 
 def utc(moment: datetime) -> datetime:
@@ -144,18 +144,25 @@ def timestamp_text(moment: datetime | date) -> str:
     return f"{moment.isoformat()} 00:00:00"
 
 
-def moment_predicates(column: str, bounds: Bounds) -> list[str]:
-    """One WHERE text per stride of a date or timestamp column, half-open like the strides of numbers.
+def stride_cuts(bounds: Bounds) -> list[int | datetime]:
+    """Where one stride ends and the next begins: the span in equal parts, numbers rounded down."""
+    span, n = bounds.upper - bounds.lower, bounds.strides
+    return [bounds.lower + (span * i / n if bounds.moments else span * i // n) for i in range(1, n)]
+
+
+def stride_predicates(column: str, bounds: Bounds) -> list[str]:
+    """One WHERE text per stride of a number, date or timestamp column, and one for its NULLs.
 
-    Spark's own stride options refuse a timestamp without a zone, which is how timestamps are read here.
+    Strides are half-open; the first has no lower end and the last no upper one, so together they cover
+    every row once. The read sends these very texts: what is tested of them holds for it.
     """
-    span, n = bounds.upper - bounds.lower, bounds.strides
-    cuts = [bounds.lower + span * i / n for i in range(1, n)]
-    predicates = [interval_sql(column, a, b) for a, b in zip([None, *cuts], [*cuts, None])]
-    if cuts:
-        predicates[0] += f" or {check_identifier(column)} is null"
-        return predicates
-    return ["1 = 1"]
+    check_identifier(column)
+    cuts = stride_cuts(bounds)
+    if not cuts:
+        return ["1 = 1"]
+    ends = [f"timestamp '{timestamp_text(c)}'" if bounds.moments else str(c) for c in cuts]
+    inner = [f"{column} >= {a} and {column} < {b}" for a, b in zip(ends, ends[1:])]
+    return [f"{column} < {ends[0]}", *inner, f"{column} >= {ends[-1]}", f"{column} is null"]
 
 
 def interval_sql(column: str, since: datetime | None, until: datetime | None) -> str:
@@ -170,7 +177,13 @@ def interval_sql(column: str, since: datetime | None, until: datetime | None) ->
 
 
 def date_tag(day: date | datetime) -> str:
-    return (utc(day) if isinstance(day, datetime) else day).strftime("%Y%m%d")
+    """``yyyyMMdd``, with the time behind it where there is one, so that runs within a day keep apart."""
+    if not isinstance(day, datetime):
+        return day.strftime("%Y%m%d")
+    moment = utc(day)
+    if moment.microsecond:
+        raise ValueError(f"a run starts at a whole second, not at {moment.isoformat()}")
+    return moment.strftime("%Y%m%d%H%M%S" if moment.time() != time.min else "%Y%m%d")
 
 
 def table_root(root: str, spec: TableSpec) -> str:

@@ -12,10 +12,12 @@ from sluicegate.plans.strategy import (
     Bounds,
     bucket_predicates,
     interval_sql,
-    moment_predicates,
+    date_bounds,
+    file_count,
     read_strategy,
+    stride_predicates,
 )
-from sluicegate.sources.base import find_bounds
+from sluicegate.sources.base import count_rows, find_bounds
 
 
 def url_dialect(url: str) -> str:
@@ -36,19 +38,17 @@ class JdbcSource:
         connection: Connection,
         database: str,
         dialect: str | None = None,
-        fetch_size: int = 100_000,
     ) -> None:
         self.spark = spark
         self.connection = connection
         self.database = database
         self.dialect = dialect or url_dialect(connection.url)
-        self.fetch_size = fetch_size
 
     def base_options(self) -> dict[str, str]:
         options = {
             "url": f"{self.connection.url}{self.database}",
             "user": self.connection.user,
-            "fetchsize": str(self.fetch_size),
+            "fetchsize": str(self.connection.fetch_size),
             "preferTimestampNTZ": "true",
             **self.connection.extra,
         }
@@ -67,7 +67,7 @@ class JdbcSource:
     def key_range_query(
         self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
     ) -> str:
-        key = spec.partition_column
+        key = spec.stride_column
         return f"select min({key}) as lo, max({key}) as hi from {spec.table}{self._where(spec, since, until)}"
 
     def table_text(
@@ -83,14 +83,6 @@ class JdbcSource:
         columns = ", ".join(spec.columns) or "*"
         return f"(select {columns} from {spec.table}{where}) src"
 
-    def stride_options(self, spec: TableSpec, bounds: Bounds) -> dict[str, str]:
-        return {
-            "partitionColumn": spec.partition_column,
-            "lowerBound": str(bounds.lower),
-            "upperBound": str(bounds.upper),
-            "numPartitions": str(bounds.partitions),
-        }
-
     def count_frame(
         self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
     ) -> DataFrame:
@@ -108,7 +100,18 @@ class JdbcSource:
         since: datetime | None = None,
         until: datetime | None = None,
     ) -> Bounds | None:
-        return find_bounds(self, spec, total_rows, since, until) if spec.partition_column else None
+        """Bounds of the column that strides go by, or a plain number of pieces where a key is hashed."""
+        if spec.partition_column:
+            return find_bounds(self, spec, total_rows, since, until)
+        if spec.split_key and (spec.num_partitions or read_strategy(spec) == "bucket"):
+            pieces = spec.num_partitions or max(spec.buckets, file_count(total_rows or 0, spec.rows_per_file))
+            return Bounds(0, pieces, pieces)
+        if not spec.stride_column:
+            return None
+        rows = count_rows(self, spec, since, until) if total_rows is None else total_rows
+        if file_count(rows, spec.rows_per_partition) < 2 and not spec.num_partitions:
+            return None
+        return date_bounds(spec, rows, tuple(self.key_range_frame(spec, since, until).first()))
 
     def read(
         self,
@@ -117,20 +120,20 @@ class JdbcSource:
         since: datetime | None = None,
         until: datetime | None = None,
     ) -> DataFrame:
-        """By strides of the split column; else by hash of a key; else in one piece; dated or not.
+        """By the pieces that ``split`` found; without them in one piece.
 
-        A keyless table is hashed into ``num_partitions`` pieces, or as many as it has buckets. A dated
-        table without a split column is hashed when its spec names a key and ``num_partitions``.
+        Strides go by the split column, or by the date column of a dated table that names none. A table
+        with neither is hashed by its key into as many pieces as its rows ask for; so is a dated one that names a key and
+        ``num_partitions``. Each hashed piece scans the table in the database, so a number to
+        split by is the better choice where there is one.
         """
         table = self.table_text(spec, since, until)
-        if spec.partition_column and bounds and bounds.strides > 1:
-            if bounds.moments:
-                return self._load_pieces(table, moment_predicates(spec.partition_column, bounds))
-            return self._load(dbtable=table, **self.stride_options(spec, bounds))
-        pieces = spec.num_partitions or (spec.buckets if read_strategy(spec) == "bucket" else 1)
-        if spec.split_key and not spec.partition_column and pieces > 1:
-            return self._load_pieces(table, bucket_predicates(spec.split_key, pieces, self.dialect))
-        return self._load(dbtable=table)
+        if bounds is None or bounds.strides < 2:
+            return self._load(dbtable=table)
+        hashed = not spec.partition_column and spec.split_key and not bounds.moments
+        if hashed:
+            return self._load_pieces(table, bucket_predicates(spec.split_key, bounds.strides, self.dialect))
+        return self._load_pieces(table, stride_predicates(spec.stride_column, bounds))
 
     def _where(self, spec: TableSpec, since: datetime | None, until: datetime | None) -> str:
         if since is None and until is None:

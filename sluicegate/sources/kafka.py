@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
 
 
 def subscribe_options(
@@ -42,12 +41,3 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **settings) -> Dat
 def send_batch(messages: DataFrame, servers: str, topic: str) -> None:
     """Send rows of ``value`` (and ``key``) from the executors."""
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
-
-
-def send_stream(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
-    return (
-        messages.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-    )

@@ -38,7 +38,7 @@ class LakeSource:
     def key_range_frame(
         self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
     ) -> DataFrame:
-        key = spec.partition_column
+        key = spec.stride_column
         return self._interval(spec, since, until).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
 
     def split(

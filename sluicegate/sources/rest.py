@@ -16,7 +16,6 @@ Fetcher = Callable[[Mapping[str, str]], str]
 KEY_HEADER, HOST_HEADER, LANGUAGE = "x-rapidapi-key", "x-rapidapi-host", "en"
 
 HELD_CHARS = 16 * 2**20
-REQUEST_COLUMNS = ("endpoint", "symbol", "period")
 
 
 def request_frame(
@@ -74,24 +73,6 @@ def land_bodies(fetched: DataFrame, path: str) -> DataFrame:
     return land(fetched, path, large_rows=True)
 
 
-def fetch_function(fetcher: Fetcher):
-    """The same as a table function, for use with ``lateralJoin``: one call gives one row."""
-
-    class Fetch:
-        def eval(self, endpoint: str, symbol: str, period: str):
-            try:
-                yield fetcher({"endpoint": endpoint, "symbol": symbol, "period": period}), None
-            except Exception as e:
-                yield None, f"{type(e).__name__}: {e}"
-
-    return F.udtf(Fetch, returnType="body string, error string")
-
-
-def fetch_lateral(requests: DataFrame, fetcher: Fetcher) -> DataFrame:
-    call = fetch_function(fetcher)
-    return requests.lateralJoin(call(*(F.col(c).outer() for c in REQUEST_COLUMNS)))
-
-
 def http_fetcher(key_env: str, host_env: str, timeout: float = 30.0) -> Fetcher:
     """GET with the symbol, the period and the language as parameters, and key and host as headers.
 
@@ -110,15 +91,3 @@ def http_fetcher(key_env: str, host_env: str, timeout: float = 30.0) -> Fetcher:
             return answer.read().decode("utf-8")
 
     return fetch
-
-
-def plain_fetcher(timeout: float = 30.0) -> Fetcher:
-    """GET of the endpoint alone, for an API that takes no parameters."""
-
-    def fetch(request: Mapping[str, str]) -> str:
-        from urllib.request import urlopen
-
-        with urlopen(request["endpoint"], timeout=timeout) as answer:
-            return answer.read().decode("utf-8")
-
-    return fetch

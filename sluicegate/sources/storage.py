@@ -13,16 +13,6 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def folder_has_files(spark: SparkSession, path: str, create: bool = False) -> bool:
-    """Is there anything in the folder? With ``create`` a missing one is made first."""
-    fs, folder = _file_system(spark, path)
-    if not fs.exists(folder):
-        if create:
-            fs.mkdirs(folder)
-        return False
-    return len(fs.listStatus(folder)) > 0
-
-
 def child_names(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     """Names of the sub-folders ``prefix*``, in order; one listing."""
     fs, path = _file_system(spark, folder)
@@ -43,3 +33,24 @@ def completed(spark: SparkSession, folder: str, names: Sequence[str]) -> list[st
     with ThreadPoolExecutor(16) as pool:
         complete = list(pool.map(lambda n: is_complete(spark, f"{folder}/{n}"), names))
     return [n for n, c in zip(names, complete) if c]
+
+
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Put a complete folder in another's place. The old one steps aside first and goes when the new one is there;
+    if the second move fails it comes back."""
+    fs, source = _file_system(spark, new)
+    target, aside = (_file_system(spark, p)[1] for p in (old, f"{new}-replaced"))
+    there = fs.exists(target)
+    if there and not fs.rename(target, aside):
+        raise OSError(f"{old} could not be moved aside")
+    if not fs.rename(source, target):
+        if there:
+            fs.rename(aside, target)
+        raise OSError(f"{new} could not be moved to {old}")
+    if there:
+        fs.delete(aside, True)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)

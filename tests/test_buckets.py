@@ -49,19 +49,38 @@ def test_odd_names_and_nested_columns(spark):
     assert sorted((r["m.ap"]["k"], r["copies"]) for r in found.collect()) == [(1, 2), (2, 2)]
 
 
-def test_counted_self_join_past_the_hot_keys(spark, monkeypatch):
-    """With room for one hot key the others go through the shuffle."""
-    monkeypatch.setattr("sluicegate.operators.buckets.HOT_KEYS", 1)
-    rows = [("h", i) for i in range(40)] + [(f"k{i % 7}", i) for i in range(30)] + [(None, 1), (None, 2)]
-    df = spark.createDataFrame(rows, "id string, v int")
-    sizes = Counter(k for k, _ in rows if k is not None)
-    for key, _, n in with_group_size(df, "id", "n").collect():
-        assert n == (sizes[key] if key is not None else 1)
-
-
-def test_unique_keys_make_the_join_a_projection(lake, rows, plan):
+def shape(plan_text):
+    """The operators of a plan, without the names and numbers in it."""
+    import re
+
+    return re.findall(r"(\w+)(?: \(| \[|$)", re.sub(r"#\d+L?|plan_id=\d+", "", plan_text), re.M)
+
+
+def test_one_plan_whatever_the_keys(spark, plan):
+    """Few keys, many, hot ones and ties: no job runs to build the plan, and it is always the same."""
+    tables = [
+        [("h", i) for i in range(40)] + [(f"k{i % 7}", i) for i in range(30)] + [(None, 1), (None, 2)],
+        [(f"k{i}", i) for i in range(3000)] + [(f"k{i % 1500}", i) for i in range(3000)],
+        [("only", 1)],
+    ]
+    jobs = spark.sparkContext.statusTracker()
+    shapes = set()
+    for rows in tables:
+        df = spark.createDataFrame(rows, "id string, v int")
+        spark.sparkContext.setJobGroup("plan", "building a plan")
+        sized = with_group_size(df, "id", "n")
+        assert not jobs.getJobIdsForGroup("plan")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        sizes = Counter(k for k, _ in rows if k is not None)
+        found = sized.collect()
+        assert len(found) == len(rows)
+        assert all(n == (sizes[key] if key is not None else 1) for key, _, n in found)
+        shapes.add(tuple(shape(plan(with_group_size(df, "id", "n")))))
+    assert len(shapes) == 1
+
+
+def test_unique_keys_give_one_copy_each(lake, rows):
     customers = lake.table("customer")
-    assert "Exchange" not in plan(with_group_size(customers, "c_custkey", "n"))
     joined = self_join_counted(customers, "c_custkey", 2)
     assert {r[0] for r in joined.select("copies").distinct().collect()} == {1}
     plain = with_bucket(customers, "c_custkey", 2)

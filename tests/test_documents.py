@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sluicegate.functions.columns import date_tag_column, files_for, utc_second
+from sluicegate.functions.columns import files_for, utc_second
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records
 
 
@@ -12,7 +12,7 @@ def bodies(spark, *texts):
     return spark.createDataFrame([(t if t is None or isinstance(t, str) else json.dumps(t),) for t in texts], "body string")
 
 
-def response(series, symbol="NVDA:NASDAQ"):
+def response(series, symbol="ASH:LSE"):
     return {"status": "OK", "data": {"symbol": symbol, "type": "stock", "time_series": series}}
 
 
@@ -21,12 +21,12 @@ QUOTE = {"price": 123456.789, "change": -0.1, "change_percent": 1}
 
 def test_each_entry_is_a_row(spark, rows):
     series = {"2024-10-21 15:59:58": {**QUOTE, "volume": 3_000_000_000}, "2024-10-22 09:30:00": QUOTE}
-    found = flatten_quotes(bodies(spark, response(series), response(series, "AAPL:NASDAQ")))
+    found = flatten_quotes(bodies(spark, response(series), response(series, "ELM:LSE")))
     assert found.columns == ["symbol", "type", "last_update_utc", "price", "change", "change_percent", "volume"]
     assert found.count() == 4
-    assert rows(found.where("symbol = 'NVDA:NASDAQ'")) == [
-        ("NVDA:NASDAQ", "stock", datetime(2024, 10, 21, 15, 59, 58), 123456.789, -0.1, 1.0, 3_000_000_000),
-        ("NVDA:NASDAQ", "stock", datetime(2024, 10, 22, 9, 30), 123456.789, -0.1, 1.0, None),
+    assert rows(found.where("symbol = 'ASH:LSE'")) == [
+        ("ASH:LSE", "stock", datetime(2024, 10, 21, 15, 59, 58), 123456.789, -0.1, 1.0, 3_000_000_000),
+        ("ASH:LSE", "stock", datetime(2024, 10, 22, 9, 30), 123456.789, -0.1, 1.0, None),
     ]
 
 
@@ -129,8 +129,6 @@ def test_ids_are_unique_and_stay(spark, lake, tmp_path, rows):
     assert rows(with_ids) == first
 
 
-def test_counts_and_tags(spark):
+def test_file_counts(spark):
     df = spark.createDataFrame([(0,), (1,), (1000,), (1001,)], "n bigint")
     assert [r[0] for r in df.select(files_for(F.col("n"), 1000)).collect()] == [0, 1, 1, 2]
-    day = spark.sql("select timestamp_ntz'2024-09-01 23:59:59' as d")
-    assert day.select(date_tag_column(F.col("d"))).first()[0] == "20240901"

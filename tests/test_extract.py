@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluicegate.operators.extract import extract_all, extract_table
-from sluicegate.operators.latest import latest_state
+from sluicegate.operators.latest import latest_state, latest_table
 from sluicegate.operators.snapshot import (
     completed_dates,
     has_earlier_date,
@@ -15,7 +15,7 @@ from sluicegate.operators.snapshot import (
 )
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import table_root
-from sluicegate.sources.storage import child_names, completed, folder_has_files
+from sluicegate.sources.storage import child_names, completed
 
 DATED = TableSpec("t", last_update_column="ts", primary_key="id")
 KEYED = TableSpec("t", partition_column="id")
@@ -44,7 +44,7 @@ def test_dated_table_over_three_days(spark, source, root):
     results = [extract_table(spark, source, DATED, day, root) for day in (D1, D2, D3)]
     assert [(r.first_run, r.rows, r.files) for r in results] == [(True, 20, 1), (False, 12, 1), (False, 8, 1)]
     assert per_date(spark, root, DATED) == {20240101: 20, 20240102: 12, 20240103: 8}
-    assert dict(read_snapshots(spark, table_root(root, DATED), "get_data").dtypes)["get_data"] == "int"
+    assert dict(read_snapshots(spark, table_root(root, DATED), "get_data").dtypes)["get_data"] == "bigint"
     assert per_date(spark, root, DATED) == {20240101: 20, 20240102: 12, 20240103: 8}
 
 
@@ -70,7 +70,7 @@ def test_rerun_of_the_first_date_keeps_history(spark, source, root):
 def test_broken_off_first_run_is_not_history(spark, source, root):
     result = extract_table(spark, source, DATED, D1, root)
     (Path(result.path) / "_SUCCESS").unlink()
-    assert folder_has_files(spark, result.path)
+    assert any(Path(result.path).iterdir())
     assert completed_dates(spark, table_root(root, DATED), "get_data") == []
     with pytest.raises(FileNotFoundError):
         read_snapshots(spark, table_root(root, DATED), "get_data")
@@ -165,17 +165,48 @@ def test_file_sizes(spark, tmp_path):
     assert sum(sizes) == 1000 and max(sizes) <= 100
 
 
-def test_large_results_are_not_shuffled(spark, plan):
+def test_layout_goes_by_the_kind_of_read(spark, plan):
+    """A whole read is coalesced and a filtered one rebalanced, whatever the sizes and the cluster."""
     wide = spark.range(0, 1000, 1, 64)
-    assert "Exchange" not in plan(sized(wide, 32)) and "Coalesce 32" in plan(sized(wide, 32))
-    assert "RoundRobinPartitioning(2)" in plan(sized(wide, 2))
-    spark.conf.set("spark.sql.shuffle.partitions", 40)
-    try:
-        assert "Coalesce 32" in plan(sized(wide, 32))
-        assert "RoundRobinPartitioning(32)" in plan(sized(wide, 32, filtered=True))
-        assert "Coalesce 40" in plan(sized(wide, 40, filtered=True))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    for files in (2, 32, 400):
+        assert "Exchange" not in plan(sized(wide, files)) and f"Coalesce {files}" in plan(sized(wide, files))
+        assert "REBALANCE_PARTITIONS_BY_NONE" in plan(sized(wide, files, filtered=True))
+
+
+def test_a_write_that_breaks_off_leaves_the_old_date(spark, source, root, monkeypatch, caplog):
+    extract_table(spark, source, DATED, D1, root)
+    extract_table(spark, source, DATED, D2, root)
+    bad = source.table("t").withColumn("ts", F.expr("assert_true(id < 3)").cast("timestamp_ntz"))
+    path = f"{table_root(root, DATED)}/get_data=20240102"
+    with pytest.raises(Exception, match="not true"):
+        write_snapshot(bad, path, 1)
+    assert per_date(spark, root, DATED) == {20240101: 20, 20240102: 12}
+    assert sorted(p.name for p in Path(path).parent.iterdir()) == ["get_data=20240101", "get_data=20240102"]
+    (Path(path) / "_SUCCESS").unlink()
+    with caplog.at_level("WARNING"):
+        assert per_date(spark, root, DATED) == {20240101: 20}
+    assert path in caplog.text
+
+
+def test_runs_within_a_day_keep_apart(spark, source, root):
+    """[day 1), [day 2 00-12), [day 2 12-24) hold all rows of the two days."""
+    spec = TableSpec("t", last_update_column="ts", initial="since_start")
+    cuts = [D1, D2, datetime(2024, 1, 2, 12), D3]
+    for start, end in zip(cuts, cuts[1:]):
+        extract_table(spark, source, spec, start, root, end)
+    assert per_date(spark, root, spec) == {20240101: 4, 20240102: 2, 20240102120000: 2}
+
+
+def test_latest_table_by_its_key(spark, write_table, root):
+    schema = "id bigint, part string, ts timestamp_ntz, v int"
+    spec = TableSpec("t", last_update_column="ts", primary_key=("id", "part"))
+    for day, rows in [(D1, [(1, "a", D1, 1), (1, "b", D1, 2)]), (D2, [(1, "a", D2, 3), (2, "a", D2, 4)])]:
+        extract_table(spark, write_table("t", spark.createDataFrame(rows, schema)), spec, day, root)
+    found = latest_table(spark, root, spec)
+    assert found.columns == ["id", "part", "ts", "v"]
+    assert sorted((r.id, r.part, r.v) for r in found.collect()) == [(1, "a", 3), (1, "b", 2), (2, "a", 4)]
+    with pytest.raises(ValueError, match="names none"):
+        latest_table(spark, root, TableSpec("t", last_update_column="ts"))
 
 
 def test_many_tables_at_once(spark, lake, root):
@@ -209,14 +240,8 @@ def test_latest_of_overlapping_snapshots_is_the_source(spark, source, root, writ
 
 def test_folder_probe(spark, tmp_path):
     folder = str(tmp_path / "probe")
-    assert not folder_has_files(spark, folder)
-    assert not (tmp_path / "probe").exists()
-    assert not folder_has_files(spark, folder, create=True)
-    assert (tmp_path / "probe").is_dir()
-    (tmp_path / "probe" / "x=1").mkdir()
-    assert folder_has_files(spark, folder)
-    for name in ("x=0", "x=2", "y=1"):
-        (tmp_path / "probe" / name).mkdir()
+    for name in ("x=0", "x=1", "x=2", "y=1"):
+        (tmp_path / "probe" / name).mkdir(parents=True)
     assert child_names(spark, folder, "x=") == ["x=0", "x=1", "x=2"]
     assert completed(spark, folder, ["x=0", "x=1"]) == []
     (tmp_path / "probe" / "x=1" / "_SUCCESS").touch()

@@ -1,4 +1,4 @@
-"""JDBC without a database: the options, the SQL text run by Spark on the same tables, Spark's strides.
+"""JDBC without a database: the options, and the SQL texts run by Spark on the same tables.
 
 With SLUICEGATE_JDBC_URL (and _DATABASE, _USER, _PASSWORD, _DRIVER, _TABLE, _KEY) set to a database of your
 own, the last test reads from it.
@@ -12,11 +12,10 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicegate.functions.columns import stride_number
 from sluicegate.operators.extract import extract_table
 from sluicegate.operators.snapshot import read_snapshots
 from sluicegate.plans.spec import Connection, TableSpec
-from sluicegate.plans.strategy import Bounds, bucket_predicates, table_root
+from sluicegate.plans.strategy import Bounds, bucket_predicates, stride_predicates, table_root
 from sluicegate.sources.base import count_rows, find_bounds
 from sluicegate.sources.jdbc import JdbcSource, url_dialect
 
@@ -80,10 +79,24 @@ def test_bounds_are_asked_for_only_where_needed(spark, views, source, monkeypatc
     monkeypatch.setattr(source, "_load", lambda query: asked.append(query) or spark.sql(query))
     fields = {"partition_column": "o_orderkey"}
     assert source.split(TableSpec("orders")) is None
+    # Keyless tables: pieces by the rows to be read, and no fewer than the table has buckets.
+    keyless = TableSpec("orders", primary_key="o_orderkey", buckets=3)
+    assert source.split(keyless, 2_500_000) == source.split(keyless, 9) == Bounds(0, 3, 3)
+    assert source.split(keyless, 70_000_001) == Bounds(0, 71, 71)
+    assert source.split(TableSpec("orders", primary_key="o_orderkey", num_partitions=50_000), 9).strides == 50_000
+    assert not asked
     assert source.split(TableSpec("orders", lower_bound=5, upper_bound=9, **fields)) == Bounds(5, 9, 1)
     assert source.split(TableSpec("orders", bounds="count", **fields), 30_000) == Bounds(0, 30_000, 3)
     assert source.split(TableSpec("orders", rows_per_partition=500, **fields), 30_000) == Bounds(0, 1500, 3)
     assert source.split(TableSpec("orders", bounds="count", **fields)) == Bounds(0, 1500, 1)
+    # Dated tables without a split column: strides of the date column, as many as the rows ask for.
+    plain = TableSpec("orders", last_update_column="o_orderdate", rows_per_partition=100)
+    found = source.split(plain, 1500)
+    assert found.moments and found.strides == 15 and asked.pop().startswith("select min(o_orderdate)")
+    assert source.split(plain, 100) is None
+    source.split(plain, None, SINCE)
+    assert asked.pop().endswith("where o_orderdate >= timestamp '1998-01-01 00:00:00'")
+    assert asked.pop().startswith("select count(*) as n from orders where")
     dated = TableSpec("orders", last_update_column="o_orderdate", **fields)
     source.split(dated, None, SINCE)
     assert asked.pop().endswith(" from orders where o_orderdate >= timestamp '1998-01-01 00:00:00'")
@@ -126,13 +139,31 @@ class Recorder:
             TableSpec("t", partition_column="id"),
             Bounds(0, 100, 4),
             None,
-            {"dbtable": "t", "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4"},
+            {"dbtable": "t", "predicates": stride_predicates("id", Bounds(0, 100, 4))},
+        ),
+        (
+            TableSpec("t", partition_column="id", num_partitions=50_000),
+            Bounds(0, 10**9, 50_000),
+            None,
+            {"dbtable": "t", "predicates": stride_predicates("id", Bounds(0, 10**9, 50_000))},
         ),
         (
             TableSpec("t", partition_column="id", last_update_column="ts"),
             Bounds(0, 100, 4),
             SINCE,
-            {"dbtable": "(select * from t where ts >= timestamp '1998-01-01 00:00:00') src", "numPartitions": "4"},
+            {
+                "dbtable": "(select * from t where ts >= timestamp '1998-01-01 00:00:00') src",
+                "predicates": stride_predicates("id", Bounds(0, 100, 4)),
+            },
+        ),
+        (
+            TableSpec("t", last_update_column="ts"),
+            Bounds(SINCE, UNTIL, 3),
+            SINCE,
+            {
+                "dbtable": "(select * from t where ts >= timestamp '1998-01-01 00:00:00') src",
+                "predicates": stride_predicates("ts", Bounds(SINCE, UNTIL, 3)),
+            },
         ),
         (
             TableSpec("t", last_update_column="ts"),
@@ -142,19 +173,19 @@ class Recorder:
         ),
         (
             TableSpec("t", primary_key="id", buckets=3),
-            None,
+            Bounds(0, 3, 3),
             None,
             {"dbtable": "t", "predicates": bucket_predicates("id", 3, "postgresql")},
         ),
         (
             TableSpec("t", primary_key="id", num_partitions=5),
-            None,
+            Bounds(0, 5, 5),
             None,
             {"dbtable": "t", "predicates": bucket_predicates("id", 5, "postgresql")},
         ),
         (
             TableSpec("t", last_update_column="ts", primary_key="id", num_partitions=2),
-            None,
+            Bounds(0, 2, 2),
             SINCE,
             {
                 "dbtable": "(select * from t where ts >= timestamp '1998-01-01 00:00:00') src",
@@ -170,33 +201,17 @@ def test_each_strategy_asks_for_its_read(source, spec, bounds, since, expected):
     (call,) = recorder.calls
     assert expected.items() <= call.items()
     assert call["url"] == "jdbc:postgresql://h:5432/shop" and call["password"] == "s3cret"
-    for absent in {"numPartitions", "predicates"} - expected.keys():
-        assert absent not in call
-    assert "query" not in call
-
-
-def spark_predicates(spark, source, spec, bounds, schema):
-    """The WHERE texts Spark makes of our stride options; no connection is opened for it."""
-    jdbc = spark._jvm.org.apache.spark.sql.execution.datasources.jdbc
-    options = {**source.base_options(), "dbtable": source.table_text(spec), **source.stride_options(spec, bounds)}
-    options["driver"] = "org.apache.hive.jdbc.HiveDriver"
-    parsed = jdbc.JDBCOptions(spark._jvm.PythonUtils.toScalaMap(options))
-    resolver = spark._jsparkSession.sessionState().analyzer().resolver()
-    java_schema = spark._jsparkSession.parseDataType(schema.json())
-    return [p.whereClause() for p in jdbc.JDBCRelation.columnPartition(java_schema, resolver, "UTC", parsed)]
+    assert ("predicates" in call) == ("predicates" in expected)
+    assert not {"query", "partitionColumn", "numPartitions"} & call.keys()
 
 
 @pytest.mark.parametrize("bounds", [Bounds(0, 1500, 4), Bounds(100, 500, 4), Bounds(0, 1500, 7), Bounds(0, 3, 10)])
-def test_spark_takes_the_stride_options_and_loses_no_row(spark, lake, source, bounds):
+def test_strides_lose_no_row(spark, lake, bounds):
     table = lake.table("orders")
-    texts = spark_predicates(spark, source, ORDERS, bounds, table.schema)
-    assert len(texts) == bounds.strides
-    checks = [F.expr(t.replace('"', "`")) for t in texts]
+    checks = [F.expr(t) for t in stride_predicates("o_orderkey", bounds)]
+    assert len(checks) == bounds.strides + 1
     hits = sum((F.coalesce(c, F.lit(False)).cast("int") for c in checks), F.lit(0))
     assert [tuple(r) for r in table.groupBy(hits).count().collect()] == [(1, 1500)]
-    if (bounds.upper - bounds.lower) % bounds.strides == 0:
-        number = F.coalesce(*(F.when(c, F.lit(i)) for i, c in enumerate(checks)))
-        assert table.where(number != stride_number("o_orderkey", bounds)).isEmpty()
 
 
 @pytest.mark.parametrize("pieces", [1, 5])
@@ -207,16 +222,16 @@ def test_strides_of_a_date_column(lake, source, pieces):
     source.spark = recorder = Recorder()
     source.read(spec, bounds)
     texts = recorder.calls[0].get("predicates", ["1 = 1"])
-    assert len(texts) == pieces
+    assert len(texts) == (pieces + 1 if pieces > 1 else 1)
     hits = [F.coalesce(F.expr(t), F.lit(False)).cast("int") for t in texts]
     assert [tuple(r) for r in table.groupBy(sum(hits, F.lit(0))).count().collect()] == [(1, 1500)]
-    assert all(n > 200 for n in table.agg(*(F.sum(h) for h in hits)).first())
+    assert all(n > 200 for n in table.agg(*(F.sum(h) for h in hits)).first()[:pieces])
 
 
 class Views(JdbcSource):
     """A database played by Spark's own views: the same texts and predicates, no connection."""
 
-    def _load(self, query=None, dbtable=None, **strides):
+    def _load(self, query=None, dbtable=None):
         return self.spark.sql(query or f"select * from {dbtable}")
 
     def _load_pieces(self, table, predicates):
@@ -229,6 +244,7 @@ class Views(JdbcSource):
     [
         ORDERS,
         TableSpec("orders", last_update_column="o_orderdate"),
+        TableSpec("orders", last_update_column="o_orderdate", rows_per_partition=200),
         TableSpec("orders", last_update_column="o_orderdate", primary_key="o_orderkey", num_partitions=3),
         TableSpec("orders", last_update_column="o_orderdate", partition_column="o_orderdate", num_partitions=4),
         TableSpec("orders", partition_column="o_orderkey", columns=("o_orderkey", "o_custkey")),
@@ -256,6 +272,6 @@ def test_live_database(spark):
     keyless = TableSpec(env["TABLE"], primary_key=env["KEY"], buckets=4)
     n = count_rows(source, keyed)
     strided = source.read(keyed, find_bounds(source, keyed))
-    bucketed = source.read(keyless)
+    bucketed = source.read(keyless, source.split(keyless, n))
     assert strided.count() == bucketed.count() == n
     assert strided.exceptAll(bucketed).isEmpty()

@@ -9,13 +9,13 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.operators.documents import flatten_quotes, user_records
-from sluicegate.sources.rest import fetch_bodies, fetch_lateral, http_fetcher, land_bodies, plain_fetcher, request_frame
+from sluicegate.operators.documents import flatten_quotes
+from sluicegate.sources.rest import fetch_bodies, http_fetcher, land_bodies, request_frame
 
 
 @pytest.fixture
 def asked(spark):
-    symbols = spark.createDataFrame([("NVDA:NASDAQ",), ("AAPL:NASDAQ",), ("GONE",)], "symbol string")
+    symbols = spark.createDataFrame([("ASH:LSE",), ("ELM:LSE",), ("GONE",)], "symbol string")
     return request_frame(symbols, "symbol", "https://example.invalid/q", "MAX")
 
 
@@ -39,18 +39,18 @@ def test_request_frame(spark, asked):
     assert with_host.columns == ["endpoint", "symbol", "period", "host"]
 
 
-@pytest.mark.parametrize("fetch", [fetch_bodies, fetch_lateral])
+@pytest.mark.parametrize("fetch", [fetch_bodies])
 def test_failures_stay_with_their_request(asked, fetch):
     found = {r["symbol"]: r for r in fetch(asked, stand_in()).collect()}
     assert len(found) == 3
     assert found["GONE"]["body"] is None and found["GONE"]["error"] == "LookupError: no such symbol"
-    assert found["NVDA:NASDAQ"]["error"] is None
+    assert found["ASH:LSE"]["error"] is None
     assert asked.columns == ["endpoint", "symbol", "period"]
 
 
 def test_fetched_quotes_flatten(asked):
     found = flatten_quotes(fetch_bodies(asked, stand_in(), tasks=2, concurrency=2))
-    assert sorted(r["symbol"] for r in found.collect()) == ["AAPL:NASDAQ", "NVDA:NASDAQ"]
+    assert sorted(r["symbol"] for r in found.collect()) == ["ASH:LSE", "ELM:LSE"]
 
 
 def test_what_tasks_run_does_not_need_the_package(tmp_path):
@@ -63,7 +63,7 @@ def test_what_tasks_run_does_not_need_the_package(tmp_path):
         def mapInPandas(self, run, schema):
             return run
 
-    shipped = [fetch_bodies(Requests(), stand_in()), http_fetcher("K", "H"), plain_fetcher()]
+    shipped = [fetch_bodies(Requests(), stand_in()), http_fetcher("K", "H")]
     (tmp_path / "shipped").write_bytes(cloudpickle.dumps(shipped))
     code = """
 import pickle, sys
@@ -110,19 +110,11 @@ def test_http_request(monkeypatch):
     monkeypatch.setenv("QUOTE_KEY", "k")
     monkeypatch.setenv("QUOTE_HOST", "h")
     fetch = http_fetcher("QUOTE_KEY", "QUOTE_HOST", timeout=5)
-    body = fetch({"endpoint": "https://example.invalid/q", "symbol": "NVDA:NASDAQ", "period": "MAX"})
+    body = fetch({"endpoint": "https://example.invalid/q", "symbol": "ASH:LSE", "period": "MAX"})
     assert body == '{"data": "é"}' and seen["timeout"] == 5
     url = urlparse(seen["request"].full_url)
-    assert parse_qs(url.query) == {"symbol": ["NVDA:NASDAQ"], "period": ["MAX"], "language": ["en"]}
+    assert parse_qs(url.query) == {"symbol": ["ASH:LSE"], "period": ["MAX"], "language": ["en"]}
     assert dict(seen["request"].header_items()) == {"X-rapidapi-key": "k", "X-rapidapi-host": "h"}
     monkeypatch.delenv("QUOTE_KEY")
     with pytest.raises(KeyError):
         fetch({"endpoint": "e", "symbol": "s", "period": "p"})
-
-
-def test_user_poll(spark, monkeypatch):
-    text = json.dumps({"results": [{"gender": "male", "name": {"first": "A", "last": "B"}}]})
-    monkeypatch.setattr("urllib.request.urlopen", lambda url, timeout: io.BytesIO(text.encode()))
-    body = plain_fetcher()({"endpoint": "https://example.invalid/api/"})
-    row = user_records(spark.createDataFrame([(body,)], "body string")).first()
-    assert (row["first_name"], row["gender"], row["address"]) == ("A", "male", "None None, None, None, None")

@@ -100,7 +100,20 @@ def test_passwords_come_from_the_environment_only(tmp_path, monkeypatch):
     monkeypatch.setenv("PG_PASS", "s3cret")
     assert connections["pg"].password() == "s3cret"
     assert "s3cret" not in repr(connections["pg"])
-    path.write_text("db:\n- {user: pg, url: u, password: plain}\n")
+    path.write_text("root: /r\ndb:\n- {user: pg, url: u, password: plain}\n")
     with pytest.raises(ValueError, match="NAME"):
         load_connections(str(path))
     assert Connection("a", "u").password() is None
+
+
+def test_connections_have_one_name_each_and_a_root(tmp_path):
+    path = tmp_path / "env.yml"
+    path.write_text("root: /r\ndb:\n- {user: pg, url: u}\n- {user: pg, url: v}\n")
+    with pytest.raises(ValueError, match="'pg'"):
+        load_connections(str(path))
+    path.write_text("db:\n- {user: pg, url: u}\n")
+    with pytest.raises(ValueError, match="root"):
+        load_connections(str(path))
+    path.write_text("root: /r\ndb:\n- {user: pg, url: u, fetchsize: 500, options: {ssl: true}}\n")
+    connections, root = load_connections(str(path))
+    assert root == "/r" and connections["pg"].fetch_size == 500 and connections["pg"].extra == {"ssl": "True"}

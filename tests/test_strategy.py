@@ -6,21 +6,21 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluicegate.functions.columns import stride_number
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import (
-    MAX_READ_PARTITIONS,
     Bounds,
     bucket_predicates,
     date_tag,
     file_count,
     interval_sql,
     layout,
-    moment_predicates,
+    date_bounds,
     needs_key_range,
     read_strategy,
     resolve_bounds,
     snapshot_path,
+    stride_cuts,
+    stride_predicates,
 )
 
 
@@ -63,7 +63,8 @@ def test_other_bounds():
     assert resolve_bounds(spec(), 7, (-5, 29_999)) == Bounds(-5, 30_000, 4)
     assert resolve_bounds(spec(), 0, (None, None)) == Bounds(0, 0, 1)
     assert resolve_bounds(spec(), 0, (Decimal("2.00"), Decimal("9.50"))) == Bounds(2, 10, 1)
-    assert resolve_bounds(spec(), 0, (0, 10**15)).partitions == MAX_READ_PARTITIONS
+    assert resolve_bounds(spec(), 0, (0, 10**15)).partitions == 10**11 + 1
+    assert resolve_bounds(spec(num_partitions=50_000), 0, (0, 10**9)).partitions == 50_000
     assert resolve_bounds(spec(lower_bound=900), 0, (-50, -1)) == Bounds(900, 900, 1)
     assert resolve_bounds(spec(lower_bound=900, upper_bound="max", bounds="count"), 5) == Bounds(900, 900, 1)
     assert resolve_bounds(spec(lower_bound=0, upper_bound=8, num_partitions="4"), 0) == Bounds(0, 8, 4)
@@ -79,10 +80,13 @@ def test_bounds_of_a_date_column():
         bounds = resolve_bounds(spec(lower_bound=low, upper_bound=high, num_partitions=4), 0)
         assert bounds == expected and bounds.strides == 4
     assert resolve_bounds(spec(num_partitions=4), 0, (day, later)) == expected
-    first, *_, last = moment_predicates("ts", expected)
-    assert first == "ts < timestamp '2024-01-16 00:00:00' or ts is null"
+    first, *_, last, nulls = stride_predicates("ts", expected)
+    assert first == "ts < timestamp '2024-01-16 00:00:00'" and nulls == "ts is null"
     assert last == "ts >= timestamp '2024-02-15 00:00:00'"
-    assert moment_predicates("ts", Bounds(day, later, 1)) == ["1 = 1"]
+    assert stride_predicates("ts", Bounds(day, later, 1)) == ["1 = 1"]
+    dated = TableSpec("t", last_update_column="ts")
+    assert date_bounds(dated, 25_000, (day, later)) == Bounds(day, later, 3)
+    assert date_bounds(dated, 25_000, (day, day)) is None and date_bounds(dated, 0, (None, None)) is None
     for bad in [
         spec(lower_bound="2024-01-01", upper_bound="2024-03-01"),
         spec(lower_bound=0, upper_bound="2024-03-01", num_partitions=4),
@@ -100,17 +104,26 @@ def keys(spark):
 
 
 def oracle_stride(key, b):
-    if key is None or key < b.lower:
-        return 0
-    return min(b.strides - 1, (key - b.lower) // b.width)
+    """By the definition, from the ends: stride i begins at lower + span * i / n, rounded down."""
+    n = min(b.partitions, b.upper - b.lower) or 1
+    if key is None:
+        return n if n > 1 else 0
+    return sum(key >= b.lower + (b.upper - b.lower) * i // n for i in range(1, n))
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(-300, 300), st.integers(0, 700), st.integers(1, 12))
 def test_every_key_has_one_stride(keys, lower, span, n):
     bounds = Bounds(lower, lower + span, n)
-    for key, stride in keys.select("id", stride_number("id", bounds)).collect():
-        assert stride == oracle_stride(key, bounds)
+    texts = stride_predicates("id", bounds)
+    assert len(texts) == (bounds.strides + 1 if bounds.strides > 1 else 1)
+    taken = F.array(*(F.coalesce(F.expr(t), F.lit(False)) for t in texts))
+    for key, hits in keys.select("id", taken).collect():
+        assert hits.count(True) == 1 and hits.index(True) == oracle_stride(key, bounds)
+
+
+def test_cuts_that_do_not_divide_evenly():
+    assert stride_cuts(Bounds(0, 1500, 7)) == [214, 428, 642, 857, 1071, 1285]
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -121,8 +134,8 @@ def test_bucket_predicates_take_every_row_once(keys, n):
 
 
 def test_text_bucket_predicates():
-    first, second = bucket_predicates("id", 2, "postgresql")
-    assert first == "mod(abs(cast(hashtext(cast(id as text)) as bigint)), 2) = 0 or id is null"
+    first, second, nulls = bucket_predicates("id", 2, "postgresql")
+    assert first == "mod(abs(cast(hashtext(cast(id as text)) as bigint)), 2) = 0" and nulls == "id is null"
     assert second == "mod(abs(cast(hashtext(cast(id as text)) as bigint)), 2) = 1"
     assert bucket_predicates("id", 3, "mysql")[2] == "mod(crc32(id), 3) = 2"
     with pytest.raises(ValueError):
@@ -142,13 +155,15 @@ def test_paths_hold_source_and_database():
     one = snapshot_path("hdfs://h/lake/", TableSpec("t", source="pg", database="a"), date(2024, 9, 1))
     two = snapshot_path("hdfs://h/lake", TableSpec("t", source="pg", database="b"), datetime(2024, 9, 1, 5))
     assert one == "hdfs://h/lake/pg/a/t/get_data=20240901"
-    assert two == "hdfs://h/lake/pg/b/t/get_data=20240901"
+    assert two == "hdfs://h/lake/pg/b/t/get_data=20240901050000"
     assert date_tag(date(2024, 1, 31)) == "20240131"
 
 
 def test_moments_with_a_zone_are_taken_as_utc():
     hanoi = datetime(2024, 9, 1, 3, tzinfo=timezone(timedelta(hours=7)))
-    assert date_tag(hanoi) == "20240831"
+    assert date_tag(hanoi) == "20240831200000"
+    with pytest.raises(ValueError, match="second"):
+        date_tag(datetime(2024, 9, 1, 0, 0, 0, 5))
     assert interval_sql("ts", hanoi, None) == "ts >= timestamp '2024-08-31 20:00:00'"
 
 
