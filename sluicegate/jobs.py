@@ -14,18 +14,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records
 from sluicegate.operators.extract import ExtractResult, extract_all
+from sluicegate.operators.latest import latest_table
 from sluicegate.operators.snapshot import write_snapshot
 from sluicegate.plans.spec import Connection, TableSpec, load_connections, load_specs, read_yaml
-from sluicegate.plans.strategy import date_tag, file_count
-from sluicegate.session import build_session
+from sluicegate.plans.strategy import date_tag, file_count, table_root
+from sluicegate.session import build_session, new_work_dir
 from sluicegate.sources.jdbc import JdbcSource
 from sluicegate.sources.kafka import read_topic, send_batch
 from sluicegate.sources.rest import Fetcher, fetch_bodies, http_fetcher, land_bodies, request_frame
+from sluicegate.sources.storage import remove_folder
 from sluicegate.streaming.messages import USER_MESSAGE, encode_messages, split_messages
-from sluicegate.streaming.stream import keyed_upsert_stream
+from sluicegate.streaming.stream import append_stream, compact, keyed_upsert_stream
 
 REQUESTS_PER_TASK = 8
-KAFKA_ORDER = ("partition", "offset")
+# Across partitions offsets are no order in time; within one they are.
+KAFKA_ORDER = ("timestamp", "partition", "offset")
 
 
 def jdbc_sources(
@@ -41,15 +44,36 @@ def jdbc_sources(
     return source_of
 
 
+def connected_specs(tables_path: str, connections: Mapping[str, Connection]) -> list[TableSpec]:
+    """Every table of the list; a source without a connection is an error that names all of them."""
+    specs = load_specs(tables_path)
+    missing = sorted({s.source for s in specs} - set(connections))
+    if missing:
+        raise KeyError(f"no connection for source {', '.join(map(repr, missing))}")
+    return specs
+
+
 def extract_tables(
     spark: SparkSession, tables_path: str, env_path: str, start: datetime, end: datetime | None = None
 ) -> list[ExtractResult]:
-    """Every table of the list whose source has a connection, into snapshots of the start date."""
+    """Every table of the list into a snapshot of the start date, which may hold a time of day."""
     connections, root = load_connections(env_path)
-    specs = [s for s in load_specs(tables_path) if s.source in connections]
+    specs = connected_specs(tables_path, connections)
     return extract_all(spark, jdbc_sources(spark, connections), specs, start, root, end)
 
 
+def write_latest(spark: SparkSession, tables_path: str, env_path: str, target: str) -> dict[str, int]:
+    """The current rows of every table of the list that names a primary key, below ``target``; rows by table."""
+    _, root = load_connections(env_path)
+    specs = [s for s in load_specs(tables_path) if s.primary_key]
+    return {
+        f"{s.source}.{s.database}.{s.table}": write_snapshot(
+            latest_table(spark, root, s), table_root(target, s), 1, s.rows_per_file, filtered=True
+        )
+        for s in specs
+    }
+
+
 def fetch_quotes(
     spark: SparkSession,
     config: Mapping,
@@ -67,11 +91,8 @@ def fetch_quotes(
     requests = request_frame(symbols, "symbol", endpoint, config["period"])
     tasks = max(1, file_count(symbols.count(), REQUESTS_PER_TASK))
     bodies = land_bodies(fetch_bodies(requests, fetcher, tasks=tasks), f"{root}/bodies/{job}={date_tag(day)}")
-    quotes = flatten_quotes(bodies)
-    rows = quotes.count()
-    if rows == 0:
-        return 0
-    return write_snapshot(quotes, f"{root}/quotes/{job}={date_tag(day)}", file_count(rows))
+    path = f"{root}/quotes/{job}={date_tag(day)}"
+    return write_snapshot(flatten_quotes(bodies), path, 1, filtered=True, skip_empty=True)
 
 
 def user_messages(documents: DataFrame, path: str) -> DataFrame:
@@ -79,8 +100,13 @@ def user_messages(documents: DataFrame, path: str) -> DataFrame:
     return encode_messages(assign_ids(user_records(documents), path), key="id")
 
 
-def send_users(documents: DataFrame, path: str, servers: str, topic: str = "users_created") -> None:
-    send_batch(user_messages(documents, path), servers, topic)
+def send_users(documents: DataFrame, servers: str, topic: str) -> None:
+    """Send the users of landed documents to a topic. Their ids are landed while they are sent, and removed after."""
+    path = new_work_dir(documents.sparkSession, "users")
+    try:
+        send_batch(user_messages(documents, path), servers, topic)
+    finally:
+        remove_folder(documents.sparkSession, path)
 
 
 def decoded_users(messages: DataFrame) -> DataFrame:
@@ -89,50 +115,87 @@ def decoded_users(messages: DataFrame) -> DataFrame:
 
 
 def take_users(
-    spark: SparkSession, servers: str, path: str, checkpoint: str, topic: str = "users_created", **settings
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    path: str,
+    checkpoint: str,
+    trigger: Mapping | None = None,
+    sink: str = "keyed",
+    **settings,
 ) -> StreamingQuery:
     """Keep the last message per user id below ``path``; read it with ``current_state``.
 
-    Rejected messages are kept beside it; read them with ``rejected_messages``.
+    Rejected messages are kept beside it; read them with ``rejected_messages``. Any other ``sink`` than ``keyed``
+    names a format that all messages are appended in.
     """
     users = decoded_users(read_topic(spark, servers, topic, **settings))
-    return keyed_upsert_stream(users, path, checkpoint, ["id"], KAFKA_ORDER)
+    if sink == "keyed":
+        return keyed_upsert_stream(users, path, checkpoint, ["id"], KAFKA_ORDER, trigger)
+    return append_stream(users, path, checkpoint, trigger, sink=sink)
 
 
-def main(arguments: list[str] | None = None) -> None:
+def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="sluicegate")
     jobs = parser.add_subparsers(dest="job", required=True)
-    extract = jobs.add_parser("extract", help="tables over JDBC into dated snapshots")
-    extract.add_argument("--tables", required=True)
-    extract.add_argument("--env", required=True)
+
+    def job(name: str, text: str, *required: str) -> argparse.ArgumentParser:
+        made = jobs.add_parser(name, help=text)
+        for option in required:
+            made.add_argument(f"--{option}", required=True)
+        return made
+
+    extract = job("extract", "tables over JDBC into dated snapshots", "tables", "env")
     extract.add_argument("--start", required=True, type=datetime.fromisoformat)
     extract.add_argument("--end", type=datetime.fromisoformat)
-    quotes = jobs.add_parser("quotes", help="quotes of the configured symbols into a dated snapshot")
-    quotes.add_argument("--config", required=True)
-    quotes.add_argument("--endpoint", required=True)
-    quotes.add_argument("--root", required=True)
+    job("latest", "current rows of the listed tables", "tables", "env", "target")
+    quotes = job("quotes", "quotes of the configured symbols into a dated snapshot", "config", "endpoint", "root")
     quotes.add_argument("--day", required=True, type=datetime.fromisoformat)
     quotes.add_argument("--key-env", default="key")
     quotes.add_argument("--host-env", default="host")
-    users = jobs.add_parser("users", help="user messages of a topic into a keyed log")
-    users.add_argument("--servers", required=True)
-    users.add_argument("--topic", default="users_created")
-    users.add_argument("--path", required=True)
-    users.add_argument("--checkpoint", required=True)
-    asked = parser.parse_args(arguments)
+    job("send", "users of landed JSON documents to a topic", "documents", "servers", "topic")
+    users = job("users", "user messages of a topic into a keyed log", "servers", "topic", "path", "checkpoint")
+    users.add_argument("--starting-offsets", default="earliest")
+    users.add_argument("--ignore-data-loss", action="store_true")
+    users.add_argument("--max-offsets", type=int)
+    users.add_argument("--min-partitions", type=int)
+    users.add_argument("--every", help="time between micro-batches, such as '10 seconds'")
+    users.add_argument("--available-now", action="store_true", help="take what is there and end")
+    users.add_argument("--sink", default="keyed")
+    compact_ = job("compact", "fold a keyed log into its base", "path")
+    compact_.add_argument("--remove", action="store_true", help="remove what is folded")
+    return parser
 
+
+def main(arguments: list[str] | None = None) -> None:
+    asked = _arguments().parse_args(arguments)
     spark = build_session(f"sluicegate-{asked.job}")
     if asked.job == "extract":
         for r in extract_tables(spark, asked.tables, asked.env, asked.start, asked.end):
             name = f"{r.spec.source}.{r.spec.database}.{r.spec.table}"
             print(f"{name}: {r.strategy}, {r.rows} rows, {r.path or 'nothing written'}")
+    elif asked.job == "latest":
+        for name, rows in write_latest(spark, asked.tables, asked.env, asked.target).items():
+            print(f"{name}: {rows} rows")
     elif asked.job == "quotes":
         with open(asked.config, encoding="utf-8") as f:
             config = read_yaml(f.read())
         fetcher = http_fetcher(asked.key_env, asked.host_env)
         print(fetch_quotes(spark, config, asked.endpoint, fetcher, asked.root, asked.day), "quotes")
+    elif asked.job == "send":
+        documents = spark.read.text(asked.documents).withColumnRenamed("value", "body")
+        send_users(documents, asked.servers, asked.topic)
+    elif asked.job == "compact":
+        print("generation", compact(spark, asked.path, ["id"], KAFKA_ORDER, remove=asked.remove))
     else:
-        take_users(spark, asked.servers, asked.path, asked.checkpoint, asked.topic).awaitTermination()
+        trigger = {"processingTime": asked.every} if asked.every else None
+        trigger = {"availableNow": True} if asked.available_now else trigger
+        query = take_users(
+            spark, asked.servers, asked.topic, asked.path, asked.checkpoint, trigger, asked.sink,
+            starting_offsets=asked.starting_offsets, fail_on_data_loss=not asked.ignore_data_loss,
+            max_offsets_per_trigger=asked.max_offsets, min_partitions=asked.min_partitions,
+        )
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -30,17 +30,26 @@ def test_extract_tables_from_files(spark, lake, tmp_path, monkeypatch):
 config:
 - user: pg
   databases:
-  - {db_name: shop, job: get_data, tbl_list: [{table_name: customer, partitionColumn: c_custkey}]}
+  - {db_name: shop, job: get_data, tbl_list: [{table_name: customer, partitionColumn: c_custkey, primaryKey_col: c_custkey}]}
 - user: not_connected
   databases:
   - {db_name: shop, job: get_data, tbl_list: [{table_name: orders}]}
 """
     )
     monkeypatch.setattr(jobs, "jdbc_sources", lambda spark, connections: lambda spec: lake)
-    (result,) = jobs.extract_tables(spark, str(tmp_path / "tables.yml"), str(tmp_path / "env.yml"), DAY)
+    files = str(tmp_path / "tables.yml"), str(tmp_path / "env.yml")
+    with pytest.raises(KeyError, match="'not_connected'"):
+        jobs.extract_tables(spark, *files, DAY)
+    with open(files[1], "a") as env:
+        env.write('- {user: not_connected, url: "jdbc:postgresql://h/", fetchsize: 5, options: {ssl: true}}\n')
+    result, other = jobs.extract_tables(spark, *files, DAY)
     assert (result.spec.table, result.rows, result.written) == ("customer", 150, True)
+    assert (other.spec.table, other.rows) == ("orders", 1500)
     assert result.path == f"{root}/pg/shop/customer/get_data=20240901"
     assert read_snapshots(spark, table_root(str(root), result.spec), "get_data").count() == 150
+    latest = jobs.write_latest(spark, *files, str(tmp_path / "now"))
+    assert latest == {"pg.shop.customer": 150}
+    assert spark.read.parquet(str(tmp_path / "now/pg/shop/customer")).columns == lake.table("customer").columns
 
 
 def test_quotes_of_the_configured_symbols(spark, tmp_path):
@@ -51,14 +60,14 @@ def test_quotes_of_the_configured_symbols(spark, tmp_path):
         series = {f"2024-01-0{d} 00:00:00": quote for d in (1, 2)}
         return json.dumps({"data": {"symbol": request["symbol"], "type": "stock", "time_series": series}})
 
-    config = {"symbol": ["NVDA:NASDAQ", "AAPL:NASDAQ", "GONE"], "period": "MAX"}
+    config = {"symbol": ["ASH:LSE", "ELM:LSE", "GONE"], "period": "MAX"}
     written = jobs.fetch_quotes(spark, config, "https://example.invalid/q", fetch, str(tmp_path), DAY)
     quotes = read_snapshots(spark, f"{tmp_path}/quotes", "get_data")
     assert written == quotes.count() == 4
     bodies = spark.read.json(f"{tmp_path}/bodies/get_data=20240901")
     assert bodies.where("error is not null").select("symbol").collect() == [("GONE",)]
     nothing = jobs.fetch_quotes(spark, {"symbol": ["GONE"], "period": "MAX"}, "e", fetch, str(tmp_path / "b"), DAY)
-    assert nothing == 0 and not (tmp_path / "b" / "quotes").exists()
+    assert nothing == 0 and not list((tmp_path / "b" / "quotes").iterdir())
 
 
 def test_users_from_documents_to_keyed_state(spark, tmp_path, rows):
@@ -69,7 +78,8 @@ def test_users_from_documents_to_keyed_state(spark, tmp_path, rows):
     messages = jobs.user_messages(documents, str(tmp_path / "ids"))
     assert messages.columns == ["key", "value"]
     topic = messages.withColumn("partition", F.lit(0)).withColumn("offset", F.monotonically_increasing_id())
-    bad = topic.limit(1).select("key", F.lit(b"{bad").alias("value"), "partition", F.lit(10**12).alias("offset"))
+    topic = topic.withColumn("timestamp", F.lit(DAY))
+    bad = topic.limit(1).select("key", F.lit(b"{bad").alias("value"), "partition", F.lit(10**12).alias("offset"), "timestamp")
     for _ in range(2):
         topic.unionByName(bad).write.mode("append").parquet(str(tmp_path / "topic"))
     stream = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "topic"))
@@ -81,24 +91,51 @@ def test_users_from_documents_to_keyed_state(spark, tmp_path, rows):
     assert found.columns == [*USER_FIELDS, *jobs.KAFKA_ORDER]
     assert rows(found, "first_name") == rows(user_records(documents), "first_name")
     assert rows(rejected_messages(spark, state), "rejected_text", "offset") == [("{bad", 10**12)] * 2
+    before = rows(found)
+    assert jobs.compact(spark, state, ["id"], jobs.KAFKA_ORDER, remove=True) == 0
+    assert rows(current_state(spark, state, ["id"], jobs.KAFKA_ORDER)) == before
+
+
+def test_users_are_sent_and_the_landed_ids_removed(spark, tmp_path, monkeypatch):
+    sent = {}
+
+    def send(messages, servers, topic):
+        sent.update(servers=servers, topic=topic, keys=[bytes(r["key"]) for r in messages.collect()])
+
+    monkeypatch.setattr(jobs, "send_batch", send)
+    monkeypatch.setattr(jobs, "new_work_dir", lambda spark, label: str(tmp_path / label))
+    documents = spark.createDataFrame([('{"results":[{"gender":"male"}]}',)] * 3, "body string")
+    jobs.send_users(documents, "h:9092", "t")
+    assert (sent["servers"], sent["topic"], len(set(sent["keys"]))) == ("h:9092", "t", 3)
+    assert not (tmp_path / "users").exists()
+
+
+def test_the_latest_message_is_the_latest_in_time(spark):
+    """Across topic partitions the offset says nothing."""
+    from sluicegate.operators.latest import latest_state
+
+    rows = [("u", "old", 9, 50, datetime(2024, 1, 1)), ("u", "new", 0, 3, datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "id string, v string, partition int, offset bigint, timestamp timestamp")
+    assert latest_state(df, ["id"], jobs.KAFKA_ORDER).first()["v"] == "new"
 
 
 def test_users_are_taken_until_the_query_stops(spark, tmp_path, monkeypatch, rows):
     one, two = ("0b7e8a52-7c1e-4b55-9d0f-0c6f3a1d2e4%d" % i for i in (1, 2))
 
     def send(*messages):
-        made = [(f'{{"id":"{i}","first_name":"{n}"}}'.encode(), 0, offset) for i, n, offset in messages]
-        made = spark.createDataFrame(made, "value binary, partition int, offset bigint")
+        made = [(f'{{"id":"{i}","first_name":"{n}"}}'.encode(), 0, offset, DAY) for i, n, offset in messages]
+        made = spark.createDataFrame(made, "value binary, partition int, offset bigint, timestamp timestamp")
         made.coalesce(1).write.mode("append").parquet(str(tmp_path / "topic"))
 
     def read_topic(spark, servers, topic, **settings):
-        assert (servers, topic, settings) == ("h:9092", "users_created", {"fail_on_data_loss": False})
-        return spark.readStream.schema("value binary, partition int, offset bigint").parquet(str(tmp_path / "topic"))
+        assert (servers, topic, settings) == ("h:9092", "users", {"fail_on_data_loss": False})
+        schema = "value binary, partition int, offset bigint, timestamp timestamp"
+        return spark.readStream.schema(schema).parquet(str(tmp_path / "topic"))
 
     monkeypatch.setattr(jobs, "read_topic", read_topic)
     send((one, "a", 0), (two, "b", 1), ("no uuid", "c", 2))
     state = str(tmp_path / "state")
-    query = jobs.take_users(spark, "h:9092", state, str(tmp_path / "c"), fail_on_data_loss=False)
+    query = jobs.take_users(spark, "h:9092", "users", state, str(tmp_path / "c"), fail_on_data_loss=False)
     try:
         query.processAllAvailable()
         send((one, "d", 3))
@@ -114,3 +151,26 @@ def test_command_line_wants_its_arguments(capsys):
     with pytest.raises(SystemExit):
         jobs.main(["extract", "--tables", "t.yml"])
     assert "--env" in capsys.readouterr().err
+
+
+def test_command_line_passes_the_topic_options_on(spark, monkeypatch):
+    asked = {}
+
+    class Query:
+        def awaitTermination(self):
+            asked["waited"] = True
+
+    def take_users(spark, servers, topic, path, checkpoint, trigger, sink, **settings):
+        asked.update(settings, topic=topic, trigger=trigger, sink=sink)
+        return Query()
+
+    monkeypatch.setattr(jobs, "take_users", take_users)
+    monkeypatch.setattr(jobs, "build_session", lambda name: spark)
+    common = ["users", "--servers", "h", "--topic", "t", "--path", "p", "--checkpoint", "c"]
+    jobs.main([*common, "--starting-offsets", "latest", "--ignore-data-loss", "--max-offsets", "9", "--available-now"])
+    assert asked == {
+        "topic": "t", "trigger": {"availableNow": True}, "sink": "keyed", "starting_offsets": "latest",
+        "fail_on_data_loss": False, "max_offsets_per_trigger": 9, "min_partitions": None, "waited": True,
+    }
+    jobs.main([*common, "--every", "10 seconds", "--sink", "json"])
+    assert asked["trigger"] == {"processingTime": "10 seconds"} and asked["sink"] == "json"
