@@ -2,37 +2,36 @@
 
 from __future__ import annotations
 
-import json
 import os
 import sys
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from sluicegate.functions.columns import files_for, is_uuid, stride_number  # noqa: E402
+from sluicegate.functions.columns import files_for, is_uuid  # noqa: E402
 from sluicegate.operators.buckets import self_join_counted, with_bucket  # noqa: E402
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records  # noqa: E402
 from sluicegate.operators.extract import extract_all, extract_table  # noqa: E402
-from sluicegate.operators.latest import latest_state  # noqa: E402
+from sluicegate.operators.latest import latest_state, latest_table  # noqa: E402
 from sluicegate.operators.snapshot import read_snapshots, write_snapshot  # noqa: E402
 from sluicegate.plans.spec import TableSpec, parse_specs, read_yaml  # noqa: E402
 from sluicegate.plans.strategy import (  # noqa: E402
     bucket_predicates,
-    file_count,
     layout,
-    moment_predicates,
     read_strategy,
     resolve_bounds,
+    stride_predicates,
     table_root,
 )
 from sluicegate.sources.base import find_bounds  # noqa: E402
 from sluicegate.sources.lake import LakeSource  # noqa: E402
-from sluicegate.sources.rest import fetch_bodies, fetch_lateral, land_bodies, request_frame  # noqa: E402
+from sluicegate.sources.rest import request_frame  # noqa: E402
 from sluicegate.session import new_work_dir  # noqa: E402
 from sluicegate.streaming.messages import (  # noqa: E402
     USER_MESSAGE,
@@ -61,6 +60,7 @@ except ModuleNotFoundError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 ORDERS_START = datetime(1998, 1, 1)
 EVENT_DAYS = [datetime(2024, 1, d) for d in (1, 2, 3)]
+HALF_DAYS = [datetime(2024, 1, 2), datetime(2024, 1, 2, 12), datetime(2024, 1, 3)]
 SNAPSHOT_DAY = datetime(2024, 9, 1)
 ENDPOINT, PERIOD = "https://example.invalid/q", "MAX"
 ONCE = {"availableNow": True}
@@ -72,14 +72,13 @@ CUSTOMER_KEYED = TableSpec("customer", partition_column="c_custkey", primary_key
 CUSTOMER_KEYLESS = TableSpec("customer", primary_key="c_custkey")
 SUPPLIER_KEYLESS = TableSpec("supplier", primary_key="s_suppkey")
 
+# The key names of the table list.
 FANOUT_YAML = """
 config:
 - user: warehouse
   databases:
     - db_name: sales
       job: get_data
-      source_name: main
-      source_type: database
       tbl_list:
         - {table_name: customer, numPartitions: 4, lowerBound: 0, upperBound: max, partitionColumn: c_custkey,
            primaryKey_col: c_custkey, lastUpdate_col: }
@@ -149,15 +148,15 @@ def incremental_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stride_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = LakeSource(spark, sf_dir)
-    spec = TableSpec("orders", partition_column="o_orderkey", num_partitions=4, upper_bound="max", bounds="count")
+    spec = TableSpec("orders", partition_column="o_orderkey", num_partitions=7, upper_bound="max", bounds="count")
     bounds = find_bounds(source, spec)
-    return source.read(spec, bounds).withColumn("stride", stride_number("o_orderkey", bounds))
+    return source.read(spec, bounds).withColumn("stride", _piece(stride_predicates("o_orderkey", bounds)))
 
 
 def stride_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = TableSpec("customer", partition_column="c_custkey", num_partitions=4, lower_bound=100, upper_bound=500)
+    spec = TableSpec("customer", partition_column="c_custkey", num_partitions=6, lower_bound=100, upper_bound=501)
     df = LakeSource(spark, sf_dir).read(spec)
-    stride = stride_number("c_custkey", resolve_bounds(spec, 0))
+    stride = _piece(stride_predicates("c_custkey", resolve_bounds(spec, 0)))
     return df.groupBy(stride.alias("stride")).agg(F.count("*").alias("n"))
 
 
@@ -175,6 +174,11 @@ def hash_bucket_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return self_join_counted(t, "id", 2, "md5")
 
 
+def _piece(predicates: list[str]) -> Column:
+    """Which part of a split read takes a row: the number of the text sent for it."""
+    return F.coalesce(*(F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)))
+
+
 def _rows_per_predicate(df: DataFrame, predicates: list[str], name: str) -> DataFrame:
     """How many rows each part of a split read takes, in one pass."""
     counts = df.agg(*(F.count_if(F.expr(p)).alias(f"n{i}") for i, p in enumerate(predicates)))
@@ -191,7 +195,7 @@ def bucketed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_strides(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = LakeSource(spark, sf_dir)
     spec = TableSpec("orders", partition_column="o_orderdate", num_partitions=6)
-    predicates = moment_predicates("o_orderdate", find_bounds(source, spec))
+    predicates = stride_predicates("o_orderdate", find_bounds(source, spec))
     return _rows_per_predicate(source.read(spec), predicates, "stride")
 
 
@@ -238,13 +242,22 @@ def first_run_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _extract_days(spark, sf_dir, EVENTS, EVENT_DAYS, "incremental")
-    return _rows_per(read_snapshots(spark, table_root(root, EVENTS), EVENTS.job), "get_data")
+    return read_snapshots(spark, table_root(root, EVENTS), EVENTS.job)
+
+
+def half_day_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs within a day, each with an end: neither replaces the other."""
+    source, root = LakeSource(spark, sf_dir), new_work_dir(spark, "half_days")
+    spec = TableSpec("events", last_update_column="ts", primary_key="event_id", initial="since_start")
+    for start, end in zip(HALF_DAYS, HALF_DAYS[1:]):
+        extract_table(spark, source, spec, start, root, end)
+    return read_snapshots(spark, table_root(root, spec), spec.job)
 
 
 def overwrite_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _extract_days(spark, sf_dir, EVENTS, EVENT_DAYS[:2], "overwrite")
     extract_table(spark, LakeSource(spark, sf_dir), EVENTS, EVENT_DAYS[1], root, end=datetime(2024, 1, 15))
-    return _rows_per(read_snapshots(spark, table_root(root, EVENTS), EVENTS.job), "get_data")
+    return read_snapshots(spark, table_root(root, EVENTS), EVENTS.job)
 
 
 def empty_extract_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,21 +274,20 @@ def bucketed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec, root = CUSTOMER_KEYLESS, new_work_dir(spark, "bucketed")
     for day in (SNAPSHOT_DAY, datetime(2024, 9, 2)):
         extract_table(spark, LakeSource(spark, sf_dir), spec, day, root, hash_method="md5")
-    return _rows_per(read_snapshots(spark, table_root(root, spec), spec.job), "get_data", "mod_hash_id")
+    return read_snapshots(spark, table_root(root, spec), spec.job)
 
 
 def config_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_work_dir(spark, "fanout")
     specs = parse_specs(read_yaml(FANOUT_YAML))
     extract_all(spark, lambda spec: LakeSource(spark, sf_dir), specs, SNAPSHOT_DAY, root)
-    return _union(
-        [
-            read_snapshots(spark, table_root(root, s), s.job)
-            .agg(F.count("*").alias("n"))
-            .select(F.lit(f"{s.source}.{s.database}.{s.table}").alias("table_name"), "n")
-            for s in specs
-        ]
-    )
+    frames = []
+    for spec in specs:
+        df = read_snapshots(spark, table_root(root, spec), spec.job).drop(spec.job)
+        name = F.lit(f"{spec.source}.{spec.database}.{spec.table}").alias("table_name")
+        key, text = df.columns[0], next(c for c, t in df.dtypes if t == "string")
+        frames.append(df.select(name, F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")))
+    return _union(frames)
 
 
 def latest_over_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,6 +296,23 @@ def latest_over_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_state(versions, ["user_id", "event_type"], ["ts", "event_id", "get_data"]).drop("get_data")
 
 
+LATEST_YAML = """
+config:
+- user: warehouse
+  databases:
+    - db_name: sales
+      tbl_list:
+        - {table_name: events, lastUpdate_col: ts, primaryKey_col: [user_id, event_type]}
+"""
+
+
+def latest_of_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three overlapping days of a table whose key, of two columns, is in the table list."""
+    (spec,) = parse_specs(read_yaml(LATEST_YAML))
+    root = _extract_days(spark, sf_dir, spec, EVENT_DAYS, "latest_table")
+    return latest_table(spark, root, spec)
+
+
 # --- documents --------------------------------------------------------------------------------
 
 
@@ -325,30 +354,8 @@ def timeseries_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quotes_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{new_work_dir(spark, 'quotes')}/quotes"
     quotes = flatten_quotes(_quote_bodies(spark, sf_dir))
-    files = file_count(2 * LakeSource(spark, sf_dir).count_frame(EVENTS).first()[0])
-    write_snapshot(quotes, f"{folder}/get_data={_tag(SNAPSHOT_DAY)}", max(1, files))
-    return _rows_per(read_snapshots(spark, folder, "get_data"), "get_data", "symbol")
-
-
-def _stand_in() -> Callable:
-    """Answers a request the way the quote service would, priced by the number in the symbol."""
-
-    def fetch(request) -> str:
-        quote = {"price": float(request["symbol"].split("#")[1]), "change": 0.5, "change_percent": 0.25}
-        data = {"symbol": request["symbol"], "type": "stock", "time_series": {"2024-01-02 15:59:58": quote}}
-        return json.dumps({"data": data})
-
-    return fetch
-
-
-def fetch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = fetch_bodies(requests(spark, sf_dir), _stand_in())
-    return flatten_quotes(land_bodies(bodies, new_work_dir(spark, "bodies")))
-
-
-def fetch_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = request_frame(LakeSource(spark, sf_dir).table("supplier"), "s_name", ENDPOINT, PERIOD)
-    return flatten_quotes(land_bodies(fetch_lateral(asked, _stand_in()), new_work_dir(spark, "bodies")))
+    write_snapshot(quotes, f"{folder}/get_data={_tag(SNAPSHOT_DAY)}", 1, filtered=True)
+    return read_snapshots(spark, folder, "get_data")
 
 
 def _user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,7 +394,8 @@ def user_record_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = LakeSource(spark, sf_dir).table("customer").select("c_custkey", "c_name")
     with_ids = assign_ids(customers, new_work_dir(spark, "ids"))
-    return with_ids.select("c_custkey", "c_name", is_uuid("id").alias("id_is_uuid"))
+    holders = F.count("*").over(Window.partitionBy("id")).alias("rows_with_id")
+    return with_ids.select("c_custkey", "c_name", is_uuid("id").alias("id_is_uuid"), holders)
 
 
 # --- messages and streams ---------------------------------------------------------------------
@@ -400,7 +408,8 @@ def binary_value_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def to_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = LakeSource(spark, sf_dir).table("events")
-    return decode_messages(encode_messages(events, key="event_id"), events.schema)
+    messages = encode_messages(events, key="event_id")
+    return messages.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
 def _finish(query) -> None:
@@ -409,8 +418,14 @@ def _finish(query) -> None:
 
 def json_parse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "parsed")
+    # The text is put together by hand, so that an error of the encoder cannot undo one of the parser.
     customers = LakeSource(spark, sf_dir).stream("customer", FILES_PER_BATCH)
-    parsed = decode_messages(encode_messages(customers, key="c_custkey"), customers.schema)
+    fields = []
+    for i, (name, kind) in enumerate(customers.dtypes):
+        quote = '"' if kind == "string" else ""
+        fields += [F.lit(f'{"," if i else "{"} "{name}" : {quote}'), F.col(name).cast("string"), F.lit(quote)]
+    messages = customers.select(F.encode(F.concat(*fields, F.lit("}")), "UTF-8").alias("value"))
+    parsed = decode_messages(messages, customers.schema)
     _finish(append_stream(parsed, f"{path}/rows", f"{path}/checkpoint", ONCE))
     return spark.read.parquet(f"{path}/rows")
 
@@ -451,13 +466,17 @@ def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows")
 
 
-def _upsert_events(spark: SparkSession, sf_dir: str) -> tuple[str, list[str], list[str]]:
+def _upsert_events(spark: SparkSession, sf_dir: str, fold: bool = False) -> tuple[str, list[str], list[str]]:
     path, keys, order = new_work_dir(spark, "keyed"), ["user_id"], ["timestamp", "offset"]
     events = LakeSource(spark, sf_dir).stream("events", FILES_PER_BATCH)
     messages = encode_messages(events, key="user_id", carry=["ts", "event_id"])
     messages = messages.withColumnsRenamed({"ts": "timestamp", "event_id": "offset"})
     decoded = decode_messages(messages, events.schema, carry=order)
-    _finish(keyed_upsert_stream(decoded, path, f"{path}/checkpoint", keys, order, ONCE))
+    # The second query has a checkpoint of its own, and of the source only what a topic would still hold.
+    for half, checkpoint in ((F.col("offset") % 2 == 0, "first"), (F.col("offset") % 2 == 1, "second")):
+        _finish(keyed_upsert_stream(decoded.where(half), path, f"{path}/{checkpoint}", keys, order, ONCE))
+        if fold:
+            compact(spark, path, keys, order)
     return path, keys, order
 
 
@@ -467,8 +486,8 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, keys, order = _upsert_events(spark, sf_dir)
-    return spark.read.parquet(compact(spark, path, keys, order)).drop(*order)
+    path, keys, order = _upsert_events(spark, sf_dir, fold=True)
+    return current_state(spark, path, keys, order).drop(*order)
 
 
 # --- contract ---------------------------------------------------------------------------------
@@ -500,16 +519,16 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_strategy": strategy_choice,
         "first_run_snapshot": first_run_snapshot,
         "incremental_snapshots": incremental_snapshots,
+        "half_day_snapshots": half_day_snapshots,
         "overwrite_one_date": overwrite_one_date,
         "empty_extract_skip": empty_extract_skip,
         "bucketed_snapshot": bucketed_snapshot,
         "config_fanout": config_fanout,
         "latest_state": latest_over_snapshots,
+        "latest_table": latest_of_spec,
         "request_frame": requests,
         "timeseries_flatten": timeseries_flatten,
         "quotes_snapshot": quotes_snapshot,
-        "fetch_source": fetch_source,
-        "fetch_table_function": fetch_table_function,
         "user_record_format": user_record_format,
         "record_ids": record_ids,
         "binary_value_cast": binary_value_cast,
@@ -530,13 +549,6 @@ LATEST_PER_USER = """
     qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1
 """
 
-SINGLE_QUOTE = """
-    select {name} as symbol, 'stock' as type, timestamp '2024-01-02 15:59:58' as last_update_utc,
-           cast({key} as double) as price, 0.5::double as change, 0.25::double as change_percent,
-           null::bigint as volume
-    from {table}
-"""
-
 QUOTES = """
     select 'U' || user_id as symbol, 'stock' as type, date_trunc('second', ts) as last_update_utc,
            value as price, value - 1 as change, value / 100 as change_percent, event_id as volume
@@ -572,14 +584,16 @@ def library_sql() -> dict[str, str]:
             select * from events where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-03'
         """,
         "stride_read": """
-            select orders.*, (case when o_orderkey is null or o_orderkey < 0 then 0
-                                   when o_orderkey >= 3 * (n // 4) then 3
-                                   else o_orderkey // (n // 4) end)::int as stride
+            select orders.*, (case when o_orderkey < n * 1 // 7 then 0 when o_orderkey < n * 2 // 7 then 1
+                                   when o_orderkey < n * 3 // 7 then 2 when o_orderkey < n * 4 // 7 then 3
+                                   when o_orderkey < n * 5 // 7 then 4 when o_orderkey < n * 6 // 7 then 5
+                                   when o_orderkey is null then 7 else 6 end)::int as stride
             from orders, (select count(*) as n from orders)
         """,
         "stride_assignment": """
-            select case when c_custkey is null or c_custkey < 200 then 0 when c_custkey < 300 then 1
-                        when c_custkey < 400 then 2 else 3 end as stride, count(*) as n
+            select case when c_custkey is null then 6 when c_custkey < 166 then 0 when c_custkey < 233 then 1
+                        when c_custkey < 300 then 2 when c_custkey < 367 then 3 when c_custkey < 434 then 4
+                        else 5 end as stride, count(*) as n
             from customer group by 1
         """,
         "hash_bucket": f"select c_custkey, {MD5_BUCKET.format(key='c_custkey')} as mod_hash_id from customer",
@@ -593,11 +607,15 @@ def library_sql() -> dict[str, str]:
                 from t u1 full join t u2 on u1.id = u2.id
                 group by all)
         """,
-        "bucketed_read": "select (l_orderkey % 4)::int as bucket, count(*) as n from lineitem group by 1",
+        "bucketed_read": """
+            select bucket::int as bucket, count(l_orderkey) as n from range(5) b(bucket)
+            left join lineitem on l_orderkey % 4 = bucket group by 1
+        """,
         "date_strides": """
             with b as (select epoch_us(min(o_orderdate)) as lo, epoch_us(max(o_orderdate)) as hi from orders)
-            select least(5, (epoch_us(o_orderdate) - lo) * 6 // (hi - lo))::int as stride, count(*) as n
-            from orders, b group by 1
+            select stride::int as stride, count(o_orderkey) as n from range(7) s(stride)
+            left join (select o_orderkey, least(5, (epoch_us(o_orderdate) - lo) * 6 // (hi - lo)) as place from orders, b)
+            on place = stride group by 1
         """,
         "sized_file_count": "select count(*) as n, cast(ceil(count(*) / 1000.0) as bigint) as files from events",
         "read_strategy": """
@@ -607,15 +625,19 @@ def library_sql() -> dict[str, str]:
                 union all select 'keyed', 'stride', 'sized', count(*) from customer
                 union all select 'keyless', 'bucket', 'bucketed', count(*) from supplier)
         """,
-        "first_run_snapshot": "select *, 20240901::int as get_data from orders",
+        "first_run_snapshot": "select *, 20240901::bigint as get_data from orders",
         "incremental_snapshots": """
-            select 20240101::int as get_data, count(*) as n from events
-            union all select 20240102, count(*) from events where ts >= timestamp '2024-01-02'
-            union all select 20240103, count(*) from events where ts >= timestamp '2024-01-03'
+            select *, 20240101::bigint as get_data from events
+            union all select *, 20240102 from events where ts >= timestamp '2024-01-02'
+            union all select *, 20240103 from events where ts >= timestamp '2024-01-03'
+        """,
+        "half_day_snapshots": """
+            select *, case when ts < timestamp '2024-01-02 12:00:00' then 20240102 else 20240102120000 end as get_data
+            from events where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-03'
         """,
         "overwrite_one_date": """
-            select 20240101::int as get_data, count(*) as n from events
-            union all select 20240102, count(*) from events
+            select *, 20240101::bigint as get_data from events
+            union all select *, 20240102 from events
             where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-15'
         """,
         "empty_extract_skip": """
@@ -625,25 +647,27 @@ def library_sql() -> dict[str, str]:
             group by 1
         """,
         "bucketed_snapshot": f"""
-            select d::int as get_data, ({MD5_BUCKET.format(key='c_custkey')})::int as mod_hash_id, count(*) as n
-            from customer, (values (20240901), (20240902)) v(d) group by 1, 2
+            select customer.*, d::bigint as get_data, ({MD5_BUCKET.format(key='c_custkey')})::int as mod_hash_id
+            from customer, (values (20240901), (20240902)) v(d)
         """,
         "config_fanout": """
-            select 'warehouse.sales.customer' as table_name, count(*) as n from customer
-            union all select 'warehouse.sales.supplier', count(*) from supplier
-            union all select 'warehouse.sales.orders', count(*) from orders
-            union all select 'reference_data.places.region', count(*) from region
-            union all select 'reference_data.places.nation', count(*) from nation
+            select 'warehouse.sales.customer' as table_name, c_custkey as key, c_name as text from customer
+            union all select 'warehouse.sales.supplier', s_suppkey, s_name from supplier
+            union all select 'warehouse.sales.orders', o_orderkey, o_orderstatus from orders
+            union all select 'reference_data.places.region', r_regionkey, r_name from region
+            union all select 'reference_data.places.nation', n_nationkey, n_name from nation
         """,
         "latest_state": """
             select * from events
             qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
         """,
+        "latest_table": """
+            select * from events
+            qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
+        """,
         "request_frame": f"select '{ENDPOINT}' as endpoint, c_name as symbol, '{PERIOD}' as period from customer",
         "timeseries_flatten": QUOTES,
-        "quotes_snapshot": f"select 20240901::int as get_data, symbol, count(*) as n from ({QUOTES}) group by 2",
-        "fetch_source": SINGLE_QUOTE.format(name="c_name", key="c_custkey", table="customer"),
-        "fetch_table_function": SINGLE_QUOTE.format(name="s_name", key="s_suppkey", table="supplier"),
+        "quotes_snapshot": f"select *, 20240901::bigint as get_data from ({QUOTES})",
         "user_record_format": """
             select c_name as first_name, c_mktsegment as last_name, 'female' as gender,
                    c_custkey || ' ' || c_name || ', ' || c_mktsegment || ', ' || n_name || ', ' || r_name as address,
@@ -652,9 +676,15 @@ def library_sql() -> dict[str, str]:
                    c_name || '.jpg' as picture
             from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
         """,
-        "record_ids": "select c_custkey, c_name, true as id_is_uuid from customer",
+        "record_ids": "select c_custkey, c_name, true as id_is_uuid, 1::bigint as rows_with_id from customer",
         "binary_value_cast": """select '{"id":"' || c_custkey || '"}' as value from customer""",
-        "to_json_messages": "select * from events",
+        "to_json_messages": """
+            select event_id::varchar as key,
+                   '{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' ||
+                   user_id || ',"event_type":"' || event_type || '","value":' || value || ',"props":' ||
+                   to_json(props)::varchar || '}' as value
+            from events
+        """,
         "json_parse_stream": "select * from customer",
         "malformed_split": """
             select case when c_acctbal < 0 then 'rejected' else 'accepted' end as status, count(*) as n
