@@ -18,7 +18,7 @@ _WORDS = re.compile(r"\w+")
 _GOLDEN = 0x9E3779B97F4A7C15
 _A, _B, _C = (np.uint64(x) for x in (_GOLDEN, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 #: Members of a bucket that are compared in one task at a time.
-BLOCK = 64
+BLOCK = 256
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -29,7 +29,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 class _Keys(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 2_000_000:
+        if len(self) > 200_000:
             self.clear()
         key = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return key
@@ -182,9 +182,37 @@ def _verify_rows(least: float):
     return run
 
 
+def shared_weight(sets: list[tuple[np.ndarray, np.ndarray]], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The sum over all keys of the lesser weight, for each of ``first`` with each of ``second``: a product of
+    matrices that have a column for each occurrence of a key, made some thousand columns at a time."""
+    keys = np.concatenate([np.repeat(k, w) for k, w in sets])
+    weights = np.concatenate([w for _, w in sets])
+    ends = np.cumsum(weights)
+    occurrence = np.arange(len(keys)) - np.repeat(ends - weights, weights)
+    keys = np.where(occurrence == 0, keys, _mix(keys + occurrence.astype(np.uint64) * _B))
+    owner = np.repeat(np.arange(len(sets)), [int(w.sum()) for _, w in sets])
+    _, place, times = np.unique(keys, return_inverse=True, return_counts=True)
+    met = times > 1
+    place, owner = (np.cumsum(met) - 1)[place[met[place]]], owner[met[place]]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    total = np.zeros((len(first), len(second)), dtype=np.float32)
+    for begin in range(0, int(met.sum()), 4096):
+        a, b = np.searchsorted(place, [begin, begin + 4096])
+        table = np.zeros((len(sets), 4096), dtype=np.float32)
+        table[owner[a:b], place[a:b] - begin] = 1
+        total += table[first] @ table[second].T
+    return total.astype(np.int64)
+
+
 def _verify_bucket(least: float):
     """Links from members outside their bucket's largest component to members of any other component; of
-    those that become connected in here, no more pairs are compared."""
+    those that become connected in here, no more pairs are compared.
+
+    Where each shingle comes once the shared weight gives the similarity. Elsewhere it rules out: normalised
+    weights overlap by at most the shared weight over the smaller total, and two sets with a probability
+    Jaccard of J overlap by J or more.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         nodes = group.column("node").to_pylist()
@@ -193,12 +221,21 @@ def _verify_bucket(least: float):
         names = {c: i for i, c in enumerate(dict.fromkeys(group.column("component").to_pylist()))}
         label = np.array([names[c] for c in group.column("component").to_pylist()])
         found: dict[str, list] = {"a": [], "b": []}
-        for i in np.flatnonzero(probe):
-            for j in np.flatnonzero(~probe & (label != label[i])):
-                if label[i] != label[j] and similarity(sets[i], sets[j]) >= least:
-                    label[label == label[j]] = label[i]
-                    found["a"].append(nodes[i])
-                    found["b"].append(nodes[j])
+        probes, others = np.flatnonzero(probe), np.flatnonzero(~probe)
+        total = np.array([w.sum() for _, w in sets])
+        plain = np.array([len(k) for k, _ in sets]) == total
+        shared = shared_weight(sets, probes, others)
+        either = total[probes][:, None] + total[others][None, :] - shared
+        less = np.minimum(total[probes][:, None], total[others][None, :])
+        both_plain = plain[probes][:, None] & plain[others][None, :]
+        able = np.where(both_plain, shared >= least * either - 1e-6, shared >= least * less - 1e-6)
+        able &= label[probes][:, None] != label[others][None, :]
+        for p, q in zip(*np.nonzero(able)):
+            i, j = probes[p], others[q]
+            if label[i] != label[j] and similarity(sets[i], sets[j]) >= least:
+                label[label == label[j]] = label[i]
+                found["a"].append(nodes[i])
+                found["b"].append(nodes[j])
         return pa.Table.from_batches([to_batch(found, PAIR)], schema=PAIR)
 
     return run
