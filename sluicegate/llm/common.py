@@ -11,14 +11,24 @@ from sluicegate.functions.columns import named
 from sluicegate.session import new_work_dir
 
 
+# Shuffle files of a finished write are removed at once: nothing reads them again.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def landed(df: DataFrame, label: str) -> DataFrame:
     """Write once below the cluster's shared folder and read back, which cuts the lineage.
 
     What several jobs read is then one state, whichever executor is lost, and is worked out once.
     """
-    path = f"{new_work_dir(df.sparkSession, label)}/rows"
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{new_work_dir(spark, label)}/rows"
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def column(name: str) -> Column:
