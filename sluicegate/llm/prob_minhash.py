@@ -17,6 +17,8 @@ from sluicegate.llm.components import components
 _WORDS = re.compile(r"\w+")
 _GOLDEN = 0x9E3779B97F4A7C15
 _A, _B, _C = (np.uint64(x) for x in (_GOLDEN, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+#: What a sum of as many fractions may lack of its value.
+ROUNDING = 1e-12
 #: Members of a bucket that are compared in one task at a time.
 BLOCK = 256
 
@@ -176,7 +178,7 @@ def _verify_rows(least: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (map(_unpack, batch.column(i).to_pylist()) for i in (2, 3))
-            mask = pa.array([similarity(p, q) >= least for p, q in zip(x, y)], pa.bool_())
+            mask = pa.array([similarity(p, q) >= least - ROUNDING for p, q in zip(x, y)], pa.bool_())
             yield pa.RecordBatch.from_arrays(batch.columns[:2], schema=PAIR).filter(mask)
 
     return run
@@ -232,7 +234,7 @@ def _verify_bucket(least: float):
         able &= label[probes][:, None] != label[others][None, :]
         for p, q in zip(*np.nonzero(able)):
             i, j = probes[p], others[q]
-            if label[i] != label[j] and similarity(sets[i], sets[j]) >= least:
+            if label[i] != label[j] and similarity(sets[i], sets[j]) >= least - ROUNDING:
                 label[label == label[j]] = label[i]
                 found["a"].append(nodes[i])
                 found["b"].append(nodes[j])

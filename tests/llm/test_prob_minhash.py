@@ -36,7 +36,7 @@ def brute(rows, least=0.8):
             continue
         plain.find(doc)
         for j in range(i):
-            if rows[j][0] is not None and len(sets[i][0]) and slow_similarity(sets[i], sets[j]) >= least:
+            if rows[j][0] is not None and len(sets[i][0]) and slow_similarity(sets[i], sets[j]) >= least - 1e-12:
                 plain.join(doc, rows[j][0])
     return sorted((i, plain.find(i), plain.find(i) == i) for i, _ in rows if i is not None)
 
