@@ -175,9 +175,79 @@ def _near_vectors_sql() -> str:
     """
 
 
+def _near_duplicates_sql() -> str:
+    return """
+        with recursive words as (
+            select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') as w from documents),
+        windows as (
+            select doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) as i from words where len(w) > 0),
+        shingles as (
+            select doc_id, array_to_string(w[i : i + 4], ' ') as shingle, count(*)::double as times from windows group by all),
+        totals as (select doc_id, sum(times) as total from shingles group by doc_id),
+        common as (
+            select x.doc_id as a, y.doc_id as b, sum(least(x.times, y.times)) as shared
+            from shingles x join shingles y using (shingle) where x.doc_id < y.doc_id group by all),
+        pairs as (
+            select a, b from common join totals x on a = x.doc_id join totals y on b = y.doc_id
+            where shared >= 0.8 * least(x.total, y.total) - 1e-9),
+        sides as (
+            select a, b, shingle, sum(x) as x, sum(y) as y from (
+                select a, b, shingle, times as x, 0.0 as y from pairs join shingles on doc_id = a
+                union all select a, b, shingle, 0.0, times from pairs join shingles on doc_id = b)
+            group by all),
+        shared as (
+            select d.a, d.b, d.shingle, 1 / sum(greatest(k.x / d.x, k.y / d.y)) as part
+            from sides d join sides k on d.a = k.a and d.b = k.b where d.x > 0 and d.y > 0 group by all),
+        links as (select a, b from shared group by all having sum(part) >= 0.8 - 1e-12),
+        reach(doc_id, other) as (
+            select doc_id, doc_id from documents
+            union select reach.doc_id, l.b from reach join (select a, b from links union all select b, a from links) l on reach.other = l.a)
+        select doc_id, min(other) as component_id, doc_id = min(other) as kept from reach group by doc_id
+    """
+
+
+def _line_dedup_sql() -> str:
+    return """
+        with recursive given as (
+            select doc_id, text, string_split(text, chr(10)) as parts from documents where text is not null),
+        lines as (select doc_id, unnest(parts) as line, generate_subscripts(parts, 1) as pos from given),
+        worded as (
+            select doc_id, pos, line, list_sort(list_distinct(list_filter(
+                string_split(regexp_replace(lower(line), '[\\t\\r\\n\\x0B\\f]', ' ', 'g'), ' '), lambda w: w <> ''))) as words
+            from lines),
+        classes as (
+            select row_number() over () as class, words, len(words) as n, min({'doc_id': doc_id, 'pos': pos}) as first
+            from worded where len(words) > 0 group by words),
+        tokens as (select class, n, unnest(words) as word from classes),
+        frequency as (select word, count(*) as df from tokens group by word),
+        prefix as (
+            select class, n, word from tokens join frequency using (word)
+            qualify row_number() over (partition by class order by df, word) <= n - ceil(0.8 * n - 1e-9) + 1),
+        pairs as (
+            select distinct a.class as a, b.class as b from prefix a join prefix b using (word)
+            where a.class < b.class and least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+        later as (
+            select distinct greatest(x.first, y.first) as place
+            from pairs join classes x on a = x.class join classes y on b = y.class
+            where len(list_intersect(x.words, y.words)) >= 0.8 * (x.n + y.n - len(list_intersect(x.words, y.words))) - 1e-9),
+        stay as (
+            select doc_id, pos, line from worded left join classes using (words)
+            where classes.class is null
+               or (first = {'doc_id': doc_id, 'pos': pos} and first not in (select place from later)))
+        select documents.doc_id, case when text is not null then coalesce(kept.clean, '') end as text,
+               coalesce(len(string_split(text, chr(10))), 0)::int as n_lines,
+               (coalesce(len(string_split(text, chr(10))), 0) - coalesce(kept.n, 0))::int as n_removed
+        from documents left join (
+            select doc_id, string_agg(line, chr(10) order by pos) as clean, count(*) as n from stay group by doc_id) kept
+        using (doc_id)
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk": _topk_sql(),
         "op2_url_rules": _url_sql(),
         "op3_cap_filters": _near_vectors_sql(),
+        "op7_prob_minhash": _near_duplicates_sql(),
+        "op10_line_dedup": _line_dedup_sql(),
     }
