@@ -5,12 +5,15 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import column, landed
 
 #: Frequencies are kept for so many buckets of words, one small number each, whatever the corpus holds.
 BUCKETS = 1 << 15
+#: Earliest lines of a prefix word that the others are compared with first.
+LEADERS = 4
 #: Bits of a word's key below its frequency class.
 KEY_BITS = 55
 
@@ -86,23 +89,50 @@ def _at_least(x: Column) -> Column:
     return F.ceil(x - 1e-9).cast("int")
 
 
-def _matches(prefixes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of line classes that the filters leave, ``a`` the one with fewer words.
+def _shared(a: Column, b: Column, least: float) -> Column:
+    """How many words two sets of these sizes have to share."""
+    return _at_least((a + b) * (least / (1 + least)))
+
+
+def _led(lines: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of a line and one of the ``LEADERS`` earliest lines of about its length that have one of its prefix
+    words, where length and bitmap allow them to be similar. Each line has a few such pairs, however many share its words."""
+    about = F.floor(F.log(F.col("n")) / math.log(1 / least)).cast("int")
+    leader = F.struct("line", "n", "bits")
+    rows = lines.select("line", "n", "bits", "doc_id", "pos", about.alias("about"), F.explode("prefix").alias("word"))
+    first = W.partitionBy("word", "about").orderBy("doc_id", "pos", "line").rowsBetween(
+        W.unboundedPreceding, W.currentRow
+    )
+    leaders = F.array_compact(F.array(*(F.nth_value(leader, k + 1).over(first) for k in range(LEADERS))))
+    rows = rows.select("line", "n", "bits", leaders.alias("leaders"))
+    rows = rows.select("line", "n", "bits", F.inline("leaders").alias("a", "an", "a_bits"))
+    n, an = F.col("n"), F.col("an")
+    able = n + an - F.bit_count(F.col("bits").bitwiseXOR(F.col("a_bits"))) >= 2 * _shared(n, an, least)
+    able = able & (F.col("a") != F.col("line"))
+    return rows.where(able).select("a", F.col("line").alias("b")).distinct()
+
+
+def _matches(lines: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of line classes that the filters leave, ``b`` one whose match is still ``open``.
 
     Both hold a word of each other's prefix. The first such word of a similar pair has enough words left
     behind it on both sides (positional filter); the sizes are close (length filter); and the bitmaps, in
     which each word flips a bit, differ in no more bits than the sets may in words.
     """
+    reach = F.when(F.col("open"), F.col("n")).otherwise(0).alias("reach")
+    prefixes = lines.select("line", "n", "bits", reach, F.posexplode("prefix").alias("i", "word"))
     a, b = (prefixes.select(*(F.col(c).alias(f"{side}_{c}") for c in prefixes.columns)) for side in "ab")
     an, bn = F.col("a_n"), F.col("b_n")
-    shared = _at_least((an + bn) * (least / (1 + least)))
+    shared = _shared(an, bn, least)
     met = a.join(
         b,
         (F.col("a_word") == F.col("b_word"))
-        & ((an < bn) | ((an == bn) & (F.col("a_line") < F.col("b_line"))))
+        & ((F.col("a_reach") == 0) | (F.col("a_line") < F.col("b_line")))
         & (an >= bn * least - 1e-9)
+        & (an * least - 1e-9 <= F.col("b_reach"))
         & (an - F.col("a_i") >= shared)
         & (bn - F.col("b_i") >= shared)
+        & (F.col("a_line") != F.col("b_line"))
         & (an + bn - F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) >= 2 * shared),
     )
     return met.select(F.col("a_line").alias("a"), F.col("b_line").alias("b")).distinct()
@@ -155,6 +185,9 @@ def remove_later_lines(
     Words are ordered by rarity, from counts over all documents in a table of fixed size. Lines of equal
     lower-cased text are one class (a 64-bit hash). Each class sends the words of its prefix, of which two similar
     ones share at least one; what position, length and bitmap filters leave is verified on the words themselves.
+    Each class is first compared with the few earliest ones that share a word of its prefix: one match decides, so
+    a large group of lines that are all alike is settled by its first ones. Only classes left open then
+    meet all others.
     A line that a third of all lines repeat is one class: its repeats are found by a join on the class
     with its first place, and go without being compared.
 
@@ -168,17 +201,22 @@ def remove_later_lines(
     classes = rarity_classes(base, "text")
     lines = landed(_line_classes(base, classes, least), "line-classes")
 
-    prefixes = lines.select("line", "n", "bits", F.posexplode("prefix").alias("i", "word"))
-    pairs = landed(_matches(prefixes, least), "line-pairs")
-    named = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
-    wanted = lines.select("line", "doc", "pos").join(named, "line", "left_semi")
-    similar = landed(_verified(pairs, _lines_at(texts, wanted), least), "line-links")
-
     place = F.struct("doc_id", "doc", "pos")
     at = lines.select("line", place.alias("place"))
-    later = similar.join(at.select(F.col("line").alias("a"), F.col("place").alias("a_place")), "a")
-    later = later.join(at.select(F.col("line").alias("b"), F.col("place").alias("b_place")), "b")
-    later = later.select(F.greatest("a_place", "b_place").alias("later")).select("later.doc", "later.pos").distinct()
+
+    def later_of(pairs: DataFrame, label: str) -> DataFrame:
+        """The later line of each pair that is similar."""
+        named = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
+        wanted = lines.select("line", "doc", "pos").join(named, "line", "left_semi")
+        similar = _verified(pairs, _lines_at(texts, wanted), least)
+        similar = similar.join(at.toDF("a", "a_place"), "a").join(at.toDF("b", "b_place"), "b")
+        later = F.when(F.col("a_place") > F.col("b_place"), F.col("a")).otherwise(F.col("b"))
+        return landed(similar.select(later.alias("line")).distinct(), label)
+
+    led = later_of(landed(_led(lines, least), "line-pairs"), "led-lines")
+    left = lines.join(led.withColumn("led", F.lit(True)), "line", "left").withColumn("open", F.col("led").isNull())
+    found = later_of(landed(_matches(left, least), "line-pairs"), "later-lines")
+    later = lines.join(led.unionByName(found), "line", "left_semi").select("doc", "pos")
     every = base.select("doc_id", "doc", _once(F.split("text", "\n"), "lines"))
     every = every.select("doc_id", "doc", F.posexplode("lines").alias("pos", "line"))
     every = every.select("doc_id", "doc", "pos", F.xxhash64(F.lower("line")).alias("line"))
