@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.functions.columns import named
 from sluicegate.session import new_work_dir
+from sluicegate.sources.storage import remove_folder
 
 
 # Shuffle files of a finished write are removed at once: nothing reads them again.
@@ -20,8 +21,28 @@ def landed(df: DataFrame, label: str) -> DataFrame:
 
     What several jobs read is then one state, whichever executor is lost, and is worked out once.
     """
+    return _landed_at(df, f"{new_work_dir(df.sparkSession, label)}/rows")
+
+
+class Passing:
+    """Landed tables that go when the block ends, as what needs them has been landed by then."""
+
+    def __enter__(self) -> Passing:
+        self.paths: list[tuple[SparkSession, str]] = []
+        return self
+
+    def land(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{new_work_dir(df.sparkSession, label)}/rows"
+        self.paths.append((df.sparkSession, path))
+        return _landed_at(df, path)
+
+    def __exit__(self, *_: object) -> None:
+        for spark, path in self.paths:
+            remove_folder(spark, path)
+
+
+def _landed_at(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = f"{new_work_dir(spark, label)}/rows"
     before = spark.conf.get(CLEAN, "false")
     spark.conf.set(CLEAN, "true")
     try:

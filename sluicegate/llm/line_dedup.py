@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import column, landed
+from sluicegate.llm.common import Passing, column, landed
 
 #: Frequencies are kept for so many buckets of words, one small number each, whatever the corpus holds.
 BUCKETS = 1 << 15
@@ -63,6 +63,18 @@ def _lines_at(texts: DataFrame, places: DataFrame) -> DataFrame:
     return split.select(F.inline(found))
 
 
+def _flips(keys: Column) -> Column:
+    """A long in which each key flips the bit that its lowest six bits name: two sets differ in as many keys
+    at least as their longs do in bits."""
+    zero, one = (F.lit(x).cast("long") for x in (0, 1))
+    bit = lambda key: F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(keys, zero, lambda bits, key: bits.bitwiseXOR(bit(key)))
+
+
+def _differ(*pairs: tuple[str, str]) -> Column:
+    return sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in pairs), F.lit(0))
+
+
 def _line_classes(base: DataFrame, classes: Column, least: float) -> DataFrame:
     """Each distinct line (by a hash of its lower-cased text): where it stands first, how many words it has, its
     bitmap and its prefix. Repeats of a line are reduced in the task that reads them, before any shuffle."""
@@ -74,11 +86,10 @@ def _line_classes(base: DataFrame, classes: Column, least: float) -> DataFrame:
         _once(line_words(F.col("text"), classes), "words"),
     )
     n = F.size("words")
-    zero, one = (F.lit(x).cast("long") for x in (0, 1))
-    flip = F.aggregate(
-        "words", zero, lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", one, (w % 64).cast("int")))
-    )
-    kept = F.struct(n.alias("n"), flip.alias("bits"), F.slice("words", 1, n - _at_least(n * least) + 1).alias("prefix"))
+    halves = (F.filter("words", lambda w: w.bitwiseAND(F.lit(64)) == half) for half in (0, 64))
+    bits, more = (_flips(words) for words in halves)
+    prefix = F.slice("words", 1, n - _at_least(n * least) + 1)
+    kept = F.struct(n.alias("n"), bits.alias("bits"), more.alias("more"), prefix.alias("prefix"))
     lines = lines.where(n > 0).select("line", "first", kept.alias("kept"))
     return lines.groupBy("line").agg(F.min("first").alias("first"), F.first("kept").alias("kept")).select(
         "line", "first.*", "kept.*"
@@ -97,17 +108,18 @@ def _shared(a: Column, b: Column, least: float) -> Column:
 def _led(lines: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) of a line and one of the ``LEADERS`` earliest lines of about its length that have one of its prefix
     words, where length and bitmap allow them to be similar. Each line has a few such pairs, however many share its words."""
-    about = F.floor(F.log(F.col("n")) / math.log(1 / least)).cast("int")
-    leader = F.struct("line", "n", "bits")
-    rows = lines.select("line", "n", "bits", "doc_id", "pos", about.alias("about"), F.explode("prefix").alias("word"))
+    step = math.log(1 / least) or 1e-3
+    about = F.floor(F.log(F.col("n")) / step).cast("int")
+    leader = F.struct("line", "n", "bits", "more")
+    rows = lines.select("line", "n", "bits", "more", "doc_id", "pos", about.alias("about"), F.explode("prefix").alias("word"))
     first = W.partitionBy("word", "about").orderBy("doc_id", "pos", "line").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
     leaders = F.array_compact(F.array(*(F.nth_value(leader, k + 1).over(first) for k in range(LEADERS))))
-    rows = rows.select("line", "n", "bits", leaders.alias("leaders"))
-    rows = rows.select("line", "n", "bits", F.inline("leaders").alias("a", "an", "a_bits"))
+    rows = rows.select("line", "n", "bits", "more", leaders.alias("leaders"))
+    rows = rows.select("line", "n", "bits", "more", F.inline("leaders").alias("a", "an", "a_bits", "a_more"))
     n, an = F.col("n"), F.col("an")
-    able = n + an - F.bit_count(F.col("bits").bitwiseXOR(F.col("a_bits"))) >= 2 * _shared(n, an, least)
+    able = n + an - _differ(("bits", "a_bits"), ("more", "a_more")) >= 2 * _shared(n, an, least)
     able = able & (F.col("a") != F.col("line"))
     return rows.where(able).select("a", F.col("line").alias("b")).distinct()
 
@@ -119,21 +131,27 @@ def _matches(lines: DataFrame, least: float) -> DataFrame:
     behind it on both sides (positional filter); the sizes are close (length filter); and the bitmaps, in
     which each word flips a bit, differ in no more bits than the sets may in words.
     """
-    reach = F.when(F.col("open"), F.col("n")).otherwise(0).alias("reach")
-    prefixes = lines.select("line", "n", "bits", reach, F.posexplode("prefix").alias("i", "word"))
-    a, b = (prefixes.select(*(F.col(c).alias(f"{side}_{c}") for c in prefixes.columns)) for side in "ab")
-    an, bn = F.col("a_n"), F.col("b_n")
+    # Size, place and openness travel as one number; taken apart behind the shuffle, they keep both sides one.
+    rows = lines.select("line", "bits", "more", "n", "open", F.posexplode("prefix").alias("i", "word"))
+    shape = F.shiftleft(F.col("n").cast("long"), 32) + F.col("i") * 2 + F.col("open").cast("int")
+    rows = rows.select("word", "line", "bits", "more", shape.alias("shape"))
+    a, b = (rows.toDF(*(f"{side}_{c}" for c in rows.columns)) for side in "ab")
+
+    def parts(side: str) -> tuple[Column, Column, Column]:
+        shape = F.col(f"{side}_shape")
+        n = F.shiftright(shape, 32).cast("int")
+        left = n - F.shiftright(shape.bitwiseAND(F.lit(2**32 - 1)), 1).cast("int")
+        return n, left, shape.bitwiseAND(F.lit(1).cast("long")) == 1
+
+    (an, a_left, a_open), (bn, b_left, b_open) = parts("a"), parts("b")
     shared = _shared(an, bn, least)
     met = a.join(
         b,
         (F.col("a_word") == F.col("b_word"))
-        & ((F.col("a_reach") == 0) | (F.col("a_line") < F.col("b_line")))
-        & (an >= bn * least - 1e-9)
-        & (an * least - 1e-9 <= F.col("b_reach"))
-        & (an - F.col("a_i") >= shared)
-        & (bn - F.col("b_i") >= shared)
-        & (F.col("a_line") != F.col("b_line"))
-        & (an + bn - F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) >= 2 * shared),
+        & F.when(a_open, b_open & (F.col("a_line") < F.col("b_line"))).otherwise(b_open & (F.col("a_line") != F.col("b_line")))
+        & (F.least(an, bn) >= F.greatest(an, bn) * least - 1e-9)
+        & (F.least(a_left, b_left) >= shared)
+        & (an + bn - _differ(("a_bits", "b_bits"), ("a_more", "b_more")) >= 2 * shared),
     )
     return met.select(F.col("a_line").alias("a"), F.col("b_line").alias("b")).distinct()
 
@@ -153,12 +171,13 @@ def _bitmap(keys: str, parts: int) -> list[Column]:
     return [flip(p) for p in range(parts)]
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float, parts: int = 4) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, least: float, passing: Passing, parts: int = 4) -> DataFrame:
     """The pairs whose sets of words are similar. A longer bitmap goes first: few others get to carry words."""
     words = F.array_distinct(F.filter(_words(F.col("words")), lambda w: w != ""))
     sets = texts.select("line", _once(words, "set"))
     sets = sets.select("line", "set", _once(F.transform("set", lambda w: F.xxhash64(w)), "keys"))
-    sets = landed(sets.select("line", "set", F.size("set").alias("n"), F.array(*_bitmap("keys", parts)).alias("map")), "line-sets")
+    sets = sets.select("line", "set", F.size("set").alias("n"), F.array(*_bitmap("keys", parts)).alias("map"))
+    sets = passing.land(sets, "line-sets")
     maps = sets.select("line", "n", "map")
     near = pairs.join(maps.toDF("a", "an", "x"), "a").join(maps.toDF("b", "bn", "y"), "b")
     differ = sum(F.bit_count(F.get("x", F.lit(p)).bitwiseXOR(F.get("y", F.lit(p)))) for p in range(parts))
@@ -206,16 +225,20 @@ def remove_later_lines(
 
     def later_of(pairs: DataFrame, label: str) -> DataFrame:
         """The later line of each pair that is similar."""
-        named = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
-        wanted = lines.select("line", "doc", "pos").join(named, "line", "left_semi")
-        similar = _verified(pairs, _lines_at(texts, wanted), least)
-        similar = similar.join(at.toDF("a", "a_place"), "a").join(at.toDF("b", "b_place"), "b")
-        later = F.when(F.col("a_place") > F.col("b_place"), F.col("a")).otherwise(F.col("b"))
-        return landed(similar.select(later.alias("line")).distinct(), label)
-
-    led = later_of(landed(_led(lines, least), "line-pairs"), "led-lines")
-    left = lines.join(led.withColumn("led", F.lit(True)), "line", "left").withColumn("open", F.col("led").isNull())
-    found = later_of(landed(_matches(left, least), "line-pairs"), "later-lines")
+        with Passing() as passing:
+            pairs = passing.land(pairs, "line-pairs")
+            named = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
+            wanted = lines.select("line", "doc", "pos").join(named, "line", "left_semi")
+            similar = _verified(pairs, _lines_at(texts, wanted), least, passing)
+            similar = similar.join(at.toDF("a", "a_place"), "a").join(at.toDF("b", "b_place"), "b")
+            later = F.when(F.col("a_place") > F.col("b_place"), F.col("a")).otherwise(F.col("b"))
+            return landed(similar.select(later.alias("line")).distinct(), label)
+
+    led = later_of(_led(lines, least), "led-lines")
+    with Passing() as passing:
+        left = lines.select("line", "n", "bits", "more", "prefix").join(led.withColumn("led", F.lit(True)), "line", "left")
+        left = passing.land(left.withColumn("open", F.col("led").isNull()).drop("led"), "open-lines")
+        found = later_of(_matches(left, least), "later-lines")
     later = lines.join(led.unionByName(found), "line", "left_semi").select("doc", "pos")
     every = base.select("doc_id", "doc", _once(F.split("text", "\n"), "lines"))
     every = every.select("doc_id", "doc", F.posexplode("lines").alias("pos", "line"))
