@@ -222,7 +222,7 @@ def score(
     keep: tuple[str, ...] = (),
     order: int = 2,
     weight: float = 0.5,
-    block_bytes: int = 16_000_000,
+    block_bytes: int = 12_000_000,
 ) -> DataFrame:
     """The columns of ``keep``, then ``lm_tokens``, ``lm_known``, ``lm_base``, ``lm_score`` and ``lm_train_tokens``.
 
