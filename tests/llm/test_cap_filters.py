@@ -1,5 +1,4 @@
 import math
-import random
 
 import numpy as np
 import pytest
@@ -47,7 +46,8 @@ def brute(rows, least=0.93):
 
 
 def found(spark, rows):
-    df = spark.createDataFrame([(i, v, k, "x", 3) for i, v, k in rows], "vec_id long, embedding array<double>, label int, node string, cap int")
+    schema = "vec_id long, embedding array<double>, label int, node string, cap int"
+    df = spark.createDataFrame([(i, v, k, "x", 3) for i, v, k in rows], schema)
     return [tuple(r) for r in cap_filters.near_vectors(df).collect()]
 
 
