@@ -28,8 +28,10 @@ class LanguageModel:
     languages: tuple[str, ...]
     #: Index of each letter; ``GAP`` stands for a run of anything else, ``OTHER`` for letters never learned.
     letters: dict[str, int]
-    #: Per language, the next state by state and letter, 0 where there is none; state 1 is the root.
-    arcs: np.ndarray
+    #: The arcs of all languages' automata, one behind another, as in ``Arcs``.
+    slots: np.ndarray
+    #: Per language, the state that its automaton starts in.
+    roots: np.ndarray
     #: Per language, the bits that a phrase costs: the logarithm of the learned text's length.
     bits: np.ndarray
 
@@ -49,8 +51,72 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-def suffix_automaton(codes: list[int], letters: int) -> np.ndarray:
-    """Arcs of the automaton of all substrings; row 1 is the root and 0 means no arc."""
+LOW = (1 << 32) - 1
+
+
+@dataclass(frozen=True)
+class Arcs:
+    """Arcs by state and letter, whatever the number of letters, in room that grows with the arcs alone.
+
+    The arc of a letter is in the slot ``state + letter``: the state that owns the slot in the upper 32
+    bits, the next state in the lower ones. States are numbered so that no two arcs share a slot.
+    """
+
+    slots: np.ndarray
+
+    def __getitem__(self, at: tuple[int, int]) -> int:
+        """The next state, 0 where there is none; state 1 is the root."""
+        found = int(self.slots[at[0] + at[1]])
+        return found & LOW if found >> 32 == at[0] else 0
+
+
+def _numbers(owner: np.ndarray, letter: np.ndarray, states: int) -> tuple[np.ndarray, int]:
+    """A number for each state such that number and letter add up to a slot of its own for every arc, and their bound.
+
+    ``owner`` is sorted. States draw at random until nothing is in their way, those with most arcs first. State 1
+    stays 1.
+    """
+    rng = np.random.default_rng(0)
+    size = np.bincount(owner, minlength=states)
+    first = np.cumsum(size) - size
+    reach = int(letter.max(initial=0)) + 1
+    width = 3 * len(owner) + 64
+    number = np.zeros(states, dtype=np.int64)
+    number[1] = 1
+    used, taken = np.zeros(width + reach, dtype=bool), np.zeros(width, dtype=bool)
+    used[1 + letter[first[1] : first[1] + size[1]]] = True
+    taken[:2] = True
+    rank = np.frexp(size.astype(np.float64))[1]
+    rank[:2] = -1
+    for r in range(int(rank.max(initial=-1)), -1, -1):
+        todo, failed = np.flatnonzero(rank == r), 0
+        while len(todo):
+            draw = rng.integers(2, width, len(todo))
+            which = np.repeat(np.arange(len(todo)), size[todo])
+            inside = np.arange(len(which)) - np.repeat(np.cumsum(size[todo]) - size[todo], size[todo])
+            slot = draw[which] + letter[np.repeat(first[todo], size[todo]) + inside]
+            free = ~taken[draw]
+            free[which[used[slot]]] = False
+            # Of those that meet in a slot or a number, the first has it.
+            alone = np.zeros(len(todo), dtype=bool)
+            alone[np.unique(draw, return_index=True)[1]] = True
+            later = np.ones(len(slot), dtype=bool)
+            later[np.unique(slot, return_index=True)[1]] = False
+            alone[which[later]] = False
+            free &= alone
+            number[todo[free]] = draw[free]
+            taken[draw[free]] = True
+            used[slot[free[which]]] = True
+            todo = todo[~free]
+            failed = 0 if free.any() else failed + 1
+            if failed == 16:
+                used, taken = np.append(used, np.zeros(width, dtype=bool)), np.append(taken, np.zeros(width, dtype=bool))
+                width, failed = 2 * width, 0
+    return number, width + reach
+
+
+def suffix_automaton(codes: list[int], letters: int) -> Arcs:
+    """Arcs of the automaton of all substrings over so many letters; state 1 is the root and 0 means no arc."""
     arcs: list[dict[int, int]] = [{}, {}]
     link, length = [0, 0], [0, 0]
     last = 1
@@ -76,33 +142,34 @@ def suffix_automaton(codes: list[int], letters: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.zeros((len(arcs), letters), dtype=np.int32)
-    for state, out in enumerate(arcs):
-        for c, to in out.items():
-            table[state, c] = to
-    return table
+    owner = np.repeat(np.arange(len(arcs)), [len(out) for out in arcs])
+    letter = np.array([c for out in arcs for c in out], dtype=np.int64)
+    to = np.array([x for out in arcs for x in out.values()], dtype=np.int64)
+    number, bound = _numbers(owner, letter, len(arcs))
+    slots = np.zeros(bound + letters, dtype=np.int64)
+    slots[number[owner] + letter] = number[owner] << 32 | number[to]
+    return Arcs(slots)
 
 
-def build_model(samples: dict[str, list[str]], letters: int = 120) -> LanguageModel:
-    """An automaton per language over its sampled passages, all with one alphabet of the commonest letters."""
+def build_model(samples: dict[str, list[str]]) -> LanguageModel:
+    """An automaton per language over its sampled passages, all with one alphabet of every letter in any of them."""
     seen = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
-    index = {c: i + 2 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:letters])}
+    index = {c: i + 2 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])))}
     languages = tuple(sorted(samples))
     tables, sizes = [], []
     for language in languages:
         codes: list[int] = []
         for t in samples[language]:
-            folded = [index.get(c, OTHER) if c.isalpha() else GAP for c in t.lower()]
+            folded = [index[c] if c.isalpha() else GAP for c in t.lower()]
             folded = [c for i, c in enumerate(folded) if c != GAP or i == 0 or folded[i - 1] != GAP]
             codes += [*folded, GAP]
-        codes = [c for c in codes if c != OTHER]
-        tables.append(suffix_automaton(codes, len(index) + 2))
+        tables.append(suffix_automaton(codes, len(index) + 2).slots)
         sizes.append(max(2, len(codes)))
-    height = max((len(t) for t in tables), default=2)
-    arcs = np.zeros((len(languages), height, len(index) + 2), dtype=np.int32)
-    for i, t in enumerate(tables):
-        arcs[i, : len(t)] = t
-    return LanguageModel(languages, index, arcs, np.array([math.log2(n) for n in sizes]))
+    starts = np.cumsum([0, *(len(t) for t in tables)])
+    # An automaton that starts at a slot has its states counted from there.
+    slots = [np.where(t > 0, t + (start << 32 | start), 0) for t, start in zip(tables, starts[:-1].tolist())]
+    joined = np.concatenate(slots) if slots else np.zeros(0, dtype=np.int64)
+    return LanguageModel(languages, index, joined, starts[:-1] + 1, np.array([math.log2(n) for n in sizes]))
 
 
 def phrase_counts(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +178,7 @@ def phrase_counts(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, n
     Stretches of all texts advance together, one character a step. Runs of what is no letter count as
     one gap. A letter that a language has never seen is a phrase of its own.
     """
-    languages, _, letters = model.arcs.shape
+    languages = len(model.languages)
     table = model.codes()
     codes, has_letter = [], np.zeros(len(texts), dtype=bool)
     for i, text in enumerate(texts):
@@ -133,22 +200,22 @@ def phrase_counts(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, n
     grid = np.zeros((lengths[0], len(order)), dtype=np.int32)
     for column_, i in enumerate(order):
         grid[: len(lanes[i]), column_] = lanes[i]
-    flat = model.arcs.reshape(-1)
-    base = (np.arange(languages) * model.arcs.shape[1] * letters)[:, None]
-    from_root = np.ascontiguousarray(model.arcs[:, 1, :])
-    state = np.ones((languages, len(order)), dtype=np.int64)
+    root = model.roots[:, None]
+    state = np.repeat(root, len(order), axis=1)
     phrases = np.ones((languages, len(order)), dtype=np.int32)
     live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
     for step in range(lengths[0]):
         n = live[step]
         c = grid[step, :n]
         here = state[:, :n]
-        to = flat.take(here * letters + base + c)
-        broken = to == 0
-        again = from_root[:, c]
+        found = model.slots.take(here + c)
+        broken = found >> 32 != here
+        again = model.slots.take(root + c)
+        unknown = again >> 32 != root
         phrases[:, :n] += broken
-        phrases[:, :n] += again == 0
-        state[:, :n] = np.where(broken, np.maximum(again, 1), to)
+        phrases[:, :n] += unknown
+        again = np.where(unknown, root, again & LOW)
+        state[:, :n] = np.where(broken, again, found & LOW)
     for lane, i in enumerate(order):
         counts[:, owner[i]] += phrases[:, lane]
     return counts, has_letter
@@ -181,7 +248,7 @@ def learn(
     passage: int = 256,
     passages: int = 64,
 ) -> LanguageModel:
-    """A model from a bounded sample of the labelled rows.
+    """A model from a bounded sample of the labelled rows. Every letter of the sample counts.
 
     Bounds, per language: ``sample_docs`` rows drawn by a hash of their key, of their texts' distinct
     passages of ``passage`` characters ``passages`` drawn by hash. Only these reach the driver. Rows

@@ -102,3 +102,25 @@ def test_too_many_languages_are_refused(spark):
     df = spark.range(1001).select("id", F.lit("text").alias("text"), F.col("id").cast("string").alias("lang"))
     with pytest.raises(ValueError):
         language.learn(df, key="id")
+
+
+def test_languages_that_share_a_rare_script():
+    """Languages of one large script beside many of a common one: each has letters of its own, and none is cut."""
+    rng = random.Random(5)
+    syllables = [chr(0xAC00 + i) for i in range(900)]
+    common = "".join(chr(c) for c in range(0x61, 0x250) if chr(c).isalpha() and chr(c).lower() == chr(c))
+
+    def text(letters, n):
+        return "".join(rng.choice(letters) + (" " if rng.random() < 0.2 else "") for _ in range(n))
+
+    letters = {f"latin{i:02}": rng.sample(common, 40) for i in range(20)}
+    letters |= {f"large{i}": syllables[i * 150 : i * 150 + 300] for i in range(5)}
+    letters |= {f"small{i}": [chr(0x0905 + 8 * i + j) for j in range(16)] for i in range(3)}
+    samples = {k: [text(x, 200) for _ in range(64)] for k, x in letters.items()}
+    model = language.build_model(samples)
+    assert set(model.letters) == {c for texts in samples.values() for t in texts for c in t if c != " "}
+    assert language.judge(model, [text(x, 60) for x in letters.values()])[0] == list(letters)
+    raw = folded(model, samples["large1"])
+    texts = [text(syllables, 80) for _ in range(5)]
+    counts, _ = language.phrase_counts(model, texts)
+    assert counts[model.languages.index("large1")].tolist() == [naive(model, t, 1, raw) for t in texts]
