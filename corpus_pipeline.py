@@ -25,8 +25,8 @@ def _documents(df: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, NULL ones among them: no language can be read in them."""
     docs = _documents(docs)
-    found = language.identify(docs, language.learn(docs), keep=COLUMNS)
-    return _documents(found.where(F.col("lang_pred") != language.UNKNOWN))
+    found = language.identify(docs, language.learn(docs), keep=COLUMNS, letters=True)
+    return _documents(found.where("has_letter"))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,6 +223,11 @@ def phrase_counts(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, n
 
 def judge(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """The language of each text with the fewest bits, and by what share the next one needs more."""
+    return _judge(model, texts)[:2]
+
+
+def _judge(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+    """The same, and whether each text has a letter."""
     counts, has_letter = phrase_counts(model, [t or "" for t in texts])
     bits = counts * model.bits[:, None]
     names, scores = [], []
@@ -235,7 +240,7 @@ def judge(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], lis
         best = bits[ranked[0], i]
         names.append(model.languages[ranked[0]])
         scores.append(1.0 if len(ranked) == 1 else float(1 - best / bits[ranked[1], i]))
-    return names, scores
+    return names, scores, has_letter.tolist()
 
 
 def learn(
@@ -278,29 +283,35 @@ def learn(
     return build_model({k: v for k, v in samples.items() if v})
 
 
-OUT = pa.schema([("lang_pred", pa.string()), ("lang_score", pa.float64())])
+OUT = pa.schema([("lang_pred", pa.string()), ("lang_score", pa.float64()), ("has_letter", pa.bool_())])
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(
+    docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = (), letters: bool = False
+) -> DataFrame:
     """The columns of ``keep``, then ``lang_pred`` and ``lang_score`` (0 to 1) of each row's whole text.
 
-    ``und`` with score 0 where the text is NULL or has no letter, or where nothing was learned. The
+    ``und`` with score 0 where the text is NULL or has no letter, or where nothing was learned; with
+    ``letters`` a further column ``has_letter`` tells the two apart. The
     model, whose size its sample bounds, is broadcast. Ties go to the name that sorts first.
     """
     rows, at = with_text(docs, text, keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = with_fields(rows.select(*named(*keep)).schema, "lang_pred string, lang_score double")
+    fields = "lang_pred string, lang_score double" + ", has_letter boolean" * letters
+    schema = with_fields(rows.select(*named(*keep)).schema, fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            names, scores = [], []
+            names, scores, lettered = [], [], []
             for part in _by_size(texts):
-                found = judge(model, part)
+                found = _judge(model, part)
                 names += found[0]
                 scores += found[1]
-            out = to_batch({"lang_pred": names, "lang_score": scores}, OUT)
+                lettered += found[2]
+            out = to_batch({"lang_pred": names, "lang_score": scores, "has_letter": lettered}, OUT)
+            out = out.select(OUT.names if letters else OUT.names[:2])
             columns = [*batch.columns[: len(keep)], *out.columns]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *out.schema.names])
 
