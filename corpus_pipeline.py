@@ -23,10 +23,14 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter, NULL ones among them: no language can be read in them."""
+    """Rejects texts without a letter, NULL ones among them: no language can be read in them.
+
+    The prediction rejects nothing; it fills ``lang`` where that is NULL, if a language was learned.
+    """
     docs = _documents(docs)
     found = language.identify(docs, language.learn(docs), keep=COLUMNS, letters=True)
-    return _documents(found.where("has_letter"))
+    given = F.coalesce("lang", F.nullif("lang_pred", F.lit(language.UNKNOWN)))
+    return _documents(found.where("has_letter").withColumn("lang", given))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

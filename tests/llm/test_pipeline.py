@@ -78,3 +78,13 @@ def test_documents_without_labels_stay(spark):
             docs = stage(spark, docs, SF_DIR)
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         assert docs.count() > 0
+
+
+def test_language_fills_what_is_not_labelled(spark):
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    bare = F.when(F.col("doc_id") % 3 != 1, F.col("lang"))
+    kept = corpus_pipeline.identify_language(spark, given.withColumn("lang", bare), SF_DIR)
+    pairs = kept.select("doc_id", "lang").join(given.select("doc_id", F.col("lang").alias("own")), "doc_id").collect()
+    assert all(r.lang == r.own for r in pairs if r.doc_id % 3 != 1 and r.own)
+    filled = [r for r in pairs if r.doc_id % 3 == 1 and r.own]
+    assert filled and sum(r.lang == r.own for r in filled) >= 0.9 * len(filled)
