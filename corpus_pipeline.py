@@ -50,13 +50,15 @@ def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group. Equal rows are one document; those without a key are in no group."""
+    """Keeps one document of each group. Equal rows are one document; of those without a key, so are equal texts,
+    which are in no group otherwise.
+    """
     docs = _documents(docs).withColumn("text_hash", F.xxhash64("text"))
     found = prob_minhash.near_duplicates(docs)
     dropped = found.where(~F.col("kept")).select("doc_id", "text_hash").distinct()
     keyed = docs.where("doc_id is not null").join(dropped, ["doc_id", "text_hash"], "left_anti")
     keyed = keyed.dropDuplicates(["doc_id", "text_hash"])
-    return _documents(keyed.unionByName(docs.where("doc_id is null")))
+    return _documents(keyed.unionByName(docs.where("doc_id is null").dropDuplicates(["text"])))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
