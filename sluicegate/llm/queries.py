@@ -71,7 +71,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 5) == 1
-    found = ngram_lm.score(docs, train=~held_out, keep=("doc_id",))
+    found = ngram_lm.score(docs, train=~held_out, keep=("doc_id",), order=3)
     return found.select(
         "doc_id",
         held_out.alias("held_out"),

@@ -5,8 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import WORDS, awkward, documents
+from helpers import SF_DIR, WORDS, awkward, documents
 from sluicegate.llm import ngram_lm
+from sluicegate.llm.queries import op6_ngram_lm
 
 
 def rows_for():
@@ -57,3 +58,12 @@ def test_probabilities_after_a_state_sum_to_one(order):
     _, score = ngram_lm.traverse(keys, there, totals, sizes, int(used.sum()), types, len(train), 0.6)
     third = (np.cumsum(sizes) - sizes)[len(train) :] + 2
     assert abs((10 ** score[third]).sum() - 1) < 1e-12
+
+
+def test_query_counts_triples(spark):
+    texts = dict(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect())
+    got = {r.doc_id: r for r in op6_ngram_lm(spark, SF_DIR).collect()}
+    assert set(got) == set(texts)
+    plain = ngram_lm.plain_score(list(texts.values()), [not got[i].held_out for i in texts], 3, 0.5)
+    for i, (_, known, base, score) in zip(texts, plain):
+        assert got[i].n_known == known and close(got[i].base_score, base) and close(got[i].score, score)
