@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -72,6 +73,11 @@ def decode_caps(code: ProductCode, unit: np.ndarray, caps: int) -> np.ndarray:
     return number
 
 
+def codes_for(rows: int) -> int:
+    """Codes that keep recall the same: three up to 60,000 rows, one more for each further power of ten begun."""
+    return 3 + max(0, math.ceil(math.log10(max(rows, 1) / 60_000)))
+
+
 CAPS = pa.schema([("node", pa.int64()), ("label", pa.string()), ("cap", pa.int64())])
 
 
@@ -155,7 +161,7 @@ def near_vectors(
     label: str = "label",
     least: float = 0.93,
     caps: int = 16,
-    codes: int = 3,
+    codes: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
     """Per row ``vec_id``, ``n_links`` (other rows linked to it), ``component_id`` (the smallest ``vec_id`` that links
@@ -163,9 +169,9 @@ def near_vectors(
 
     Rows of one label link at a cosine of ``least`` or more, verified in doubles. Candidates lie in one cap
     of a product code: each vector is put into the filters of the ``caps`` directions it lies closest to, in each of ``codes``
-    random codes, whose words grow with the number of vectors, so that a filter stays as small. Among 50,000 vectors a pair
-    at a cosine of 0.93 shares a filter in 999 of 1000 cases (the tests measure it), among a billion in 955; more
-    ``codes`` make that 974 with four.
+    random codes, whose words grow with the number of vectors, so that a filter stays as small, and so do the codes, so that
+    recall stays as high (``codes_for``, unless ``codes`` is given). A pair at a cosine of 0.93 shares a filter in 998 of
+    1000 cases or more, from two thousand vectors to ten billion (the tests measure it at a width of 64).
 
     Equal vectors of one label are one node, counted with its copies. Members of a filter meet in blocks, so
     a filter of any size is compared whole and only links leave a task.
@@ -190,7 +196,7 @@ def near_vectors(
 
     sizes = {r[0]: r[1] for r in nodes.groupBy("width").count().collect()}
     built = {
-        w: [build_code(w, max(8, round((16 * n) ** 0.25)), seed=seed + c) for c in range(codes)]
+        w: [build_code(w, max(8, round((16 * n) ** 0.25)), seed=seed + c) for c in range(codes or codes_for(n))]
         for w, n in sizes.items()
     }
     found = nodes.select("node", "label", "vector").mapInArrow(_caps(built, caps), "node long, label string, cap long")

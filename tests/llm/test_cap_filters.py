@@ -91,3 +91,21 @@ def test_recall_at_the_threshold(n, least):
         x, y = (cap_filters.decode_caps(code, v, 16) for v in (a, b))
         hit |= (x[:, :, None] == y[:, None, :]).any(axis=(1, 2))
     assert hit.mean() >= least
+
+
+@pytest.mark.parametrize("n", [2_000, 60_000, 600_000, 5_000_000, 10**9, 10**10])
+def test_recall_stays_as_rows_grow(n):
+    rng = np.random.default_rng(3)
+    a = rng.standard_normal((2000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal(a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * b
+    hit = np.zeros(len(a), dtype=bool)
+    for c in range(cap_filters.codes_for(n)):
+        code = cap_filters.build_code(64, max(8, round((16 * n) ** 0.25)), seed=c)
+        x, y = (cap_filters.decode_caps(code, v, 16) for v in (a, b))
+        hit |= (x[:, :, None] == y[:, None, :]).any(axis=(1, 2))
+    print(n, cap_filters.codes_for(n), hit.mean())
+    assert hit.mean() >= 0.998
