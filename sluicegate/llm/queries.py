@@ -18,6 +18,7 @@ from sluicegate.llm import (
     sentencepiece_bpe,
     topk,
     url_rules,
+    whitening,
 )
 from sluicegate.llm.common import remainder
 
@@ -110,6 +111,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    exact = F.col("deviation")
+    fits = F.when(exact <= F.lit(2**63 - 1), exact).cast("long")
+    return found.select(
+        "vec_id", "component", "n", fits.alias("deviation"), "whitened", "explained", "identity_error",
+        exact.alias("deviation_exact"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
@@ -122,6 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
+        "op11_whitening": op11_whitening,
     }
 
 
