@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm import (
@@ -13,6 +13,7 @@ from sluicegate.llm import (
     line_dedup,
     ngram_lm,
     packing,
+    periodic_runs,
     prob_minhash,
     quality,
     sentencepiece_bpe,
@@ -121,6 +122,48 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents with a periodic end laid into some of them, as the contract of ``op13`` asks: of a document
+    whose CRC32 h is divisible by ten, each word from a on becomes the one (i - a) % p behind a."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        places = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " "))
+
+    # In an array of one, so that the words are split once.
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    laid = F.transform(F.array(words), repeated)[0]
+    return docs.withColumn("text", F.when(h % 10 == 0, laid).otherwise(F.col("text")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapse_runs(docs)
+
+    def greater(x: Column, y: Column) -> Column:
+        more, less = x["length"] * y["period"], y["length"] * x["period"]
+        by = [(less - more), x["start"] - y["start"], x["period"] - y["period"]]
+        return F.coalesce(*(F.when(d != 0, F.signum(d).cast("int")) for d in by), F.lit(0))
+
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.get(F.array_sort("runs", greater), F.lit(0))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
@@ -134,6 +177,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
         "op11_whitening": op11_whitening,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
