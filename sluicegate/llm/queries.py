@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.llm import (
     cap_filters,
+    cross_polytope,
     language,
     line_dedup,
     ngram_lm,
@@ -122,6 +123,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), lambda key: key % 50 == 0)
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """The documents with a periodic end laid into some of them, as the contract of ``op13`` asks: of a document
     whose CRC32 h is divisible by ten, each word from a on becomes the one (i - a) % p behind a."""
@@ -177,6 +182,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
         "op11_whitening": op11_whitening,
+        "op12_cross_polytope": op12_cross_polytope,
         "op13_periodic_runs": op13_periodic_runs,
     }
 

@@ -1,0 +1,153 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from helpers import SF_DIR
+from sluicegate.llm import cross_polytope, queries
+
+
+def cosine(a, b):
+    high = max(map(abs, a)), max(map(abs, b))
+    a, b = [x / high[0] for x in a], [x / high[1] for x in b]
+    return math.fsum(x * y for x, y in zip(a, b)) / math.sqrt(math.fsum(x * x for x in a) * math.fsum(y * y for y in b))
+
+
+def brute(rows, k=5, step=50):
+    """By all pairs; of several rows under one id the nearest counts."""
+    fine = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for q in sorted({i for i, _ in fine if i % step == 0}):
+        best = {}
+        for i, a in fine:
+            for j, b in fine:
+                if i == q and j != q and len(a) == len(b):
+                    best[j] = max(best.get(j, -2.0), cosine(a, b))
+        out[q] = sorted(best.items(), key=lambda e: (-round(e[1], 12), e[0]))[:k]
+    return {q: best for q, best in out.items() if best}
+
+
+def found(spark, rows, kind="double", **options):
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], f"vec_id long, embedding array<{kind}>, k1 int, ids string")
+    out = {}
+    for q, rank, i, score in sorted(tuple(r) for r in cross_polytope.nearest(df, lambda key: key % 50 == 0, **options).collect()):
+        out.setdefault(q, []).append((i, score))
+        assert rank == len(out[q])
+    return out
+
+
+def check(got, expected):
+    assert got.keys() == expected.keys()
+    for q in expected:
+        assert [i for i, _ in got[q]] == [i for i, _ in expected[q]]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in expected[q]], rtol=0, atol=1e-12)
+
+
+def gauss(rng, n, width):
+    return [[rng.gauss(0, 1) for _ in range(width)] for _ in range(n)]
+
+
+def awkward(seed=1):
+    rng = random.Random(seed)
+    rows = list(enumerate(gauss(rng, 160, 6)))
+    rows += [(1000 + i, rows[50][1]) for i in range(60)] + [(400 + i, rows[50][1]) for i in range(20)]
+    return rows + [
+        (50, rows[50][1]),
+        (100, rows[7][1]),
+        (7, rows[8][1]),
+        (7, rows[7][1]),
+        (2000, None),
+        (2050, []),
+        (2100, [0.0] * 6),
+        (2150, [1.0, None] * 3),
+        (2200, [float("nan")] * 6),
+        (2250, [float("inf")] * 6),
+        (2300, [1e-200, 2e-200, 0.0, 0.0, 0.0, 1e-200]),
+        (2301, [1e200, 2e200, 0.0, 0.0, 0.0, 3e200]),
+        (2350, [1.0, 2.0]),
+        (2351, [2.0, 1.0]),
+        (None, [1.0] * 6),
+        (-50, rows[3][1]),
+    ]
+
+
+@pytest.mark.parametrize(
+    "options",
+    [{"recall": 1.0}, {"bucket_rows": 16, "block_rows": 8, "query_rows": 2, "recall": 1.0}, {"tables": 1, "k": 3, "bucket_rows": 40, "recall": 1.0}],
+)
+def test_awkward_rows(spark, options):
+    """All queries are in the sample here, so that asking for all true neighbours finds them all."""
+    check(found(spark, awkward(), **options), brute(awkward(), options.get("k", 5)))
+
+
+def test_no_rows(spark):
+    assert found(spark, []) == {}
+    assert found(spark, [(1, [1.0]), (2, [1.0])]) == {}
+    assert found(spark, [(50, [1.0]), (51, None)]) == {}
+    assert found(spark, [(50, [1.0]), (51, [-2.0])]) == {50: [(51, -1.0)]}
+
+
+def test_hot_groups(spark, monkeypatch):
+    """Near copies and copies that fill buckets far beyond a block; and many large buckets, joined by shuffle."""
+    rng = random.Random(5)
+    rows = list(enumerate(gauss(rng, 300, 8)))
+    rows += [(300 + i, [x + 1e-3 * rng.gauss(0, 1) for x in rows[0][1]]) for i in range(150)]
+    rows += [(500 + i, rows[3][1]) for i in range(150)]
+    options = {"bucket_rows": 20, "block_rows": 16, "query_rows": 2, "recall": 1.0}
+    check(found(spark, rows, **options), brute(rows))
+    monkeypatch.setattr(cross_polytope, "BROADCAST_ROWS", 0)
+    check(found(spark, rows, **options), brute(rows))
+
+
+def test_query_on_the_table(spark):
+    given = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    rows = [tuple(r) for r in queries.op12_cross_polytope(spark, SF_DIR).collect()]
+    got = {q: [(i, s) for _, _, i, s in sorted(r for r in rows if r[0] == q)] for q in {r[0] for r in rows}}
+    check(got, brute(given))
+
+
+def test_recall_and_share_of_rows_looked_at(spark):
+    """Vectors at random are the hardest: the nearest of 4000 lie at a cosine of some 0.4."""
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((4000, 64)).astype(np.float32)
+    x[2000:2400] = x[:400] + 0.3 * rng.standard_normal((400, 64))
+    got = found(spark, [(i, v.tolist()) for i, v in enumerate(x)], kind="float", bucket_rows=60, sample_queries=40)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    asked = np.arange(0, 4000, 50)
+    scores = u[asked] @ u.T
+    scores[np.arange(len(asked)), asked] = -2
+    true = np.argsort(-scores, axis=1)[:, :5]
+    hits = sum(len({i for i, _ in got[int(q)]} & set(t.tolist())) for q, t in zip(asked, true))
+    assert hits >= 0.9 * true.size and all(len(g) == 5 for g in got.values())
+
+
+def test_buckets_and_probes():
+    rng = np.random.default_rng(1)
+    unit = cross_polytope._unit(rng.standard_normal((50, 20)))
+    for bits in (1, 3, 6, 8, 13):
+        (table,) = cross_polytope.build_tables(20, bits, 1, 0)
+        total = 1 << bits
+        listed = table.probes(unit, total)
+        assert (np.sort(listed, axis=1) == np.arange(total)).all()
+        assert (listed[:, 0] == table.buckets(unit)).all()
+        assert (table.probes(unit, 5) == listed[:, :5]).all() or total < 5
+        assert table.buckets(unit).max() < total
+
+
+def test_rotations_keep_angles():
+    rng = np.random.default_rng(1)
+    unit = cross_polytope._unit(rng.standard_normal((40, 32)))
+    (table,) = cross_polytope.build_tables(32, 6, 1, 0)
+    (turned,) = table.turned(unit)
+    assert np.allclose(turned @ turned.T, unit @ unit.T)
+
+
+def test_near_vectors_share_buckets():
+    rng = np.random.default_rng(3)
+    a = cross_polytope._unit(rng.standard_normal((2000, 64)))
+    b = cross_polytope._unit(a + 0.05 * rng.standard_normal((2000, 64)))
+    far = cross_polytope._unit(rng.standard_normal((2000, 64)))
+    (table,) = cross_polytope.build_tables(64, 7, 1, 0)
+    same = (table.buckets(a) == table.buckets(b)).mean(), (table.buckets(a) == table.buckets(far)).mean()
+    assert same[0] > 0.4 and same[1] < 0.05
