@@ -490,6 +490,32 @@ def keyed_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_state(spark, path, keys, order).drop(*order)
 
 
+def keyed_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight queries and as many compactions, small buckets that are split several times and runs of several sizes."""
+    path, keys, order = new_work_dir(spark, "levels"), ["user_id", "event_type"], ["ts", "event_id"]
+    for part in range(8):
+        events = LakeSource(spark, sf_dir).stream("events", FILES_PER_BATCH).where(F.col("event_id") % 8 == part)
+        _finish(keyed_upsert_stream(events, path, f"{path}/{part}", keys, order, ONCE))
+        compact(spark, path, keys, order, buckets=2, remove=True, target_rows=100, least_rows=10)
+    return current_state(spark, path, keys, order)
+
+
+def drifting_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three queries over orders: a column that comes, one that goes, and a key that widens, folded twice."""
+    path, keys, order = new_work_dir(spark, "drift"), ["o_orderkey"], ["o_orderdate"]
+    versions = [
+        [F.col("o_orderkey").cast("int").alias("o_orderkey"), "o_orderdate", F.col("o_custkey").cast("int").alias("o_custkey"), "o_totalprice"],
+        ["o_orderkey", "o_orderdate", "o_orderpriority", "o_custkey"],
+        ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority"],
+    ]
+    for part, columns in enumerate(versions):
+        orders = LakeSource(spark, sf_dir).stream("orders", FILES_PER_BATCH).where(F.col("o_orderkey") % 3 == part)
+        _finish(keyed_upsert_stream(orders.select(*columns), path, f"{path}/{part}", keys, order, ONCE))
+        if part:
+            compact(spark, path, keys, order, remove=True)
+    return current_state(spark, path, keys, order)
+
+
 # --- contract ---------------------------------------------------------------------------------
 
 
@@ -539,6 +565,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_stream": append_twice,
         "keyed_upsert_stream": keyed_upsert,
         "keyed_compaction": keyed_compaction,
+        "keyed_levels": keyed_levels,
+        "drifting_columns": drifting_columns,
     }
 
 
@@ -697,6 +725,16 @@ def library_sql() -> dict[str, str]:
         "append_stream": "select * from orders",
         "keyed_upsert_stream": LATEST_PER_USER,
         "keyed_compaction": LATEST_PER_USER,
+        "keyed_levels": """
+            select * from events
+            qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
+        """,
+        "drifting_columns": """
+            select distinct o_orderkey, o_orderdate, case when o_orderkey % 3 < 2 then o_custkey end as o_custkey,
+                   case when o_orderkey % 3 <> 1 then o_totalprice end as o_totalprice,
+                   case when o_orderkey % 3 > 0 then o_orderpriority end as o_orderpriority
+            from orders
+        """,
     }
 
 

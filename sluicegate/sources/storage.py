@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -54,3 +56,51 @@ def replace_folder(spark: SparkSession, new: str, old: str) -> None:
 def remove_folder(spark: SparkSession, folder: str) -> None:
     fs, path = _file_system(spark, folder)
     fs.delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When the file or folder was last changed, in milliseconds."""
+    fs, at = _file_system(spark, path)
+    return fs.getFileStatus(at).getModificationTime()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file with this content if there is none; says whether it did.
+
+    The content is written under a name of its own first and then given the name asked for, which fails where another
+    has taken it: nobody sees half a file, and of two writers one is told that it came too late. HDFS and local
+    disks do that in one step; an object store needs conditional writes for it.
+    """
+    fs, at = _file_system(spark, path)
+    folder, _, _ = path.rpartition("/")
+    _, beside = _file_system(spark, f"{folder}/_new-{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    none = spark._sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, at, none)
+    except Py4JJavaError as error:
+        fs.delete(beside, False)
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True

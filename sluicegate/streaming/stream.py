@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sluicegate.functions.columns import named
+from sluicegate.functions.schemas import conformed, merged, read_versions
+from sluicegate.operators.keyed_base import fold, manifest, read_runs
 from sluicegate.operators.latest import latest_state
-from sluicegate.sources.storage import child_names, completed, is_complete, remove_folder
+from sluicegate.sources.storage import child_names, completed, create_text, read_text, remove_folder
 
-BUCKET = "_bucket"
+# Within a batch's folder, the number of the schema it was written with.
+SCHEMA = "_schema-"
 
 
 def append_stream(
@@ -48,22 +52,33 @@ def _log(path: str) -> str:
     return f"{path}/log"
 
 
-def _base(path: str) -> str:
-    return f"{path}/base"
-
-
-def _manifests(path: str) -> str:
-    return f"{path}/manifest"
-
-
 def _rejected(path: str) -> str:
     return f"{path}/rejected"
 
 
+def _schemas(path: str) -> str:
+    return f"{path}/schemas"
+
+
 def _number(name: str) -> int:
     return int(name.split("=", 1)[1])
 
 
+def schema_versions(spark: SparkSession, path: str) -> list[T.StructType]:
+    """The ledger: every schema that batches were written with so far, in the order they came up."""
+    names = [n for n in child_names(spark, _schemas(path), "version=") if n.endswith(".json")]
+    return [T.StructType.fromJson(json.loads(read_text(spark, f"{_schemas(path)}/{n}"))) for n in names]
+
+
+def schema_version(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    """The number of a schema in the ledger, where it is entered if it is new."""
+    while True:
+        known = schema_versions(spark, path)
+        if schema in known:
+            return known.index(schema)
+        create_text(spark, f"{_schemas(path)}/version={len(known):06d}.json", schema.json())
+
+
 def keyed_upsert_stream(
     stream: DataFrame,
     path: str,
@@ -78,19 +93,26 @@ def keyed_upsert_stream(
     replaces that folder, so a batch replayed after a failure replaces itself. The id is the query's, which
     its checkpoint holds: with a new checkpoint batches count from 0 again, below another id. Of messages that went
     through ``split_messages`` the rejected ones are written whole to ``rejected/query=ID/batch_id=N``.
+    A query started anew may bring other columns or wider types: each batch says which entry of the schema ledger it has.
     """
     split = {"status", "rejected_text"} <= set(stream.columns)
 
+    def keep(rows: DataFrame, folder: str) -> None:
+        spark = rows.sparkSession
+        state = latest_state(rows, keys, order)
+        state.write.mode("overwrite").parquet(folder)
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
+        create_text(spark, f"{folder}/{SCHEMA}{schema_version(spark, path, nullable):06d}", "")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"query={query}/batch_id={batch_id:012d}"
         if not split:
-            latest_state(batch, keys, order).write.mode("overwrite").parquet(f"{_log(path)}/{folder}")
+            keep(batch, f"{_log(path)}/{folder}")
             return
         batch.persist()
         try:
-            accepted = batch.where(F.col("status") == "accepted").drop("status", "rejected_text")
-            latest_state(accepted, keys, order).write.mode("overwrite").parquet(f"{_log(path)}/{folder}")
+            keep(batch.where(F.col("status") == "accepted").drop("status", "rejected_text"), f"{_log(path)}/{folder}")
             rejected = batch.where(F.col("status") == "rejected").drop("status")
             rejected.write.mode("overwrite").parquet(f"{_rejected(path)}/{folder}")
         finally:
@@ -111,32 +133,37 @@ def _batches(spark: SparkSession, folder: str, covered: Mapping[str, int] | None
     return {n: _number(n.rpartition("/")[2]) for n in completed(spark, folder, names)}
 
 
-def _manifest(spark: SparkSession, path: str) -> dict:
-    """What the newest compaction left: per bucket the generation that holds it, per query the last batch folded."""
-    found = reversed(child_names(spark, _manifests(path), "generation="))
-    newest = next((m for m in found if is_complete(spark, f"{_manifests(path)}/{m}")), None)
-    if newest is None:
-        return {"generation": -1, "held": {}, "covered": {}}
-    return json.loads(spark.read.text(f"{_manifests(path)}/{newest}", wholetext=True).first()[0])
+def _written_with(spark: SparkSession, path: str, folders: Sequence[str]) -> dict[str, T.StructType]:
+    """By batch folder, the schema it was written with: by its mark, or from its files where a driver was lost before it
+    could set one."""
+    known = schema_versions(spark, path)
 
+    def schema(folder: str) -> T.StructType:
+        marks = child_names(spark, folder, SCHEMA)
+        return known[int(marks[0].removeprefix(SCHEMA))] if marks else spark.read.parquet(folder).schema
 
-def _base_folders(path: str, held: Mapping[str, int]) -> list[str]:
-    return [f"{_base(path)}/generation={g:012d}/{BUCKET}={b}" for b, g in held.items()]
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(folders, pool.map(schema, folders)))
 
 
-def _read(spark: SparkSession, path: str, log: Sequence[str], held: Mapping[str, int], schema: str | None) -> DataFrame:
-    folders = [f"{_log(path)}/{b}" for b in log] + _base_folders(path, held)
-    reader = spark.read if schema is None else spark.read.schema(T.StructType.fromJson(json.loads(schema)))
-    return reader.parquet(*folders) if folders else spark.createDataFrame([], T.StructType.fromJson(json.loads(schema)))
+def _changes(spark: SparkSession, path: str, batches: Sequence[str]) -> DataFrame:
+    """The rows of some batches under one schema that holds the values of all of them."""
+    folders = _written_with(spark, path, [f"{_log(path)}/{b}" for b in batches])
+    return read_versions(spark, folders, reduce(merged, folders.values()))
 
 
 def current_state(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The latest row per key over everything written so far, by whatever queries."""
-    manifest = _manifest(spark, path)
-    log = _batches(spark, _log(path), manifest["covered"])
-    if not log and manifest["generation"] < 0:
+    """The latest row per key over everything written so far, by whatever queries and under whatever schemas."""
+    found = manifest(spark, path)
+    log = _batches(spark, _log(path), found.covered)
+    if not log and found.generation < 0:
         raise FileNotFoundError(f"no completed batch below {path}")
-    return latest_state(_read(spark, path, list(log), manifest["held"], manifest.get("schema")), keys, order)
+    folders = _written_with(spark, path, [f"{_log(path)}/{b}" for b in log])
+    schema = reduce(merged, [*(found.schemas[g] for g in sorted(found.schemas)), *folders.values()])
+    rows = read_versions(spark, folders, schema)
+    if found.generation >= 0:
+        rows = rows.unionByName(conformed(read_runs(spark, path, found, keys), schema))
+    return latest_state(rows, keys, order)
 
 
 def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -154,42 +181,30 @@ def compact(
     order: Sequence[str],
     buckets: int = 64,
     remove: bool = False,
+    **levels: Any,
 ) -> int:
     """Fold the batches so far into the base; returns its generation.
 
-    The base holds the state by hash bucket of the key. Only buckets that the batches touch are read and
-    written anew, into ``base/generation=N``; a manifest then says which generation holds each bucket and up to
+    The base holds the state by hash bucket of the key, each bucket as runs sorted by key that are merged by size (``fold``,
+    which takes ``levels``: ``target_rows``, ``ratio`` and ``least_rows``). A manifest says which runs make up each bucket and up to
     which batch of each query the log is folded, so the work follows the change and not the state. Nothing is overwritten while it is
-    read: readers change over with the manifest. ``buckets`` counts for the first compaction and stays.
+    read: readers change over with the manifest. ``buckets`` counts for the first compaction; later ones split buckets as the state
+    grows. Batches whose columns differ are folded under one schema that holds them all.
     With ``remove`` the folders no longer needed go, which readers that began before would still be
-    reading. One compaction runs at a time.
+    reading. One compaction runs at a time; a second one raises.
     """
-    manifest = _manifest(spark, path)
-    log = _batches(spark, _log(path), manifest["covered"])
+    before = manifest(spark, path)
+    log = _batches(spark, _log(path), before.covered)
     if not log:
-        if manifest["generation"] < 0:
+        if before.generation < 0:
             raise FileNotFoundError(f"no completed batch below {path}")
-        return manifest["generation"]
-    buckets = manifest.get("buckets", buckets)
-    bucket = F.pmod(F.xxhash64(*named(*keys)), F.lit(buckets)).cast("int")
-    changes = _read(spark, path, list(log), {}, manifest.get("schema"))
-    touched = {str(r[0]) for r in changes.select(bucket.alias(BUCKET)).distinct().collect()}
-    generation = manifest["generation"] + 1
-    before = {b: g for b, g in manifest["held"].items() if b in touched}
-    state = latest_state(_read(spark, path, list(log), before, manifest.get("schema")), keys, order)
-    folded = state.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET))
-    folded.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{_base(path)}/generation={generation:012d}")
-    covered = dict(manifest["covered"])
+        return before.generation
+    covered = dict(before.covered)
     for name, number in log.items():
         query = name.partition("/")[0]
         covered[query] = max(number, covered.get(query, -1))
-    held = manifest["held"] | dict.fromkeys(touched, generation)
-    text = json.dumps(
-        {"generation": generation, "buckets": buckets, "held": held, "covered": covered, "schema": changes.schema.json()}
-    )
-    written = spark.range(1).select(F.lit(text).alias("value"))
-    written.write.mode("overwrite").text(f"{_manifests(path)}/generation={generation:012d}")
+    after, free = fold(spark, path, _changes(spark, path, list(log)), keys, order, covered, buckets, **levels)
     if remove:
-        for folder in [f"{_log(path)}/{b}" for b in log] + _base_folders(path, before):
+        for folder in [f"{_log(path)}/{b}" for b in log] + free:
             remove_folder(spark, folder)
-    return generation
+    return after.generation

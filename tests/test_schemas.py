@@ -1,0 +1,89 @@
+from decimal import Decimal
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from sluicegate.functions.schemas import conformed, merged, read_versions, widened
+
+
+pytestmark = pytest.mark.usefixtures("spark")
+
+
+def kind(text):
+    return T.StructType.fromDDL(f"c {text}")["c"].dataType
+
+
+# Two types, and the one that holds both.
+MEETINGS = [
+    ("int", "bigint", "bigint"),
+    ("tinyint", "smallint", "smallint"),
+    ("float", "double", "double"),
+    ("smallint", "float", "float"),
+    ("int", "double", "double"),
+    ("int", "float", "double"),
+    ("bigint", "double", "string"),
+    ("decimal(10,2)", "decimal(12,1)", "decimal(13,2)"),
+    ("int", "decimal(5,2)", "decimal(12,2)"),
+    ("bigint", "decimal(38,30)", "string"),
+    ("date", "timestamp_ntz", "timestamp_ntz"),
+    ("boolean", "int", "string"),
+    ("date", "string", "string"),
+    ("array<int>", "array<bigint>", "array<bigint>"),
+    ("map<string,int>", "map<string,string>", "map<string,string>"),
+    ("struct<a:int>", "struct<a:bigint,b:string>", "struct<a:bigint,b:string>"),
+]
+
+
+@pytest.mark.parametrize("a, b, both", MEETINGS)
+def test_widening(a, b, both):
+    assert widened(kind(a), kind(b)) == kind(both) == widened(kind(b), kind(a))
+    assert widened(kind(a), kind(both)) == kind(both) and widened(kind(a), T.NullType()) == kind(a)
+
+
+@pytest.mark.parametrize("a, b", [("int", "array<int>"), ("struct<a:int>", "string"), ("timestamp", "timestamp_ntz"), ("date", "timestamp")])
+def test_no_common_type(a, b):
+    with pytest.raises(TypeError):
+        widened(kind(a), kind(b))
+
+
+NAMES = st.lists(st.tuples(st.sampled_from("abcd"), st.sampled_from(["tinyint", "int", "bigint", "decimal(9,3)", "string", "double"])), unique_by=lambda f: f[0])
+
+
+@settings(max_examples=200, deadline=None)
+@given(NAMES, NAMES, NAMES)
+def test_versions_resolve_to_the_same_fields_in_any_order(a, b, c):
+    one, two, three = (T.StructType([T.StructField(n, kind(t)) for n, t in fields]) for fields in (a, b, c))
+    found = merged(merged(one, two), three)
+    assert set(found.names) == {*one.names, *two.names, *three.names}
+    assert merged(found, two) == found and merged(found, one) == found
+
+
+def test_values_survive(spark, tmp_path, rows):
+    versions = {
+        "a": spark.createDataFrame([(1, 7, [1], (1,), {"k": 1})], "id int, n int, l array<int>, s struct<x:int>, m map<string,int>"),
+        "b": spark.createDataFrame([(2, 2**40, "new")], "id int, n bigint, `odd.name` string"),
+        "c": spark.createDataFrame([(2**33, Decimal("1.5"), [2**50, None], (None, "y"))], "id bigint, n decimal(20,1), l array<bigint>, s struct<x:bigint,y:string>"),
+        "d": spark.createDataFrame([(5, None, None)], "id int, l array<int>, s struct<x:int>"),
+    }
+    folders, schema = {}, None
+    for name, df in versions.items():
+        df.write.parquet(str(tmp_path / name))
+        folders[str(tmp_path / name)] = df.schema
+        schema = df.schema if schema is None else merged(schema, df.schema)
+    found = {r["id"]: r.asDict(recursive=True) for r in read_versions(spark, folders, schema).collect()}
+    assert found[1] == {"id": 1, "n": Decimal("7.0"), "l": [1], "s": {"x": 1, "y": None}, "m": {"k": 1}, "odd.name": None}
+    assert found[2]["n"] == 2**40 and found[2]["odd.name"] == "new" and found[2]["s"] is None
+    assert found[2**33]["l"] == [2**50, None] and found[2**33]["s"] == {"x": None, "y": "y"}
+    assert found[5]["l"] is None and found[5]["s"] is None and found[5]["m"] is None
+
+
+def test_columns_in_order_and_one_scan_per_version(spark, tmp_path, plan):
+    df = spark.createDataFrame([(1, "x")], "b int, a string")
+    assert conformed(df, T.StructType.fromDDL("a string, c date, b bigint")).dtypes == [("a", "string"), ("c", "date"), ("b", "bigint")]
+    for i in range(4):
+        df.write.parquet(str(tmp_path / str(i)))
+    text = plan(read_versions(spark, {str(tmp_path / str(i)): df.schema for i in range(4)}, df.schema))
+    assert text.count("Scan parquet") == 1
+    assert read_versions(spark, {}, df.schema).count() == 0
