@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from sluicegate.functions.columns import files_for, is_uuid  # noqa: E402
 from sluicegate.operators.buckets import self_join_counted, with_bucket  # noqa: E402
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records  # noqa: E402
-from sluicegate.operators.extract import extract_all, extract_table  # noqa: E402
+from sluicegate.operators.commits import clean, publish  # noqa: E402
+from sluicegate.operators.extract import extract_all, extract_days, extract_table  # noqa: E402
 from sluicegate.operators.latest import latest_state, latest_table  # noqa: E402
 from sluicegate.operators.snapshot import read_snapshots, write_snapshot  # noqa: E402
 from sluicegate.plans.spec import TableSpec, parse_specs, read_yaml  # noqa: E402
@@ -260,6 +261,18 @@ def overwrite_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, table_root(root, EVENTS), EVENTS.job)
 
 
+def published_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days published together, one of them rewritten with a shorter interval, another withdrawn, and the rest cleaned away."""
+    source, root = LakeSource(spark, sf_dir), new_work_dir(spark, "published")
+    spec = TableSpec("events", last_update_column="ts", primary_key="event_id", initial="since_start")
+    days = [datetime(2024, 1, d) for d in range(2, 7)]
+    extract_days(spark, source, spec, days, root, end=datetime(2024, 1, 7))
+    extract_table(spark, source, spec, days[1], root, end=datetime(2024, 1, 3, 12))
+    publish(spark, table_root(root, spec), {f"{spec.job}={_tag(days[3])}": None})
+    clean(spark, table_root(root, spec), older_than_hours=0)
+    return read_snapshots(spark, table_root(root, spec), spec.job)
+
+
 def empty_extract_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, root = LakeSource(spark, sf_dir), new_work_dir(spark, "empty")
     spec = TableSpec("orders", last_update_column="o_orderdate", initial="since_start")
@@ -547,6 +560,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_snapshots": incremental_snapshots,
         "half_day_snapshots": half_day_snapshots,
         "overwrite_one_date": overwrite_one_date,
+        "published_days": published_days,
         "empty_extract_skip": empty_extract_skip,
         "bucketed_snapshot": bucketed_snapshot,
         "config_fanout": config_fanout,
@@ -668,6 +682,12 @@ def library_sql() -> dict[str, str]:
             union all select *, 20240102 from events
             where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-15'
         """,
+        "published_days": """
+            select *, strftime(ts, '%Y%m%d')::bigint as get_data from events
+            where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-07'
+              and not (ts >= timestamp '2024-01-03 12:00:00' and ts < timestamp '2024-01-04')
+              and not (ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-06')
+        """,
         "empty_extract_skip": """
             select start_tag::int as start_tag, count(o_orderkey) as rows_found, count(o_orderkey) > 0 as written
             from (values (19980101, timestamp '1998-01-01'), (29990101, timestamp '2999-01-01')) v(start_tag, s)

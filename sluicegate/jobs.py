@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records
+from sluicegate.operators.commits import clean
 from sluicegate.operators.extract import ExtractResult, extract_all
 from sluicegate.operators.latest import latest_table
 from sluicegate.operators.snapshot import write_snapshot
@@ -74,6 +75,12 @@ def write_latest(spark: SparkSession, tables_path: str, env_path: str, target: s
     }
 
 
+def clean_tables(spark: SparkSession, tables_path: str, env_path: str, older_than_hours: float) -> list[str]:
+    """Remove what no reader of the listed tables asks for any more; returns it."""
+    _, root = load_connections(env_path)
+    return [p for s in load_specs(tables_path) for p in clean(spark, table_root(root, s), older_than_hours)]
+
+
 def fetch_quotes(
     spark: SparkSession,
     config: Mapping,
@@ -149,6 +156,8 @@ def _arguments() -> argparse.ArgumentParser:
     extract.add_argument("--start", required=True, type=datetime.fromisoformat)
     extract.add_argument("--end", type=datetime.fromisoformat)
     job("latest", "current rows of the listed tables", "tables", "env", "target")
+    clean_ = job("clean", "remove superseded versions of the listed tables", "tables", "env")
+    clean_.add_argument("--older-than-hours", type=float, default=24.0)
     quotes = job("quotes", "quotes of the configured symbols into a dated snapshot", "config", "endpoint", "root")
     quotes.add_argument("--day", required=True, type=datetime.fromisoformat)
     quotes.add_argument("--key-env", default="key")
@@ -177,6 +186,9 @@ def main(arguments: list[str] | None = None) -> None:
     elif asked.job == "latest":
         for name, rows in write_latest(spark, asked.tables, asked.env, asked.target).items():
             print(f"{name}: {rows} rows")
+    elif asked.job == "clean":
+        for path in clean_tables(spark, asked.tables, asked.env, asked.older_than_hours):
+            print(path)
     elif asked.job == "quotes":
         with open(asked.config, encoding="utf-8") as f:
             config = read_yaml(f.read())

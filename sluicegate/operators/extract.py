@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
@@ -11,7 +11,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from sluicegate.operators.buckets import with_bucket
-from sluicegate.operators.snapshot import has_earlier_date, write_snapshot
+from sluicegate.operators.commits import new_version, publish
+from sluicegate.operators.snapshot import has_earlier_date, write_rows, write_snapshot
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import date_tag, file_count, layout, read_strategy, snapshot_path, table_root
 from sluicegate.sources.base import Source, count_rows
@@ -46,8 +47,53 @@ def extract_table(
     disjoint, the first one reaching back without limit. One count decides emptiness and file count;
     an empty extract writes nothing.
     """
-    strategy, shape = read_strategy(spec), layout(spec)
     first = not has_earlier_date(spark, table_root(root, spec), spec.job, date_tag(start))
+    path = snapshot_path(root, spec, start)
+    return _extract(source, spec, start, end, first, path, path, write_snapshot, hash_method)
+
+
+def extract_days(
+    spark: SparkSession,
+    source: Source,
+    spec: TableSpec,
+    starts: Sequence[datetime],
+    root: str,
+    end: datetime | None = None,
+    hash_method: str = "xxhash64",
+) -> list[ExtractResult]:
+    """Several dates of a table, each up to the next one's start and the last up to ``end``, published at once.
+
+    Readers see all of them or, until then and after a failure, what there was before: none of the dates is visible
+    by itself. A date without rows keeps what it had.
+    """
+    folder, staged, results = table_root(root, spec), {}, []
+    earlier = has_earlier_date(spark, folder, spec.job, date_tag(min(starts)))
+    for start, until in zip(sorted(starts), [*sorted(starts)[1:], end]):
+        path = snapshot_path(root, spec, start)
+        name = path.rpartition("/")[2]
+        target = new_version(folder, name)
+        result = _extract(source, spec, start, until, not earlier, path, target, write_rows, hash_method)
+        results.append(result)
+        if result.written:
+            staged[name], earlier = target, True
+    if staged:
+        publish(spark, folder, staged)
+    return results
+
+
+def _extract(
+    source: Source,
+    spec: TableSpec,
+    start: datetime,
+    end: datetime | None,
+    first: bool,
+    path: str,
+    target: str,
+    write: Callable,
+    hash_method: str,
+) -> ExtractResult:
+    """One date, read as its spec asks and written to ``target``."""
+    strategy, shape = read_strategy(spec), layout(spec)
     whole = strategy != "incremental" or (first and spec.initial == "all")
     since = None if whole else start
     until = end if strategy == "incremental" else None
@@ -60,13 +106,12 @@ def extract_table(
     # Strides of a split column may go by the size of the whole table, other pieces by what is read.
     total = rows if not spec.partition_column or (since is None and until is None) else None
     df = source.read(spec, source.split(spec, total, since, until), since, until)
-    path = snapshot_path(root, spec, start)
     if shape == "bucketed":
         df = with_bucket(df, spec.bucket_key, spec.buckets, hash_method)
-        written = write_snapshot(df, path, files, spec.rows_per_file, spec.buckets)
+        written = write(df, target, files, spec.rows_per_file, spec.buckets)
     else:
         filtered = since is not None or until is not None
-        written = write_snapshot(df, path, files, spec.rows_per_file, filtered=filtered)
+        written = write(df, target, files, spec.rows_per_file, filtered=filtered)
     return ExtractResult(spec, strategy, shape, first, True, written, files, path)
 
 
