@@ -20,6 +20,7 @@ from sluicegate.operators.documents import assign_ids, flatten_quotes, user_reco
 from sluicegate.operators.commits import clean, publish  # noqa: E402
 from sluicegate.operators.extract import extract_all, extract_days, extract_table  # noqa: E402
 from sluicegate.operators.latest import latest_state, latest_table  # noqa: E402
+from sluicegate.operators.refresh import read_latest, refresh_latest  # noqa: E402
 from sluicegate.operators.snapshot import read_snapshots, write_snapshot  # noqa: E402
 from sluicegate.plans.spec import TableSpec, parse_specs, read_yaml  # noqa: E402
 from sluicegate.plans.strategy import (  # noqa: E402
@@ -326,6 +327,33 @@ def latest_of_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_table(spark, root, spec)
 
 
+def latest_of_two_tag_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without a date, taken at a noon and, months later, at a midnight: half of its rows have changed by then."""
+    spec, root = CUSTOMER_KEYED, new_work_dir(spark, "two_lengths")
+    customers = LakeSource(spark, sf_dir).table("customer")
+    changed = customers.where("c_custkey % 2 = 0").withColumn("c_acctbal", -F.col("c_acctbal"))
+    for tag, rows in (("20240102120000", customers), ("20240903", changed)):
+        write_snapshot(rows, f"{table_root(root, spec)}/{spec.job}={tag}", 1)
+    return latest_table(spark, root, spec)
+
+
+def refreshed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows kept up day by day; then a day is rewritten with fewer rows, one is withdrawn and one comes late."""
+    (spec,) = parse_specs(read_yaml(LATEST_YAML.replace("lastUpdate_col: ts", "lastUpdate_col: ts, initial: since_start")))
+    source, root = LakeSource(spark, sf_dir), new_work_dir(spark, "refreshed")
+
+    def refresh(day: int, end: datetime) -> None:
+        extract_table(spark, source, spec, datetime(2024, 1, day), root, end=end)
+        refresh_latest(spark, root, spec, buckets=4, target_rows=200, least_rows=20)
+
+    for day in (2, 3, 5, 6):
+        refresh(day, datetime(2024, 1, day + 1))
+    refresh(3, datetime(2024, 1, 3, 12))
+    publish(spark, table_root(root, spec), {f"{spec.job}=20240105": None})
+    refresh(4, datetime(2024, 1, 5))
+    return read_latest(spark, root, spec)
+
+
 # --- documents --------------------------------------------------------------------------------
 
 
@@ -566,6 +594,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "config_fanout": config_fanout,
         "latest_state": latest_over_snapshots,
         "latest_table": latest_of_spec,
+        "latest_of_two_tag_lengths": latest_of_two_tag_lengths,
+        "refreshed_latest": refreshed_latest,
         "request_frame": requests,
         "timeseries_flatten": timeseries_flatten,
         "quotes_snapshot": quotes_snapshot,
@@ -713,6 +743,16 @@ def library_sql() -> dict[str, str]:
             select * from events
             qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
         """,
+        "latest_of_two_tag_lengths": """
+            select * replace (case when c_custkey % 2 = 0 then -c_acctbal else c_acctbal end as c_acctbal) from customer
+        """,
+        "refreshed_latest": """
+            select * from events
+            where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-07'
+              and not (ts >= timestamp '2024-01-03 12:00:00' and ts < timestamp '2024-01-04')
+              and not (ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-06')
+            qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
+        """,
         "request_frame": f"select '{ENDPOINT}' as endpoint, c_name as symbol, '{PERIOD}' as period from customer",
         "timeseries_flatten": QUOTES,
         "quotes_snapshot": f"select *, 20240901::bigint as get_data from ({QUOTES})",

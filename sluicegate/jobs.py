@@ -16,6 +16,7 @@ from sluicegate.operators.documents import assign_ids, flatten_quotes, user_reco
 from sluicegate.operators.commits import clean
 from sluicegate.operators.extract import ExtractResult, extract_all
 from sluicegate.operators.latest import latest_table
+from sluicegate.operators.refresh import refresh_latest
 from sluicegate.operators.snapshot import write_snapshot
 from sluicegate.plans.spec import Connection, TableSpec, load_connections, load_specs, read_yaml
 from sluicegate.plans.strategy import date_tag, file_count, table_root
@@ -75,6 +76,13 @@ def write_latest(spark: SparkSession, tables_path: str, env_path: str, target: s
     }
 
 
+def refresh_tables(spark: SparkSession, tables_path: str, env_path: str, remove: bool = False) -> dict[str, list[str]]:
+    """Fold what is new into the current rows of every table of the list that names a primary key; dates by table."""
+    _, root = load_connections(env_path)
+    specs = [s for s in load_specs(tables_path) if s.primary_key]
+    return {f"{s.source}.{s.database}.{s.table}": refresh_latest(spark, root, s, remove) for s in specs}
+
+
 def clean_tables(spark: SparkSession, tables_path: str, env_path: str, older_than_hours: float) -> list[str]:
     """Remove what no reader of the listed tables asks for any more; returns it."""
     _, root = load_connections(env_path)
@@ -156,6 +164,8 @@ def _arguments() -> argparse.ArgumentParser:
     extract.add_argument("--start", required=True, type=datetime.fromisoformat)
     extract.add_argument("--end", type=datetime.fromisoformat)
     job("latest", "current rows of the listed tables", "tables", "env", "target")
+    refresh = job("refresh", "fold new dates into the current rows of the listed tables", "tables", "env")
+    refresh.add_argument("--remove", action="store_true", help="remove what is no longer needed")
     clean_ = job("clean", "remove superseded versions of the listed tables", "tables", "env")
     clean_.add_argument("--older-than-hours", type=float, default=24.0)
     quotes = job("quotes", "quotes of the configured symbols into a dated snapshot", "config", "endpoint", "root")
@@ -186,6 +196,9 @@ def main(arguments: list[str] | None = None) -> None:
     elif asked.job == "latest":
         for name, rows in write_latest(spark, asked.tables, asked.env, asked.target).items():
             print(f"{name}: {rows} rows")
+    elif asked.job == "refresh":
+        for name, dates in refresh_tables(spark, asked.tables, asked.env, asked.remove).items():
+            print(f"{name}: {', '.join(dates) or 'nothing new'}")
     elif asked.job == "clean":
         for path in clean_tables(spark, asked.tables, asked.env, asked.older_than_hours):
             print(path)

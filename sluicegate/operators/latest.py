@@ -13,6 +13,9 @@ from sluicegate.operators.snapshot import read_snapshots
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import table_root
 
+#: The moment of the run that a row came with, in the digits yyyyMMddHHmmss.
+MOMENT = "_moment"
+
 
 def latest_state(versions: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row per key, by ``order`` (later columns break ties, NULL counts as oldest).
@@ -29,11 +32,20 @@ def latest_state(versions: DataFrame, keys: Sequence[str], order: Sequence[str])
     return picked.select(*named(*versions.columns))
 
 
+def with_moment(versions: DataFrame, job: str) -> DataFrame:
+    """The tag as the moment it stands for: one of a day is that of its midnight, so that tags of both lengths compare."""
+    return versions.withColumn(MOMENT, F.rpad(F.col(job).cast("string"), 14, "0").cast("bigint"))
+
+
+def latest_order(spec: TableSpec) -> list[str]:
+    """What decides between two rows of a key: the date column, and then the run they came with."""
+    return [c for c in (spec.last_update_column, MOMENT) if c]
+
+
 def latest_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """The current rows of a configured table: over all its snapshots the newest row per primary key, by its date
     column and then by the run it came with."""
     if not spec.primary_key:
         raise ValueError(f"{spec.table}: the latest rows are by primary key, and the table names none")
-    versions = read_snapshots(spark, table_root(root, spec), spec.job, merge_schema=True)
-    order = [c for c in (spec.last_update_column, spec.job) if c]
-    return latest_state(versions.drop(BUCKET_COLUMN), spec.primary_key, order).drop(spec.job)
+    versions = read_snapshots(spark, table_root(root, spec), spec.job, merge_schema=True).drop(BUCKET_COLUMN)
+    return latest_state(with_moment(versions, spec.job), spec.primary_key, latest_order(spec)).drop(spec.job, MOMENT)
