@@ -32,6 +32,7 @@ from sluicegate.plans.strategy import (  # noqa: E402
     table_root,
 )
 from sluicegate.sources.base import find_bounds  # noqa: E402
+from sluicegate.sources.depth import equal_row_bounds  # noqa: E402
 from sluicegate.sources.lake import LakeSource  # noqa: E402
 from sluicegate.sources.rest import request_frame  # noqa: E402
 from sluicegate.session import new_work_dir  # noqa: E402
@@ -201,6 +202,38 @@ def date_strides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_per_predicate(source.read(spec), predicates, "stride")
 
 
+def _fits(df: DataFrame, column: str, predicates: list[str], pieces: int) -> DataFrame:
+    """Each row with the number of predicates that take it, and whether theirs takes no more rows than two pieces would on
+    average, or a single key."""
+    hits = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0))
+    df = df.withColumns({"pieces": hits, "piece": _piece(predicates)})
+    per = df.groupBy("piece").agg(F.count("*").alias("n"), F.count_distinct(column).alias("keys"))
+    total = F.sum("n").over(Window.partitionBy())
+    fits = ((F.col("n") * pieces <= 2 * total) | (F.col("keys") <= 1)).alias("fits")
+    return df.join(per.select("piece", fits), "piece").drop("piece")
+
+
+def equal_row_strides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strides of a key of which a third lies in a hundredth of its range, and a tenth is one key."""
+    folder = new_work_dir(spark, "skewed")
+    key = F.col("o_orderkey")
+    squeezed = F.when(key % 3 == 0, key.cast("long") % 50).when(key % 10 == 1, 77).otherwise(key * 100)
+    orders = LakeSource(spark, sf_dir).table("orders").select("o_orderkey", squeezed.cast("long").alias("id"))
+    orders.write.parquet(f"{folder}/orders.parquet")
+    source = LakeSource(spark, folder)
+    spec = TableSpec("orders", partition_column="id", bounds="rows", num_partitions=20)
+    predicates = stride_predicates("id", equal_row_bounds(source, spec))
+    return _fits(source.read(spec), "id", predicates, 20)
+
+
+def text_key_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text key cut into ranges of its own order."""
+    source = LakeSource(spark, sf_dir)
+    spec = TableSpec("customer", primary_key="c_name", columns=("c_name", "c_custkey"), bounds="rows", num_partitions=16)
+    predicates = stride_predicates("c_name", equal_row_bounds(source, spec))
+    return _fits(source.read(spec), "c_name", predicates, 16)
+
+
 def sized_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LakeSource(spark, sf_dir).count_frame(EVENTS).select("n", files_for(F.col("n"), 1000).alias("files"))
 
@@ -582,6 +615,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hash_bucket_self_join": hash_bucket_self_join,
         "bucketed_read": bucketed_read,
         "date_strides": date_strides,
+        "equal_row_strides": equal_row_strides,
+        "text_key_ranges": text_key_ranges,
         "sized_file_count": sized_file_count,
         "read_strategy": strategy_choice,
         "first_run_snapshot": first_run_snapshot,
@@ -689,6 +724,12 @@ def library_sql() -> dict[str, str]:
             left join (select o_orderkey, least(5, (epoch_us(o_orderdate) - lo) * 6 // (hi - lo)) as place from orders, b)
             on place = stride group by 1
         """,
+        "equal_row_strides": """
+            select o_orderkey, (case when o_orderkey % 3 = 0 then o_orderkey % 50 when o_orderkey % 10 = 1 then 77
+                                     else o_orderkey * 100 end)::bigint as id, 1 as pieces, true as fits
+            from orders
+        """,
+        "text_key_ranges": "select c_name, c_custkey, 1 as pieces, true as fits from customer",
         "sized_file_count": "select count(*) as n, cast(ceil(count(*) / 1000.0) as bigint) as files from events",
         "read_strategy": """
             select *, ceil(n / 1000.0)::bigint as files from (

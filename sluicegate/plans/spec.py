@@ -82,8 +82,10 @@ class TableSpec:
             raise ValueError(f"{self.table}: the reading is split by {self.split_key}, so columns must hold it")
         if self.initial not in ("all", "since_start"):
             raise ValueError(f"initial must be 'all' or 'since_start', not {self.initial!r}")
-        if self.bounds not in ("minmax", "count"):
-            raise ValueError(f"bounds must be 'minmax' or 'count', not {self.bounds!r}")
+        if self.bounds not in ("minmax", "count", "rows"):
+            raise ValueError(f"bounds must be 'minmax', 'count' or 'rows', not {self.bounds!r}")
+        if self.bounds == "rows" and not all(b is None or str(b).lower() in ("min", "max") for b in (self.lower_bound, self.upper_bound)):
+            raise ValueError(f"{self.table}: strides of equally many rows have no fixed ends")
         for name in ("buckets", "rows_per_partition", "rows_per_file"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")

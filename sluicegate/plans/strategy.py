@@ -26,11 +26,12 @@ def file_count(rows: int, rows_per_file: int = 1_000_000) -> int:
 
 @dataclass(frozen=True)
 class Bounds:
-    """Ends of a split column, numbers or moments."""
+    """Ends of a split column, numbers or moments; or the very cuts between strides, numbers or texts."""
 
     lower: int | datetime
     upper: int | datetime
     partitions: int
+    cuts: tuple[int | str, ...] = ()
 
     @property
     def moments(self) -> bool:
@@ -38,6 +39,8 @@ class Bounds:
 
     @property
     def strides(self) -> int:
+        if self.cuts:
+            return len(self.cuts) + 1
         if self.moments:
             return self.partitions
         return max(1, min(self.partitions, self.upper - self.lower))
@@ -144,14 +147,27 @@ def timestamp_text(moment: datetime | date) -> str:
     return f"{moment.isoformat()} 00:00:00"
 
 
-def stride_cuts(bounds: Bounds) -> list[int | datetime]:
-    """Where one stride ends and the next begins: the span in equal parts, numbers rounded down."""
+def quoted(text: str) -> str:
+    """A text as it stands in a statement."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _literal(cut: int | str | datetime) -> str:
+    if isinstance(cut, datetime):
+        return f"timestamp '{timestamp_text(cut)}'"
+    return quoted(cut) if isinstance(cut, str) else str(cut)
+
+
+def stride_cuts(bounds: Bounds) -> list[int | str | datetime]:
+    """Where one stride ends and the next begins: the cuts found before, or the span in equal parts, numbers rounded down."""
+    if bounds.cuts:
+        return list(bounds.cuts)
     span, n = bounds.upper - bounds.lower, bounds.strides
     return [bounds.lower + (span * i / n if bounds.moments else span * i // n) for i in range(1, n)]
 
 
 def stride_predicates(column: str, bounds: Bounds) -> list[str]:
-    """One WHERE text per stride of a number, date or timestamp column, and one for its NULLs.
+    """One WHERE text per stride of a number, text, date or timestamp column, and one for its NULLs.
 
     Strides are half-open; the first has no lower end and the last no upper one, so together they cover
     every row once. The read sends these very texts: what is tested of them holds for it.
@@ -160,7 +176,7 @@ def stride_predicates(column: str, bounds: Bounds) -> list[str]:
     cuts = stride_cuts(bounds)
     if not cuts:
         return ["1 = 1"]
-    ends = [f"timestamp '{timestamp_text(c)}'" if bounds.moments else str(c) for c in cuts]
+    ends = [_literal(c) for c in cuts]
     inner = [f"{column} >= {a} and {column} < {b}" for a, b in zip(ends, ends[1:])]
     return [f"{column} < {ends[0]}", *inner, f"{column} >= {ends[-1]}", f"{column} is null"]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 from typing import Protocol
 
@@ -22,6 +23,17 @@ class Source(Protocol):
     ) -> DataFrame:
         """One row, ``lo`` and ``hi`` of the split column."""
 
+    def grouped_frame(
+        self,
+        spec: TableSpec,
+        group: str | None,
+        values: Mapping[str, str],
+        where: str | None = None,
+        since: datetime | None = None,
+        until: datetime | None = None,
+    ) -> DataFrame:
+        """One row per ``group`` (which comes first) or one in all, with aggregates by name; all are SQL texts."""
+
     def split(
         self,
         spec: TableSpec,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from sluicegate.plans.strategy import (
     stride_predicates,
 )
 from sluicegate.sources.base import count_rows, find_bounds
+from sluicegate.sources.depth import equal_row_bounds
 
 
 def url_dialect(url: str) -> str:
@@ -70,6 +72,23 @@ class JdbcSource:
         key = spec.stride_column
         return f"select min({key}) as lo, max({key}) as hi from {spec.table}{self._where(spec, since, until)}"
 
+    def grouped_query(
+        self,
+        spec: TableSpec,
+        group: str | None,
+        values: Mapping[str, str],
+        where: str | None = None,
+        since: datetime | None = None,
+        until: datetime | None = None,
+    ) -> str:
+        columns = ", ".join(f"{v} as {n}" for n, v in values.items())
+        text = self._where(spec, since, until)
+        if where is not None:
+            text = f"{text} and ({where})" if text else f" where {where}"
+        if group is None:
+            return f"select {columns} from {spec.table}{text}"
+        return f"select {group} as piece, {columns} from {spec.table}{text} group by {group}"
+
     def table_text(
         self, spec: TableSpec, since: datetime | None = None, until: datetime | None = None
     ) -> str:
@@ -93,6 +112,17 @@ class JdbcSource:
     ) -> DataFrame:
         return self._load(query=self.key_range_query(spec, since, until))
 
+    def grouped_frame(
+        self,
+        spec: TableSpec,
+        group: str | None,
+        values: Mapping[str, str],
+        where: str | None = None,
+        since: datetime | None = None,
+        until: datetime | None = None,
+    ) -> DataFrame:
+        return self._load(query=self.grouped_query(spec, group, values, where, since, until))
+
     def split(
         self,
         spec: TableSpec,
@@ -100,7 +130,13 @@ class JdbcSource:
         since: datetime | None = None,
         until: datetime | None = None,
     ) -> Bounds | None:
-        """Bounds of the column that strides go by, or a plain number of pieces where a key is hashed."""
+        """Bounds of the column that strides go by, or a plain number of pieces where a key is hashed.
+
+        With ``bounds: rows`` the strides hold about equally many rows; a keyless table's key, such as a text, is then cut into
+        ranges, which an index serves, instead of being hashed.
+        """
+        if spec.bounds == "rows" and (spec.partition_column or spec.split_key):
+            return equal_row_bounds(self, spec, total_rows, since, until)
         if spec.partition_column:
             return find_bounds(self, spec, total_rows, since, until)
         if spec.split_key and (spec.num_partitions or read_strategy(spec) == "bucket"):
@@ -130,6 +166,8 @@ class JdbcSource:
         table = self.table_text(spec, since, until)
         if bounds is None or bounds.strides < 2:
             return self._load(dbtable=table)
+        if bounds.cuts:
+            return self._load_pieces(table, stride_predicates(spec.partition_column or spec.split_key, bounds))
         hashed = not spec.partition_column and spec.split_key and not bounds.moments
         if hashed:
             return self._load_pieces(table, bucket_predicates(spec.split_key, bounds.strides, self.dialect))

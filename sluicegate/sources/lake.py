@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,21 @@ class LakeSource:
         key = spec.stride_column
         return self._interval(spec, since, until).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
 
+    def grouped_frame(
+        self,
+        spec: TableSpec,
+        group: str | None,
+        values: Mapping[str, str],
+        where: str | None = None,
+        since: datetime | None = None,
+        until: datetime | None = None,
+    ) -> DataFrame:
+        df = self._interval(spec, since, until)
+        if where is not None:
+            df = df.where(where)
+        groups = [] if group is None else [F.expr(group).alias("piece")]
+        return df.groupBy(*groups).agg(*(F.expr(v).alias(n) for n, v in values.items()))
+
     def split(
         self,
         spec: TableSpec,

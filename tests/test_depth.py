@@ -1,0 +1,128 @@
+from collections import Counter
+from datetime import datetime
+from functools import reduce
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sluicegate.plans.spec import Connection, TableSpec
+from sluicegate.plans.strategy import stride_predicates
+from sluicegate.sources import depth
+from sluicegate.sources.depth import equal_row_bounds
+from sluicegate.sources.jdbc import JdbcSource
+
+
+class Views(JdbcSource):
+    """A database played by Spark's own views: the same texts, no connection."""
+
+    asked = 0
+
+    def _load(self, query=None, dbtable=None):
+        self.asked += 1
+        return self.spark.sql(query or f"select * from {dbtable}")
+
+    def _load_pieces(self, table, predicates):
+        return reduce(DataFrame.unionAll, [self.spark.sql(f"select * from {table} where {p}") for p in predicates])
+
+
+@pytest.fixture
+def views(spark):
+    return Views(spark, Connection("me", "jdbc:other:x"), "")
+
+
+def split(spark, views, keys, kind, pieces):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], f"k {kind}, i int")
+    df.createOrReplaceTempView("depth_t")
+    spec = TableSpec("depth_t", primary_key="k", bounds="rows", num_partitions=pieces)
+    bounds = views.split(spec)
+    predicates = ["1 = 1"] if bounds is None else stride_predicates("k", bounds)
+    sent = views.read(spec, bounds).collect()
+    assert Counter(r["i"] for r in sent) == Counter(range(len(keys)))
+    held = [[r["k"] for r in df.where(p).collect()] for p in predicates]
+    assert sum(map(len, held)) == len(keys)
+    return held
+
+
+def fair(held, keys, pieces):
+    """No stride above the mean, but for the rounding up of it, and single keys."""
+    n = sum(k is not None for k in keys)
+    return all(len(h) * pieces <= n + pieces or len(set(h) - {None}) <= 1 for h in held)
+
+
+NUMBERS = st.lists(
+    st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1), st.integers(0, 40), st.sampled_from([7, 10**6, -(10**12)])), max_size=120
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(NUMBERS, st.integers(2, 9))
+def test_whole_numbers(spark, views, keys, pieces):
+    assert fair(split(spark, views, keys, "bigint", pieces), keys, pieces)
+
+
+TEXTS = st.lists(
+    st.one_of(st.none(), st.text("abAB0", max_size=6), st.sampled_from(["Customer#1", "Customer#2", ""]), st.text(max_size=4)), max_size=80
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(TEXTS, st.integers(2, 6))
+def test_texts_are_taken_once(spark, views, keys, pieces):
+    """Whatever letters they are of; how even the ranges are is another matter, see below."""
+    split(spark, views, [k if k is None else k.replace("\x00", "") for k in keys], "string", pieces)
+
+
+def test_texts_with_long_common_beginnings(spark, views):
+    keys = [f"Customer#{i:09d}" for i in range(700)] + ["Customer#000000003"] * 300 + [None] * 5
+    held = split(spark, views, keys, "string", 10)
+    assert fair(held, keys, 10) and len(held) > 8
+    assert views.asked < 30
+
+
+def test_a_third_in_a_hundredth_of_the_range(spark, views):
+    keys = [i % 1000 for i in range(2000)] + [i * 25 for i in range(4000)] + [50_001] * 1500
+    held = split(spark, views, keys, "bigint", 12)
+    assert fair(held, keys, 12)
+    assert [len(h) for h in held if set(h) == {50_001}] == [1500]
+
+
+def test_few_statements_for_wide_ranges_and_many_pieces(spark, views, monkeypatch):
+    monkeypatch.setattr(depth, "AT_ONCE", 7)
+    keys = [i**4 for i in range(3000)]
+    assert fair(split(spark, views, keys, "bigint", 60), keys, 60)
+
+
+def test_nothing_to_split(spark, views):
+    for keys in ([], [None] * 3, [5] * 9, [None, 4]):
+        assert len(split(spark, views, keys, "bigint", 4)) == 1
+
+
+def test_an_order_that_is_not_that_of_the_bytes_is_refused(spark, views):
+    """As databases order texts by default: B lies between a and c."""
+    df = spark.createDataFrame([(k,) for k in "aAbBcCdDeE" * 20], "k string")
+    df.select(F.expr("collate(k, 'UNICODE')").alias("k")).createOrReplaceTempView("depth_t")
+    spec = TableSpec("depth_t", primary_key="k", bounds="rows", num_partitions=5)
+    with pytest.raises(ValueError, match="not ordered by its bytes"):
+        views.split(spec)
+
+
+def test_other_columns_and_fixed_ends_are_refused(spark, views):
+    spark.createDataFrame([(datetime(2024, 1, d),) for d in (1, 2)], "k timestamp_ntz").createOrReplaceTempView("depth_t")
+    with pytest.raises(ValueError, match="datetime"):
+        views.split(TableSpec("depth_t", partition_column="k", bounds="rows", num_partitions=3))
+    with pytest.raises(ValueError, match="fixed ends"):
+        TableSpec("t", partition_column="k", bounds="rows", upper_bound=9)
+
+
+def test_the_interval_is_what_is_split(spark, lake, views):
+    lake.table("orders").createOrReplaceTempView("orders")
+    spec = TableSpec("orders", partition_column="o_orderkey", last_update_column="o_orderdate", bounds="rows", rows_per_partition=100)
+    since = datetime(1998, 1, 1)
+    bounds = views.split(spec, None, since)
+    assert bounds == equal_row_bounds(lake, spec, None, since)
+    rows = lake.read(spec, since=since)
+    assert sorted(rows.where(p).count() for p in stride_predicates("o_orderkey", bounds))[-1] <= 100
+    assert views.read(spec, bounds, since).exceptAll(rows).isEmpty()
