@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sluicegate.functions.columns import files_for, is_uuid  # noqa: E402
+from sluicegate.functions.intervals import gaps, islands, overlaps  # noqa: E402
 from sluicegate.operators.buckets import self_join_counted, with_bucket  # noqa: E402
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records  # noqa: E402
 from sluicegate.operators.commits import clean, publish  # noqa: E402
-from sluicegate.operators.extract import extract_all, extract_days, extract_table  # noqa: E402
+from sluicegate.operators.extract import extract_all, extract_days, extract_missing, extract_table  # noqa: E402
 from sluicegate.operators.latest import latest_state, latest_table  # noqa: E402
 from sluicegate.operators.refresh import read_latest, refresh_latest  # noqa: E402
+from sluicegate.operators.runs import covered, read_twice  # noqa: E402
 from sluicegate.operators.snapshot import read_snapshots, write_snapshot  # noqa: E402
 from sluicegate.plans.spec import TableSpec, parse_specs, read_yaml  # noqa: E402
 from sluicegate.plans.strategy import (  # noqa: E402
@@ -360,6 +362,44 @@ def latest_of_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_table(spark, root, spec)
 
 
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that leave a gap and lie over one another, one rewritten with a shorter interval; what they cover, how often, and the
+    events in it; then what is missing is extracted."""
+    source, root = LakeSource(spark, sf_dir), new_work_dir(spark, "ledger")
+    spec = TableSpec("events", last_update_column="ts", primary_key="event_id", initial="since_start")
+    days = {d: datetime(2024, 1, d) for d in range(2, 9)}
+    for start, end in ((2, 4), (3, 5), (6, 8), (2, 3)):
+        extract_table(spark, source, spec, days[start], root, days[end])
+    before = [covered(spark, root, spec).withColumn("what", F.lit("covered"))]
+    extract_table(spark, source, spec, datetime(2024, 1, 4, 12), root, days[6])
+    before.append(read_twice(spark, root, spec).withColumnRenamed("depth", "intervals").withColumn("what", F.lit("twice")))
+    extract_missing(spark, source, spec, datetime(2024, 1, 1), datetime(2024, 1, 10), root)
+    before.append(covered(spark, root, spec).withColumn("what", F.lit("at last")))
+    found = _union(before)
+    events = source.table("events").select("ts")
+    met = found.join(events, (F.col("ts") >= F.col("since")) & (F.col("ts") < F.col("until")), "left")
+    return met.groupBy("what", "since", "until", "intervals").agg(F.count("ts").alias("events"))
+
+
+def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as six hours of its user."""
+    events = LakeSource(spark, sf_dir).table("events")
+    return events.select("user_id", F.col("ts").alias("since"), (F.col("ts") + F.expr("interval 6 hours")).alias("until"))
+
+
+def interval_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return islands(_visits(spark, sf_dir), ["user_id"])
+
+
+def interval_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ends = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-05", "2024-01-20"))
+    return gaps(_visits(spark, sf_dir), *ends, ["user_id"])
+
+
+def interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(_visits(spark, sf_dir), ["user_id"])
+
+
 def latest_of_two_tag_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table without a date, taken at a noon and, months later, at a midnight: half of its rows have changed by then."""
     spec, root = CUSTOMER_KEYED, new_work_dir(spark, "two_lengths")
@@ -629,6 +669,10 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "config_fanout": config_fanout,
         "latest_state": latest_over_snapshots,
         "latest_table": latest_of_spec,
+        "run_ledger": run_ledger,
+        "interval_islands": interval_islands,
+        "interval_gaps": interval_gaps,
+        "interval_overlaps": interval_overlaps,
         "latest_of_two_tag_lengths": latest_of_two_tag_lengths,
         "refreshed_latest": refreshed_latest,
         "request_frame": requests,
@@ -667,6 +711,18 @@ QUOTES = """
 """
 
 
+# Six hours of each event's user; those that lie over or touch one another as one.
+ISLANDS = """
+    visits as (select user_id, ts as since, ts + interval 6 hours as until from events),
+    marked as (
+        select *, coalesce(since > max(until) over (partition by user_id order by since, until
+                           rows between unbounded preceding and 1 preceding), true) as apart from visits),
+    numbered as (select *, sum(apart::int) over (partition by user_id order by since, until rows unbounded preceding) as island from marked),
+    islands as (
+        select user_id, min(since) as since, max(until) as until, count(*) as intervals from numbered group by user_id, island)
+"""
+
+
 def _bounds_sql(lower: str, upper: str) -> str:
     keys = {"orders": "o_orderkey", "customer": "c_custkey", "nation": "n_nationkey"}
     parts = [
@@ -784,6 +840,36 @@ def library_sql() -> dict[str, str]:
             select * from events
             qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
         """,
+        "run_ledger": """
+            select what, since, until, intervals::bigint as intervals, count(ts) as events
+            from (values ('covered', timestamp '2024-01-02', timestamp '2024-01-05', 2),
+                         ('covered', timestamp '2024-01-06', timestamp '2024-01-08', 1),
+                         ('twice', timestamp '2024-01-04 12:00:00', timestamp '2024-01-05', 2),
+                         ('at last', timestamp '2024-01-01', timestamp '2024-01-10', 6)) v(what, since, until, intervals)
+            left join events on ts >= since and ts < until
+            group by all
+        """,
+        "interval_islands": f"with {ISLANDS} select * from islands",
+        "interval_gaps": f"""
+            with {ISLANDS},
+            ends as (
+                select user_id, timestamp '2024-01-05' as a, timestamp '2024-01-20' as b from islands group by user_id),
+            stops as (
+                select user_id, coalesce(lag(until) over (partition by user_id order by since), timestamp '1900-01-01') as since, since as until
+                from islands
+                union all select user_id, max(until), timestamp '2900-01-01' from islands group by user_id)
+            select user_id, greatest(since, a) as since, least(until, b) as until from stops join ends using (user_id)
+            where greatest(since, a) < least(until, b)
+        """,
+        "interval_overlaps": """
+            with steps as (
+                select user_id, ts as moment, 1 as step from events union all select user_id, ts + interval 6 hours, -1 from events),
+            added as (select user_id, moment, sum(step) as step from steps group by all having sum(step) <> 0),
+            swept as (
+                select user_id, moment as since, lead(moment) over w as until, sum(step) over w as depth
+                from added window w as (partition by user_id order by moment))
+            select user_id, since, until, depth::bigint as depth from swept where depth >= 2
+        """,
         "latest_of_two_tag_lengths": """
             select * replace (case when c_custkey % 2 = 0 then -c_acctbal else c_acctbal end as c_acctbal) from customer
         """,

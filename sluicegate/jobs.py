@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records
 from sluicegate.operators.commits import clean
-from sluicegate.operators.extract import ExtractResult, extract_all
+from sluicegate.operators.extract import ExtractResult, extract_all, extract_missing
 from sluicegate.operators.latest import latest_table
 from sluicegate.operators.refresh import refresh_latest
 from sluicegate.operators.snapshot import write_snapshot
@@ -64,6 +64,16 @@ def extract_tables(
     return extract_all(spark, jdbc_sources(spark, connections), specs, start, root, end)
 
 
+def extract_open(
+    spark: SparkSession, tables_path: str, env_path: str, start: datetime, end: datetime
+) -> list[ExtractResult]:
+    """For every dated table of the list, what of the interval no run has read yet."""
+    connections, root = load_connections(env_path)
+    source_of = jdbc_sources(spark, connections)
+    specs = [s for s in connected_specs(tables_path, connections) if s.last_update_column]
+    return [r for s in specs for r in extract_missing(spark, source_of(s), s, start, end, root)]
+
+
 def write_latest(spark: SparkSession, tables_path: str, env_path: str, target: str) -> dict[str, int]:
     """The current rows of every table of the list that names a primary key, below ``target``; rows by table."""
     _, root = load_connections(env_path)
@@ -163,6 +173,7 @@ def _arguments() -> argparse.ArgumentParser:
     extract = job("extract", "tables over JDBC into dated snapshots", "tables", "env")
     extract.add_argument("--start", required=True, type=datetime.fromisoformat)
     extract.add_argument("--end", type=datetime.fromisoformat)
+    extract.add_argument("--missing", action="store_true", help="dated tables: only what no run has read, up to the end")
     job("latest", "current rows of the listed tables", "tables", "env", "target")
     refresh = job("refresh", "fold new dates into the current rows of the listed tables", "tables", "env")
     refresh.add_argument("--remove", action="store_true", help="remove what is no longer needed")
@@ -187,10 +198,14 @@ def _arguments() -> argparse.ArgumentParser:
 
 
 def main(arguments: list[str] | None = None) -> None:
-    asked = _arguments().parse_args(arguments)
+    parser = _arguments()
+    asked = parser.parse_args(arguments)
+    if asked.job == "extract" and asked.missing and not asked.end:
+        parser.error("--missing needs --end")
     spark = build_session(f"sluicegate-{asked.job}")
     if asked.job == "extract":
-        for r in extract_tables(spark, asked.tables, asked.env, asked.start, asked.end):
+        extract = extract_open if asked.missing else extract_tables
+        for r in extract(spark, asked.tables, asked.env, asked.start, asked.end):
             name = f"{r.spec.source}.{r.spec.database}.{r.spec.table}"
             print(f"{name}: {r.strategy}, {r.rows} rows, {r.path or 'nothing written'}")
     elif asked.job == "latest":

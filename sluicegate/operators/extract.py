@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from sluicegate.operators.buckets import with_bucket
 from sluicegate.operators.commits import new_version, publish
+from sluicegate.operators.runs import missing, record_run, whole_seconds
 from sluicegate.operators.snapshot import has_earlier_date, write_rows, write_snapshot
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import date_tag, file_count, layout, read_strategy, snapshot_path, table_root
@@ -49,7 +50,9 @@ def extract_table(
     """
     first = not has_earlier_date(spark, table_root(root, spec), spec.job, date_tag(start))
     path = snapshot_path(root, spec, start)
-    return _extract(source, spec, start, end, first, path, path, write_snapshot, hash_method)
+    result = _extract(source, spec, start, end, first, path, path, write_snapshot, hash_method)
+    _record(spark, root, start, end, result)
+    return result
 
 
 def extract_days(
@@ -78,9 +81,38 @@ def extract_days(
             staged[name], earlier = target, True
     if staged:
         publish(spark, folder, staged)
+    for start, until, result in zip(sorted(starts), [*sorted(starts)[1:], end], results):
+        _record(spark, root, start, until, result)
     return results
 
 
+def extract_missing(
+    spark: SparkSession,
+    source: Source,
+    spec: TableSpec,
+    low: datetime,
+    high: datetime,
+    root: str,
+    hash_method: str = "xxhash64",
+) -> list[ExtractResult]:
+    """Whatever of ``low`` to ``high`` no run has read yet, an interval a date: gaps that runs left or lost, and what has come since.
+
+    The ledger of runs says what is missing (``runs.missing``); where nothing is, nothing is read.
+    """
+    if read_strategy(spec) != "incremental":
+        raise ValueError(f"{spec.table}: only a dated table has intervals that can be missing")
+    open_ = [whole_seconds(i) for i in missing(spark, root, spec, low, high)]
+    return [extract_table(spark, source, spec, since, root, until, hash_method) for since, until in open_]
+
+
+def _record(spark: SparkSession, root: str, start: datetime, end: datetime | None, result: ExtractResult) -> None:
+    """Enter a dated table's run. One without rows is entered too: its interval has been read."""
+    if result.strategy != "incremental":
+        return
+    since = None if result.first_run and result.spec.initial == "all" else start
+    record_run(spark, root, result.spec, start, since, end, result.rows)
+
+
 def _extract(
     source: Source,
     spec: TableSpec,

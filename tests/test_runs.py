@@ -1,0 +1,135 @@
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluicegate.functions.intervals import gaps, islands, overlaps
+from sluicegate.operators import extract
+from sluicegate.operators.commits import publish
+from sluicegate.operators.extract import extract_days, extract_missing, extract_table
+from sluicegate.operators.runs import covered, missing, next_interval, read_twice, runs, whole_seconds
+from sluicegate.operators.snapshot import read_snapshots
+from sluicegate.plans.spec import TableSpec
+from sluicegate.plans.strategy import table_root
+
+ZERO = datetime(2024, 1, 1)
+SPEC = TableSpec("t", last_update_column="ts", primary_key="id", initial="since_start")
+
+
+def hour(n):
+    return ZERO + timedelta(hours=n)
+
+
+def day(n):
+    return ZERO + timedelta(days=n)
+
+
+INTERVALS = st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 70), st.integers(-2, 30)), max_size=14)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(INTERVALS, st.integers(1, 60))
+def test_algebra_against_hours_counted_one_by_one(spark, drawn, chunk):
+    rows = [(k, hour(a), hour(a + n)) for k, a, n in drawn]
+    df = spark.createDataFrame(rows, "k string, since timestamp_ntz, until timestamp_ntz")
+    depth = {(k, h): 0 for k in "ab" for h in range(-10, 120)}
+    for k, a, n in drawn:
+        for h in range(a, a + n):
+            depth[k, h] += 1
+
+    def hours(found):
+        out = {}
+        for r in found.collect():
+            n = int((r["until"] - r["since"]).total_seconds() // 3600)
+            for i in range(n):
+                at = (r["k"], int((r["since"] - ZERO).total_seconds() // 3600) + i)
+                assert at not in out
+                out[at] = r["depth"] if "depth" in found.columns else True
+        return out
+
+    joined = islands(df, ["k"], chunk * 3600)
+    assert hours(joined) == {at: True for at, n in depth.items() if n}
+    assert sum(r["intervals"] for r in joined.collect()) == sum(n > 0 for _, _, n in drawn)
+    ends = sorted((r["k"], r["since"], r["until"]) for r in joined.collect())
+    assert all(x[0] != y[0] or x[2] < y[1] for x, y in zip(ends, ends[1:]))
+    assert hours(overlaps(df, ["k"])) == {at: n for at, n in depth.items() if n > 1}
+    there = {k for k, _, n in drawn if n > 0}
+    bounds = (F.lit(str(hour(h))).cast("timestamp_ntz") for h in (10, 60))
+    assert hours(gaps(df, *bounds, ["k"], chunk * 3600)) == {(k, h): True for (k, h), n in depth.items() if not n and k in there and 10 <= h < 60}
+
+
+def test_a_group_meets_in_one_task_only_by_what_is_left_of_it(spark, plan):
+    rows = [("a", hour(i), hour(i + 1)) for i in range(9)]
+    text = plan(islands(spark.createDataFrame(rows, "k string, since timestamp_ntz, until timestamp_ntz"), ["k"]))
+    # Once by group and stretch, once by group.
+    assert "_chunk" in text.split("hashpartitioning(")[2] and "_chunk" not in text.split("hashpartitioning(")[1].split(")")[0]
+
+
+@pytest.fixture
+def source(spark, write_table):
+    """An event every six hours over ten days."""
+    df = spark.range(40).select("id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + id * interval 6 hours").alias("ts"))
+    return write_table("t", df)
+
+
+def intervals(df, *more):
+    return sorted(tuple(r) for r in df.select("since", "until", *more).collect())
+
+
+def test_ledger_of_gaps_overlaps_and_reruns(spark, source, tmp_path):
+    root = str(tmp_path / "out")
+    assert missing(spark, root, SPEC, day(0), day(9)) == [(day(0), day(9))] and runs(spark, root, SPEC).count() == 0
+    for a, b in ((1, 3), (2, 4), (5, 6), (1, 2)):
+        extract_table(spark, source, SPEC, day(a), root, day(b))
+    assert intervals(covered(spark, root, SPEC), "intervals") == [(day(1), day(4), 2), (day(5), day(6), 1)]
+    assert intervals(read_twice(spark, root, SPEC)) == []
+    extract_table(spark, source, SPEC, day(3), root, day(5))
+    assert intervals(read_twice(spark, root, SPEC), "depth") == [(day(3), day(4), 2)]
+    assert missing(spark, root, SPEC, day(0), day(7)) == [(day(0), day(1)), (day(6), day(7))]
+    assert next_interval(spark, root, SPEC, day(1), day(7)) == (day(6), day(7))
+    assert next_interval(spark, root, SPEC, day(1), day(6)) is None
+    publish(spark, table_root(root, SPEC), {f"{SPEC.job}=20240106": None})
+    assert missing(spark, root, SPEC, day(1), day(7)) == [(day(5), day(7))]
+
+
+def test_missing_intervals_are_extracted_once(spark, source, tmp_path):
+    root = str(tmp_path / "out")
+    extract_table(spark, source, SPEC, day(2), root, day(3))
+    found = extract_missing(spark, source, SPEC, day(0), day(12), root)
+    assert [(r.rows, r.path.rpartition("=")[2]) for r in found] == [(8, "20240101"), (28, "20240104")]
+    assert read_snapshots(spark, table_root(root, SPEC), SPEC.job).count() == 40
+    assert extract_missing(spark, source, SPEC, day(0), day(12), root) == []
+    # An interval without rows has been read as well.
+    (empty,) = extract_missing(spark, source, SPEC, day(0), day(14), root)
+    assert not empty.written and extract_missing(spark, source, SPEC, day(0), day(14), root) == []
+    with pytest.raises(ValueError, match="dated"):
+        extract_missing(spark, source, TableSpec("t", partition_column="id"), day(0), day(1), root)
+
+
+def test_a_run_whose_entry_was_lost_is_read_again(spark, source, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    with monkeypatch.context() as m:
+        m.setattr(extract, "record_run", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            extract_table(spark, source, SPEC, day(0), root, day(2))
+    extract_missing(spark, source, SPEC, day(0), day(3), root)
+    rows = read_snapshots(spark, table_root(root, SPEC), SPEC.job)
+    assert rows.count() == rows.distinct().count() == 12
+
+
+def test_first_runs_days_and_open_ends(spark, source, tmp_path):
+    root, whole = str(tmp_path / "out"), TableSpec("t", last_update_column="ts", primary_key="id")
+    extract_days(spark, source, whole, [day(1), day(2)], root, end=day(3))
+    assert intervals(covered(spark, root, whole), "intervals") == [(datetime(1, 1, 1), day(3), 2)]
+    extract_table(spark, source, whole, day(4), root)
+    (first, last) = intervals(covered(spark, root, whole))
+    assert last[0] == day(4) and last[1] > datetime(2025, 1, 1)
+    assert missing(spark, root, whole, day(0), day(5)) == [(day(3), day(4))]
+
+
+def test_ends_on_whole_seconds():
+    odd = datetime(2024, 1, 1, 0, 0, 1, 5), datetime(2024, 1, 1, 0, 0, 2, 7)
+    assert whole_seconds(odd) == (datetime(2024, 1, 1, 0, 0, 1), datetime(2024, 1, 1, 0, 0, 3))
+    assert whole_seconds((day(0), day(1))) == (day(0), day(1))
