@@ -21,6 +21,7 @@ from sluicegate.operators.documents import assign_ids, flatten_quotes, user_reco
 from sluicegate.operators.commits import clean, publish  # noqa: E402
 from sluicegate.operators.extract import extract_all, extract_days, extract_missing, extract_table  # noqa: E402
 from sluicegate.operators.latest import latest_state, latest_table  # noqa: E402
+from sluicegate.operators.reconcile import reconcile  # noqa: E402
 from sluicegate.operators.refresh import read_latest, refresh_latest  # noqa: E402
 from sluicegate.operators.runs import covered, read_twice  # noqa: E402
 from sluicegate.operators.snapshot import read_snapshots, write_snapshot  # noqa: E402
@@ -381,6 +382,20 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy("what", "since", "until", "intervals").agg(F.count("ts").alias("events"))
 
 
+def reconciled_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of the orders with a few rows changed, lost, doubled and added, compared with its source."""
+    source, root = LakeSource(spark, sf_dir), new_work_dir(spark, "reconciled")
+    path = f"{root}/get_data={_tag(SNAPSHOT_DAY)}"
+    orders, key = source.table("orders"), F.col("o_orderkey")
+    kept = orders.where(key % 401 != 7)
+    changed = kept.withColumn("o_totalprice", F.when(key % 307 == 5, 0.0).otherwise(F.col("o_totalprice")))
+    added = orders.where(key % 503 == 11).withColumn("o_orderkey", -1 - key)
+    write_snapshot(changed.unionByName(changed.where(key % 211 == 3)).unionByName(added), path, 1)
+    snapshot = read_snapshots(spark, root, "get_data").drop("get_data")
+    found = reconcile(orders, snapshot, "o_orderkey", leaf_rows=100)
+    return found.select("kind", "in_source", "in_snapshot", "o_orderkey", "o_totalprice")
+
+
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as six hours of its user."""
     events = LakeSource(spark, sf_dir).table("events")
@@ -670,6 +685,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_state": latest_over_snapshots,
         "latest_table": latest_of_spec,
         "run_ledger": run_ledger,
+        "reconciled_snapshot": reconciled_snapshot,
         "interval_islands": interval_islands,
         "interval_gaps": interval_gaps,
         "interval_overlaps": interval_overlaps,
@@ -849,6 +865,23 @@ def library_sql() -> dict[str, str]:
             left join events on ts >= since and ts < until
             group by all
         """,
+        "reconciled_snapshot": """
+            with kept as (
+                select * replace (case when o_orderkey % 307 = 5 then 0.0 else o_totalprice end as o_totalprice)
+                from orders where o_orderkey % 401 <> 7),
+            snapshot as (
+                select * from kept union all select * from kept where o_orderkey % 211 = 3
+                union all select * replace (-1 - o_orderkey as o_orderkey) from orders where o_orderkey % 503 = 11),
+            counted as (
+                select * exclude (s, t), sum(s)::bigint as in_source, sum(t)::bigint as in_snapshot
+                from (select *, 1 as s, 0 as t from orders union all select *, 0, 1 from snapshot) group by all),
+            keys as (
+                select o_orderkey, sum(in_source) as a, sum(in_snapshot) as b from counted group by o_orderkey)
+            select case when b = 0 then 'lost' when a = 0 then 'extra' when in_source > 0 and in_snapshot > in_source then 'doubled'
+                        when in_snapshot > 0 and in_source > in_snapshot then 'thinned' else 'changed' end as kind,
+                   in_source, in_snapshot, o_orderkey, o_totalprice
+            from counted join keys using (o_orderkey) where in_source <> in_snapshot
+        """,
         "interval_islands": f"with {ISLANDS} select * from islands",
         "interval_gaps": f"""
             with {ISLANDS},
