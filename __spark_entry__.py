@@ -52,6 +52,7 @@ from sluicegate.streaming.stream import (  # noqa: E402
     current_state,
     keyed_upsert_stream,
     rejected_messages,
+    replay_rejects,
 )
 
 # The one place that does without the training-data subpackage and its pipeline where they are not installed.
@@ -587,6 +588,28 @@ def rejected_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_messages(spark, path).select("offset", "rejected_text")
 
 
+def replayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of customers in debt break off; they are mended and replayed, twice. Some of these customers have sent a whole
+    message since, which stays."""
+    path = new_work_dir(spark, "replayed")
+    customers = LakeSource(spark, sf_dir).stream("customer", FILES_PER_BATCH)
+    key, balance = F.col("c_custkey"), F.col("c_acctbal")
+    whole = F.to_json(F.struct(key.cast("string").alias("id"), F.col("c_name").alias("first_name")))
+    later = F.to_json(F.struct(key.cast("string").alias("id"), F.lit("later").alias("first_name")))
+    broken = F.when(balance < 0, F.rtrim(whole, F.lit("}"))).otherwise(whole)
+    sent = F.array(F.struct(broken.alias("text"), key.alias("offset")), F.struct(later.alias("text"), (key + 10**9).alias("offset")))
+    # The later message comes first here; the offset decides.
+    both = customers.select(F.explode(F.when((balance < 0) & (key % 3 == 0), F.reverse(sent)).otherwise(F.slice(sent, 1, 1))).alias("m"))
+    messages = both.select(F.encode("m.text", "UTF-8").alias("value"), "m.offset")
+    split = split_messages(messages, USER_MESSAGE, required=["id"], carry=["offset"])
+    _finish(keyed_upsert_stream(split, path, f"{path}/checkpoint", ["id"], ["offset"], ONCE))
+    for _ in range(2):
+        replay_rejects(
+            spark, path, ["id"], ["offset"], USER_MESSAGE, lambda text: F.concat(text, F.lit("}")), ["offset"], required=["id"]
+        )
+    return current_state(spark, path, ["id"], ["offset"]).select("id", "first_name", "offset")
+
+
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "append")
     for _ in range(2):
@@ -701,6 +724,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_parse_stream": json_parse_stream,
         "malformed_split": malformed_split,
         "rejected_messages": rejected_texts,
+        "replayed_messages": replayed_messages,
         "append_stream": append_twice,
         "keyed_upsert_stream": keyed_upsert,
         "keyed_compaction": keyed_compaction,
@@ -942,6 +966,11 @@ def library_sql() -> dict[str, str]:
             select c_custkey as offset, '{"id":"' || c_custkey || '","first_name":"' || c_name || '"' as rejected_text
             from customer where c_acctbal < 0
         """,
+        "replayed_messages": """
+            select c_custkey::varchar as id, case when newer then 'later' else c_name end as first_name,
+                   c_custkey + case when newer then 1000000000 else 0 end as offset
+            from (select *, c_acctbal < 0 and c_custkey % 3 = 0 as newer from customer)
+        """,
         "append_stream": "select * from orders",
         "keyed_upsert_stream": LATEST_PER_USER,
         "keyed_compaction": LATEST_PER_USER,

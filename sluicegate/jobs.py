@@ -6,7 +6,7 @@ For example ``python -m sluicegate.jobs extract --tables t.yml --env e.yml --sta
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +25,13 @@ from sluicegate.sources.jdbc import JdbcSource
 from sluicegate.sources.kafka import read_topic, send_batch
 from sluicegate.sources.rest import Fetcher, fetch_bodies, http_fetcher, land_bodies, request_frame
 from sluicegate.sources.storage import remove_folder
-from sluicegate.streaming.messages import USER_MESSAGE, encode_messages, split_messages
-from sluicegate.streaming.stream import append_stream, compact, keyed_upsert_stream
+from sluicegate.streaming.messages import USER_FIELDS, USER_MESSAGE, encode_messages, split_messages
+from sluicegate.streaming.stream import compact, keyed_upsert_stream, sink_stream
 
 REQUESTS_PER_TASK = 8
 # Across partitions offsets are no order in time; within one they are.
 KAFKA_ORDER = ("timestamp", "partition", "offset")
+FILES = ("parquet", "json", "orc", "csv")
 
 
 def jdbc_sources(
@@ -147,17 +148,23 @@ def take_users(
     checkpoint: str,
     trigger: Mapping | None = None,
     sink: str = "keyed",
+    options: Mapping[str, str] | None = None,
+    columns: Sequence[str] = (),
     **settings,
 ) -> StreamingQuery:
     """Keep the last message per user id below ``path``; read it with ``current_state``.
 
-    Rejected messages are kept beside it; read them with ``rejected_messages``. Any other ``sink`` than ``keyed``
-    names a format that all messages are appended in.
+    Any other ``sink`` than ``keyed`` names a format that accepted messages are appended in, with its own ``options`` (a keyspace and a
+    table, say) and the ``columns`` it has, those of a user unless given; files go to ``path``/rows where no option says
+    otherwise. Rejected messages are kept below ``path`` either way; read them with ``rejected_messages``.
     """
     users = decoded_users(read_topic(spark, servers, topic, **settings))
     if sink == "keyed":
         return keyed_upsert_stream(users, path, checkpoint, ["id"], KAFKA_ORDER, trigger)
-    return append_stream(users, path, checkpoint, trigger, sink=sink)
+    given = dict(options or {})
+    if sink in FILES:
+        given.setdefault("path", f"{path}/rows")
+    return sink_stream(users, sink, checkpoint, path, columns or USER_FIELDS, given, trigger)
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -191,9 +198,15 @@ def _arguments() -> argparse.ArgumentParser:
     users.add_argument("--min-partitions", type=int)
     users.add_argument("--every", help="time between micro-batches, such as '10 seconds'")
     users.add_argument("--available-now", action="store_true", help="take what is there and end")
-    users.add_argument("--sink", default="keyed")
+    users.add_argument("--sink", default="keyed", help="'keyed' or a format, such as that of a database's connector")
+    users.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="an option of the format")
+    users.add_argument("--columns", help="the columns the format takes, by commas")
     compact_ = job("compact", "fold a keyed log into its base", "path")
     compact_.add_argument("--remove", action="store_true", help="remove what is folded")
+    compact_.add_argument("--keys", default="id", help="the columns of the key, by commas")
+    compact_.add_argument("--order", default=",".join(KAFKA_ORDER), help="what decides between rows of a key, by commas")
+    compact_.add_argument("--buckets", type=int, default=64, help="for the first time; they split as the log grows")
+    compact_.add_argument("--target-rows", type=int, default=1_000_000, help="rows a bucket has before it is split")
     return parser
 
 
@@ -226,14 +239,23 @@ def main(arguments: list[str] | None = None) -> None:
         documents = spark.read.text(asked.documents).withColumnRenamed("value", "body")
         send_users(documents, asked.servers, asked.topic)
     elif asked.job == "compact":
-        print("generation", compact(spark, asked.path, ["id"], KAFKA_ORDER, remove=asked.remove))
+        generation = compact(
+            spark, asked.path, asked.keys.split(","), asked.order.split(","), asked.buckets, asked.remove,
+            target_rows=asked.target_rows,
+        )
+        print("generation", generation)
     else:
         trigger = {"processingTime": asked.every} if asked.every else None
         trigger = {"availableNow": True} if asked.available_now else trigger
+        wrong = [o for o in asked.option if "=" not in o]
+        if wrong:
+            parser.error(f"--option takes NAME=VALUE, not {wrong[0]}")
+        more = {"options": dict(o.split("=", 1) for o in asked.option)} if asked.option else {}
+        more |= {"columns": asked.columns.split(",")} if asked.columns else {}
         query = take_users(
             spark, asked.servers, asked.topic, asked.path, asked.checkpoint, trigger, asked.sink,
             starting_offsets=asked.starting_offsets, fail_on_data_loss=not asked.ignore_data_loss,
-            max_offsets_per_trigger=asked.max_offsets, min_partitions=asked.min_partitions,
+            max_offsets_per_trigger=asked.max_offsets, min_partitions=asked.min_partitions, **more,
         )
         query.awaitTermination()
 

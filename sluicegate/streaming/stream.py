@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sluicegate.functions.columns import named
 from sluicegate.functions.schemas import conformed, merged, read_versions
 from sluicegate.operators.keyed_base import fold, manifest, read_runs
 from sluicegate.operators.latest import latest_state
+from sluicegate.session import land
 from sluicegate.sources.storage import child_names, completed, create_text, read_text, remove_folder
+from sluicegate.streaming.messages import split_messages
 
 # Within a batch's folder, the number of the schema it was written with.
 SCHEMA = "_schema-"
@@ -48,6 +52,38 @@ def append_stream(
     return writer.start()
 
 
+def sink_stream(
+    stream: DataFrame,
+    sink: str,
+    checkpoint: str,
+    rejected: str,
+    columns: Sequence[str],
+    options: Mapping[str, str] | None = None,
+    trigger: Mapping[str, Any] | None = None,
+) -> StreamingQuery:
+    """Append the accepted of split messages, in ``columns``, to any sink that takes batches; keep the others below ``rejected``.
+
+    Each micro-batch is read once. Rejected messages replace themselves when a batch is replayed; what the sink makes of
+    a row it has got before is its own: a keyed table takes it as the same row.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.persist()
+        try:
+            wrong = batch.where(F.col("status") == "rejected").drop("status")
+            wrong.write.mode("overwrite").parquet(f"{_rejected(rejected)}/query={query}/batch_id={batch_id:012d}")
+            right = batch.where(F.col("status") == "accepted").select(*named(*columns))
+            right.write.format(sink).mode("append").options(**(options or {})).save()
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def _log(path: str) -> str:
     return f"{path}/log"
 
@@ -56,6 +92,10 @@ def _rejected(path: str) -> str:
     return f"{path}/rejected"
 
 
+def _replayed(path: str) -> str:
+    return f"{path}/replayed"
+
+
 def _schemas(path: str) -> str:
     return f"{path}/schemas"
 
@@ -79,6 +119,15 @@ def schema_version(spark: SparkSession, path: str, schema: T.StructType) -> int:
         create_text(spark, f"{_schemas(path)}/version={len(known):06d}.json", schema.json())
 
 
+def _keep(rows: DataFrame, path: str, name: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Write the newest row per key as a batch of the log, with the mark of its schema."""
+    spark, folder = rows.sparkSession, f"{_log(path)}/{name}"
+    state = latest_state(rows, keys, order)
+    state.write.mode("overwrite").parquet(folder)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
+    create_text(spark, f"{folder}/{SCHEMA}{schema_version(spark, path, nullable):06d}", "")
+
+
 def keyed_upsert_stream(
     stream: DataFrame,
     path: str,
@@ -97,22 +146,15 @@ def keyed_upsert_stream(
     """
     split = {"status", "rejected_text"} <= set(stream.columns)
 
-    def keep(rows: DataFrame, folder: str) -> None:
-        spark = rows.sparkSession
-        state = latest_state(rows, keys, order)
-        state.write.mode("overwrite").parquet(folder)
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
-        create_text(spark, f"{folder}/{SCHEMA}{schema_version(spark, path, nullable):06d}", "")
-
     def write(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"query={query}/batch_id={batch_id:012d}"
         if not split:
-            keep(batch, f"{_log(path)}/{folder}")
+            _keep(batch, path, folder, keys, order)
             return
         batch.persist()
         try:
-            keep(batch.where(F.col("status") == "accepted").drop("status", "rejected_text"), f"{_log(path)}/{folder}")
+            _keep(batch.where(F.col("status") == "accepted").drop("status", "rejected_text"), path, folder, keys, order)
             rejected = batch.where(F.col("status") == "rejected").drop("status")
             rejected.write.mode("overwrite").parquet(f"{_rejected(path)}/{folder}")
         finally:
@@ -166,12 +208,64 @@ def current_state(spark: SparkSession, path: str, keys: Sequence[str], order: Se
     return latest_state(rows, keys, order)
 
 
-def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Every rejected message so far, with the text it came as."""
+def _rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Every rejected message with the query and the batch it came in."""
     batches = _batches(spark, _rejected(path))
     if not batches:
         raise FileNotFoundError(f"no completed batch below {_rejected(path)}")
-    return spark.read.parquet(*(f"{_rejected(path)}/{b}" for b in batches))
+    reader = spark.read.option("basePath", _rejected(path)).option("mergeSchema", True)
+    return reader.parquet(*(f"{_rejected(path)}/{b}" for b in batches))
+
+
+def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Every rejected message so far, with the text it came as."""
+    return _rejects(spark, path).drop("query", "batch_id")
+
+
+def open_rejects(spark: SparkSession, path: str, place: Sequence[str]) -> DataFrame:
+    """The rejected messages that no replay has folded back, each known by query, batch and ``place`` (such as its offset)."""
+    found, known = _rejects(spark, path), ["query", "batch_id", *place]
+    replays = [n for n in completed(spark, _replayed(path), child_names(spark, _replayed(path), "replay="))]
+    if not replays:
+        return found
+    done = spark.read.parquet(*(f"{_replayed(path)}/{n}" for n in replays))
+    same = [found[c].eqNullSafe(done[c]) for c in known]
+    return found.join(done, same, "left_anti")
+
+
+def replay_rejects(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    schema: T.StructType,
+    repair: Callable[[Column], Column],
+    place: Sequence[str],
+    required: Sequence[str] = (),
+    uuids: Sequence[str] = (),
+) -> int:
+    """Mend the texts of rejected messages and fold those that are accepted now into the keyed log; how many there were.
+
+    A mended message keeps the order columns it came with, so it does not beat a write that came after it. A ledger
+    names the messages that were folded back, by query, batch and ``place``: none is taken twice. The rows are written before
+    the ledger; a driver lost in between folds the same rows in once more, which changes nothing. Messages that
+    are still rejected stay open.
+    """
+    carry = ["query", "batch_id", *dict.fromkeys([*place, *order])]
+    open_ = open_rejects(spark, path, place)
+    texts = open_.select(repair(F.col("rejected_text")).alias("value"), *named(*carry))
+    split = split_messages(texts, schema, required, carry, uuids).where("status = 'accepted'").drop("status", "rejected_text")
+    name, number = uuid.uuid4().hex, 0
+    mended = land(split, f"{_replayed(path)}/_mended-{name}")
+    try:
+        number = mended.count()
+        if number:
+            rows = mended.select(*named(*schema.names, *(c for c in order if c not in schema.names)))
+            _keep(rows, path, f"query=replay-{name}/batch_id={0:012d}", keys, order)
+            mended.select("query", "batch_id", *named(*place)).write.parquet(f"{_replayed(path)}/replay={name}")
+    finally:
+        remove_folder(spark, f"{_replayed(path)}/_mended-{name}")
+    return number
 
 
 def compact(

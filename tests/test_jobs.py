@@ -174,3 +174,89 @@ def test_command_line_passes_the_topic_options_on(spark, monkeypatch):
     }
     jobs.main([*common, "--every", "10 seconds", "--sink", "json"])
     assert asked["trigger"] == {"processingTime": "10 seconds"} and asked["sink"] == "json"
+    jobs.main([*common, "--sink", "db", "--option", "keyspace=users", "--option", "url=a=b", "--columns", "id,email"])
+    assert asked["options"] == {"keyspace": "users", "url": "a=b"} and asked["columns"] == ["id", "email"]
+    with pytest.raises(SystemExit):
+        jobs.main([*common, "--option", "keyspace"])
+
+
+def test_command_line_compacts_by_any_key(monkeypatch, spark):
+    asked = {}
+
+    def compact(spark, path, keys, order, buckets, remove, **levels):
+        asked.update(path=path, keys=keys, order=order, buckets=buckets, remove=remove, **levels)
+
+    monkeypatch.setattr(jobs, "compact", compact)
+    monkeypatch.setattr(jobs, "build_session", lambda name: spark)
+    jobs.main(["compact", "--path", "p"])
+    assert asked == {
+        "path": "p", "keys": ["id"], "order": ["timestamp", "partition", "offset"], "buckets": 64, "remove": False, "target_rows": 1_000_000,
+    }
+    jobs.main(["compact", "--path", "p", "--keys", "a,b", "--order", "t", "--buckets", "3", "--target-rows", "9", "--remove"])
+    assert asked == {"path": "p", "keys": ["a", "b"], "order": ["t"], "buckets": 3, "remove": True, "target_rows": 9}
+
+
+@pytest.fixture
+def topic(spark, tmp_path, monkeypatch):
+    """Two whole messages and one that breaks off, where the topic would be."""
+    one, two = ("0b7e8a52-7c1e-4b55-9d0f-0c6f3a1d2e4%d" % i for i in (1, 2))
+    texts = [f'{{"id":"{one}","first_name":"a","dob":"x"}}', f'{{"id":"{two}","first_name":"b"}}', f'{{"id":"{two}"']
+    made = [(t.encode(), 0, offset, DAY) for offset, t in enumerate(texts)]
+    made = spark.createDataFrame(made, "value binary, partition int, offset bigint, timestamp timestamp")
+    made.coalesce(1).write.parquet(str(tmp_path / "topic"))
+    monkeypatch.setattr(jobs, "read_topic", lambda *_: spark.readStream.schema(made.schema).parquet(str(tmp_path / "topic")))
+    return one, two
+
+
+@pytest.mark.parametrize("options", [None, {"path": "elsewhere"}])
+def test_another_sink_gets_its_columns_and_the_rejected_stay_apart(spark, tmp_path, topic, rows, options):
+    options = options and {"path": str(tmp_path / options["path"])}
+    path = str(tmp_path / "out")
+    columns = [c for c in USER_FIELDS if c != "dob"]
+    jobs.take_users(
+        spark, "h", "t", path, str(tmp_path / "c"), {"availableNow": True}, "json", options, columns
+    ).awaitTermination()
+    written = spark.read.json(options["path"] if options else f"{path}/rows")
+    assert set(written.columns) <= set(columns) and rows(written, "id", "first_name") == list(zip(topic, "ab"))
+    assert rows(rejected_messages(spark, path), "offset") == [(2,)]
+
+
+def test_a_sink_that_takes_no_path(spark, tmp_path, topic):
+    query = jobs.take_users(spark, "h", "t", str(tmp_path / "out"), str(tmp_path / "c"), {"availableNow": True}, "noop", {"table": "t"})
+    query.awaitTermination()
+    assert query.exception() is None and not (tmp_path / "out" / "rows").exists()
+
+
+def test_rejected_messages_are_replayed_once(spark, tmp_path, topic, rows, monkeypatch):
+    from sluicegate.streaming import stream
+    from sluicegate.streaming.messages import USER_MESSAGE
+    from sluicegate.streaming.stream import open_rejects, replay_rejects
+
+    one, two = topic
+    state = str(tmp_path / "state")
+    jobs.take_users(spark, "h", "t", state, str(tmp_path / "c"), {"availableNow": True}).awaitTermination()
+
+    def replay(repair):
+        place = ["partition", "offset"]
+        return replay_rejects(spark, state, ["id"], jobs.KAFKA_ORDER, USER_MESSAGE, repair, place, ["id"], ["id"])
+
+    def now():
+        return rows(current_state(spark, state, ["id"], jobs.KAFKA_ORDER), "id", "first_name", "offset")
+
+    before = now()
+    assert replay(lambda text: text) == 0 and now() == before
+    assert open_rejects(spark, state, ["partition", "offset"]).count() == 1
+    # The driver is lost between the rows and the ledger.
+    with monkeypatch.context() as m:
+        keep = stream._keep
+        m.setattr(stream, "_keep", lambda *a: (keep(*a), (_ for _ in ()).throw(OSError("lost"))))
+        with pytest.raises(OSError):
+            replay(lambda text: F.concat(text, F.lit("}")))
+    after = now()
+    assert after == [(one, "a", 0), (two, None, 2)]
+    for expected in (1, 0):
+        assert replay(lambda text: F.concat(text, F.lit("}"))) == expected and now() == after
+        jobs.compact(spark, state, ["id"], jobs.KAFKA_ORDER, remove=True)
+        assert now() == after
+    assert open_rejects(spark, state, ["partition", "offset"]).isEmpty()
+    assert rejected_messages(spark, state).count() == 1
