@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -17,17 +19,22 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Keys of what stands before a text and at its end; words cannot be empty or hold a space.
 BEGIN, END = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" begin", b" end"))
 
-COUNTS = pa.schema(
-    [("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+ASKED_DDL = "block long, part int, keys binary, counts binary, follows binary"
+ASKED = pa.schema(
+    [("block", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("follows", pa.binary())]
 )
-TOTALS = pa.schema(
+TOLD_DDL = "block long, n int, part int, totals binary, follows binary, owned binary, tokens long, types long, texts long"
+TOLD = pa.schema(
     [
         ("block", pa.int64()),
-        ("part", pa.int32()),
         ("n", pa.int32()),
+        ("part", pa.int32()),
         ("totals", pa.binary()),
+        ("follows", pa.binary()),
+        ("owned", pa.binary()),
         ("tokens", pa.int64()),
         ("types", pa.int64()),
+        ("texts", pa.int64()),
     ]
 )
 SCORED = pa.schema(
@@ -105,107 +112,213 @@ def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(keys, bounds), len(keys)]
 
 
-def _count_block(order: int, parts: int):
-    """Distinct n-grams of a block, cut by range of their keys, with their counts in its training texts."""
-
-    def run(block: pa.Table) -> pa.Table:
-        number = block.column("block")[0].as_py()
-        words, sizes = tokens(block.column("text").to_pylist())
-        train = np.repeat(np.array(block.column("train").to_pylist(), dtype=bool), sizes)
-        rows: dict[str, list] = {f.name: [] for f in COUNTS}
-        for n, (keys, there) in enumerate(zip(*grams(words, sizes, order)), 1):
-            distinct, place = np.unique(keys[there], return_inverse=True)
-            counts = np.bincount(place, train[there], len(distinct)).astype(np.uint64)
-            cuts = _cuts(distinct, parts)
-            for p in range(parts):
-                a, b = cuts[p], cuts[p + 1]
-                if b > a:
-                    steps = np.diff(distinct[a:b], prepend=np.uint64(0))
-                    for name, value in zip(rows, (number, p, n, _squeeze(steps), _squeeze(counts[a:b]))):
-                        rows[name].append(value)
-        return pa.Table.from_batches([to_batch(rows, COUNTS)], schema=COUNTS)
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and each key's place among them."""
+    codes, found = pd.factorize(keys)
+    order = np.argsort(found)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[codes]
+
+
+class _Block:
+    """The n-grams of a block's texts up to one length: distinct keys, and where each token's n-gram is among them.
+
+    The beginning mark is a word more, which no token is.
+    """
+
+    def __init__(self, block: pa.Table, order: int) -> None:
+        self.number = block.column("block")[0].as_py()
+        self.words, self.sizes = tokens(block.column("text").to_pylist())
+        keys, self.there = grams(self.words, self.sizes, order)
+        self.first = np.zeros(len(self.words), dtype=bool)
+        self.first[np.cumsum(self.sizes) - self.sizes] = True
+        self.keys, self.places = [], []
+        for n, (level, there) in enumerate(zip(keys, self.there), 1):
+            distinct, place = _distinct(np.append(level, BEGIN) if n == 1 else level[there])
+            if n == 1:
+                self.begin, place = int(place[-1]), place[:-1]
+            whole = np.full(len(self.words), -1, dtype=np.int64)
+            whole[there] = place
+            self.keys.append(distinct)
+            self.places.append(whole)
+
+    def contexts(self, n: int) -> np.ndarray:
+        """For each token, the place of the n-gram before it: what it is read from. -1 where the text has none so long."""
+        before = np.full(len(self.words), -1, dtype=np.int64)
+        before[1:] = self.places[n - 1][:-1]
+        before[self.first] = self.begin if n == 1 else -1
+        return before
+
+    def told(self, found: pa.Table, n: int, name: str) -> np.ndarray:
+        """What the ranges told of the distinct n-grams, in the order of their keys."""
+        some = [(p, d) for m, p, d in zip(*(found.column(c).to_pylist() for c in ("n", "part", name))) if m == n]
+        return np.concatenate([_open(d) for _, d in sorted(some)]) if some else np.zeros(0, dtype=np.uint64)
+
+
+def _ask(n: int, order: int, parts: int):
+    """Distinct n-grams of a block, cut by range of their keys, with their counts in its training texts and, where longer
+    n-grams have been counted, how many of those that this block accounts for continue them."""
+
+    def run(block: pa.Table, found: pa.Table | None = None) -> pa.Table:
+        if not len(block):
+            return ASKED.empty_table()
+        own = _Block(block, min(n + 1, order))
+        copies = np.array(block.column("copies").to_pylist(), dtype=np.float64)
+        train = np.where(block.column("train").to_pylist(), copies, 0.0)
+        keys, there = own.keys[n - 1], own.there[n - 1]
+        counts = np.bincount(own.places[n - 1][there], np.repeat(train, own.sizes)[there], len(keys))
+        if n == 1:
+            counts[own.begin] = train.sum()
+        follows = np.zeros(len(keys))
+        if n < order:
+            longer, at = own.told(found, n + 1, "owned"), own.there[n]
+            context = np.zeros(len(own.keys[n]), dtype=np.int64)
+            context[own.places[n][at]] = own.contexts(n)[at]
+            follows = np.bincount(context[longer > 0], minlength=len(keys))
+        cuts = _cuts(keys, parts)
+        rows: dict[str, list] = {f.name: [] for f in ASKED}
+        for p in range(parts):
+            a, b = cuts[p], cuts[p + 1]
+            if b > a:
+                steps = np.diff(keys[a:b], prepend=np.uint64(0))
+                for name, value in zip(rows, (own.number, p, _squeeze(steps), _squeeze(counts[a:b]), _squeeze(follows[a:b]))):
+                    rows[name].append(value)
+        return pa.Table.from_batches([to_batch(rows, ASKED)], schema=ASKED)
 
     return run
 
 
-def _add_up(range_: pa.Table) -> pa.Table:
-    """Totals over all blocks of the n-grams of one range, given back to each block in its own order.
+def _first(run):
+    """The longest n-grams, which follow nothing; as a function of the block alone."""
 
-    For words, also the number of training tokens and of distinct ones.
-    """
-    part, n = range_.column("part")[0].as_py(), range_.column("n")[0].as_py()
-    blocks = range_.column("block").to_pylist()
-    keys = [np.cumsum(_open(k), dtype=np.uint64) for k in range_.column("keys").to_pylist()]
-    counts = np.concatenate([_open(c) for c in range_.column("counts").to_pylist()])
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.zeros(len(distinct), dtype=np.uint64)
-    np.add.at(totals, place, counts)
-    mine = np.split(totals[place], np.cumsum([len(k) for k in keys])[:-1])
-    rows: dict[str, list] = {f.name: [] for f in TOTALS}
-    for i, (block, numbers) in enumerate(zip(blocks, mine)):
-        words = n == 1 and i == 0
-        sums = (int(totals.sum()), int((totals > 0).sum())) if words else (0, 0)
-        for name, value in zip(rows, (block, part, n, _squeeze(numbers), *sums)):
-            rows[name].append(value)
-    return pa.Table.from_batches([to_batch(rows, TOTALS)], schema=TOTALS)
-
-
-def traverse(
-    keys: list[np.ndarray],
-    there: list[np.ndarray],
-    totals: list[np.ndarray],
-    sizes: np.ndarray,
-    tokens_: int,
-    types: int,
-    texts: int,
-    weight: float,
-) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of each token's probability, by words alone and by the automaton.
-
-    A state is an n-gram seen in training; reading a word from it follows the arc of the longer n-gram, or
-    the failure arc to the state of the n-gram's tail, whose weight is ``1 - weight`` for a state that was seen and 1
-    for one that was not. The state before each token is carried by the keys of the n-grams that
-    end there, so one pass from left to right over ``totals`` takes every arc.
+    def first(block: pa.Table) -> pa.Table:
+        return run(block)
+
+    return first
+
+
+def _tell(n: int):
+    """Sums over all blocks of the n-grams of one range, told to each block in its own order; and which of an n-gram's
+    blocks, one of those that have it in training, accounts for it."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        part = asked.column("part")[0].as_py()
+        blocks = asked.column("block").to_pylist()
+        each = [np.cumsum(_open(k), dtype=np.uint64) for k in asked.column("keys").to_pylist()]
+        counts, follows = (np.concatenate([_open(x) for x in asked.column(c).to_pylist()]).astype(np.float64) for c in ("counts", "follows"))
+        distinct, place = _distinct(np.concatenate(each))
+        totals, after = np.bincount(place, counts), np.bincount(place, follows)
+        trained = np.flatnonzero(counts > 0)
+        owned = np.zeros(len(place))
+        owned[trained[np.unique(place[trained], return_index=True)[1]]] = 1
+        words = distinct != BEGIN
+        sums = (int(totals[words].sum()), int((totals[words] > 0).sum()), int(totals[~words].sum())) if n == 1 else (0, 0, 0)
+        cuts = np.cumsum([len(k) for k in each])[:-1]
+        rows: dict[str, list] = {f.name: [] for f in TOLD}
+        for i, mine in enumerate(zip(*(np.split(x, cuts) for x in (totals[place], after[place], owned)))):
+            given = sums if i == 0 else (0, 0, 0)
+            for name, value in zip(rows, (blocks[i], n, part, *map(_squeeze, mine), *given)):
+                rows[name].append(value)
+        return pa.Table.from_batches([to_batch(rows, TOLD)], schema=TOLD)
+
+    return run
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """A weighted backoff automaton over the n-grams that some texts pass through.
+
+    State 0 is the empty one; the others are the n-grams seen in training that something can be read from, each with
+    a failure arc to the state of its tail. The weight of that arc is the state's own: discount * distinct continuations / count,
+    the chance its discounted arcs leave over. Arcs are sorted by state and word; an arc's chance is its discounted frequency
+    and what the failure arc adds to it. State 0 has an arc for every word, those never seen included.
     """
-    first = np.zeros(len(keys[0]), dtype=bool)
-    first[np.cumsum(sizes) - sizes] = True
-    counts = totals[0].astype(np.float64)
-    chance = (counts + 0.5) / (tokens_ + 0.5 * (types + 1))
-    base = np.log10(chance)
-    for n in range(1, len(keys)):
-        seen = np.zeros(len(chance))
-        seen[1:] = totals[n - 1][:-1]
-        seen[first] = texts if n == 1 else 0
-        state = there[n] & (seen > 0)
-        arc = np.divide(totals[n], seen, out=np.zeros(len(chance)), where=state)
-        chance = np.where(state, weight * arc + (1 - weight) * chance, chance)
-    return base, np.log10(chance)
-
-
-def _score_block(order: int, stats: tuple[int, int, int], weight: float, keep: list[str]):
-    tokens_, types, texts = stats
 
+    fail: np.ndarray
+    weight: np.ndarray
+    #: state * words + word, in order, and each arc's chance.
+    arcs: np.ndarray
+    chance: np.ndarray
+    words: int
+
+    def arc(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The number of the arc by which a state reads a word, or -1."""
+        wanted = state * self.words + word
+        at = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
+        return np.where(self.arcs[at] == wanted, at, -1)
+
+    def read(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 of the chance with which each state reads its word: along failure arcs until there is an arc."""
+        total, state, open_ = np.zeros(len(state)), state.copy(), np.arange(len(state))
+        while len(open_):
+            arc = self.arc(state[open_], word[open_])
+            there = arc >= 0
+            total[open_[there]] += np.log10(self.chance[arc[there]])
+            open_ = open_[~there]
+            total[open_] += np.log10(self.weight[state[open_]])
+            state[open_] = self.fail[state[open_]]
+        return total
+
+
+def _at(values: np.ndarray, places: np.ndarray, where: np.ndarray, otherwise: float) -> np.ndarray:
+    """The values at some places, one for each token, and ``otherwise`` for the tokens that have none."""
+    out = np.full(len(places), otherwise, dtype=values.dtype)
+    out[where] = values[places[where]]
+    return out
+
+
+def build(
+    own: _Block, totals: list[np.ndarray], follows: list[np.ndarray], stats: tuple[int, int], discount: float
+) -> tuple[Automaton, np.ndarray]:
+    """The automaton of a block, and the state before each of its tokens: the longest seen n-gram that ends there."""
+    order, words = len(totals), len(own.keys[0])
+    tokens_, types = stats
+    chance = [(totals[0] + 0.5) / (tokens_ + 0.5 * (types + 1))]
+    arcs = [np.arange(words)]
+    fail, weight = [np.zeros(1, dtype=np.int64)], [np.ones(1)]
+    state = np.zeros(len(own.words), dtype=np.int64)
+    # By length, the state of each distinct n-gram, -1 where it was not seen.
+    numbers: list[np.ndarray] = []
+    lower = chance[0][own.places[0]]
+    for n in range(1, order):
+        seen = follows[n - 1] > 0
+        number = np.where(seen, np.cumsum(seen) - 1 + sum(map(len, fail)), -1)
+        tail = np.zeros(len(seen), dtype=np.int64)
+        if n > 1:
+            at = own.there[n - 1]
+            tail[own.places[n - 1][at]] = numbers[-1][own.places[n - 2][at]]
+        fail.append(tail[seen])
+        weight.append(discount * follows[n - 1][seen] / totals[n - 1][seen])
+        context = own.contexts(n)
+        read = (context >= 0) & own.there[n]
+        known = _at(seen, context, read, False)
+        state = np.where(known, _at(number, context, known, 0), state)
+        # Each distinct n-gram one longer is an arc of its context; all its occurrences have one chance.
+        count, whole = _at(totals[n], own.places[n], read, 0.0), _at(totals[n - 1], context, known, 1.0)
+        left = np.where(known, discount * _at(follows[n - 1], context, known, 0.0) / whole, 1.0)
+        lower = np.where(known, np.maximum(count - discount, 0) / whole, 0) + left * lower
+        taken = np.flatnonzero(known & (count > 0))
+        names, one = np.unique(state[taken] * words + own.places[0][taken], return_index=True)
+        arcs.append(names)
+        chance.append(lower[taken[one]])
+        numbers.append(number)
+    return Automaton(np.concatenate(fail), np.concatenate(weight), np.concatenate(arcs), np.concatenate(chance), words), state
+
+
+def _score_block(order: int, stats: tuple[int, int], discount: float, keep: list[str]):
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        words, sizes = tokens(block.column("text").to_pylist())
-        keys, there = grams(words, sizes, order)
-        by_length: dict[int, list] = {n: [] for n in range(1, order + 1)}
-        for n, part, totals in zip(*(found.column(c).to_pylist() for c in ("n", "part", "totals"))):
-            by_length[n].append((part, totals))
-        totals = []
-        for n in range(order):
-            parts = [_open(t) for _, t in sorted(by_length[n + 1])]
-            place = np.unique(keys[n][there[n]], return_inverse=True)[1]
-            mine = np.zeros(len(words), dtype=np.uint64)
-            if parts:
-                mine[there[n]] = np.concatenate(parts)[place]
-            totals.append(mine)
-        base, score = traverse(keys, there, totals, sizes, tokens_, types, texts, weight)
-        starts = np.cumsum(sizes) - sizes
+        own = _Block(block, order)
+        totals = [own.told(found, n, "totals").astype(np.float64) for n in range(1, order + 1)]
+        follows = [own.told(found, n, "follows").astype(np.float64) for n in range(1, order + 1)]
+        automaton, state = build(own, totals, follows, stats, discount)
+        word = own.places[0]
+        starts = np.cumsum(own.sizes) - own.sizes
         columns = {
-            "lm_tokens": sizes,
-            "lm_known": np.add.reduceat((totals[0] > 0).astype(np.int64), starts),
-            "lm_base": np.add.reduceat(base, starts),
-            "lm_score": np.add.reduceat(score, starts),
+            "lm_tokens": own.sizes,
+            "lm_known": np.add.reduceat((totals[0][word] > 0).astype(np.int64), starts),
+            "lm_base": np.add.reduceat(np.log10(automaton.chance[word]), starts),
+            "lm_score": np.add.reduceat(automaton.read(state, word), starts),
         }
         batch = to_batch(columns, SCORED)
         arrays = [*(block.column(c).combine_chunks() for c in keep), *batch.columns]
@@ -221,21 +334,25 @@ def score(
     key: str = "doc_id",
     keep: tuple[str, ...] = (),
     order: int = 2,
-    weight: float = 0.5,
+    discount: float = 0.75,
     block_bytes: int = 12_000_000,
+    range_bytes: int = 32_000_000,
+    many: int = 1000,
 ) -> DataFrame:
     """The columns of ``keep``, then ``lm_tokens``, ``lm_known``, ``lm_base``, ``lm_score`` and ``lm_train_tokens``.
 
     All n-grams up to ``order`` of all rows where ``train`` holds are counted (NULL: not), none is pruned.
-    Jelinek-Mercer smoothing: at each length ``weight`` of the relative frequency after a seen context and
-    the rest of the shorter n-gram's chance, down to add-half frequencies of words. ``lm_base`` is the sum over those
-    alone; both are log10 probabilities of the whole text.
-
-    No task holds the model. Texts are dealt into blocks of about ``block_bytes``; a block sends its
-    distinct n-grams with its training counts, cut into ranges of their keys; each range adds up over all blocks
-    and answers every block in the order it asked, without keys: the part of the automaton that its texts pass
-    through. N-grams are 64-bit hashes. NULL texts count as empty ones, which hold the end token alone;
-    repeated rows count as often as they come. Over an empty table there is nothing to score.
+    Absolute discounting: each arc of a seen context loses ``discount`` of its count, and its failure arc leads to the context's tail
+    with what that leaves over (``Automaton``), down to add-half frequencies of words. ``lm_base`` is the sum over those
+    alone; both are log10 probabilities of the whole text, whose tokens are read from left to right.
+
+    No task holds the model. Texts are dealt into blocks of about ``block_bytes``. From the longest n-grams down, a block sends its
+    distinct ones with its training counts, cut into as many ranges of their keys as have ``range_bytes`` of text; each range adds up over all blocks
+    and answers every block in the order it asked, without keys. Of each n-gram one block is told to account for it, so
+    that the distinct continuations of its context are added up, with the next shorter n-grams, from whole numbers. One length at
+    a time is on its way. N-grams are 64-bit hashes. NULL texts count as empty ones, which hold the end token alone;
+    repeated rows count as often as they come, and those equal in key and text that come more than ``many`` times are scored once.
+    Very long texts are one block each. Columns beyond ``keep`` are left out. Over an empty table there is nothing to score.
     """
     rows = docs.select(
         F.coalesce(column(text), F.lit("")).alias("text"),
@@ -243,59 +360,49 @@ def score(
         column(key).alias("_key"),
         *(column(c).alias(f"keep_{i}") for i, c in enumerate(keep)),
     )
-    size = rows.agg(F.sum(F.octet_length("text") + 1), F.count_if("train")).first()
-    blocks, texts = ceil_div(size[0] or 0, block_bytes), size[1]
-    block = F.pmod(F.xxhash64("_key", "text"), F.lit(blocks))
-    rows = rows.withColumn("block", block).drop("_key")
-    counted = rows.select("block", "text", "train").groupBy("block").applyInArrow(
-        _count_block(order, blocks), "block long, part int, n int, keys binary, counts binary"
-    )
-    totals = counted.groupBy("part", "n").applyInArrow(
-        _add_up, "block long, part int, n int, totals binary, tokens long, types long"
-    )
-    totals = landed(totals, "ngram-totals")
-    sums = totals.agg(F.sum("tokens"), F.sum("types")).first()
-    stats = (sums[0] or 0, sums[1] or 0, texts)
     kept = [f"keep_{i}" for i in range(len(keep))]
+    rows = rows.withColumns({"h1": F.xxhash64(F.lit(1), "_key", "text"), "h2": F.xxhash64(F.lit(2), "_key", "text")}).drop("_key")
+    size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    blocks, parts = ceil_div(size, block_bytes), ceil_div(size, range_bytes)
+    one = F.lit(1).cast("long").alias("copies")
+    equal = landed(rows.groupBy("h1", "h2", "train").agg(F.count("*").alias("copies")).where(F.col("copies") > many), "equal-rows")
+    several = not equal.isEmpty()
+    single, apart = rows, None
+    if several:
+        same = ["h1", "h2", "train"]
+        apart = rows.join(equal.select(*same), same)
+        single = rows.join(equal.select(*same), same, "left_anti")
+        texts = apart.groupBy(*same).agg(F.first("text").alias("text"))
+        once = texts.join(equal, same).select("text", "train", "copies", "h1", "h2", *(F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in kept))
+        single = single.select("text", "train", one, "h1", "h2", *kept).unionByName(once)
+    else:
+        single = single.select("text", "train", one, "h1", "h2", *kept)
+    dealt = single.withColumn("block", F.pmod(F.col("h1"), F.lit(blocks)))
+    texts = dealt.select("block", "text", "train", "copies")
+
+    told: list[DataFrame] = []
+    for n in range(order, 0, -1):
+        run = _ask(n, order, parts)
+        if told:
+            found = told[-1].select("block", "n", "part", "owned")
+            asked = texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, ASKED_DDL)
+        else:
+            asked = texts.groupBy("block").applyInArrow(_first(run), ASKED_DDL)
+        told.append(landed(asked.groupBy("part").applyInArrow(_tell(n), TOLD_DDL), f"told-{n}"))
+    sums = told[-1].agg(F.sum("tokens"), F.sum("types")).first()
+    stats = (sums[0] or 0, sums[1] or 0)
     schema = with_fields(
-        rows.select(*kept).schema, "lm_tokens long, lm_known long, lm_base double, lm_score double"
+        dealt.select("h1", "h2", "train", "copies", *kept).schema, "lm_tokens long, lm_known long, lm_base double, lm_score double"
     )
+    answers = reduce(DataFrame.unionByName, (t.select("block", "n", "part", "totals", "follows") for t in told))
+    carried = ["h1", "h2", "train", "copies", *kept]
     scored = (
-        rows.drop("train")
-        .groupBy("block")
-        .cogroup(totals.select("block", "n", "part", "totals").groupBy("block"))
-        .applyInArrow(_score_block(order, stats, weight, kept), schema)
+        dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score_block(order, stats, discount, carried), schema)
     )
+    if several:
+        scored = landed(scored, "scored")
+        again = scored.where(F.col("copies") > 1).select("h1", "h2", "train", *SCORED.names)
+        back = apart.select("h1", "h2", "train", *kept).join(again, ["h1", "h2", "train"])
+        scored = scored.where("copies = 1").select(*kept, *SCORED.names).unionByName(back.select(*kept, *SCORED.names))
     names = [F.col(k).alias(c) for k, c in zip(kept, keep)]
     return scored.select(*names, *SCORED.names, F.lit(stats[0]).cast("long").alias("lm_train_tokens"))
-
-
-def plain_score(texts: list[str | None], train: list[bool], order: int, weight: float) -> Iterator[tuple]:
-    """The same by dictionaries, for tests: tokens, known ones, base, score of each text."""
-    import math
-    import re
-    from collections import Counter
-
-    def words(t: str | None) -> list[str]:
-        lower = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-        return [*re.findall(r"[^\x20\x09-\x0D]+", lower), " end"]
-
-    counts: Counter = Counter()
-    for t, used in zip(texts, train):
-        if used:
-            line = [" begin", *words(t)]
-            counts.update(tuple(line[i : i + n]) for n in range(1, order + 1) for i in range(len(line) - n + 1))
-    total = sum(c for g, c in counts.items() if len(g) == 1 and g != (" begin",))
-    types = sum(1 for g in counts if len(g) == 1 and g != (" begin",))
-    for t in texts:
-        line = [" begin", *words(t)]
-        base = score_ = 0.0
-        for i in range(1, len(line)):
-            p = (counts[(line[i],)] + 0.5) / (total + 0.5 * (types + 1))
-            base += math.log10(p)
-            for n in range(1, order):
-                context = tuple(line[i - n : i]) if i >= n else None
-                if context and counts[context]:
-                    p = weight * counts[(*context, line[i])] / counts[context] + (1 - weight) * p
-            score_ += math.log10(p)
-        yield len(line) - 1, sum(counts[(w,)] > 0 for w in line[1:]), base, score_
