@@ -98,12 +98,18 @@ def grams(words: np.ndarray, sizes: np.ndarray, order: int) -> tuple[list[np.nda
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side, so that the many zero ones compress."""
-    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """As many bytes a number as the largest needs, those of equal weight side by side, so that they compress."""
+    whole = numbers.astype("<u8")
+    width = max(1, -(-int(whole.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
 def _open(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    width = data[0]
+    some = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(width, -1)
+    whole = np.zeros((some.shape[1], 8), dtype=np.uint8)
+    whole[:, :width] = some.T
+    return whole.view("<u8").ravel()
 
 
 def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -122,34 +128,48 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Block:
-    """The n-grams of a block's texts up to one length: distinct keys, and where each token's n-gram is among them.
+    """The n-grams of a block's texts: per length the distinct keys, and where each token's n-gram is among them.
 
-    The beginning mark is a word more, which no token is.
+    The beginning mark is a word more, which no token is. Lengths are worked out when they are asked for.
     """
 
     def __init__(self, block: pa.Table, order: int) -> None:
         self.number = block.column("block")[0].as_py()
         self.words, self.sizes = tokens(block.column("text").to_pylist())
-        keys, self.there = grams(self.words, self.sizes, order)
+        self._grams, self.there = grams(self.words, self.sizes, order)
         self.first = np.zeros(len(self.words), dtype=bool)
         self.first[np.cumsum(self.sizes) - self.sizes] = True
-        self.keys, self.places = [], []
-        for n, (level, there) in enumerate(zip(keys, self.there), 1):
-            distinct, place = _distinct(np.append(level, BEGIN) if n == 1 else level[there])
+        self._levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.begin = -1
+
+    def level(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct n-grams' keys, in order, and each token's place among them (-1 where no n-gram ends)."""
+        if n not in self._levels:
+            keys, there = self._grams[n - 1], self.there[n - 1]
+            distinct, place = _distinct(np.append(keys, BEGIN) if n == 1 else keys[there])
             if n == 1:
                 self.begin, place = int(place[-1]), place[:-1]
-            whole = np.full(len(self.words), -1, dtype=np.int64)
+            whole = np.full(len(self.words), -1, dtype=np.int32)
             whole[there] = place
-            self.keys.append(distinct)
-            self.places.append(whole)
+            self._levels[n] = distinct, whole
+        return self._levels[n]
 
     def contexts(self, n: int) -> np.ndarray:
         """For each token, the place of the n-gram before it: what it is read from. -1 where the text has none so long."""
-        before = np.full(len(self.words), -1, dtype=np.int64)
-        before[1:] = self.places[n - 1][:-1]
+        place = self.level(n)[1]
+        before = np.full(len(self.words), -1, dtype=np.int32)
+        before[1:] = place[:-1]
         before[self.first] = self.begin if n == 1 else -1
         return before
 
+    def by_gram(self, n: int, of_tokens: np.ndarray) -> np.ndarray:
+        """Per distinct n-gram what holds for the tokens it ends at, where that is the same for all of them."""
+        distinct, place = self.level(n)
+        out = np.zeros(len(distinct), dtype=of_tokens.dtype)
+        there = self.there[n - 1]
+        out[place[there]] = of_tokens[there]
+        return out
+
     def told(self, found: pa.Table, n: int, name: str) -> np.ndarray:
         """What the ranges told of the distinct n-grams, in the order of their keys."""
         some = [(p, d) for m, p, d in zip(*(found.column(c).to_pylist() for c in ("n", "part", name))) if m == n]
@@ -166,15 +186,14 @@ def _ask(n: int, order: int, parts: int):
         own = _Block(block, min(n + 1, order))
         copies = np.array(block.column("copies").to_pylist(), dtype=np.float64)
         train = np.where(block.column("train").to_pylist(), copies, 0.0)
-        keys, there = own.keys[n - 1], own.there[n - 1]
-        counts = np.bincount(own.places[n - 1][there], np.repeat(train, own.sizes)[there], len(keys))
+        (keys, place), there = own.level(n), own.there[n - 1]
+        counts = np.bincount(place[there], np.repeat(train, own.sizes)[there], len(keys))
         if n == 1:
             counts[own.begin] = train.sum()
         follows = np.zeros(len(keys))
         if n < order:
-            longer, at = own.told(found, n + 1, "owned"), own.there[n]
-            context = np.zeros(len(own.keys[n]), dtype=np.int64)
-            context[own.places[n][at]] = own.contexts(n)[at]
+            longer = own.told(found, n + 1, "owned")
+            context = own.by_gram(n + 1, own.contexts(n))
             follows = np.bincount(context[longer > 0], minlength=len(keys))
         cuts = _cuts(keys, parts)
         rows: dict[str, list] = {f.name: [] for f in ASKED}
@@ -210,8 +229,11 @@ def _tell(n: int):
         distinct, place = _distinct(np.concatenate(each))
         totals, after = np.bincount(place, counts), np.bincount(place, follows)
         trained = np.flatnonzero(counts > 0)
+        # Written from the last to the first: the first one stays.
+        owner = np.full(len(distinct), -1, dtype=np.int64)
+        owner[place[trained[::-1]]] = trained[::-1]
         owned = np.zeros(len(place))
-        owned[trained[np.unique(place[trained], return_index=True)[1]]] = 1
+        owned[owner[owner >= 0]] = 1
         words = distinct != BEGIN
         sums = (int(totals[words].sum()), int((totals[words] > 0).sum()), int(totals[~words].sum())) if n == 1 else (0, 0, 0)
         cuts = np.cumsum([len(k) for k in each])[:-1]
@@ -229,81 +251,72 @@ def _tell(n: int):
 class Automaton:
     """A weighted backoff automaton over the n-grams that some texts pass through.
 
-    State 0 is the empty one; the others are the n-grams seen in training that something can be read from, each with
-    a failure arc to the state of its tail. The weight of that arc is the state's own: discount * distinct continuations / count,
-    the chance its discounted arcs leave over. Arcs are sorted by state and word; an arc's chance is its discounted frequency
-    and what the failure arc adds to it. State 0 has an arc for every word, those never seen included.
+    State 0 is the empty one; the others are the n-grams seen in training that something can be read from, in order of length and
+    key, each with a failure arc to the state of its tail. The weight of that arc is the state's own: discount * distinct
+    continuations / count, the chance its discounted arcs leave over. The arc by which a state reads a word is the n-gram of
+    both, in order of length and key; its chance is the discounted frequency and what the failure arc adds to it. State 0 has an arc for
+    every word, those never seen included.
     """
 
     fail: np.ndarray
     weight: np.ndarray
-    #: state * words + word, in order, and each arc's chance.
-    arcs: np.ndarray
-    chance: np.ndarray
-    words: int
-
-    def arc(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The number of the arc by which a state reads a word, or -1."""
-        wanted = state * self.words + word
-        at = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
-        return np.where(self.arcs[at] == wanted, at, -1)
-
-    def read(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 of the chance with which each state reads its word: along failure arcs until there is an arc."""
-        total, state, open_ = np.zeros(len(state)), state.copy(), np.arange(len(state))
-        while len(open_):
-            arc = self.arc(state[open_], word[open_])
-            there = arc >= 0
-            total[open_[there]] += np.log10(self.chance[arc[there]])
-            open_ = open_[~there]
-            total[open_] += np.log10(self.weight[state[open_]])
-            state[open_] = self.fail[state[open_]]
+    #: Length of each state's n-gram.
+    length: np.ndarray
+    #: By the length of the n-gram less one, the chance of each distinct n-gram as an arc; NaN where it was not seen.
+    arcs: list[np.ndarray]
+
+    def read(self, state: np.ndarray, grams: list[np.ndarray]) -> np.ndarray:
+        """log10 of the chance with which each state reads its word: along failure arcs until there is an arc.
+
+        ``grams`` has, by length, the n-gram that each word is the end of: the arc it is read by from a state one shorter.
+        """
+        total, state = np.zeros(len(state)), state.copy()
+        open_ = np.arange(len(state))
+        for n in range(len(self.arcs), 0, -1):
+            here = open_[self.length[state[open_]] == n - 1]
+            chance = self.arcs[n - 1][grams[n - 1][here]]
+            there = ~np.isnan(chance)
+            total[here[there]] += np.log10(chance[there])
+            lost = here[~there]
+            total[lost] += np.log10(self.weight[state[lost]])
+            state[lost] = self.fail[state[lost]]
+            state[here[there]] = -1
+            open_ = open_[state[open_] >= 0]
         return total
 
 
-def _at(values: np.ndarray, places: np.ndarray, where: np.ndarray, otherwise: float) -> np.ndarray:
-    """The values at some places, one for each token, and ``otherwise`` for the tokens that have none."""
-    out = np.full(len(places), otherwise, dtype=values.dtype)
-    out[where] = values[places[where]]
-    return out
-
-
 def build(
     own: _Block, totals: list[np.ndarray], follows: list[np.ndarray], stats: tuple[int, int], discount: float
 ) -> tuple[Automaton, np.ndarray]:
     """The automaton of a block, and the state before each of its tokens: the longest seen n-gram that ends there."""
-    order, words = len(totals), len(own.keys[0])
     tokens_, types = stats
-    chance = [(totals[0] + 0.5) / (tokens_ + 0.5 * (types + 1))]
-    arcs = [np.arange(words)]
-    fail, weight = [np.zeros(1, dtype=np.int64)], [np.ones(1)]
-    state = np.zeros(len(own.words), dtype=np.int64)
-    # By length, the state of each distinct n-gram, -1 where it was not seen.
-    numbers: list[np.ndarray] = []
-    lower = chance[0][own.places[0]]
-    for n in range(1, order):
+    arcs = [(totals[0] + 0.5) / (tokens_ + 0.5 * (types + 1))]
+    fail, weight, length = [np.zeros(1, dtype=np.int32)], [np.ones(1)], [np.zeros(1, dtype=np.int8)]
+    state = np.zeros(len(own.words), dtype=np.int32)
+    before: np.ndarray | None = None
+    for n in range(1, len(totals)):
         seen = follows[n - 1] > 0
-        number = np.where(seen, np.cumsum(seen) - 1 + sum(map(len, fail)), -1)
-        tail = np.zeros(len(seen), dtype=np.int64)
-        if n > 1:
-            at = own.there[n - 1]
-            tail[own.places[n - 1][at]] = numbers[-1][own.places[n - 2][at]]
+        number = np.where(seen, np.cumsum(seen) - 1 + sum(map(len, fail)), -1).astype(np.int32)
+        # The tail of an n-gram ends at the same token and is one shorter.
+        tail = np.zeros(len(seen), dtype=np.int32) if before is None else before[own.by_gram(n, own.level(n - 1)[1])]
         fail.append(tail[seen])
-        weight.append(discount * follows[n - 1][seen] / totals[n - 1][seen])
+        left = np.divide(discount * follows[n - 1], totals[n - 1], out=np.ones(len(seen)), where=seen)
+        weight.append(left[seen])
+        length.append(np.full(int(seen.sum()), n, dtype=np.int8))
         context = own.contexts(n)
-        read = (context >= 0) & own.there[n]
-        known = _at(seen, context, read, False)
-        state = np.where(known, _at(number, context, known, 0), state)
-        # Each distinct n-gram one longer is an arc of its context; all its occurrences have one chance.
-        count, whole = _at(totals[n], own.places[n], read, 0.0), _at(totals[n - 1], context, known, 1.0)
-        left = np.where(known, discount * _at(follows[n - 1], context, known, 0.0) / whole, 1.0)
-        lower = np.where(known, np.maximum(count - discount, 0) / whole, 0) + left * lower
-        taken = np.flatnonzero(known & (count > 0))
-        names, one = np.unique(state[taken] * words + own.places[0][taken], return_index=True)
-        arcs.append(names)
-        chance.append(lower[taken[one]])
-        numbers.append(number)
-    return Automaton(np.concatenate(fail), np.concatenate(weight), np.concatenate(arcs), np.concatenate(chance), words), state
+        known = context >= 0
+        known[known] = seen[context[known]]
+        state[known] = number[context[known]]
+        # An arc is an n-gram one longer: its context is the state it leaves, its tail the arc that the failure arc leads to.
+        count, of = totals[n], own.by_gram(n + 1, context)
+        lower = arcs[-1][own.by_gram(n + 1, own.level(n)[1])]
+        taken = count > 0
+        chance = np.full(len(count), np.nan)
+        of = of[taken]
+        chance[taken] = (count[taken] - discount) / totals[n - 1][of] + left[of] * lower[taken]
+        arcs.append(chance)
+        before = number
+    return Automaton(np.concatenate(fail), np.concatenate(weight), np.concatenate(length), arcs), state
 
 
 def _score_block(order: int, stats: tuple[int, int], discount: float, keep: list[str]):
@@ -312,13 +325,14 @@ def _score_block(order: int, stats: tuple[int, int], discount: float, keep: list
         totals = [own.told(found, n, "totals").astype(np.float64) for n in range(1, order + 1)]
         follows = [own.told(found, n, "follows").astype(np.float64) for n in range(1, order + 1)]
         automaton, state = build(own, totals, follows, stats, discount)
-        word = own.places[0]
+        grams_ = [own.level(n)[1] for n in range(1, order + 1)]
+        word = grams_[0]
         starts = np.cumsum(own.sizes) - own.sizes
         columns = {
             "lm_tokens": own.sizes,
             "lm_known": np.add.reduceat((totals[0][word] > 0).astype(np.int64), starts),
-            "lm_base": np.add.reduceat(np.log10(automaton.chance[word]), starts),
-            "lm_score": np.add.reduceat(automaton.read(state, word), starts),
+            "lm_base": np.add.reduceat(np.log10(automaton.arcs[0])[word], starts),
+            "lm_score": np.add.reduceat(automaton.read(state, grams_), starts),
         }
         batch = to_batch(columns, SCORED)
         arrays = [*(block.column(c).combine_chunks() for c in keep), *batch.columns]
@@ -335,7 +349,7 @@ def score(
     keep: tuple[str, ...] = (),
     order: int = 2,
     discount: float = 0.75,
-    block_bytes: int = 12_000_000,
+    block_bytes: int = 8_000_000,
     range_bytes: int = 32_000_000,
     many: int = 1000,
 ) -> DataFrame:

@@ -103,12 +103,17 @@ def automaton(train, probes, order, discount):
 def test_chances_out_of_every_state_sum_to_one(order):
     """Over the words seen in training, the end, and one word that stands for all never seen."""
     train = ["a b a c", "a b", "c a b b", ""]
-    made, own, state, _ = automaton(train, ["never"], order, 0.6)
-    seen = [w for w in range(made.words) if w != own.begin]
-    assert len(made.fail) == {1: 1, 2: 5, 3: 12}[order]
-    for s in range(len(made.fail)):
-        assert abs((10 ** made.read(np.full(len(seen), s), np.array(seen))).sum() - 1) < 1e-12
-        assert made.fail[s] < s or s == 0
+    vocabulary = ["a", "b", "c", "never", ngram_lm.END]
+    # After each probe every word in turn; the end closes a text, so it comes by itself.
+    contexts = ["", "a", "b", "c", "a b", "b a", "a c", "c a", "b b", "never", "a never", "never a", "c c"]
+    probes = [f"{c} {w}".strip() for c in contexts for w in vocabulary[:4]] + contexts
+    made, own, state, at = automaton(train, probes, order, 0.6)
+    assert len(made.fail) == {1: 1, 2: 5, 3: 12}[order] and all(made.fail[1:] < np.arange(1, len(made.fail)))
+    chances = 10 ** made.read(state, [own.level(n)[1] for n in range(1, order + 1)])
+    starts = (np.cumsum(own.sizes) - own.sizes)[len(train) :]
+    for i, c in enumerate(contexts):
+        k = len(c.split())
+        assert abs(sum(chances[starts[j] + k] for j in [*range(4 * i, 4 * i + 4), 4 * len(contexts) + i]) - 1) < 1e-12
 
 
 def test_each_state_has_a_failure_weight_of_its_own():
@@ -116,6 +121,13 @@ def test_each_state_has_a_failure_weight_of_its_own():
     before = state[at:][1::2][:3]
     # After a: b twice; after c: b once; after d: b and e.
     assert made.weight[before].tolist() == [0.75 / 2, 0.75, 1.5 / 2] and (made.fail[before] == 0).all()
+    assert made.length[before].tolist() == [1, 1, 1]
+
+
+def test_the_state_is_the_longest_seen_n_gram():
+    made, own, state, at = automaton(["a b c", "b d"], ["a b d", "d a b", "x b c"], 3, 0.75)
+    # Before a: the beginning; then "a" after it; then "a b"; then "b d", which the end follows in training.
+    assert made.length[state[at:]].tolist() == [1, 2, 2, 2, 1, 1, 1, 2, 1, 0, 1, 2]
 
 
 def test_texts_seen_twice_stand_out():
