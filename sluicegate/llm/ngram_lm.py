@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,35 +48,30 @@ SCORED = pa.schema(
 )
 
 
-class _Words(dict):
-    """Key of a word, worked out once while the block lasts."""
-
-    def __missing__(self, word: bytes) -> int:
-        key = self[word] = xxhash.xxh3_64_intdigest(word)
-        return key
-
-
 def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     h = (left * _MULTIPLY) ^ right
     h = (h ^ (h >> np.uint64(32))) * _MIX
     return h ^ (h >> np.uint64(32))
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: pa.ChunkedArray | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the words of all texts, each text closed by the end token, and the number of each text's tokens.
 
-    Words are runs of bytes other than the six ASCII space characters, with A-Z lower-cased, which is
-    what ``bytes.split`` and ``bytes.lower`` do.
+    Words are runs of bytes other than the six ASCII space characters, with A-Z lower-cased.
     """
-    words = _Words()
-    get, end = words.__getitem__, int(END)
-    parts, sizes = [], np.zeros(len(texts), dtype=np.int64)
-    for i, t in enumerate(texts):
-        found = (t or "").encode("utf-8", "surrogatepass").lower().split()
-        keys = np.fromiter(map(get, found), dtype=np.uint64, count=len(found))
-        parts += [keys, np.array([end], dtype=np.uint64)]
-        sizes[i] = len(found) + 1
-    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64), sizes
+    whole = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.combine_chunks().cast(pa.large_string())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(whole, "")))
+    values, owner = split.flatten(), pc.list_parent_indices(split)
+    filled = pc.greater(pc.binary_length(values), 0)
+    coded = pc.dictionary_encode(values.filter(filled))
+    owner = owner.filter(filled).to_numpy(zero_copy_only=False)
+    digests = map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.large_binary()).to_pylist())
+    keys = np.fromiter(digests, dtype=np.uint64, count=len(coded.dictionary))
+    sizes = np.bincount(owner, minlength=len(whole)).astype(np.int64) + 1
+    out = np.full(int(sizes.sum()), END)
+    # Each text before a word has an end token.
+    out[np.arange(len(owner)) + owner] = keys[coded.indices.to_numpy(zero_copy_only=False)]
+    return out, sizes
 
 
 def grams(words: np.ndarray, sizes: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -135,7 +131,7 @@ class _Block:
 
     def __init__(self, block: pa.Table, order: int) -> None:
         self.number = block.column("block")[0].as_py()
-        self.words, self.sizes = tokens(block.column("text").to_pylist())
+        self.words, self.sizes = tokens(block.column("text"))
         self._grams, self.there = grams(self.words, self.sizes, order)
         self.first = np.zeros(len(self.words), dtype=bool)
         self.first[np.cumsum(self.sizes) - self.sizes] = True
@@ -349,7 +345,7 @@ def score(
     keep: tuple[str, ...] = (),
     order: int = 2,
     discount: float = 0.75,
-    block_bytes: int = 8_000_000,
+    block_bytes: int = 6_000_000,
     range_bytes: int = 32_000_000,
     many: int = 1000,
 ) -> DataFrame:
