@@ -346,7 +346,7 @@ def score(
     order: int = 2,
     discount: float = 0.75,
     block_bytes: int = 6_000_000,
-    range_bytes: int = 32_000_000,
+    range_bytes: int = 16_000_000,
     many: int = 1000,
 ) -> DataFrame:
     """The columns of ``keep``, then ``lm_tokens``, ``lm_known``, ``lm_base``, ``lm_score`` and ``lm_train_tokens``.
