@@ -66,18 +66,18 @@ def search_block(
     blocks = [np.ascontiguousarray(vectors[a:b]) for a, b in zip(cuts, cuts[1:])]
     # The first block of dimensions for many queries at once, the others for each one's survivors.
     out = []
-    place = {int(v): i for i, v in enumerate(ids)}
     for begin in range(0, queries.shape[1], 128):
         part = queries[:, begin : begin + 128]
         first = part[: cuts[1]].T @ blocks[0]
         for q in range(part.shape[1]):
             score, rows = first[q].copy(), None
-            own = place.get(int(query_ids[begin + q]))
+            # Rows come sorted by id: those under the query's own are one stretch.
+            own = slice(*(int(np.searchsorted(ids, query_ids[begin + q], side=s)) for s in ("left", "right")))
             for b in range(len(blocks)):
                 if b:
                     chosen = blocks[b] if rows is None else blocks[b][:, rows]
                     score = score + part[cuts[b] : cuts[b + 1], q] @ chosen
-                elif own is not None:
+                else:
                     score[own] = -np.inf
                 if len(score) <= k:
                     continue
@@ -137,13 +137,13 @@ def top_k(
     then taken per query, ties going to the smaller id.
 
     A vector that is NULL, empty or holds a NULL or non-finite component takes no part, nor does a NULL id. Vectors
-    of different lengths are not compared. Of rows with one id the least vector counts, once; no row
-    is its own candidate. A score beyond the range of a long is the end of the range, before ranking. An empty table gives no rows.
+    of different lengths are not compared. Rows equal in id and vector count once. Of rows with one id each is a candidate, and each that is a query
+    is asked for, the best k of all going to the id; no row is a candidate for its own id. A score beyond the range of a long is the end of the range, before ranking. An empty table gives no rows.
     """
     scaled = F.transform(column(vector).cast("array<double>"), lambda x: x * F.lit(float(scale)))
     rows = vectors.where(usable(vector)).select(column(key).cast("long").alias("id"), scaled.alias("vector"))
     rows = rows.where("id is not null and forall(vector, x -> abs(x) < double('infinity'))")
-    rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    rows = rows.distinct()
     floor = F.transform("vector", lambda x: F.when(F.abs(x) < 2**52, F.floor(x).cast("double")).otherwise(x))
     rows = rows.select("id", floor.alias("vector"), F.size("vector").alias("width"))
     queries = rows.where(is_query(F.col("id")))
