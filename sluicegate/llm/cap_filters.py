@@ -163,6 +163,7 @@ def near_vectors(
     caps: int = 16,
     codes: int | None = None,
     seed: int = 0,
+    exact: bool = False,
 ) -> DataFrame:
     """Per row ``vec_id``, ``n_links`` (other rows linked to it), ``component_id`` (the smallest ``vec_id`` that links
     reach) and ``kept`` (whether that is its own).
@@ -174,11 +175,13 @@ def near_vectors(
     1000 cases or more, from two thousand vectors to ten billion (the tests measure it at a width of 64).
 
     Equal vectors of one label are one node, counted with its copies. Members of a filter meet in blocks, so
-    a filter of any size is compared whole and only links leave a task.
+    a filter of any size is compared whole and only links leave a task. ``exact`` makes each label one filter: all its vectors are
+    compared by the same blocks, no link is missed, and the work is the square of a label's vectors.
 
     A vector that is NULL, zero or empty, or holds a NULL or non-finite component, and a row without a label,
     link with nothing. Vectors of different lengths do not link. A row with a NULL key comes out with a NULL
-    component, kept. Of rows with one key the least (label, vector) counts for the key, once.
+    component, kept, and links with nothing. Rows equal in key, label and vector come out once; of rows with one key that differ each is a
+    row of its own. Further columns are left out. An empty table gives no rows.
     """
     x = column(vector).cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
@@ -188,19 +191,22 @@ def near_vectors(
         column(label).cast("string").alias("label"),
         F.when(fine, x).alias("vector"),
     )
-    keyed = base.where("vec_id is not null").groupBy("vec_id").agg(F.min(F.struct("label", "vector")).alias("one"))
-    keyed = keyed.select("vec_id", "one.*")
+    keyed = base.where("vec_id is not null").distinct()
     usable = keyed.where("label is not null and vector is not null")
-    nodes = usable.groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    nodes = landed(nodes.withColumn("width", F.size("vector")), "cap-nodes")
+    nodes = usable.groupBy("label", "vector").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
+    # Numbers of their own: two vectors may have one smallest key.
+    nodes = landed(nodes.withColumns({"width": F.size("vector"), "node": F.monotonically_increasing_id()}), "cap-nodes")
 
     sizes = {r[0]: r[1] for r in nodes.groupBy("width").count().collect()}
     built = {
         w: [build_code(w, max(8, round((16 * n) ** 0.25)), seed=seed + c) for c in range(codes or codes_for(n))]
         for w, n in sizes.items()
     }
-    found = nodes.select("node", "label", "vector").mapInArrow(_caps(built, caps), "node long, label string, cap long")
-    found = landed(found, "caps")
+    if exact:
+        found = nodes.select("node", "label", F.col("width").cast("long").alias("cap"))
+    else:
+        found = nodes.select("node", "label", "vector").mapInArrow(_caps(built, caps), "node long, label string, cap long")
+        found = landed(found, "caps")
     shared = found.groupBy("label", "cap").agg(F.count("*").alias("n")).where("n > 1")
     pieces = F.ceil(F.col("n") / BLOCK)
     members = found.join(shared, ["label", "cap"]).select(
@@ -220,10 +226,13 @@ def near_vectors(
     ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     weighed = ends.join(nodes.select(F.col("node").alias("b"), "copies"), "b")
     degree = weighed.groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("near"))
-    groups = nodes.join(degree, "node", "left").join(components(links), "node", "left").select(
+    joined = landed(components(links), "cap-components")
+    least_of = joined.join(nodes.select("node", "least_id"), "node").groupBy("component").agg(F.min("least_id").alias("reached"))
+    reached = joined.join(least_of, "component").select("node", "reached")
+    groups = nodes.join(degree, "node", "left").join(reached, "node", "left").select(
         "label", "vector",
         (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+        F.coalesce("reached", "least_id").alias("component_id"),
     )
     out = keyed.join(groups, ["label", "vector"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")

@@ -26,23 +26,29 @@ def rows_for(seed=1):
 
 
 def brute(rows, least=0.93):
-    vectors = {}
+    """Every row counts; only rows equal in all three count once. Unusable vectors are one NULL."""
+    vectors = []
     for i, v, label in rows:
         if i is not None:
-            fine = v and all(x is not None and math.isfinite(x) for x in v) and any(v) and label is not None
-            vectors[i] = (label, np.array(v) / np.abs(v).max()) if fine else None
-    plain, links = Groups(), dict.fromkeys(vectors, 0)
-    for a in vectors:
+            fine = v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+            row = (i, tuple(v) if fine else None, label)
+            if row not in vectors:
+                vectors.append(row)
+    plain, links = Groups(), [0] * len(vectors)
+    for a, (_, x, one) in enumerate(vectors):
         plain.find(a)
-        for b in vectors:
-            if a >= b or vectors[a] is None or vectors[b] is None or vectors[a][0] != vectors[b][0]:
+        for b, (_, y, other) in enumerate(vectors[:a]):
+            if None in (x, y, one, other) or one != other or len(x) != len(y):
                 continue
-            x, y = vectors[a][1], vectors[b][1]
-            if len(x) == len(y) and x @ y / math.sqrt((x @ x) * (y @ y)) >= least:
+            u, w = np.array(x) / np.abs(x).max(), np.array(y) / np.abs(y).max()
+            if u @ w / math.sqrt((u @ u) * (w @ w)) >= least:
                 plain.join(a, b)
                 links[a] += 1
                 links[b] += 1
-    return sorted((i, links[i], plain.find(i), plain.find(i) == i) for i in vectors)
+    reached = {}
+    for a, (i, _, _) in enumerate(vectors):
+        reached[plain.find(a)] = min(i, reached.get(plain.find(a), i))
+    return sorted((i, links[a], reached[plain.find(a)], reached[plain.find(a)] == i) for a, (i, _, _) in enumerate(vectors))
 
 
 def found(spark, rows):
@@ -59,6 +65,27 @@ def test_equals_brute_force(spark, monkeypatch, block):
     assert [r for r in got if r[0] is None] == [(None, 0, None, True)] * 2
 
 
+def test_rows_under_one_key(spark):
+    """A row without a label hides none that has one; two vectors under one key each have their links."""
+    v, w = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, v, None), (1, v, 7), (2, v, 7), (1, w, 7), (3, w, 7), (3, None, 7), (0, w, 8)]
+    assert sorted(found(spark, rows)) == brute(rows)
+    assert sorted(found(spark, rows)) == [
+        (0, 0, 0, True), (1, 0, 1, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (3, 1, 1, False)
+    ]
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_exact_is_all_pairs(spark, monkeypatch, block):
+    """Also at a cosine for which the filters are not meant."""
+    monkeypatch.setattr(cap_filters, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(6).tolist(), i % 3) for i in range(120)] + rows_for()[-20:]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = [tuple(r) for r in cap_filters.near_vectors(df, least=0.6, exact=True).collect() if r[0] is not None]
+    assert sorted(got) == brute(rows, 0.6)
+
+
 def test_no_rows(spark):
     assert found(spark, []) == []
     assert found(spark, [(1, None, 2)]) == [(1, 0, 1, True)]
