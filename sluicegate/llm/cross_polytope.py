@@ -184,7 +184,15 @@ def probes_needed(tables: list[Table], asked: np.ndarray, near: np.ndarray, reca
 
 
 def fit_index(
-    nodes: DataFrame, k: int, tables: int, recall: float, sample_queries: int, bucket_rows: int, most_probes: int, seed: int
+    nodes: DataFrame,
+    asked: DataFrame,
+    k: int,
+    tables: int,
+    recall: float,
+    sample_queries: int,
+    bucket_rows: int,
+    most_probes: int,
+    seed: int,
 ) -> dict[int, Index]:
     """Per width as many buckets as its rows ask for and as many probes as find ``recall`` of the true neighbours of a sample.
 
@@ -192,7 +200,7 @@ def fit_index(
     """
     sizes = {w: n for w, n in nodes.groupBy("width").count().collect()}
     order = W.partitionBy("width").orderBy(F.xxhash64("k1", F.lit(seed)), "k1", "k2")
-    chosen = nodes.where("asked > 0").withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_queries)
+    chosen = asked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_queries)
     samples: dict[int, tuple[list, list]] = {}
     for width, k1, k2, vector in chosen.select("width", "k1", "k2", "vector").collect():
         own, vectors = samples.setdefault(width, ([], []))
@@ -267,48 +275,44 @@ def _carried(*names: str):
     return run
 
 
-FOUND_DDL = "k1 long, k2 long, own long, vec_id long, score double"
-FOUND = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("own", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+FOUND_DDL = "k1 long, k2 long, own long, vec_id long, row long, score double"
+FOUND = pa.schema(
+    [("k1", pa.int64()), ("k2", pa.int64()), ("own", pa.int64()), ("vec_id", pa.int64()), ("row", pa.int64()), ("score", pa.float64())]
+)
 
 
 def search(
     asked: np.ndarray, own: np.ndarray, none: np.ndarray, rows: np.ndarray, ids: list[list[int]], k: int
 ) -> tuple[np.ndarray, ...]:
-    """For each vector of ``asked`` its k nearest ids but ``own`` (unless it has ``none``): places of queries, ids, cosines.
+    """For each vector of ``asked`` its k nearest ids but ``own`` (unless it has ``none``): places of queries and rows, ids, cosines.
 
-    ``ids`` are those of each row, from the smallest. A quick product settles which rows can be among the
+    ``ids`` are those of each row, from the smallest, none twice. A quick product settles which rows can be among the
     nearest; their cosines are then worked out one by one.
     """
     flat = np.array([i for some in ids for i in some], dtype=np.int64)
     lengths = np.array([len(some) for some in ids])
+    begin = np.cumsum(lengths) - lengths
     quick = _unit(asked) @ _unit(rows).T
-    # One more for the query's own row; rows that share an id could hide others, so all of them stay.
-    need = k + 1 if len(np.unique(flat)) == len(flat) else len(rows)
-    if len(rows) > need:
-        least = np.partition(quick, len(rows) - need, axis=1)[:, len(rows) - need] - 1e-12
+    # A row that has no other id than the query's own is no candidate.
+    quick[(lengths == 1) & (flat[begin] == own[:, None]) & ~none[:, None]] = -np.inf
+    if len(rows) > k:
+        least = np.partition(quick, len(rows) - k, axis=1)[:, len(rows) - k] - 1e-12
         q, r = np.nonzero(quick >= least[:, None])
     else:
         q, r = (a.ravel() for a in np.indices(quick.shape))
     score = np.concatenate(
         [cosines(asked[q[b : b + 65536]], rows[r[b : b + 65536]]) for b in range(0, len(q), 65536)] or [np.empty(0)]
     )
-    begin = np.cumsum(lengths) - lengths
     times = lengths[r]
     inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     vec_id = flat[np.repeat(begin[r], times) + inner]
-    q, score = np.repeat(q, times), np.repeat(score, times)
+    q, r, score = (np.repeat(x, times) for x in (q, r, score))
     other = (vec_id != own[q]) | none[q]
-    q, vec_id, score = q[other], vec_id[other], score[other]
-    order = np.lexsort((-score, vec_id, q))
-    q, vec_id, score = q[order], vec_id[order], score[order]
-    first = np.ones(len(q), dtype=bool)
-    first[1:] = (q[1:] != q[:-1]) | (vec_id[1:] != vec_id[:-1])
-    q, vec_id, score = q[first], vec_id[first], score[first]
+    q, r, vec_id, score = q[other], r[other], vec_id[other], score[other]
     order = np.lexsort((vec_id, -score, q))
-    q, vec_id, score = q[order], vec_id[order], score[order]
-    begins = np.searchsorted(q, q)
-    top = np.arange(len(q)) - begins < k
-    return q[top], vec_id[top], score[top]
+    q, r, vec_id, score = q[order], r[order], vec_id[order], score[order]
+    top = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[top], r[top], vec_id[top], score[top]
 
 
 def _searched(k: int):
@@ -317,38 +321,44 @@ def _searched(k: int):
             return FOUND.empty_table()
         width = rows.column("width")[0].as_py()
         own = queries.column("own").combine_chunks()
-        none = own.is_null().to_numpy(zero_copy_only=False)
-        q, vec_id, score = search(
+        q, r, vec_id, score = search(
             _opened(queries.column("data"), width),
             own.fill_null(0).to_numpy(),
-            none,
+            own.is_null().to_numpy(zero_copy_only=False),
             _opened(rows.column("data"), width),
             rows.column("ids").to_pylist(),
             k,
         )
-        take = pa.array(q)
-        columns = [queries.column(c).combine_chunks().take(take) for c in ("k1", "k2", "own")]
-        return pa.Table.from_arrays([*columns, pa.array(vec_id), pa.array(score)], schema=FOUND)
+        columns = [queries.column(c).combine_chunks().take(pa.array(q)) for c in ("k1", "k2", "own")]
+        columns += [pa.array(vec_id), rows.column("k1").combine_chunks().take(pa.array(r)), pa.array(score)]
+        return pa.Table.from_arrays(columns, schema=FOUND)
 
     return run
 
 
-def _nodes(rows: DataFrame, is_query: Callable[[Column], Column], k: int) -> DataFrame:
-    """Each distinct vector once, with the k + 1 smallest ids that have it and how many queries do.
+def _index_rows(rows: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """Each distinct vector once, with the k + 1 smallest ids that have it: no more can be among a query's k nearest.
 
-    Ids are reduced without their vectors; no more than k + 1 of a vector can be among a query's k nearest.
+    Ids are reduced without their vectors.
     """
-    pairs = rows.select("k1", "k2", "id").distinct()
     smallest = W.partitionBy("k1", "k2").orderBy("id")
     first = pairs.withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= k + 1)
     ids = first.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    asking = pairs.where(is_query(F.col("id"))).groupBy("k1", "k2").agg(F.count("*").alias("asked"), F.min("id").alias("query"))
     vectors = rows.groupBy("k1", "k2").agg(F.first("vector").alias("vector"))
-    joined = vectors.join(ids, ["k1", "k2"]).join(asking, ["k1", "k2"], "left")
-    return joined.select(
-        "k1", "k2", "vector", F.size("vector").alias("width"), "ids", F.coalesce("asked", F.lit(0)).alias("asked"),
-        F.when(F.col("asked") == 1, F.col("query")).alias("own"),
-    )
+    return vectors.join(ids, ["k1", "k2"]).select("k1", "k2", "vector", F.size("vector").alias("width"), "ids")
+
+
+def _asking(pairs: DataFrame, is_query: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """What is searched for, ``k1, k2, own``, and the queries that share a search. A vector is searched for once, whatever the
+    number of queries that have it; but a query with several vectors searches for each by itself, as it must not
+    find the others."""
+    asking = pairs.where(is_query(F.col("id")))
+    times = asking.groupBy("id").agg((F.count("*") > 1).alias("several"))
+    marked = asking.join(times, "id")
+    shared = marked.where("not several").select("k1", "k2", "id")
+    apart = marked.where("several").select("k1", "k2", F.col("id").alias("own"))
+    once = shared.groupBy("k1", "k2").agg(F.when(F.count("*") == 1, F.min("id")).alias("own"))
+    return once.unionByName(apart), shared
 
 
 def nearest(
@@ -377,8 +387,9 @@ def nearest(
 
     Equal vectors are one row of the index, with the ids that can be among the nearest, and one query. Vectors that are
     NULL, empty, zero or hold a NULL or non-finite component take no part, nor do NULL ids; vectors of different widths are
-    not compared. Repeated rows count once. Of several vectors under one id the nearest counts, as candidate and as
-    query; no id is its own candidate. An empty table gives no rows. Further columns are left out.
+    not compared. Rows equal in id and vector count once. Of several vectors under one id each is a candidate, and each that is
+    a query is searched for, the nearest k of all going to the id; no row is a candidate for its own id. An empty table gives
+    no rows. Further columns are left out.
     """
     x = column(vector)
     double = x.cast("array<double>")
@@ -391,24 +402,27 @@ def nearest(
     # 128 bits say which vectors are equal.
     rows = rows.select("id", "vector", F.xxhash64(F.lit(1), "vector").alias("k1"), F.xxhash64(F.lit(2), "vector").alias("k2"))
     with Passing() as passing:
-        nodes = passing.land(_nodes(rows, is_query, k), "vectors")
-        indexes = fit_index(nodes, k, tables, recall, sample_queries, bucket_rows, most_probes, seed)
-        best = landed_best(nodes, indexes, k, block_rows, query_rows)
+        pairs = rows.select("k1", "k2", "id").distinct()
+        nodes = passing.land(_index_rows(rows, pairs, k), "vectors")
+        asked, shared = _asking(pairs, is_query)
+        asked = passing.land(asked.join(nodes.drop("ids"), ["k1", "k2"]), "queries")
+        indexes = fit_index(nodes, asked, k, tables, recall, sample_queries, bucket_rows, most_probes, seed)
+        best = landed_best(nodes, asked, indexes, k, block_rows, query_rows)
     # Most vectors are asked by one id; those of several are joined back, salted.
     known = best.where("own is not null").select(F.col("own").alias("query_id"), "vec_id", "score")
-    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt")
-    asking = rows.where(is_query(F.col("id"))).select("k1", "k2", F.col("id").alias("query_id"), salt).distinct()
-    shared = best.where("own is null").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = shared.join(asking, ["k1", "k2", "salt"]).where("vec_id <> query_id").select("query_id", "vec_id", "score")
-    scored = known.unionByName(joined).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    salt = F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int")
+    asking = shared.withColumnRenamed("id", "query_id").withColumn("salt", salt)
+    several = best.where("own is null").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = several.join(asking, ["k1", "k2", "salt"]).where("vec_id <> query_id").select("query_id", "vec_id", "score")
     place = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = scored.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    ranked = known.unionByName(joined).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def landed_best(nodes: DataFrame, indexes: dict[int, Index], k: int, block_rows: int, query_rows: int) -> DataFrame:
-    """The k + 1 nearest ids of each distinct query vector."""
-    asked = nodes.where("asked > 0")
+def landed_best(
+    nodes: DataFrame, asked: DataFrame, indexes: dict[int, Index], k: int, block_rows: int, query_rows: int
+) -> DataFrame:
+    """The k + 1 nearest of each search."""
     in_index = nodes.select("k1", "vector", "ids")
     in_query = asked.select("k1", "k2", "vector", "own")
 
@@ -448,10 +462,11 @@ def landed_best(nodes: DataFrame, indexes: dict[int, Index], k: int, block_rows:
         probes = in_query.mapInArrow(
             _entries(indexes, "query", _carried("k1", "k2", "own")), head + "k1 long, k2 long, own long, data binary"
         )
-        entries = dealt(entries, "block", "blocks", "part", "parts").drop("k1")
+        entries = dealt(entries, "block", "blocks", "part", "parts")
         probes = dealt(probes, "part", "parts", "block", "blocks")
         found = entries.groupBy(*PIECE).cogroup(probes.groupBy(*PIECE)).applyInArrow(_searched(k + 1), FOUND_DDL)
-        scored = found.groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"), F.max("own").alias("own"))
-        place = W.partitionBy("k1", "k2").orderBy(F.desc("score"), "vec_id")
-        best = scored.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1).drop("place")
+        # A row that is found in several tables is found once.
+        scored = found.groupBy("k1", "k2", "own", "vec_id", "row").agg(F.max("score").alias("score"))
+        place = W.partitionBy("k1", "k2", "own").orderBy(F.desc("score"), "vec_id")
+        best = scored.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1).drop("place", "row")
         return landed(best, "nearest")

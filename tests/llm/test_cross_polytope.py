@@ -15,16 +15,15 @@ def cosine(a, b):
 
 
 def brute(rows, k=5, step=50):
-    """By all pairs; of several rows under one id the nearest counts."""
-    fine = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    """By all pairs of rows; only rows equal in id and vector count once."""
+    fine = []
+    for i, v in rows:
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v) and (i, v) not in fine:
+            fine.append((i, v))
     out = {}
     for q in sorted({i for i, _ in fine if i % step == 0}):
-        best = {}
-        for i, a in fine:
-            for j, b in fine:
-                if i == q and j != q and len(a) == len(b):
-                    best[j] = max(best.get(j, -2.0), cosine(a, b))
-        out[q] = sorted(best.items(), key=lambda e: (-round(e[1], 12), e[0]))[:k]
+        best = [(j, cosine(a, b)) for i, a in fine if i == q for j, b in fine if j != q and len(a) == len(b)]
+        out[q] = sorted(best, key=lambda e: (-round(e[1], 12), e[0]))[:k]
     return {q: best for q, best in out.items() if best}
 
 
@@ -81,6 +80,15 @@ def test_awkward_rows(spark, options):
     check(found(spark, awkward(), **options), brute(awkward(), options.get("k", 5)))
 
 
+def test_rows_under_one_id(spark):
+    """A query's own other vectors, however many and near, hide no one else's."""
+    rng = random.Random(3)
+    near = [[1.0 + 0.01 * rng.random(), 0.01 * rng.random(), 0.0] for _ in range(12)]
+    rows = [(50, v) for v in near] + [(7, near[0]), (7, [0.9, 0.3, 0.0]), (8, [0.5, 0.5, 0.1]), (9, [0.0, 1.0, 0.0]), (100, near[0]), (150, near[0])]
+    check(found(spark, rows, recall=1.0), brute(rows))
+    check(found(spark, rows, recall=1.0, k=3, block_rows=2, query_rows=2, bucket_rows=4), brute(rows, 3))
+
+
 def test_no_rows(spark):
     assert found(spark, []) == {}
     assert found(spark, [(1, [1.0]), (2, [1.0])]) == {}
