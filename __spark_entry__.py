@@ -18,6 +18,7 @@ from sluicegate.functions.columns import files_for, is_uuid  # noqa: E402
 from sluicegate.functions.intervals import gaps, islands, overlaps  # noqa: E402
 from sluicegate.operators.buckets import self_join_counted, with_bucket  # noqa: E402
 from sluicegate.operators.documents import assign_ids, flatten_quotes, user_records  # noqa: E402
+from sluicegate.operators.colocated import join_colocated, latest_colocated, read_colocated, write_colocated  # noqa: E402
 from sluicegate.operators.commits import clean, publish  # noqa: E402
 from sluicegate.operators.extract import extract_all, extract_days, extract_missing, extract_table  # noqa: E402
 from sluicegate.operators.latest import latest_state, latest_table  # noqa: E402
@@ -328,6 +329,27 @@ def bucketed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, table_root(root, spec), spec.job)
 
 
+def _colocated_events(spark: SparkSession, sf_dir: str, label: str, keys: list[str], days: list[datetime]) -> list[DataFrame]:
+    """The events since each of some days, every day as a bucketed snapshot."""
+    source, root = LakeSource(spark, sf_dir), new_work_dir(spark, label)
+    paths = [f"{root}/get_data={_tag(day)}" for day in days]
+    for day, path in zip(days, paths):
+        write_colocated(source.read(EVENTS, since=day), path, keys, 8)
+    return [read_colocated(spark, p) for p in paths]
+
+
+def colocated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two bucketed dates both have."""
+    first, second = _colocated_events(spark, sf_dir, "colocated_join", ["event_id"], EVENT_DAYS[:2])
+    return join_colocated(first, second.select("event_id", F.col("value").alias("value_again")), ["event_id"])
+
+
+def colocated_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["user_id", "event_type"]
+    dates = _colocated_events(spark, sf_dir, "colocated_latest", keys, EVENT_DAYS[:2])
+    return latest_colocated(dates, keys, ["ts", "event_id"])
+
+
 def config_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_work_dir(spark, "fanout")
     specs = parse_specs(read_yaml(FANOUT_YAML))
@@ -704,6 +726,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_days": published_days,
         "empty_extract_skip": empty_extract_skip,
         "bucketed_snapshot": bucketed_snapshot,
+        "colocated_join": colocated_join,
+        "colocated_latest": colocated_latest,
         "config_fanout": config_fanout,
         "latest_state": latest_over_snapshots,
         "latest_table": latest_of_spec,
@@ -865,6 +889,14 @@ def library_sql() -> dict[str, str]:
             select customer.*, d::bigint as get_data, ({MD5_BUCKET.format(key='c_custkey')})::int as mod_hash_id
             from customer, (values (20240901), (20240902)) v(d)
         """,
+        "colocated_join": """
+            select a.*, b.value as value_again from events a join events b using (event_id)
+            where a.ts >= timestamp '2024-01-01' and b.ts >= timestamp '2024-01-02'
+        """,
+        "colocated_latest": """
+            select * from events where ts >= timestamp '2024-01-01'
+            qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
+        """,
         "config_fanout": """
             select 'warehouse.sales.customer' as table_name, c_custkey as key, c_name as text from customer
             union all select 'warehouse.sales.supplier', s_suppkey, s_name from supplier
