@@ -26,6 +26,7 @@ from sluicegate.operators.reconcile import reconcile  # noqa: E402
 from sluicegate.operators.refresh import read_latest, refresh_latest  # noqa: E402
 from sluicegate.operators.runs import covered, read_twice  # noqa: E402
 from sluicegate.operators.snapshot import read_snapshots, write_snapshot  # noqa: E402
+from sluicegate.operators.variants import first_users, flatten_series  # noqa: E402
 from sluicegate.plans.spec import TableSpec, parse_specs, read_yaml  # noqa: E402
 from sluicegate.plans.strategy import (  # noqa: E402
     bucket_predicates,
@@ -510,6 +511,35 @@ def quotes_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, folder, "get_data")
 
 
+def drifting_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers whose quotes have fields that no list names: a venue in some, a number of trades in others."""
+    event = F.col("event_id")
+    quote = F.struct(
+        F.col("value").alias("price"),
+        event.alias("volume"),
+        F.when(event % 3 == 0, F.col("event_type")).alias("venue"),
+        F.when(event % 5 == 0, F.col("user_id")).alias("trades so far"),
+        F.when(event % 7 == 0, F.array("event_id", "user_id")).alias("ids"),
+    )
+    moment = F.regexp_replace(F.col("ts").cast("string"), r"\.\d+$", "")
+    symbol = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+    data = F.struct(symbol.alias("symbol"), F.lit("stock").alias("type"), F.create_map(moment, quote).alias("time_series"))
+    events = LakeSource(spark, sf_dir).table("events")
+    return flatten_series(events.select(F.to_json(F.struct(data.alias("data"))).alias("body")))
+
+
+def drifting_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User documents with a field more in some of them."""
+    customers = LakeSource(spark, sf_dir).table("customer")
+    user = F.struct(
+        F.concat("c_name", F.lit("@example.invalid")).alias("email"),
+        F.when(F.col("c_custkey") % 4 == 1, F.col("c_mktsegment")).alias("nat"),
+        F.col("c_nationkey").alias("region_code"),
+    )
+    bodies = customers.select(F.to_json(F.struct(F.array(user).alias("results"))).alias("body"))
+    return first_users(bodies, {"email": "string", "gender": "string"})
+
+
 def _user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer as a document of one result."""
     source = LakeSource(spark, sf_dir)
@@ -741,6 +771,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "request_frame": requests,
         "timeseries_flatten": timeseries_flatten,
         "quotes_snapshot": quotes_snapshot,
+        "drifting_quotes": drifting_quotes,
+        "drifting_users": drifting_users,
         "user_record_format": user_record_format,
         "record_ids": record_ids,
         "binary_value_cast": binary_value_cast,
@@ -972,6 +1004,19 @@ def library_sql() -> dict[str, str]:
         "request_frame": f"select '{ENDPOINT}' as endpoint, c_name as symbol, '{PERIOD}' as period from customer",
         "timeseries_flatten": QUOTES,
         "quotes_snapshot": f"select *, 20240901::bigint as get_data from ({QUOTES})",
+        "drifting_quotes": """
+            select 'U' || user_id as symbol, 'stock' as type, date_trunc('second', ts) as last_update_utc, value as price,
+                   null::double as change, null::double as change_percent, event_id as volume,
+                   case when event_id % 3 = 0 then event_type end as venue,
+                   case when event_id % 5 = 0 then user_id end as "trades so far",
+                   case when event_id % 7 = 0 then '[' || event_id || ',' || user_id || ']' end as ids
+            from events
+        """,
+        "drifting_users": """
+            select c_name || '@example.invalid' as email, null::varchar as gender,
+                   case when c_custkey % 4 = 1 then c_mktsegment end as nat, c_nationkey::bigint as region_code
+            from customer
+        """,
         "user_record_format": """
             select c_name as first_name, c_mktsegment as last_name, 'female' as gender,
                    c_custkey || ' ' || c_name || ', ' || c_mktsegment || ', ' || n_name || ', ' || r_name as address,
