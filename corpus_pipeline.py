@@ -42,11 +42,13 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines out that match an earlier one. Every document stays, with an empty text if all its lines go."""
+    """Takes lines out that match an earlier one, and rejects documents that lose their last word by it: there is nothing of
+    their own in them. Every other document stays, with the lines that are left."""
     kept = tuple(c for c in COLUMNS if c != "text")
     found = line_dedup.remove_later_lines(_documents(docs), keep=kept)
     changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return _documents(found.withColumn("n_chars", changed))
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return _documents(found.withColumn("n_chars", changed).where(~F.coalesce(emptied, F.lit(False))))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
