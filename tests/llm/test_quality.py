@@ -48,3 +48,25 @@ def test_awkward_rows(spark):
         by_text.setdefault(r.text or None, set()).add(r.quality_score)
     assert all(len(s) == 1 and 0 <= min(s) <= 1 for s in by_text.values())
     assert quality.score(documents(spark, []), model).collect() == []
+
+
+def test_fit_against_plain_logistic_regression_on_all_pairs():
+    """Newton's method on every pair of a good and a bad text; the operator draws pairs and takes gradient steps."""
+    rng = np.random.default_rng(5)
+    few, width = 6, quality.SHAPES + quality.STATISTICS
+    good, bad = np.zeros((40, width)), np.zeros((50, width))
+    good[:, :few], bad[:, :few] = rng.standard_normal((40, few)) + 0.4, rng.standard_normal((50, few)) - 0.4
+    model = quality.fit(good, bad, pairs=1_000_000, rounds=2000, penalty=1e-3)
+    x = np.concatenate([good, bad])[:, :few]
+    x = (x - x.mean(axis=0)) / x.std(axis=0)
+    d = (x[:40, None] - x[None, 40:]).reshape(-1, few)
+    w = np.zeros(few)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-d @ w))
+        slope = d.T @ (1 - p) / len(d) - 1e-3 * w
+        w += np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(few), slope)
+    assert np.abs(slope).max() < 1e-9
+    assert np.allclose(model.weights[:few], w, rtol=0.03, atol=0.01) and not model.weights[few:].any()
+    raw = model.raw(np.concatenate([good, bad]))
+    order = np.argsort(x @ w)
+    assert (np.diff(raw[order]) > -0.05).all()
