@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.operators import commits, extract, snapshot
 from sluicegate.operators.commits import clean, date_folders, publish, published
-from sluicegate.operators.extract import extract_days, extract_table
+from sluicegate.operators.extract import extract_days
 from sluicegate.operators.snapshot import completed_dates, has_earlier_date, read_snapshots, write_rows, write_snapshot
 from sluicegate.plans.spec import TableSpec
 from sluicegate.plans.strategy import table_root

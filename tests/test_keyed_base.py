@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluicegate.operators import keyed_base
-from sluicegate.operators.keyed_base import bucket_of, fold, manifest, merging, parent_of, read_runs, rows_of, split
+from sluicegate.operators.keyed_base import bucket_of, fold, manifest, merging, parent_of, read_runs, rows_of
 from sluicegate.operators.latest import latest_state
 from sluicegate.sources.storage import create_text, read_text
 
