@@ -30,6 +30,7 @@ from sluicegate.operators.variants import first_users, flatten_series  # noqa: E
 from sluicegate.plans.spec import TableSpec, parse_specs, read_yaml  # noqa: E402
 from sluicegate.plans.strategy import (  # noqa: E402
     bucket_predicates,
+    file_count,
     layout,
     read_strategy,
     resolve_bounds,
@@ -414,7 +415,8 @@ def reconciled_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = orders.where(key % 401 != 7)
     changed = kept.withColumn("o_totalprice", F.when(key % 307 == 5, 0.0).otherwise(F.col("o_totalprice")))
     added = orders.where(key % 503 == 11).withColumn("o_orderkey", -1 - key)
-    write_snapshot(changed.unionByName(changed.where(key % 211 == 3)).unionByName(added), path, 1)
+    files = file_count(orders.count())
+    write_snapshot(changed.unionByName(changed.where(key % 211 == 3)).unionByName(added), path, files)
     snapshot = read_snapshots(spark, root, "get_data").drop("get_data")
     found = reconcile(orders, snapshot, "o_orderkey", leaf_rows=100)
     return found.select("kind", "in_source", "in_snapshot", "o_orderkey", "o_totalprice")
@@ -444,8 +446,9 @@ def latest_of_two_tag_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec, root = CUSTOMER_KEYED, new_work_dir(spark, "two_lengths")
     customers = LakeSource(spark, sf_dir).table("customer")
     changed = customers.where("c_custkey % 2 = 0").withColumn("c_acctbal", -F.col("c_acctbal"))
+    files = file_count(customers.count())
     for tag, rows in (("20240102120000", customers), ("20240903", changed)):
-        write_snapshot(rows, f"{table_root(root, spec)}/{spec.job}={tag}", 1)
+        write_snapshot(rows, f"{table_root(root, spec)}/{spec.job}={tag}", files)
     return latest_table(spark, root, spec)
 
 

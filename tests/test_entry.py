@@ -89,3 +89,22 @@ def test_pushdown_and_pruning(spark, plan):
 def test_projections_do_not_shuffle_or_leave_the_jvm(spark, plan, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "Exchange" not in text and "Python" not in text
+
+
+@pytest.mark.parametrize("name, table", [("reconciled_snapshot", "orders"), ("latest_of_two_tag_lengths", "customer")])
+def test_a_whole_snapshot_has_a_file_for_each_million_rows(spark, tmp_path, monkeypatch, name, table):
+    """One file whatever the table holds was one task that read all of it."""
+    row = spark.read.parquet(f"{SF_DIR}/{table}.parquet").limit(1)
+    key = row.columns[0]
+    many = spark.range(0, 2_000_001, 1, 4).select(F.col("id").alias(key)).crossJoin(row.drop(key))
+    many.select(*row.columns).write.parquet(str(tmp_path / f"{table}.parquet"))
+    asked = []
+
+    def write(df, path, files, *args, **kwargs):
+        asked.append(files)
+        raise InterruptedError
+
+    monkeypatch.setattr(contract, "write_snapshot", write)
+    with pytest.raises(InterruptedError):
+        QUERIES[name](spark, str(tmp_path))
+    assert asked == [3]
