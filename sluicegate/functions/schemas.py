@@ -94,24 +94,28 @@ def _cast(value: Column, kind: T.DataType, wanted: T.DataType) -> Column:
     return value.cast(wanted)
 
 
-def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` in its order and types, NULL where the frame has none."""
+def conformed(df: DataFrame, schema: T.StructType, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """The columns of ``schema`` in its order and types, NULL where the frame has none; behind them ``more``, by name."""
     columns = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *(
             (_cast(named(f.name)[0], columns[f.name], f.dataType) if f.name in columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
-        )
+        ),
+        *(c.alias(name) for name, c in (more or {}).items()),
     )
 
 
-def read_versions(spark: SparkSession, folders: Mapping[str, T.StructType], schema: T.StructType) -> DataFrame:
-    """Parquet folders, each read by the schema it was written with and cast to ``schema``; one scan per version."""
+def read_versions(
+    spark: SparkSession, folders: Mapping[str, T.StructType], schema: T.StructType, more: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Parquet folders, each read by the schema it was written with and cast to ``schema``; one scan per version. ``more`` adds
+    columns worked out where the files are read, such as from their paths."""
     versions: dict[str, list[str]] = {}
     for folder, written in folders.items():
         versions.setdefault(written.json(), []).append(folder)
-    frames = [
-        conformed(spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(*paths), schema) for text, paths in versions.items()
-    ]
+    frames = []
+    for text, paths in versions.items():
+        read = spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(*paths)
+        frames.append(conformed(read, schema, more))
     return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
-

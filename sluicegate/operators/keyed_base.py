@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,12 @@ from sluicegate.functions.schemas import conformed, merged, read_versions
 from sluicegate.operators.latest import latest_state
 from sluicegate.sources.storage import child_names, create_text, read_text
 
-BUCKET = "_bucket"
+BUCKET, GENERATION = "_bucket", "_generation"
 #: Buckets up to this many are named in a filter, more are joined.
 LISTED = 1000
+#: Beyond so many folders a fold deals small buckets together, until a folder holds so many rows.
+FOLDERS = 256
+FOLDER_ROWS = 100_000
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -25,8 +29,8 @@ WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 class Run:
     """Rows of one bucket that one fold wrote, sorted by key, one per key.
 
-    The folder is that of the bucket they were written for. A bucket that came of a split shares its parent's
-    runs until they are merged: what lies in them of other buckets is passed over.
+    The folder is that of the bucket they were written for, or of one it descends from (``folders_for``). A bucket that
+    came of a split shares its parent's runs until they are merged: what lies in them of other buckets is passed over.
     """
 
     generation: int
@@ -43,7 +47,7 @@ class Manifest:
     buckets: int = 0
     #: By bucket, the newest run first.
     runs: Mapping[int, tuple[Run, ...]] = field(default_factory=dict)
-    #: By generation, the schema it was written with, and how many buckets there were.
+    #: By generation, the schema it was written with, and by how many buckets its folders were dealt.
     schemas: Mapping[int, T.StructType] = field(default_factory=dict)
     counts: Mapping[int, int] = field(default_factory=dict)
     #: What has been folded, in the words of whoever folds.
@@ -126,6 +130,21 @@ def parent_of(bucket: int, first: int) -> int:
     return bucket - _round(first, bucket)
 
 
+def ancestors(first: int, count: int, buckets: int) -> list[int]:
+    """By bucket, the one that held its keys when there were ``count`` buckets."""
+    out = list(range(count))
+    for bucket in range(count, buckets):
+        out.append(out[parent_of(bucket, first)])
+    return out
+
+
+def folders_for(rows: int, first: int, count: int) -> int:
+    """By how many buckets to deal the folders of a fold that writes so many rows. Each bucket has its own up to
+    ``FOLDERS``; beyond that, buckets of few rows share the folder of the one they descend from, as if they had been split off since:
+    files then grow in number with the rows and not with the buckets."""
+    return min(count, max(first, FOLDERS, -(-rows // FOLDER_ROWS)))
+
+
 def split(runs: Mapping[int, tuple[Run, ...]], first: int, buckets: int, wanted: int) -> dict[int, tuple[Run, ...]]:
     """The runs by bucket when there are ``wanted`` buckets instead of ``buckets``. No row is written: a new bucket
     takes its parent's runs over, each counted by half from then on."""
@@ -154,41 +173,46 @@ def _folder(path: str, generation: int, folder: int) -> str:
 
 
 def _holders(found: Manifest) -> dict[tuple[int, int], set[int]]:
-    """By folder, the buckets whose keys can lie in it: its own, and those that have been split off since."""
+    """By folder, the buckets whose keys can lie in it: its own, and those that share it or have been split off since."""
     out = {(r.generation, r.folder): {r.folder} for runs in found.runs.values() for r in runs}
-    by_folder: dict[int, list[int]] = {}
-    for generation, folder in out:
-        by_folder.setdefault(folder, []).append(generation)
-    for bucket in range(found.first_buckets, found.buckets):
-        ancestor = bucket
-        while ancestor >= found.first_buckets:
-            ancestor = parent_of(ancestor, found.first_buckets)
-            for generation in by_folder.get(ancestor, ()):
-                if found.counts[generation] <= bucket:
-                    out[generation, ancestor].add(bucket)
+    by_count: dict[int, list[int]] = {}
+    for generation in {g for g, _ in out}:
+        by_count.setdefault(found.counts[generation], []).append(generation)
+    for count, generations in by_count.items():
+        for bucket, folder in enumerate(ancestors(found.first_buckets, count, found.buckets)):
+            for generation in generations:
+                if (generation, folder) in out:
+                    out[generation, folder].add(bucket)
     return out
 
 
 def _rows_in(
     spark: SparkSession, path: str, found: Manifest, wanted: Mapping[tuple[int, int], set[int]], keys: Sequence[str], schema: T.StructType
 ) -> DataFrame:
-    """The rows of some folders, of those buckets that are wanted of each. One that has been split since may hold rows
-    of buckets that have let go of it; a filter is laid over such folders alone."""
+    """The rows of some folders, of those buckets that are wanted of each. One that several buckets share may hold rows
+    of buckets that have let go of it; a filter is laid over such folders alone, by generation and bucket."""
     holders = _holders(found)
 
-    def read(chosen: Iterable[tuple[int, int]]) -> DataFrame:
-        return read_versions(spark, {_folder(path, *f): found.schemas[f[0]] for f in chosen}, schema)
+    def read(chosen: Iterable[tuple[int, int]], more: Mapping[str, Column] | None = None) -> DataFrame:
+        return read_versions(spark, {_folder(path, *f): found.schemas[f[0]] for f in chosen}, schema, more)
 
     shared = [f for f, buckets in wanted.items() if not holders[f] <= buckets]
-    rows = read(f for f in wanted if f not in shared)
+    rows = read(f for f in wanted if f not in set(shared))
     if not shared:
         return rows
-    allowed = sorted(set().union(*(wanted[f] for f in shared)))
-    bucket, some = bucket_of(keys, found.first_buckets, found.buckets), read(shared)
+    allowed = sorted({(f[0], b) for f in shared for b in wanted[f]})
+    place = F.regexp_extract("_metadata.file_path", rf"/generation=(\d+)/{BUCKET}=\d+/[^/]*$", 1).cast("bigint")
+    some = read(shared, {GENERATION: place}).withColumn(BUCKET, bucket_of(keys, found.first_buckets, found.buckets))
     if len(allowed) <= LISTED:
-        return rows.unionByName(some.where(bucket.isin(allowed)))
-    listed = spark.createDataFrame([(b,) for b in allowed], f"{BUCKET} int")
-    return rows.unionByName(some.withColumn(BUCKET, bucket).join(listed, BUCKET, "left_semi").drop(BUCKET))
+        by_generation: dict[int, list[int]] = {}
+        for generation, bucket in allowed:
+            by_generation.setdefault(generation, []).append(bucket)
+        named_ = [(F.col(GENERATION) == g) & F.col(BUCKET).isin(of) for g, of in by_generation.items()]
+        some = some.where(reduce(Column.__or__, named_))
+    else:
+        listed = spark.createDataFrame(allowed, f"{GENERATION} bigint, {BUCKET} int")
+        some = some.join(listed, [GENERATION, BUCKET], "left_semi")
+    return rows.unionByName(some.drop(GENERATION, BUCKET))
 
 
 def _resolved(found: Manifest, *more: T.StructType) -> T.StructType:
@@ -230,7 +254,8 @@ def fold(
 
     Per bucket the changes become a run, merged with those older runs that ``merging`` picks; other runs and buckets stay
     as they are, so the work follows the change. Beyond ``target_rows`` rows a bucket on average, buckets are
-    split until they are below it, without writing anything. ``buckets`` counts for the first fold.
+    split until they are below it, without writing anything. ``buckets`` counts for the first fold. Many small
+    buckets are written to few folders (``folders_for``).
     Rows that ``gone`` holds for are dropped from all buckets that ``changes`` or the keys of ``rebuilt`` touch; these
     buckets are merged whole. Schemas are resolved: columns may come, go and widen; a key only among whole numbers.
 
@@ -264,17 +289,20 @@ def fold(
     if gone is not None:
         old = old.where(~F.coalesce(gone, F.lit(False)))
     written: dict[int, int] = {}
+    at_most = sum(rows + sum(r.rows for r in before.runs.get(b, ())[: taken[b]]) for b, rows in touched.items())
+    dealt_by = folders_for(at_most, first, count)
     if touched:
-        state = latest_state(changes.unionByName(old), keys, order).withColumn(BUCKET, bucket)
+        state = latest_state(changes.unionByName(old), keys, order).withColumn(BUCKET, bucket_of(keys, first, dealt_by))
         folder = f"{path}/base/generation={generation:012d}"
         dealt = state.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, *named(*keys))
         dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         if child_names(spark, folder, BUCKET):
-            written = {b: n for b, n in spark.read.parquet(folder).groupBy(BUCKET).count().collect()}
+            dealt = spark.read.schema(schema).parquet(folder)
+            written = {b: n for b, n in dealt.groupBy(bucket.alias(BUCKET)).count().collect()}
 
-    runs = dict(before.runs)
+    runs, folder_of = dict(before.runs), ancestors(first, dealt_by, count)
     for b, n in taken.items():
-        new = (Run(generation, b, written[b]),) if b in written else ()
+        new = (Run(generation, folder_of[b], written[b]),) if b in written else ()
         runs[b] = new + before.runs.get(b, ())[n:]
         if not runs[b]:
             del runs[b]
@@ -284,7 +312,7 @@ def fold(
     used = {r.generation for of in runs.values() for r in of}
     used.add(generation)
     schemas = {g: s for g, s in (dict(before.schemas) | {generation: schema}).items() if g in used}
-    counts = {g: n for g, n in (dict(before.counts) | {generation: count}).items() if g in used}
+    counts = {g: n for g, n in (dict(before.counts) | {generation: dealt_by}).items() if g in used}
     after = Manifest(generation, first, wanted, runs, schemas, counts, dict(covered), before.written + sum(written.values()))
     if not create_text(spark, f"{_manifest_folder(path)}/{generation:012d}.json", after.to_text()):
         raise RuntimeError(f"another fold of {path} was faster")

@@ -164,3 +164,44 @@ def test_many_split_buckets_are_joined(spark, table, monkeypatch):
     table.fold([(i, 1, "y") for i in range(0, 200, 9)], target_rows=20, least_rows=0)
     table.fold([(i, 2, "z") for i in range(0, 200, 3)], target_rows=20)
     table.check()
+
+
+def test_many_small_buckets_share_few_folders(spark, table, monkeypatch):
+    monkeypatch.setattr(keyed_base, "FOLDERS", 4)
+    rng = random.Random(5)
+    for step in range(6):
+        rows = {(rng.randrange(300), step): f"{step}" for _ in range(90)}
+        table.fold([(i, t, v) for (i, t), v in rows.items()], buckets=2, target_rows=5, least_rows=step % 3 * 5, ratio=0.5)
+        found = table.check()
+    assert found.buckets > 40 and max(len(runs) for runs in found.runs.values()) > 1
+    folders = {(r.generation, r.folder) for runs in found.runs.values() for r in runs}
+    assert all(sum(g == generation for g, _ in folders) <= 4 for generation in range(6))
+    asked = spark.createDataFrame([(i,) for i in range(0, 300, 40)], "id bigint")
+    some = {r["id"]: (r["t"], r["v"]) for r in rows_of(spark, table.path, asked, KEYS, ORDER).collect()}
+    assert some == {i: table.expected[i] for i in range(0, 300, 40) if i in table.expected}
+
+
+def test_folders_grow_with_rows_and_not_with_buckets():
+    assert [keyed_base.folders_for(n, 2, 27_000) for n in (0, 2_700_000, 10**8)] == [256, 256, 1000]
+    assert keyed_base.folders_for(10, 2, 200) == 200 and keyed_base.folders_for(10, 500, 900) == 500
+
+
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_a_folder_of_one_generation_gives_no_rows_of_a_bucket_wanted_of_another(spark, table, monkeypatch, listed):
+    """Rows that are gone from a bucket still lie in the folder it shared, where only its neighbour is read."""
+    monkeypatch.setattr(keyed_base, "LISTED", listed)
+    monkeypatch.setattr(keyed_base, "FOLDERS", 1)
+    table.fold([(i, 0, "old") for i in range(200)], buckets=1, target_rows=25, least_rows=0)
+    count = table.check().buckets
+    at = {r[0]: r[1] for r in spark.range(200).select("id", bucket_of(KEYS, 1, count)).collect()}
+    one, other, third = (sorted(i for i, b in at.items() if b == bucket) for bucket in (0, 1, 2))
+    keys = spark.createDataFrame([(i,) for i in one + third], "id bigint")
+    extra = spark.createDataFrame([(one[0], 1, "new")], SCHEMA)
+    fold(spark, table.path, extra, KEYS, ORDER, {}, target_rows=25, gone=F.col("t") == 0, rebuilt=keys)
+    for i in one + third:
+        del table.expected[i]
+    table.expected[one[0]] = (1, "new")
+    table.check()
+    # One bucket is wanted of the second generation's folder, its neighbour of the first one's.
+    table.fold([(one[0], 2, "newer"), *((i, 2, "other") for i in other)], target_rows=25, least_rows=0)
+    table.check()
