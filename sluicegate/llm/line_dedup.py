@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -11,56 +12,58 @@ from pyspark.sql import functions as F
 from sluicegate.llm.common import Passing, column, landed
 
 #: Frequencies are kept for so many buckets of words, one small number each, whatever the corpus holds.
-BUCKETS = 1 << 15
+BUCKETS = 1 << 16
 #: Earliest lines of a prefix word that the others are compared with first.
 LEADERS = 4
 #: Bits of a word's key below its frequency class.
 KEY_BITS = 55
+#: The lines meet in so many rounds, one for some of the sizes each, which bounds what is shuffled at a time.
+ROUNDS = 2
+#: Lines of more words have a bitmap of two longs, others of one.
+WIDE = 96
+#: What parts words.
+GAP = "[ \\t\\r\\n\\x0B\\f]"
 
 
 def _words(text: Column) -> Column:
-    """Lower-cased words, which spaces, tabs and line ends part. Plain replacements and a split at single
-    spaces, which take half the time of a pattern; the empty words between two spaces are left in."""
-    text = F.lower(text)
-    for gap in "\t\r\n\v\f":
-        text = F.replace(text, F.lit(gap), F.lit(" "))
-    return F.split(text, " ")
+    """Lower-cased words, which spaces, tabs and line ends part; the empty words between two of these are left in."""
+    return F.split(F.lower(text), GAP)
 
 
-def rarity_classes(docs: DataFrame, text: str, buckets: int = BUCKETS) -> Column:
-    """How frequent the words of each bucket are together, in steps of a fifth of a doubling, as a literal array."""
+def _rarity(docs: DataFrame, text: str, buckets: int) -> tuple[list[int], int]:
+    """How frequent the words of each bucket are together, in steps of a quarter of a doubling; and the least class
+    below which half of all words lie."""
     words = docs.select(F.explode(_words(F.col(text))).alias("word"))
     bucket = F.xxhash64("word").bitwiseAND(F.lit(buckets - 1))
-    counts = words.groupBy(bucket.alias("bucket")).count().collect()
-    classes = [0] * buckets
-    for bucket, n in counts:
-        classes[bucket] = min(255, int(5 * math.log2(1 + n)))
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<long>")
+    classes, sizes = [0] * buckets, [0] * 128
+    for bucket, n in words.groupBy(bucket.alias("bucket")).count().collect():
+        classes[bucket] = min(127, int(4 * math.log2(1 + n)))
+        sizes[classes[bucket]] += n
+    below, half = 0, 0
+    while half < 127 and 2 * below < sum(sizes):
+        below, half = below + sizes[half], half + 1
+    return classes, half
 
 
-def line_words(line: Column, classes: Column, buckets: int = BUCKETS) -> Column:
-    """Distinct words of a line as numbers, the rarest first: the frequency class, then a hash."""
-    keys = F.transform(_words(line), lambda w: F.when(w != "", F.xxhash64(w)))
-    numbered = F.transform(
-        keys,
-        lambda k: F.shiftleft(F.get(classes, k.bitwiseAND(F.lit(buckets - 1)).cast("int")), KEY_BITS).bitwiseOR(
-            F.shiftrightunsigned(k, 64 - KEY_BITS)
-        ),
-    )
-    return F.array_distinct(F.sort_array(F.array_compact(numbered)))
+def _literal(classes: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
-def _once(value: Column, name: str) -> Column:
-    """A generated column, so that what refers to it does not work it out again."""
-    return F.explode(F.array(value)).alias(name)
+def rarity_classes(docs: DataFrame, text: str, buckets: int = BUCKETS) -> Column:
+    """How frequent the words of each bucket are together, as a literal array."""
+    return _literal(_rarity(docs, text, buckets)[0])
 
 
-def _lines_at(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """(line, words): the text of each place (line, doc, pos) in its document, which is split once."""
-    per_doc = places.groupBy("doc").agg(F.collect_list(F.struct("pos", "line")).alias("places"))
-    split = texts.join(per_doc, "doc").select("places", _once(F.split("text", "\n"), "lines"))
-    found = F.transform("places", lambda p: F.struct(p["line"].alias("line"), F.get("lines", p["pos"]).alias("words")))
-    return split.select(F.inline(found))
+def line_words(line: Column, classes: Column, buckets: int = BUCKETS) -> Column:
+    """Distinct words of a line as numbers, the rarest first: the frequency class, then a hash."""
+
+    def number(key: Column) -> Column:
+        rarity = F.get(classes, key.bitwiseAND(F.lit(buckets - 1)).cast("int")).cast("long")
+        rarity = F.coalesce(rarity, F.lit(0).cast("long"))  # never NULL, which sorts faster
+        return F.shiftleft(rarity, KEY_BITS).bitwiseOR(F.shiftrightunsigned(key, 64 - KEY_BITS))
+
+    numbered = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), number)
+    return F.array_remove(F.array_distinct(F.sort_array(numbered)), number(F.xxhash64(F.lit(""))))
 
 
 def _flips(keys: Column) -> Column:
@@ -71,28 +74,34 @@ def _flips(keys: Column) -> Column:
     return F.aggregate(keys, zero, lambda bits, key: bits.bitwiseXOR(bit(key)))
 
 
-def _differ(*pairs: tuple[str, str]) -> Column:
-    return sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in pairs), F.lit(0))
+def _differ(a: str, b: str) -> Column:
+    """In how many words at least the lines of these two sides differ, by their bitmaps. That of a wide line is in two
+    halves, which make the one of a narrower line together."""
+    (an, bn), (x, y), (u, v) = ([F.col(f"{side}{c}") for side in (a, b)] for c in ("n", "bits", "more"))
+    low, high = x.bitwiseXOR(y), u.bitwiseXOR(v)
+    return F.when((an > WIDE) & (bn > WIDE), F.bit_count(low) + F.bit_count(high)).otherwise(F.bit_count(low.bitwiseXOR(high)))
 
 
-def _line_classes(base: DataFrame, classes: Column, least: float) -> DataFrame:
-    """Each distinct line (by a hash of its lower-cased text): where it stands first, how many words it has, its
-    bitmap and its prefix. Repeats of a line are reduced in the task that reads them, before any shuffle."""
-    split = base.select("doc_id", "doc", _once(F.split("text", "\n"), "lines"))
-    lines = split.select("doc_id", "doc", F.posexplode("lines").alias("pos", "text"))
-    lines = lines.where(F.trim("text") != "").select(
-        F.xxhash64(F.lower("text")).alias("line"),
-        F.struct("doc_id", "doc", "pos").alias("first"),
-        _once(line_words(F.col("text"), classes), "words"),
+def _line_classes(base: DataFrame, least: float, buckets: int = BUCKETS) -> DataFrame:
+    """Each distinct line (by a hash of its lower-cased text): where it stands first, how many words it has, the
+    bitmap of its rarer words and its prefix. Repeats of a line are reduced in the task that reads them, before any
+    shuffle; the words of each are looked at once."""
+    classes, half = _rarity(base, "text", buckets)
+    lines = base.select("doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    lines = lines.where(F.btrim("text", F.lit(" \t\r\n\v\f")) != "").select(
+        F.xxhash64(F.lower("text")).alias("line"), F.struct("doc_id", "doc", "pos").alias("first"), "text"
     )
-    n = F.size("words")
-    halves = (F.filter("words", lambda w: w.bitwiseAND(F.lit(64)) == half) for half in (0, 64))
-    bits, more = (_flips(words) for words in halves)
-    prefix = F.slice("words", 1, n - _at_least(n * least) + 1)
-    kept = F.struct(n.alias("n"), bits.alias("bits"), more.alias("more"), prefix.alias("prefix"))
-    lines = lines.where(n > 0).select("line", "first", kept.alias("kept"))
-    return lines.groupBy("line").agg(F.min("first").alias("first"), F.first("kept").alias("kept")).select(
-        "line", "first.*", "kept.*"
+    lines = lines.groupBy("line").agg(F.min("first").alias("first"), F.first("text").alias("text"))
+    # A column of its own, as several refer to it; a condition on it would work it out twice.
+    lines = lines.select("line", "first", line_words(F.col("text"), _literal(classes), buckets).alias("words"))
+    n, words = F.size("words"), F.col("words")
+    rare = lambda w: w < F.lit(half << KEY_BITS)
+    low, high = (_flips(F.filter(words, lambda w: rare(w) & (w.bitwiseAND(F.lit(64)) == part))) for part in (0, 64))
+    return lines.select(
+        "line", "first.*", n.alias("n"),
+        F.when(n > WIDE, low).otherwise(_flips(F.filter(words, rare))).alias("bits"),
+        F.when(n > WIDE, high).otherwise(F.lit(0).cast("long")).alias("more"),
+        F.slice(words, 1, n - _at_least(n * least) + 1).alias("prefix"),
     )
 
 
@@ -105,87 +114,110 @@ def _shared(a: Column, b: Column, least: float) -> Column:
     return _at_least((a + b) * (least / (1 + least)))
 
 
-def _led(lines: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of a line and one of the ``LEADERS`` earliest lines of about its length that have one of its prefix
-    words, where length and bitmap allow them to be similar. Each line has a few such pairs, however many share its words."""
-    step = math.log(1 / least) or 1e-3
-    about = F.floor(F.log(F.col("n")) / step).cast("int")
-    leader = F.struct("line", "n", "bits", "more")
-    rows = lines.select("line", "n", "bits", "more", "doc_id", "pos", about.alias("about"), F.explode("prefix").alias("word"))
-    first = W.partitionBy("word", "about").orderBy("doc_id", "pos", "line").rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    leaders = F.array_compact(F.array(*(F.nth_value(leader, k + 1).over(first) for k in range(LEADERS))))
-    rows = rows.select("line", "n", "bits", "more", leaders.alias("leaders"))
-    rows = rows.select("line", "n", "bits", "more", F.inline("leaders").alias("a", "an", "a_bits", "a_more"))
-    n, an = F.col("n"), F.col("an")
-    able = n + an - _differ(("bits", "a_bits"), ("more", "a_more")) >= 2 * _shared(n, an, least)
-    able = able & (F.col("a") != F.col("line"))
-    return rows.where(able).select("a", F.col("line").alias("b")).distinct()
+def _short(least: float) -> Column:
+    """How many words of a line's prefix are enough against lines of as many words or more, which have to share more."""
+    n = F.col("n")
+    return n - _shared(n, n, least) + 1
 
 
-def _matches(lines: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of line classes that the filters leave, ``b`` one whose match is still ``open``.
+def _step(least: float) -> float:
+    return math.log(1 / least) or 1e-3
 
-    Both hold a word of each other's prefix. The first such word of a similar pair has enough words left
-    behind it on both sides (positional filter); the sizes are close (length filter); and the bitmaps, in
-    which each word flips a bit, differ in no more bits than the sets may in words.
+
+def _about(n: Column, least: float) -> Column:
+    """Sizes in steps by ``least``: similar lines are at most one step apart."""
+    return F.floor(F.log(n) / _step(least)).cast("int")
+
+
+def _led(lines: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of a line and one of the ``LEADERS`` earliest lines of about its length that have one of the words
+    that its prefix starts with, where length and bitmap allow them to be similar. Each line has a few such pairs,
+    however many share its words."""
+    own = ("line", "n", "bits", "more")
+    start = F.slice("prefix", 1, _short(least))
+    rows = lines.select(*own, "doc_id", "pos", _about(F.col("n"), least).alias("about"), F.explode(start).alias("word"))
+    before = W.partitionBy("word", "about").orderBy("doc_id", "pos", "line").rowsBetween(W.unboundedPreceding, -1)
+    leaders = F.array(*(F.nth_value(F.struct(*own), k + 1).over(before) for k in range(LEADERS)))
+    rows = rows.select(*own, leaders.alias("leaders"))
+    rows = rows.select(*own, F.inline("leaders").alias(*(f"a_{c}" for c in own)))
+    n, an = F.col("n"), F.col("a_n")
+    able = n + an - _differ("", "a_") >= 2 * _shared(n, an, least)
+    return rows.where(able).select(F.col("a_line").alias("a"), F.col("line").alias("b")).distinct()
+
+
+def _matches(lines: DataFrame, least: float, part: int = 0, rounds: int = 1) -> DataFrame:
+    """Pairs (a, b) of line classes that the filters leave, ``b`` no longer than ``a``, one of them still ``open``; of
+    several rounds those whose ``a`` is of this one's sizes.
+
+    The longer line holds in its prefix a word of the shorter prefix that is enough for ``b``; they meet by this word and
+    the size of the longer one. The first such word of a similar pair has enough words left behind it on both sides
+    (positional filter); the sizes are close (length filter); and the bitmaps, in which each word flips a bit, differ in
+    no more bits than the sets may in words.
     """
-    # Size, place and openness travel as one number; taken apart behind the shuffle, they keep both sides one.
-    rows = lines.select("line", "bits", "more", "n", "open", F.posexplode("prefix").alias("i", "word"))
-    shape = F.shiftleft(F.col("n").cast("long"), 32) + F.col("i") * 2 + F.col("open").cast("int")
-    rows = rows.select("word", "line", "bits", "more", shape.alias("shape"))
-    a, b = (rows.toDF(*(f"{side}_{c}" for c in rows.columns)) for side in "ab")
-
-    def parts(side: str) -> tuple[Column, Column, Column]:
-        shape = F.col(f"{side}_shape")
+    n = F.col("n")
+
+    def side(name: str, sizes: Column, length: Column) -> DataFrame:
+        # Size, place and openness travel as one number, as do word and size step.
+        own = ["line", "bits", "more", "n", "open"]
+        rows = lines.select(*own, "prefix", F.explode(sizes).alias("about"))
+        rows = rows.where(F.col("about") % rounds == part)
+        rows = rows.select(*own, "about", F.posexplode(F.slice("prefix", 1, length)).alias("i", "word"))
+        shape = F.shiftleft(n.cast("long"), 32) + F.col("i") * 2 + F.col("open").cast("int")
+        rows = rows.select(F.xxhash64("word", "about").alias("met"), "line", "bits", "more", shape.alias("shape"))
+        return rows.toDF(*(f"{name}_{c}" for c in rows.columns))
+
+    def parts(name: str) -> list[Column]:
+        shape = F.col(f"{name}_shape")
         n = F.shiftright(shape, 32).cast("int")
         left = n - F.shiftright(shape.bitwiseAND(F.lit(2**32 - 1)), 1).cast("int")
-        return n, left, shape.bitwiseAND(F.lit(1).cast("long")) == 1
+        return [n.alias(f"{name}_n"), left.alias(f"{name}_left"), (shape.bitwiseAND(F.lit(1).cast("long")) == 1).alias(f"{name}_open")]
 
-    (an, a_left, a_open), (bn, b_left, b_open) = parts("a"), parts("b")
+    an, bn = F.col("a_n"), F.col("b_n")
     shared = _shared(an, bn, least)
-    met = a.join(
-        b,
-        (F.col("a_word") == F.col("b_word"))
-        & F.when(a_open, b_open & (F.col("a_line") < F.col("b_line"))).otherwise(b_open & (F.col("a_line") != F.col("b_line")))
-        & (F.least(an, bn) >= F.greatest(an, bn) * least - 1e-9)
-        & (F.least(a_left, b_left) >= shared)
-        & (an + bn - _differ(("a_bits", "b_bits"), ("a_more", "b_more")) >= 2 * shared),
+    most = F.floor(n / least + 1e-6).cast("int")
+    longer = side("a", F.array(_about(n, least)), F.size("prefix"))
+    # Lines of a further step have so many words at least, and share as many more.
+    size = F.greatest(n, F.ceil(F.exp(F.col("about") * _step(least)) - 1e-6).cast("int"))
+    enough = F.greatest(n - _shared(n, size, least) + 1, F.lit(1))
+    shorter = side("b", F.sequence(_about(n, least), _about(most, least)), enough)
+    met = longer.join(shorter.hint("shuffle_hash"), F.col("a_met") == F.col("b_met"))
+    met = met.select("*", *parts("a"), *parts("b")).where(
+        (F.col("a_open") | F.col("b_open"))
+        & ((an > bn) | ((an == bn) & (F.col("a_line") < F.col("b_line"))))
+        & (bn >= an * least - 1e-9)
+        & (F.least("a_left", "b_left") >= shared)
+        & (an + bn - _differ("a_", "b_") >= 2 * shared)
     )
     return met.select(F.col("a_line").alias("a"), F.col("b_line").alias("b")).distinct()
 
 
-def _bitmap(keys: str, parts: int) -> list[Column]:
-    """A bitmap of ``parts`` longs in which each key flips one bit."""
-    zero, one = (F.lit(x).cast("long") for x in (0, 1))
-
-    def flip(part: int) -> Column:
-        def step(bits: Column, key: Column) -> Column:
-            bit = F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int"))
-            mine = F.shiftrightunsigned(key, 6).bitwiseAND(F.lit(parts - 1)) == F.lit(part)
-            return bits.bitwiseXOR(F.when(mine, bit).otherwise(zero))
-
-        return F.aggregate(keys, zero, step)
-
-    return [flip(p) for p in range(parts)]
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, least: float, passing: Passing, parts: int = 4) -> DataFrame:
-    """The pairs whose sets of words are similar. A longer bitmap goes first: few others get to carry words."""
-    words = F.array_distinct(F.filter(_words(F.col("words")), lambda w: w != ""))
-    sets = texts.select("line", _once(words, "set"))
-    sets = sets.select("line", "set", _once(F.transform("set", lambda w: F.xxhash64(w)), "keys"))
-    sets = sets.select("line", "set", F.size("set").alias("n"), F.array(*_bitmap("keys", parts)).alias("map"))
-    sets = passing.land(sets, "line-sets")
-    maps = sets.select("line", "n", "map")
-    near = pairs.join(maps.toDF("a", "an", "x"), "a").join(maps.toDF("b", "bn", "y"), "b")
-    differ = sum(F.bit_count(F.get("x", F.lit(p)).bitwiseXOR(F.get("y", F.lit(p)))) for p in range(parts))
-    least_shared = _at_least((F.col("an") + F.col("bn")) * (least / (1 + least)))
-    near = near.where(F.col("an") + F.col("bn") - differ >= 2 * least_shared).select("a", "b")
-    both = near.join(sets.select("line", "set").toDF("a", "x"), "a").join(sets.select("line", "set").toDF("b", "y"), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= (F.size("x") + F.size("y") - shared) * least - 1e-9).select("a", "b")
+def _lines_at(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``places`` (line, doc, pos and others), each once, with the text of that place in its document, which is split once."""
+    place = F.struct(*places.columns)
+    per_doc = places.groupBy("doc").agg(F.collect_list(place).alias("places"))
+    both = texts.join(per_doc.hint("shuffle_hash"), "doc")
+
+    def found(lines: Column) -> Column:
+        return F.transform("places", lambda p: F.struct(p.alias("place"), F.get(lines, p["pos"]).alias("text")))
+
+    rows = both.select(F.inline(F.transform(F.array(F.split("text", "\n")), found)[0]))
+    return rows.select("place.*", "text").dropDuplicates(["line"])  # equal documents have the same lines
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, texts: DataFrame, least: float, passing: Passing) -> DataFrame:
+    """The later line (line, doc, pos) of each pair whose sets of words are similar, by the words themselves."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+    wanted = lines.select("line", "doc_id", "doc", "pos").join(named.hint("shuffle_hash"), "line", "left_semi")
+    words = F.array_remove(F.array_distinct(_words(F.col("text"))), "")
+    place = F.struct("doc_id", "doc", "pos").alias("place")
+    sets = passing.land(_lines_at(texts, wanted).select("line", place, words.alias("set")), "line-sets")
+    x, y = (sets.toDF(side, f"{side}_place", f"{side}_set").hint("shuffle_hash") for side in ("a", "b"))
+    both = pairs.join(x, "a").join(y, "b")
+    shared = F.size(F.array_intersect("a_set", "b_set"))
+    similar = both.where(shared * (1 + least) >= (F.size("a_set") + F.size("b_set")) * least - 1e-9)
+    a, b = (F.struct(F.col(c).alias("line"), f"{c}_place.doc", f"{c}_place.pos") for c in ("a", "b"))
+    later = F.when(F.col("a_place") > F.col("b_place"), a).otherwise(b)
+    return similar.select(later.alias("later")).select("later.*").distinct()
 
 
 def remove_later_lines(
@@ -216,56 +248,49 @@ def remove_later_lines(
     base = docs.select(
         column(key).alias("doc_id"), F.xxhash64(column(key), column(text)).alias("doc"), column(text).alias("text")
     ).where("text is not null")
-    texts = base.select("doc", "text")
-    classes = rarity_classes(base, "text")
-    lines = landed(_line_classes(base, classes, least), "line-classes")
+    lines = landed(_line_classes(base, least), "line-classes")
 
-    place = F.struct("doc_id", "doc", "pos")
-    at = lines.select("line", place.alias("place"))
+    texts = base.select("doc", "text")
 
-    def later_of(pairs: DataFrame, label: str) -> DataFrame:
+    def later_of(label: str, *rounds: DataFrame) -> DataFrame:
         """The later line of each pair that is similar."""
         with Passing() as passing:
-            pairs = passing.land(pairs, "line-pairs")
-            named = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
-            wanted = lines.select("line", "doc", "pos").join(named, "line", "left_semi")
-            similar = _verified(pairs, _lines_at(texts, wanted), least, passing)
-            similar = similar.join(at.toDF("a", "a_place"), "a").join(at.toDF("b", "b_place"), "b")
-            later = F.when(F.col("a_place") > F.col("b_place"), F.col("a")).otherwise(F.col("b"))
-            return landed(similar.select(later.alias("line")).distinct(), label)
-
-    led = later_of(_led(lines, least), "led-lines")
+            pairs = reduce(DataFrame.unionByName, [passing.land(pairs, "line-pairs") for pairs in rounds])
+            return landed(_verified(pairs, lines, texts, least, passing), label)
+
+    led = later_of("led-lines", _led(lines, least))
     with Passing() as passing:
-        left = lines.select("line", "n", "bits", "more", "prefix").join(led.withColumn("led", F.lit(True)), "line", "left")
+        closed = led.select("line", F.lit(True).alias("led"))
+        left = lines.select("line", "n", "bits", "more", "prefix").join(closed.hint("shuffle_hash"), "line", "left")
         left = passing.land(left.withColumn("open", F.col("led").isNull()).drop("led"), "open-lines")
-        found = later_of(_matches(left, least), "later-lines")
-    later = lines.join(led.unionByName(found), "line", "left_semi").select("doc", "pos")
-    every = base.select("doc_id", "doc", _once(F.split("text", "\n"), "lines"))
-    every = every.select("doc_id", "doc", F.posexplode("lines").alias("pos", "line"))
+        found = later_of("later-lines", *(_matches(left, least, part, ROUNDS) for part in range(ROUNDS)))
+    place = F.struct("doc_id", "doc", "pos")
+    every = base.select("doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     every = every.select("doc_id", "doc", "pos", F.xxhash64(F.lower("line")).alias("line"))
-    repeats = every.join(at, "line").where(place != F.col("place")).select("doc", "pos")
-    gone = later.unionByName(repeats).groupBy("doc").agg(F.collect_set("pos").alias("gone"))
-
-    parts = F.split("text", "\n")
-    cleaned = texts.join(gone, "doc", "left").select("doc", F.coalesce("gone", F.array()).alias("gone"), _once(parts, "lines"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
-    cleaned = cleaned.select(
-        "doc",
-        F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n").alias("clean"),
-        F.size("lines").alias("n_lines"),
-        F.size("gone").alias("n_removed"),
-    )
-    cleaned = cleaned.groupBy("doc").agg(*(F.first(c).alias(c) for c in cleaned.columns[1:]))
+    firsts = lines.select("line", place.alias("place")).hint("shuffle_hash")
+    repeats = every.join(firsts, "line").where(place != F.col("place")).select("doc", "pos")
+    gone = led.unionByName(found).select("doc", "pos").unionByName(repeats)
+    gone = gone.groupBy("doc").agg(F.collect_set("pos").alias("gone"))
+
     kept = [f"keep_{i}" for i in range(len(keep))]
     rows = docs.select(
         F.xxhash64(column(key), column(text)).alias("doc"),
-        F.isnull(column(text)).alias("missing"),
+        column(text).alias("text"),
         *(column(c).alias(k) for c, k in zip(keep, kept)),
     )
-    out = rows.join(cleaned, (rows["doc"] == cleaned["doc"]) & ~F.col("missing"), "left")
+
+    def without(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
+        left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+        clean = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)
+        return F.struct(clean.alias("clean"), F.size(lines).alias("n_lines"), F.size("gone").alias("n_removed"))
+
+    # In an array of one, so that a text is split once.
+    given = F.when(F.col("text").isNotNull(), F.transform(F.array(F.split("text", "\n")), without)[0])
+    out = rows.join(gone.hint("shuffle_hash"), "doc", "left").select(*kept, given.alias("given")).select(*kept, "given.*")
     return out.select(
         *(F.col(k).alias(c) for k, c in zip(kept, keep)),
         F.col("clean").alias(text),
         F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-        F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.greatest("n_removed", F.lit(0)).alias("n_removed"),
     )

@@ -66,3 +66,56 @@ def test_stays_in_the_jvm_and_shuffles_texts_once(spark, plan):
     df.collect()
     text = plan(df)
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", text)
+
+
+def edges():
+    """Lines on both sides of the limit: long and short ones, some words of which are changed, dropped or added."""
+    rng = random.Random(11)
+    lines = []
+    for n in (1, 2, 3, 4, 5, 8, 9, 10, 40, 90, 96, 97, 120, 125, 240, 300):
+        for common in (0, n // 2):
+            words = [f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(n - common)] + WORDS[:common]
+            for change in (0, 1, n // 10, n // 9, n // 9 + 1, n // 5, n // 4, n // 3, n // 2):
+                kept = words[change:]
+                lines += [" ".join(w) for w in (kept, kept + [f"new{rng.randrange(10**6)}" for _ in range(change)])]
+    rng.shuffle(lines)
+    return [(i, "\n".join(lines[i * 5 : i * 5 + 5])) for i in range(-(-len(lines) // 5))]
+
+
+@pytest.mark.parametrize("least", [0.8, 0.7, 0.5, 0.95])
+def test_sizes_and_bitmaps_lose_no_match(spark, least):
+    rows = edges()
+    got = line_dedup.remove_later_lines(documents(spark, rows), least=least, keep=("doc_id",)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, least)
+
+
+def test_keys_of_words_are_never_null(spark):
+    """Arrays that may hold NULL are sorted by a comparator, value by value."""
+    docs = documents(spark, [(1, "ash Elm ash  fir")])
+    classes = line_dedup.rarity_classes(docs, "text")
+    words = docs.select(line_dedup.line_words(docs["text"], classes).alias("words"))
+    assert not words.schema["words"].dataType.containsNull
+    assert len(words.first()["words"]) == 3
+
+
+def test_lines_meet_by_word_and_size_once(spark):
+    """Lines that share a rare word but are of other sizes never come together; the two of one size do, in one place."""
+    sizes = [4, 8, 16, 32, 64]
+    lines = [" ".join(["rare", *(f"w{n}x{i}" for i in range(n - 1))]) for n in sizes]
+    docs = [(i, line) for i, line in enumerate([*lines, lines[2] + " more"])]
+    base = documents(spark, docs).selectExpr("doc_id", "doc_id doc", "text")
+    found = line_dedup._line_classes(base, 0.8).selectExpr("line", "bits", "more", "n", "true open", "prefix")
+    pairs = line_dedup._matches(found, 0.8)
+    assert [{r["n"] for r in found.where(found["line"].isin(*p)).collect()} for p in pairs.collect()] == [{16, 17}]
+    assert "about" in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_are_not_sorted_to_be_joined(spark, plan):
+    rows, threshold = rows_for(), "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        df = line_dedup.remove_later_lines(documents(spark, rows), keep=("doc_id",))
+        assert sorted((tuple(r) for r in df.collect()), key=repr) == brute(rows)
+        assert "SortMergeJoin" not in plan(df) and "ShuffledHashJoin" in plan(df)
+    finally:
+        spark.conf.unset(threshold)
